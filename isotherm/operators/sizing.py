@@ -1,0 +1,30 @@
+"""Size checks before broadcasting a side of a join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row limit under which a narrow parameter table (requests, regions, ranges,
+# per-file headers) is broadcast. Such rows are well under 200 bytes, so the
+# limit keeps a broadcast under ~100 MB.
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a bounded job), never the whole frame.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when the size is proven small, else ``(df, False)``.
+
+    Beyond the limit the caller's join stays a shuffle join (sort-merge, with
+    AQE's skew-join splitting of hot partitions).
+    """
+    if has_at_most(df, max_rows):
+        return F.broadcast(df), True
+    return df, False

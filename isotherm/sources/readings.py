@@ -1,0 +1,85 @@
+"""Monthly readings from many CSV files whose headers differ.
+
+Spark's CSV reader with ``header=true`` takes column names from one file and
+applies them by position to every file, which misplaces columns when files
+differ. This reader aligns each file by its own header, in one distributed
+plan without Python workers:
+
+1. ``read.text`` over all files, with ``_metadata.file_path`` per line.
+2. Each line is split into unquoted CSV fields by a linear regex.
+3. Header lines (they name a known column and hold no number) give, per file, the 1-based
+   position of every target column (0 when the file lacks it): a table of one
+   small row per file.
+4. Data lines are joined to that table on the path and each target column is
+   picked by position (``get``: null when absent or when a ragged line is
+   short), then cast with ``try_cast`` (bad numbers become null).
+
+The per-file table is broadcast when the number of listed files (known to
+the driver from the file index, no scan) is under the limit; otherwise the
+join is a shuffle join on the path with AQE skew splitting. Files are read
+whole by one task only when they are smaller than ``maxPartitionBytes``;
+larger files are split across tasks and still aligned by the path join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from isotherm.functions.text import csv_fields
+from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS
+from isotherm.schemas import HEADER_MARKER, READINGS_SCHEMA
+
+
+def header_predicate(fields: Column, names: list[str]) -> Column:
+    """A header line names at least one known column and has no numeric-looking
+    field (every data line carries a ``yyyy-MM`` date and numbers)."""
+    known = F.exists(fields, lambda x: x.isin(*names))
+    numeric = F.exists(fields, lambda x: x.rlike(r"^\s*[-+]?[0-9.]"))
+    return known & ~numeric
+
+
+def read_readings(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
+                  header_marker: str = HEADER_MARKER, keep_path: bool = False,
+                  flag_ragged: bool = False,
+                  max_broadcast_files: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Read CSV files (path, list or glob) aligned by name to ``schema``.
+
+    Absent target columns are null; other columns are ignored; empty fields
+    are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
+    ``ragged`` (the line's field count differs from its header's).
+    """
+    text = spark.read.text(paths)
+    n_files = len(text.inputFiles())
+    raw = text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_line"))
+    fields = raw.filter(F.trim(F.col("_line")) != "").select("_path", csv_fields("_line").alias("_f"))
+    names = [f.name for f in schema.fields]
+    is_header = header_predicate(F.col("_f"), [header_marker, *names])
+
+    positions = fields.filter(is_header).select(
+        "_path",
+        F.struct(
+            F.size("_f").alias("_width"),
+            *[F.array_position("_f", F.lit(c)).cast("int").alias(f"_pos{i}") for i, c in enumerate(names)],
+        ).alias("_h"),
+    )
+    # One header per file even if a file repeats its header line (small: one row per file).
+    headers = positions.groupBy("_path").agg(F.min("_h").alias("_h")).select("_path", "_h.*")
+    if n_files <= max_broadcast_files:
+        headers = F.broadcast(headers)
+    data = fields.filter(~is_header)
+    joined = data.join(headers, "_path", "inner")
+
+    cols = []
+    for i, f in enumerate(schema.fields):
+        value = F.nullif(F.get(F.col("_f"), F.col(f"_pos{i}") - 1), F.lit(""))
+        if isinstance(f.dataType, StringType):
+            cols.append(value.alias(f.name))
+        else:
+            cols.append(F.trim(value).try_cast(f.dataType).alias(f.name))
+    if keep_path:
+        cols.append(F.col("_path").alias("source_file"))
+    if flag_ragged:
+        cols.append((F.size("_f") != F.col("_width")).alias("ragged"))
+    return joined.select(*cols)
