@@ -80,8 +80,13 @@ def clean_count(df: DataFrame) -> DataFrame:
 
 def consistency_filter(df: DataFrame, tmax: str = "TMAX", tavg: str = "TAVG",
                        tmin: str = "TMIN") -> DataFrame:
-    """Keep TMAX > TAVG > TMIN, or all three equal; any null drops the row."""
+    """Keep TMAX > TAVG > TMIN, or all three equal; any null drops the row.
+
+    This is the net effect of the two chained filters ``TMAX >= TAVG >= TMIN``
+    and ``strict or all equal``: the second implies the first, so one
+    predicate suffices.
+    """
     hi, mid, lo = F.col(tmax), F.col(tavg), F.col(tmin)
     strict = (hi > mid) & (mid > lo)
     flat = (hi == mid) & (mid == lo)
-    return df.filter((hi >= mid) & (mid >= lo)).filter(strict | flat)
+    return df.filter(strict | flat)

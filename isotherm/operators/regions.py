@@ -72,7 +72,7 @@ def region_summary_many(clean: DataFrame, requests: DataFrame,
         "region_id", "lat1", "lon1", "lat2", "lon2", "start_year", "end_year",
         F.explode(grid_cells_of_box("lat1", "lon1", "lat2", "lon2")).alias("cell"),
     )
-    req_side, _ = maybe_broadcast(req_cells, max_broadcast_rows)
+    req_side, small = maybe_broadcast(req_cells, max_broadcast_rows)
     cond = (
         (totals["cell"] == req_side["cell"])
         & in_rectangle(totals["LATITUDE"], totals["LONGITUDE"], req_side["lat1"], req_side["lon1"],
@@ -84,8 +84,10 @@ def region_summary_many(clean: DataFrame, requests: DataFrame,
         F.sum("tavg_count").alias("tavg_count"),
         F.sum("row_count").alias("row_count"),
     )
+    # ``matched`` has at most one row per request: broadcast it when the
+    # requests were proven small.
     req_ids = requests.select("region_id")
-    out = req_ids.join(matched, "region_id", "left")
+    out = req_ids.join(F.broadcast(matched) if small else matched, "region_id", "left")
     return out.select(
         "region_id",
         mean_of_hundredths("tavg_total", "tavg_count").alias("average_temperature"),

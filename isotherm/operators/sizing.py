@@ -28,3 +28,18 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
     if has_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
+
+
+def literal_table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small parameter table built from literals inside the JVM (no Python
+    worker at run time). ``schema`` is a DDL string such as ``"a int, b double"``."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    struct = _parse_datatype_string(schema)
+    fields = struct.fields
+    if not rows:
+        return spark.createDataFrame([], struct)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.operators import change, clean, metrics, regions, sampling, union
+from isotherm.operators.sizing import literal_table
 from isotherm.schemas import READING_COLUMNS, READINGS_SCHEMA, STATION_COLUMNS, YEAR_RANGES
 from isotherm.session import scratch_path
 from isotherm.sources import listing, readings, standin, stations, store
@@ -128,7 +129,7 @@ def q_year_range_rows(spark, sf):
 
 
 def q_block_sample(spark, sf):
-    ranges = spark.createDataFrame(SAMPLE_RANGES, "start long, end long")
+    ranges = literal_table(spark, SAMPLE_RANGES, "start long, end long")
     return sampling.block_sample(standin.stations(spark, sf), ranges, order_by=["station_id"])
 
 

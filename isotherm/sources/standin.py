@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isotherm.operators.sizing import literal_table
 from isotherm.schemas import READING_COLUMNS, STATION_COLUMNS
 
 LINEITEM_COLUMNS = ["l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
@@ -113,7 +114,8 @@ REGION_REQUESTS = [
 
 
 def region_requests(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         REGION_REQUESTS,
         "region_id int, lat1 double, lon1 double, lat2 double, lon2 double, "
         "start_year int, end_year int",

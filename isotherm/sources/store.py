@@ -31,8 +31,22 @@ def year_range_labels(start_year: int, end_year: int, ranges=YEAR_RANGES) -> lis
     return [range_label(s, e) for s, e in ranges if s <= end_year and e >= start_year]
 
 
+def _contiguous(ranges) -> bool:
+    ordered = sorted(ranges)
+    return all(a[1] + 1 == b[0] for a, b in zip(ordered, ordered[1:]))
+
+
 def with_year_range(clean: DataFrame, ranges=YEAR_RANGES) -> DataFrame:
-    """Add ``year_range``; rows whose year is in no range are not kept (as in the export)."""
+    """Add ``year_range``; rows whose year is in no range are not kept (as in the export).
+
+    For contiguous ranges the row filter is the overall span (two
+    comparisons that the optimizer can push to the scan) instead of the
+    label test, which would repeat the whole ``when`` chain in the filter.
+    """
+    if _contiguous(ranges):
+        lo, hi = min(s for s, _ in ranges), max(e for _, e in ranges)
+        kept = clean.filter(F.col("YEAR").between(lo, hi))
+        return kept.withColumn("year_range", year_range_of("YEAR", ranges))
     return clean.withColumn("year_range", year_range_of("YEAR", ranges)).filter(
         F.col("year_range").isNotNull()
     )

@@ -1,0 +1,90 @@
+"""Edge cases of the cleaning steps on literal rows."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from isotherm.operators import clean
+
+SCHEMA = "STATION string, DATE string, LATITUDE double, LONGITUDE double, TAVG double, PRCP double"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_filter_missing_keeps_null_precipitation(spark):
+    df = frame(spark, [("A", "2000-01", 1.0, 1.0, None, 3.0), ("A", "2000-02", 1.0, 1.0, 5.0, None)])
+    out = clean.filter_missing(df).collect()
+    assert [(r.TAVG, r.PRCP) for r in out] == [(5.0, None)]
+
+
+def test_filter_outliers_inclusive_bounds_and_nan(spark):
+    vals = [-20.01, -20.0, 0.0, 50.0, 122.0, 122.01, float("nan"), None]
+    df = frame(spark, [("A", "2000-01", 0.0, 0.0, v, None) for v in vals])
+    kept = sorted(r.TAVG for r in clean.filter_outliers(df).collect())
+    assert kept == [-20.0, 0.0, 50.0, 122.0]
+
+
+def test_outlier_report_reasons_and_partition(spark):
+    vals = [-25.0, -20.0, 10.0, 122.0, 130.0, float("nan"), None]
+    df = frame(spark, [("A", "2000-01", 0.0, 0.0, v, None) for v in vals])
+    rep = {(r.TAVG if not (r.TAVG is not None and math.isnan(r.TAVG)) else "nan"): r.reason
+           for r in clean.outlier_report(df).collect()}
+    assert rep == {-25.0: "low", 130.0: "high", "nan": "high"}
+    kept = clean.filter_outliers(df).count()
+    nulls = df.filter(F.col("TAVG").isNull()).count()
+    assert kept + clean.outlier_report(df).count() + nulls == df.count()
+
+
+def test_convert_only_strictly_above_50(spark):
+    df = frame(spark, [("A", "2000-01", 0.0, 0.0, v, None) for v in [50.0, 50.01, 68.0, -5.0]])
+    got = sorted(r.TAVG for r in clean.convert_temperatures(df).collect())
+    assert got[0] == -5.0
+    assert abs(got[1] - (50.01 - 32) * 5 / 9) < 1e-12
+    assert got[2] == 20.0
+    assert got[3] == 50.0
+
+
+def test_time_and_season(spark):
+    dates = ["2001-02", "2001-03", "2001-05", "2001-06", "2001-08", "2001-09", "2001-11", "2001-12", None, "20xx-ab"]
+    df = frame(spark, [("A", d, 0.0, 0.0, 1.0, None) for d in dates])
+    out = {r.DATE: (r.YEAR, r.MONTH, r.SEASON) for r in clean.add_time_and_season(df).collect()}
+    assert out["2001-02"] == (2001, 2, "Winter")
+    assert out["2001-03"][2] == "Spring" and out["2001-05"][2] == "Spring"
+    assert out["2001-06"][2] == "Summer" and out["2001-08"][2] == "Summer"
+    assert out["2001-09"][2] == "Autumn" and out["2001-11"][2] == "Autumn"
+    assert out["2001-12"] == (2001, 12, "Winter")  # December stays in its own year
+    assert out[None] == (None, None, "Winter")
+    assert out["20xx-ab"] == (None, None, "Winter")
+
+
+def test_round_half_away_from_zero(spark):
+    df = frame(spark, [("A", "2000-01", 0.0, 0.0, 2.675, -2.675), ("B", "2000-01", 0.0, 0.0, 1.005, None)])
+    out = {r.STATION: (r.TAVG, r.PRCP) for r in clean.round_readings(df).collect()}
+    assert out["A"] == (2.68, -2.68)
+    assert out["B"] == (1.01, None)
+
+
+def test_clean_pipeline_order_and_idempotent_dates(spark):
+    rows = [("A", "2000-07", 1.0, 2.0, 122.0, 1.234), ("A", "2000-07", 1.0, 2.0, -20.0, None),
+            ("A", "2000-07", 1.0, 2.0, 123.0, 1.0), ("A", "2000-07", 1.0, 2.0, None, 1.0)]
+    out = clean.clean_readings(frame(spark, rows))
+    got = sorted((r.TAVG, r.PRCP, r.YEAR, r.MONTH, r.SEASON) for r in out.collect())
+    assert got == [(-20.0, None, 2000, 7, "Summer"), (50.0, 1.23, 2000, 7, "Summer")]
+    again = clean.add_time_and_season(out).select("YEAR", "MONTH", "SEASON").collect()
+    assert sorted(tuple(r) for r in again) == sorted((g[2], g[3], g[4]) for g in got)
+
+
+def test_consistency_filter_net_rule(spark):
+    df = spark.createDataFrame(
+        [(3.0, 2.0, 1.0), (2.0, 2.0, 2.0), (2.0, 2.0, 1.0), (3.0, 2.0, 2.0), (1.0, 2.0, 0.0), (None, 2.0, 1.0)],
+        "TMAX double, TAVG double, TMIN double",
+    )
+    kept = sorted(tuple(r) for r in clean.consistency_filter(df).collect())
+    assert kept == [(2.0, 2.0, 2.0), (3.0, 2.0, 1.0)]
+
+
+def test_clean_count_single_row(spark):
+    df = frame(spark, [("A", "2000-01", 0.0, 0.0, 1.0, None)] * 3)
+    assert clean.clean_count(df).collect()[0].n == 3

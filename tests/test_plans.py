@@ -1,0 +1,48 @@
+"""Plan shape: no Python workers, pruned scans, bounded broadcasts, one job per summary."""
+
+import pytest
+
+from isotherm.plans.catalog import QUERIES
+
+from .conftest import SF_SMALL
+
+# readings_ingest writes files when called; its plan is checked in test_sources.
+PLAN_KEYS = sorted(k for k in QUERIES if k != "readings_ingest")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", PLAN_KEYS)
+def test_no_python_in_plan(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
+        assert marker not in plan, (name, marker)
+
+
+def test_scan_reads_only_needed_columns(spark):
+    plan = plan_of(QUERIES["seasonal_avg"](spark, SF_SMALL))
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert schema == "struct<l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>"
+
+
+def test_region_summary_single_scan_single_aggregate(spark):
+    df = QUERIES["region_summary"](spark, SF_SMALL)
+    plan = plan_of(df)
+    assert plan.count("FileScan parquet") == 1 or plan.count("Scan parquet") == 1
+    assert "Join" not in plan
+
+
+def test_region_summary_many_broadcasts_requests(spark):
+    df = QUERIES["region_summary_many"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan
+
+
+def test_aggregates_are_partial_before_shuffle(spark):
+    plan = plan_of(QUERIES["station_datapoints"](spark, SF_SMALL))
+    assert "partial_sum" in plan and "partial_count" in plan

@@ -1,0 +1,97 @@
+"""Region summaries and country lookup."""
+
+from isotherm.operators import regions
+from isotherm.operators.sizing import literal_table
+
+CLEAN = ("STATION string, DATE string, LATITUDE double, LONGITUDE double, TAVG double, "
+         "PRCP double, YEAR int, MONTH int, SEASON string")
+
+
+def clean_rows(spark):
+    rows = [
+        ("S1", "2000-01", 10.0, 20.0, 1.25, None, 2000, 1, "Winter"),
+        ("S1", "2001-01", 10.0, 20.0, 2.5, None, 2001, 1, "Winter"),
+        ("S2", "2000-06", -10.0, 20.0, 3.0, None, 2000, 6, "Summer"),
+        ("S3", "2000-06", 0.0, 0.0, 0.01, None, 2000, 6, "Summer"),
+        ("S3", "2000-07", 0.0, 0.0, 0.02, None, 2000, 7, "Summer"),
+        ("S4", "2000-07", 89.5, 179.5, -5.0, None, 2000, 7, "Summer"),
+    ]
+    return spark.createDataFrame(rows, CLEAN)
+
+
+REQUESTS = [
+    (1, 10.0, 20.0, 10.0, 20.0, 2000, 2001),   # exact point, both years
+    (2, -10.0, 0.0, 10.0, 20.0, 2000, 2000),  # edges inclusive
+    (3, 10.0, 20.0, -10.0, 0.0, 2000, 2001),  # swapped corners: nothing
+    (4, 0.0, 0.0, 0.0, 0.0, 2000, 2000),      # rounding tie 0.015 -> 0.02
+    (5, -90.0, -180.0, 90.0, 180.0, 1990, 1999),  # no year matches
+    (6, 80.0, 170.0, 500.0, 900.0, 2000, 2000),   # box beyond the valid range
+]
+
+
+def test_region_summary_single(spark):
+    df = clean_rows(spark)
+    r = regions.region_summary(df, -10.0, 0.0, 10.0, 20.0, 2000, 2000).collect()[0]
+    assert r.data_points == 4
+    assert r.average_temperature == round((1.25 + 3.0 + 0.01 + 0.02) / 4, 2)
+    empty = regions.region_summary(df, 10.0, 20.0, -10.0, 0.0, 2000, 2000).collect()[0]
+    assert empty.average_temperature is None and empty.data_points == 0
+
+
+def test_region_summary_many_equals_single(spark):
+    df = clean_rows(spark)
+    req = literal_table(spark, REQUESTS, "region_id int, lat1 double, lon1 double, lat2 double, "
+                                         "lon2 double, start_year int, end_year int")
+    many = {r.region_id: (r.average_temperature, r.data_points)
+            for r in regions.region_summary_many(df, req).collect()}
+    assert set(many) == {q[0] for q in REQUESTS}
+    for q in REQUESTS:
+        single = regions.region_summary(df, *q[1:]).collect()[0]
+        assert many[q[0]] == (single.average_temperature, single.data_points), q
+    assert many[1] == (1.88, 2)  # (1.25 + 2.5) / 2 = 1.875 -> 1.88
+    assert many[3] == (None, 0)
+    assert many[4] == (0.02, 2)
+    assert many[6] == (-5.0, 1)
+
+
+def test_region_summary_many_shuffle_path(spark):
+    df = clean_rows(spark)
+    req = literal_table(spark, REQUESTS, "region_id int, lat1 double, lon1 double, lat2 double, "
+                                         "lon2 double, start_year int, end_year int")
+    small = sorted(tuple(r) for r in regions.region_summary_many(df, req).collect())
+    big = sorted(tuple(r) for r in regions.region_summary_many(df, req, max_broadcast_rows=1).collect())
+    assert small == big
+
+
+def test_station_country_overlaps_and_no_hit(spark):
+    st = spark.createDataFrame(
+        [("A", 5.0, 5.0), ("B", 15.0, 15.0), ("C", -50.0, -50.0), ("D", 10.0, 10.0), ("A", 5.0, 5.0)],
+        "station_id string, latitude double, longitude double",
+    )
+    boxes = spark.createDataFrame(
+        [("BIG", 0.0, 20.0, 0.0, 20.0), ("SMALL", 0.0, 10.0, 0.0, 10.0), ("TIE_B", 4.0, 6.0, 4.0, 6.0),
+         ("TIE_A", 4.0, 6.0, 4.0, 6.0)],
+        "country string, lat_min double, lat_max double, lon_min double, lon_max double",
+    )
+    out = sorted((r.station_id, r.country) for r in regions.station_country(st, boxes).collect())
+    # smallest box wins, ties by name; half-open upper edge (D at 10 is not in SMALL);
+    # duplicate station rows are kept
+    assert out == [("A", "TIE_A"), ("A", "TIE_A"), ("B", "BIG"), ("C", None), ("D", "BIG")]
+    kept = regions.country_filter(regions.station_country(st, boxes), "BIG").collect()
+    assert sorted(r.station_id for r in kept) == ["A", "A"]
+
+
+def test_region_filter_uses_partition_pruning(spark, tmp_path):
+    from isotherm.sources import store
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    df = clean_rows(spark)
+    path = str(tmp_path / "store")
+    store.write_year_ranges(df, path)
+    back = store.read_parquet(spark, path)
+    q = regions.region_summary(back, -10.0, 0.0, 10.0, 20.0, 2000, 2000)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_range" in plan and "1996_2005" in plan
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(LATITUDE,-10.0)" in plan
+    assert "GreaterThanOrEqual(YEAR,2000)" in plan
+    assert q.collect()[0].data_points == 4
