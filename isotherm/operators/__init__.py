@@ -1 +1 @@
-"""operators"""
+"""Operators: DataFrame -> DataFrame transformations (cleaning, aggregates, windows, joins)."""

@@ -40,20 +40,16 @@ def header_predicate(fields: Column, names: list[str]) -> Column:
     return known & ~numeric
 
 
-def read_readings(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
-                  header_marker: str = HEADER_MARKER, keep_path: bool = False,
-                  flag_ragged: bool = False,
-                  max_broadcast_files: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Read CSV files (path, list or glob) aligned by name to ``schema``.
+def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
+                header_marker: str = HEADER_MARKER, keep_path: bool = False,
+                flag_ragged: bool = False, broadcast_headers: bool = True) -> DataFrame:
+    """Align CSV text lines ``(_path, _line)`` by each file's own header.
 
-    Absent target columns are null; other columns are ignored; empty fields
-    are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
-    ``ragged`` (the line's field count differs from its header's).
+    Works on a batch frame and on a streaming micro-batch alike.
+    ``broadcast_headers`` must only be set when the number of files is
+    known to be bounded (the per-file header table is broadcast).
     """
-    text = spark.read.text(paths)
-    n_files = len(text.inputFiles())
-    raw = text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_line"))
-    fields = raw.filter(F.trim(F.col("_line")) != "").select("_path", csv_fields("_line").alias("_f"))
+    fields = lines.filter(F.trim(F.col("_line")) != "").select("_path", csv_fields("_line").alias("_f"))
     names = [f.name for f in schema.fields]
     is_header = header_predicate(F.col("_f"), [header_marker, *names])
 
@@ -66,7 +62,7 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     )
     # One header per file even if a file repeats its header line (small: one row per file).
     headers = positions.groupBy("_path").agg(F.min("_h").alias("_h")).select("_path", "_h.*")
-    if n_files <= max_broadcast_files:
+    if broadcast_headers:
         headers = F.broadcast(headers)
     data = fields.filter(~is_header)
     joined = data.join(headers, "_path", "inner")
@@ -83,3 +79,25 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     if flag_ragged:
         cols.append((F.size("_f") != F.col("_width")).alias("ragged"))
     return joined.select(*cols)
+
+
+def text_lines(text: DataFrame) -> DataFrame:
+    """``(_path, _line)`` from a text-source frame (batch or streaming)."""
+    return text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_line"))
+
+
+def read_readings(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
+                  header_marker: str = HEADER_MARKER, keep_path: bool = False,
+                  flag_ragged: bool = False,
+                  max_broadcast_files: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Read CSV files (path, list or glob) aligned by name to ``schema``.
+
+    Absent target columns are null; other columns are ignored; empty fields
+    are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
+    ``ragged`` (the line's field count differs from its header's).
+    """
+    text = spark.read.text(paths)
+    # The file index has already listed the files on the driver: no scan.
+    n_files = len(text.inputFiles())
+    return align_lines(text_lines(text), schema, header_marker, keep_path, flag_ragged,
+                       broadcast_headers=n_files <= max_broadcast_files)

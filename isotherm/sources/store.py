@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from isotherm.schemas import YEAR_RANGES
 
 
+# Partition label of clean rows whose year is in no export range (or null).
+OUTSIDE_LABEL = "outside"
+
+
 def range_label(start: int, end: int) -> str:
     return f"{start}_{end}"
 
@@ -26,9 +30,18 @@ def year_range_of(year: str | Column, ranges=YEAR_RANGES) -> Column:
     return expr
 
 
-def year_range_labels(start_year: int, end_year: int, ranges=YEAR_RANGES) -> list[str]:
-    """Labels of the ranges that overlap ``[start_year, end_year]`` (for partition pruning)."""
-    return [range_label(s, e) for s, e in ranges if s <= end_year and e >= start_year]
+def year_range_labels(start_year: int, end_year: int, ranges=YEAR_RANGES,
+                      with_outside: bool = True) -> list[str]:
+    """Labels of the partitions that can hold years in ``[start_year, end_year]``.
+
+    Used for partition pruning; the outside label is included when the span
+    reaches beyond the covered years (or the covered years have gaps).
+    """
+    labels = [range_label(s, e) for s, e in ranges if s <= end_year and e >= start_year]
+    covered = sum(max(0, min(e, end_year) - max(s, start_year) + 1) for s, e in ranges)
+    if with_outside and covered < end_year - start_year + 1:
+        labels.append(OUTSIDE_LABEL)
+    return labels
 
 
 def _contiguous(ranges) -> bool:
@@ -60,6 +73,30 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _write_partitioned(labelled: DataFrame, path: str, mode: str) -> None:
+    (
+        labelled.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
+        .write.mode(mode)
+        .partitionBy("year_range")
+        .parquet(path)
+    )
+
+
+def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite") -> None:
+    """Write the whole clean table once, partitioned by ``year_range``.
+
+    Rows outside every range are kept under ``year_range=outside``, so the
+    store is the complete clean table and, without that partition, the
+    year-range export. Reading it back cuts the lineage of every result.
+    """
+    label = F.coalesce(year_range_of("YEAR", ranges), F.lit(OUTSIDE_LABEL))
+    _write_partitioned(clean.withColumn("year_range", label), path, mode)
+
+
+def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite") -> None:
     """One write of the whole clean table, partitioned by ``year_range``.
 
@@ -69,19 +106,13 @@ def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str
     range it holds and Parquet row groups are clustered by latitude and
     longitude, which lets the region filter skip row groups.
     """
-    labelled = with_year_range(clean, ranges)
-    (
-        labelled.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
-        .write.mode(mode)
-        .partitionBy("year_range")
-        .parquet(path)
-    )
+    _write_partitioned(with_year_range(clean, ranges), path, mode)
 
 
 def read_year_ranges(spark: SparkSession, path: str, start_year: int | None = None,
                      end_year: int | None = None) -> DataFrame:
     """Read the export; with a year span only the touched partitions are listed."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(path).filter(F.col("year_range") != OUTSIDE_LABEL)
     if start_year is not None and end_year is not None:
-        df = df.filter(F.col("year_range").isin(year_range_labels(start_year, end_year)))
+        df = df.filter(F.col("year_range").isin(year_range_labels(start_year, end_year, with_outside=False)))
     return df
