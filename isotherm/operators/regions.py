@@ -100,30 +100,33 @@ def station_country(stations: DataFrame, regions: DataFrame,
     """Add ``country`` from a regions table ``(country, lat_min, lat_max, lon_min, lon_max)``.
 
     Boxes are half-open (``min <= x < max``). Several hits: the smallest box
-    wins, then the smaller name. No hit: null, the station is kept. The range
-    join is an equi-join on grid cells plus the exact predicate.
+    wins, then the smaller name. No hit: null, the station is kept.
+
+    Plan: the (small, size-checked) regions table is turned into one row per
+    10-degree grid cell holding the boxes that touch the cell, sorted by
+    (area, name). Each station does one equi-join on its cell (broadcast
+    hash join, left outer) and takes the first box of its cell that contains
+    it. Stations are never shuffled or aggregated; duplicates are kept.
     """
     station_cols = stations.columns
-    keyed = stations.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_cell", grid_cell("latitude", "longitude")
-    )
     boxes = regions.select(
-        "country", "lat_min", "lat_max", "lon_min", "lon_max",
-        ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("_area"),
+        F.struct(
+            ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
+            F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max",
+        ).alias("_box"),
         F.explode(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max")).alias("_cell"),
     )
-    box_side, _ = maybe_broadcast(boxes, max_broadcast_rows)
-    cond = (
-        (keyed["_cell"] == box_side["_cell"])
-        & (keyed["latitude"] >= box_side["lat_min"]) & (keyed["latitude"] < box_side["lat_max"])
-        & (keyed["longitude"] >= box_side["lon_min"]) & (keyed["longitude"] < box_side["lon_max"])
-    )
-    joined = keyed.join(box_side, cond, "left")
-    best = joined.groupBy("_row").agg(
-        *[F.any_value(keyed[c]).alias(c) for c in station_cols],
-        F.min(F.when(box_side["country"].isNotNull(), F.struct(box_side["_area"], box_side["country"]))).alias("_best"),
+    # Bounded: one row per cell, each holding at most the number of regions.
+    by_cell = boxes.groupBy("_cell").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
+    side, _ = maybe_broadcast(by_cell, max_broadcast_rows)
+    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude"))
+    joined = keyed.join(side, "_cell", "left")
+    lat, lon = F.col("latitude"), F.col("longitude")
+    hits = F.filter(
+        "_boxes",
+        lambda b: (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"]),
     )
-    return best.select(*station_cols, F.col("_best.country").alias("country"))
+    return joined.select(*station_cols, F.get(hits, 0)["country"].alias("country"))
 
 
 def country_filter(with_country: DataFrame, exclude: str) -> DataFrame:

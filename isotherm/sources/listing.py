@@ -23,8 +23,13 @@ def present_station_ids(spark: SparkSession, directory: str, suffix: str = ".csv
 
 
 def missing_stations(stations: DataFrame, present_ids: DataFrame, id_column: str = "station_id") -> DataFrame:
-    """Stations whose id has no file (left anti join on the id)."""
-    present = present_ids.select(F.col(id_column).alias(id_column))
+    """Stations whose id has no file (left anti join on the id).
+
+    The present ids are de-duplicated first (partial, map-side distinct), so
+    the join side is bounded by the number of stations even when the ids
+    come from readings rather than from a file listing.
+    """
+    present = present_ids.select(F.col(id_column).alias(id_column)).distinct()
     return stations.join(present, id_column, "left_anti")
 
 
