@@ -9,6 +9,7 @@ over the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,10 +210,14 @@ def q_readings_ingest(spark, sf):
         "b": READING_COLUMNS + [F.lit(12.5).alias("ELEVATION")],
         "c": list(reversed(READING_COLUMNS)),
     }
-    for name, cols in layouts.items():
-        rd.filter(F.col("_part") == name).select(*cols).write.mode("overwrite").option("header", True).csv(
-            f"{base}/{name}"
-        )
+
+    def write(name: str) -> None:
+        part = rd.filter(F.col("_part") == name).select(*layouts[name])
+        part.write.mode("overwrite").option("header", True).csv(f"{base}/{name}")
+
+    # The three independent writes run as concurrent Spark jobs.
+    with ThreadPoolExecutor(max_workers=len(layouts)) as pool:
+        list(pool.map(write, layouts))
     return readings.read_readings(spark, f"{base}/*/*.csv")
 
 

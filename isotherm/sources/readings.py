@@ -32,6 +32,16 @@ from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS
 from isotherm.schemas import HEADER_MARKER, READINGS_SCHEMA
 
 
+# A field that starts like a number (optionally quoted). Every data line has
+# one (its yyyy-MM date); a header line has none.
+_NUMERIC_FIELD = r'(^|,)\s*"?\s*[-+]?[0-9.]'
+
+
+def header_candidate(line: Column) -> Column:
+    """Cheap test on the raw line: no field starts like a number."""
+    return ~line.rlike(_NUMERIC_FIELD)
+
+
 def header_predicate(fields: Column, names: list[str]) -> Column:
     """A header line names at least one known column and has no numeric-looking
     field (every data line carries a ``yyyy-MM`` date and numbers)."""
@@ -49,11 +59,20 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
     ``broadcast_headers`` must only be set when the number of files is
     known to be bounded (the per-file header table is broadcast).
     """
-    fields = lines.filter(F.trim(F.col("_line")) != "").select("_path", csv_fields("_line").alias("_f"))
     names = [f.name for f in schema.fields]
-    is_header = header_predicate(F.col("_f"), [header_marker, *names])
+    non_blank = lines.filter(F.trim(F.col("_line")) != "")
+    # Data lines are recognised on the raw text before splitting, so only
+    # candidate header lines are split on the header side, and the header
+    # test short-circuits for data lines on the data side.
+    fields = non_blank.select(
+        "_path", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f")
+    )
+    is_header = F.col("_cand") & header_predicate(F.col("_f"), [header_marker, *names])
 
-    positions = fields.filter(is_header).select(
+    cand_fields = non_blank.filter(header_candidate(F.col("_line"))).select(
+        "_path", F.lit(True).alias("_cand"), csv_fields("_line").alias("_f")
+    )
+    positions = cand_fields.filter(is_header).select(
         "_path",
         F.struct(
             F.size("_f").alias("_width"),
