@@ -2,9 +2,9 @@
 
 ``round(avg(x), 2)`` over doubles depends on summation order and can land on
 either side of a rounding tie. The readings are rounded to two places before
-any aggregate, so they are exact multiples of 0.01: summing them as decimals
-and rounding the decimal quotient half away from zero gives the true rounded
-mean, independent of partitioning. The sum and the count are also additive,
+any aggregate, so they are exact multiples of 0.01: summing them as integer
+hundredths and rounding the exact decimal quotient half away from zero gives
+the true rounded mean, independent of partitioning. The sum and the count are also additive,
 so partial results can be combined (pre-aggregation) without losing exactness.
 """
 
@@ -19,13 +19,22 @@ def _col(c: str | Column) -> Column:
 
 
 def hundredths(c: str | Column) -> Column:
-    """The value as decimal(18,2) — exact for a value rounded to 2 places."""
-    return _col(c).cast("decimal(18,2)")
+    """The value in integer hundredths (long) — exact for a value rounded to 2 places.
+
+    ``x * 100`` of such a double lies within a rounding error of an integer,
+    so ``rint`` recovers it exactly. Summing longs keeps the per-row work in
+    fixed-width arithmetic inside generated code.
+    """
+    return F.rint(_col(c) * 100).cast("long")
 
 
 def mean_of_hundredths(total: str | Column, count: str | Column, scale: int = 2) -> Column:
-    """Round ``total / count`` half away from zero; null when count is 0 or null."""
-    return F.round(F.try_divide(_col(total), _col(count)), scale).cast("double")
+    """Mean from a total in hundredths and a count, rounded half away from zero.
+
+    One exact decimal division per group; null when the count is 0 or null.
+    """
+    q = F.try_divide(_col(total).cast("decimal(20,0)"), (_col(count) * 100).cast("decimal(20,0)"))
+    return F.round(q, scale).cast("double")
 
 
 def exact_mean(c: str | Column, scale: int = 2) -> Column:
