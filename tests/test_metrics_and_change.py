@@ -15,7 +15,7 @@ def sample(spark):
         # station B: weighs the same as A in the global mean
         ("B", "2000-01", 0.0, 0.0, 30.0, None, 2000, 1, "Winter"),
         ("B", "2002-01", 0.0, 0.0, 26.0, None, 2002, 1, "Winter"),
-        ("B", "2002-04", 0.0, 0.0, 0.005, None, 2002, 4, "Spring"),
+        ("B", "2002-04", 0.0, 0.0, 0.01, None, 2002, 4, "Spring"),
     ]
     return spark.createDataFrame(rows, CLEAN)
 
@@ -42,7 +42,8 @@ def test_global_means_station_weighted(spark):
     g = [tuple(r) for r in metrics.global_year_means(sy).collect()]
     # 2000: (15 + 30) / 2 = 22.5 -> 23 (half away from zero); precip mean skips B's null
     assert g[0] == (2000, 23.0, 1.0)
-    assert g[1][0] == 2002 and g[1][1] == round((22.0 + (26.0 + 0.005) / 2) / 2)
+    # 2002: A = 22, B = (26 + 0.01) / 2 = 13.005; (22 + 13.005) / 2 = 17.5025 -> 18
+    assert g[1][0] == 2002 and g[1][1] == 18.0
 
 
 def test_year_change_uses_previous_present_year(spark):
