@@ -6,8 +6,9 @@ from isotherm.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
 
-# readings_ingest writes files when called; its plan is checked in test_sources.
-PLAN_KEYS = sorted(k for k in QUERIES if k != "readings_ingest")
+# These write files when called; their plans are checked elsewhere.
+WRITING_KEYS = {"readings_ingest", "region_summary_store"}
+PLAN_KEYS = sorted(k for k in QUERIES if k not in WRITING_KEYS)
 
 
 def plan_of(df):
@@ -46,3 +47,10 @@ def test_region_summary_many_broadcasts_requests(spark):
 def test_aggregates_are_partial_before_shuffle(spark):
     plan = plan_of(QUERIES["station_datapoints"](spark, SF_SMALL))
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_store_region_summary_pushes_filters_and_prunes(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = plan_of(QUERIES["region_summary_store"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(year_range" in plan and "1996_2005" in plan
+    assert "GreaterThanOrEqual(LATITUDE,-48.0)" in plan and "LessThanOrEqual(YEAR,1999)" in plan
