@@ -69,3 +69,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Settings for a large cluster run (set at submit time). Each is a public
+# Spark setting; the reasons are in the README ("Cluster settings").
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "4m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+def cluster_session(app_name: str = "isotherm", extra: dict[str, str] | None = None) -> SparkSession:
+    """A session for a cluster: the submit-time master, the settings above
+    (submit-time values win), and the cluster's shared checkpoint folder."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**CLUSTER_CONF, **(extra or {})}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark

@@ -88,3 +88,11 @@ def test_consistency_filter_net_rule(spark):
 def test_clean_count_single_row(spark):
     df = frame(spark, [("A", "2000-01", 0.0, 0.0, 1.0, None)] * 3)
     assert clean.clean_count(df).collect()[0].n == 3
+
+
+def test_preview_limits_rows(spark):
+    from isotherm.operators.display import preview
+
+    df = spark.range(250)
+    assert preview(df).count() == 100
+    assert preview(df, 7).count() == 7
