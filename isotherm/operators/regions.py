@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isotherm.functions.geo import grid_cell, grid_cells_of_box, in_rectangle
 from isotherm.functions.means import exact_mean, hundredths, mean_of_hundredths
-from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS, has_at_most, maybe_broadcast
 from isotherm.sources.store import year_range_labels
 
 
@@ -100,13 +100,15 @@ def station_country(stations: DataFrame, regions: DataFrame,
     """Add ``country`` from a regions table ``(country, lat_min, lat_max, lon_min, lon_max)``.
 
     Boxes are half-open (``min <= x < max``). Several hits: the smallest box
-    wins, then the smaller name. No hit: null, the station is kept.
-
-    Plan: the (small, size-checked) regions table is turned into one row per
-    10-degree grid cell holding the boxes that touch the cell, sorted by
-    (area, name). Each station does one equi-join on its cell (broadcast
-    hash join, left outer) and takes the first box of its cell that contains
-    it. Stations are never shuffled or aggregated; duplicates are kept.
+    wins, then the smaller name. No hit: null, the station is kept;
+    duplicate station rows are kept.
+
+    Plan when the boxes expanded to 10-degree grid cells are proven small:
+    one row per cell holding the boxes that touch it, sorted by (area, name),
+    is broadcast; each station does one hash join on its cell and takes the
+    first box of its cell that contains it. Stations are never shuffled.
+    Beyond the limit: a shuffle equi-join of stations with the expanded
+    boxes on the cell, the exact predicate, and the best box per station.
     """
     station_cols = stations.columns
     boxes = regions.select(
@@ -116,17 +118,26 @@ def station_country(stations: DataFrame, regions: DataFrame,
         ).alias("_box"),
         F.explode(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max")).alias("_cell"),
     )
-    # Bounded: one row per cell, each holding at most the number of regions.
-    by_cell = boxes.groupBy("_cell").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
-    side, _ = maybe_broadcast(by_cell, max_broadcast_rows)
-    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude"))
-    joined = keyed.join(side, "_cell", "left")
     lat, lon = F.col("latitude"), F.col("longitude")
-    hits = F.filter(
-        "_boxes",
-        lambda b: (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"]),
+
+    def contains(b):
+        return (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"])
+
+    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude"))
+    if has_at_most(boxes, max_broadcast_rows):
+        # Every per-cell list together holds at most the checked number of (box, cell) rows.
+        by_cell = boxes.groupBy("_cell").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
+        joined = keyed.join(F.broadcast(by_cell), "_cell", "left")
+        hits = F.filter("_boxes", contains)
+        return joined.select(*station_cols, F.get(hits, 0)["country"].alias("country"))
+
+    rowed = keyed.withColumn("_row", F.monotonically_increasing_id())
+    joined = rowed.join(boxes, (rowed["_cell"] == boxes["_cell"]) & contains(boxes["_box"]), "left")
+    best = joined.groupBy("_row").agg(
+        *[F.any_value(rowed[c]).alias(c) for c in station_cols],
+        F.min("_box").alias("_best"),
     )
-    return joined.select(*station_cols, F.get(hits, 0)["country"].alias("country"))
+    return best.select(*station_cols, F.col("_best.country").alias("country"))
 
 
 def country_filter(with_country: DataFrame, exclude: str) -> DataFrame:

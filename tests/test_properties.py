@@ -119,5 +119,8 @@ def test_station_country_matches_brute_force(spark, points, boxes):
     box_df = spark.createDataFrame(boxes, "country string, lat_min double, lat_max double, "
                                           "lon_min double, lon_max double")
     got = {r.station_id: r.country for r in regions.station_country(st_df, box_df).collect()}
+    shuffled = {r.station_id: r.country
+                for r in regions.station_country(st_df, box_df, max_broadcast_rows=1).collect()}
     for i, (la, lo) in enumerate(points):
         assert got[f"S{i}"] == brute_country(la, lo, boxes), (la, lo)
+        assert shuffled[f"S{i}"] == got[f"S{i}"], (la, lo)

@@ -79,6 +79,9 @@ def test_station_country_overlaps_and_no_hit(spark):
     assert out == [("A", "TIE_A"), ("A", "TIE_A"), ("B", "BIG"), ("C", None), ("D", "BIG")]
     kept = regions.country_filter(regions.station_country(st, boxes), "BIG").collect()
     assert sorted(r.station_id for r in kept) == ["A", "A"]
+    # the shuffle path (regions too large to broadcast) gives the same answer
+    big = sorted((r.station_id, r.country) for r in regions.station_country(st, boxes, max_broadcast_rows=1).collect())
+    assert big == out
 
 
 def test_region_filter_uses_partition_pruning(spark, tmp_path):
