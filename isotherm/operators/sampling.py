@@ -38,25 +38,36 @@ def with_row_index(df: DataFrame, name: str = "row_index", order_by: list[str] |
     )
 
 
+# Index block size of the range join in ``block_sample``.
+INDEX_BLOCK = 4096
+
+
 def block_sample(df: DataFrame, ranges: DataFrame, order_by: list[str] | None = None,
                  index_name: str = "row_index",
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows whose 0-based index lies in any half-open ``[start, end)`` of ``ranges``.
 
     Overlapping ranges repeat rows, like extending a list with slices. The
-    ranges table is broadcast when proven small (a range join on a few
-    rows); beyond that each range is expanded to its indices and equi-joined.
+    range join is an equi-join on index blocks of ``INDEX_BLOCK`` rows: each
+    range is expanded to the blocks it touches (about length / block + 1
+    rows), joined on the block (broadcast when the expansion is proven
+    small, shuffle otherwise) and then tested exactly.
     """
-    indexed = with_row_index(df, index_name, order_by)
+    indexed = with_row_index(df, index_name, order_by).withColumn(
+        "_block", F.floor(F.col(index_name) / INDEX_BLOCK).cast("long")
+    )
     r = ranges.select(F.col("start").cast("long").alias("_start"), F.col("end").cast("long").alias("_end"))
-    side, small = maybe_broadcast(r, max_broadcast_rows)
-    if small:
-        cond = (indexed[index_name] >= side["_start"]) & (indexed[index_name] < side["_end"])
-        return indexed.join(side, cond, "inner").drop("_start", "_end")
-    idx = r.filter(F.col("_end") > F.col("_start")).select(
-        F.explode(F.sequence("_start", F.col("_end") - 1)).alias(index_name)
+    blocks = r.filter(F.col("_end") > F.col("_start")).select(
+        "_start", "_end",
+        F.explode(F.sequence(F.floor(F.col("_start") / INDEX_BLOCK).cast("long"),
+                             F.floor((F.col("_end") - 1) / INDEX_BLOCK).cast("long"))).alias("_block"),
+    )
+    side, _ = maybe_broadcast(blocks, max_broadcast_rows)
+    cond = (
+        (indexed["_block"] == side["_block"])
+        & (indexed[index_name] >= side["_start"]) & (indexed[index_name] < side["_end"])
     )
-    return indexed.join(idx, index_name, "inner")
+    return indexed.join(side, cond, "inner").drop("_start", "_end", "_block")
 
 
 def random_ranges(spark: SparkSession, num_ranges: int, lower: int, upper: int,

@@ -54,3 +54,10 @@ def test_store_region_summary_pushes_filters_and_prunes(spark):
     plan = plan_of(QUERIES["region_summary_store"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(year_range" in plan and "1996_2005" in plan
     assert "GreaterThanOrEqual(LATITUDE,-48.0)" in plan and "LessThanOrEqual(YEAR,1999)" in plan
+
+
+@pytest.mark.parametrize("name", PLAN_KEYS)
+def test_no_nested_loop_or_cartesian_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    assert "NestedLoopJoin" not in plan, name
+    assert "CartesianProduct" not in plan, name
