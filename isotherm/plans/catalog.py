@@ -227,7 +227,7 @@ def q_readings_ingest(spark, sf):
     # The three independent writes run as concurrent Spark jobs.
     with ThreadPoolExecutor(max_workers=len(layouts)) as pool:
         list(pool.map(write, layouts))
-    return readings.read_readings(spark, f"{base}/*/*.csv")
+    return readings.read_readings(spark, base, file_pattern="*.csv", recursive=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

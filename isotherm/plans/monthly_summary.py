@@ -39,7 +39,7 @@ def run_monthly_summary(spark: SparkSession, station_list: str, readings_dir: st
     out = SummaryOutputs(output)
     station_df = stations.read_stations(spark, station_list)
 
-    raw = readings.read_readings(spark, f"{readings_dir.rstrip('/')}/*.csv")
+    raw = readings.read_readings(spark, readings_dir, file_pattern="*.csv")
     store.write_clean_store(clean.clean_readings(raw), out.path("clean"))
     out.written["clean"] = out.path("clean")
     cleaned = store.read_clean_store(spark, out.path("clean")).drop("year_range")

@@ -2,23 +2,31 @@
 
 Spark's CSV reader with ``header=true`` takes column names from one file and
 applies them by position to every file, which misplaces columns when files
-differ. This reader aligns each file by its own header, in one distributed
-plan without Python workers:
-
-1. ``read.text`` over all files, with ``_metadata.file_path`` per line.
-2. Each line is split into unquoted CSV fields by a linear regex.
-3. Header lines (they name a known column and hold no number) give, per file, the 1-based
-   position of every target column (0 when the file lacks it): a table of one
-   small row per file.
-4. Data lines are joined to that table on the path and each target column is
-   picked by position (``get``: null when absent or when a ragged line is
-   short), then cast with ``try_cast`` (bad numbers become null).
-
-The per-file table is broadcast when the number of listed files (known to
-the driver from the file index, no scan) is under the limit; otherwise the
-join is a shuffle join on the path with AQE skew splitting. Files are read
-whole by one task only when they are smaller than ``maxPartitionBytes``;
-larger files are split across tasks and still aligned by the path join.
+differ. This reader aligns each file by its own header, without Python
+workers, in one of two modes:
+
+* **Whole files** (default; one station file is small). Each file is read
+  as one row (``wholetext``), split into lines, and the column positions
+  are taken from its first header line once per file. The data lines are
+  then exploded and each target column is picked by position. This is one
+  pass over the data with no join, no broadcast and no shuffle, and each
+  file is opened once. A task holds one file at a time, so a single file
+  must fit in a task's memory (a row is limited to 2 GB).
+* **Lines** (for files too large to be one row). ``read.text`` gives one
+  row per line with ``_metadata.file_path``. Header lines give a small
+  per-file table of column positions, joined back on the path: broadcast
+  when the number of listed files (known from the file index, no scan) is
+  under the limit, otherwise a shuffle join with AQE skew splitting. Large
+  files split across tasks are still aligned, at the cost of a second
+  pass over the candidate header lines.
+
+In both modes lines are split into unquoted CSV fields by a linear regex.
+Header lines are recognised as lines that name a known column and hold no
+numeric-looking field. Data lines carry a ``yyyy-MM`` date, so they are
+rejected by a cheap test on the raw text before any split. Picking uses
+``get``, which is null when a column is absent or a ragged line is short.
+Values are cast with ``try_cast``, so bad numbers become null. Quoted line
+breaks are not supported.
 """
 
 from __future__ import annotations
@@ -32,6 +40,24 @@ from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS
 from isotherm.schemas import HEADER_MARKER, READINGS_SCHEMA
 
 
+# The header is looked for among this many first non-blank lines of a file.
+HEADER_SEARCH_LINES = 5
+_SIZE_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(digits) * _SIZE_UNITS.get(t[len(digits):], 1)
+
+
+def whole_file_limit(spark: SparkSession) -> int:
+    """Files up to Spark's estimated cost of opening a file
+    (``spark.sql.files.openCostInBytes``, 4 MB by default) are dominated by
+    opening, so reading each once as a whole row pays off; larger files are
+    better split across tasks line by line."""
+    return _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4194304"))
+
 # A field that starts like a number (optionally quoted). Every data line has
 # one (its yyyy-MM date); a header line has none.
 _NUMERIC_FIELD = r'(^|,)\s*"?\s*[-+]?[0-9.]'
@@ -50,6 +76,61 @@ def header_predicate(fields: Column, names: list[str]) -> Column:
     return known & ~numeric
 
 
+def _pick(schema: StructType, keep_path: bool, flag_ragged: bool) -> list[Column]:
+    """Target columns from fields ``_f`` and per-file positions ``_pos<i>`` / ``_width``."""
+    cols = []
+    for i, f in enumerate(schema.fields):
+        value = F.nullif(F.get(F.col("_f"), F.col(f"_pos{i}") - 1), F.lit(""))
+        if isinstance(f.dataType, StringType):
+            cols.append(value.alias(f.name))
+        else:
+            cols.append(F.trim(value).try_cast(f.dataType).alias(f.name))
+    if keep_path:
+        cols.append(F.col("_path").alias("source_file"))
+    if flag_ragged:
+        cols.append((F.size("_f") != F.col("_width")).alias("ragged"))
+    return cols
+
+
+def _positions(fields: Column, names: list[str]) -> list[Column]:
+    return [F.size(fields).alias("_width")] + [
+        F.array_position(fields, F.lit(c)).cast("int").alias(f"_pos{i}") for i, c in enumerate(names)
+    ]
+
+
+def align_files(files: DataFrame, schema: StructType = READINGS_SCHEMA,
+                header_marker: str = HEADER_MARKER, keep_path: bool = False,
+                flag_ragged: bool = False) -> DataFrame:
+    """Align whole CSV files ``(_path, _content)``, one row per file, by their own header.
+
+    Works on a batch frame and on a streaming micro-batch alike.
+    """
+    names = [f.name for f in schema.fields]
+    known = [header_marker, *names]
+    # Splitting on runs of line breaks drops empty lines without a per-element
+    # lambda (array lambdas are not code-generated); lines holding only
+    # blanks are dropped per row after the explode.
+    lines = F.split(F.regexp_replace(F.col("_content"), r"^[\r\n]+", ""), r"[\r\n]+", -1)
+    per_file = files.select("_path", lines.alias("_lines"))
+    # The first header-like line among the first lines of the file
+    # (raw-text test, then one split); data lines are not searched.
+    head = F.filter(F.slice("_lines", 1, HEADER_SEARCH_LINES), lambda x: F.trim(x) != "")
+    header = csv_fields(F.get(F.filter(head, header_candidate), 0))
+    with_header = per_file.select("_path", "_lines", header.alias("_hdr"))
+    # The header test goes into the generator input rather than a filter: a
+    # filter would be pushed below the projection with the file's split
+    # inlined, repeating the split of the whole content per reference.
+    exploded = with_header.select(
+        "_path", *_positions(F.col("_hdr"), names),
+        F.explode(F.when(header_predicate(F.col("_hdr"), known), F.col("_lines"))).alias("_line"),
+    )
+    # Every line but blank lines and headers (a file may repeat its header line).
+    fields = exploded.filter(F.trim(F.col("_line")) != "").select(
+        "*", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f"))
+    data = fields.filter(~(F.col("_cand") & header_predicate(F.col("_f"), known)))
+    return data.select(*_pick(schema, keep_path, flag_ragged))
+
+
 def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
                 header_marker: str = HEADER_MARKER, keep_path: bool = False,
                 flag_ragged: bool = False, broadcast_headers: bool = True) -> DataFrame:
@@ -60,6 +141,7 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
     known to be bounded (the per-file header table is broadcast).
     """
     names = [f.name for f in schema.fields]
+    known = [header_marker, *names]
     non_blank = lines.filter(F.trim(F.col("_line")) != "")
     # Data lines are recognised on the raw text before splitting, so only
     # candidate header lines are split on the header side, and the header
@@ -67,37 +149,20 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
     fields = non_blank.select(
         "_path", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f")
     )
-    is_header = F.col("_cand") & header_predicate(F.col("_f"), [header_marker, *names])
+    is_header = F.col("_cand") & header_predicate(F.col("_f"), known)
 
     cand_fields = non_blank.filter(header_candidate(F.col("_line"))).select(
         "_path", F.lit(True).alias("_cand"), csv_fields("_line").alias("_f")
     )
     positions = cand_fields.filter(is_header).select(
-        "_path",
-        F.struct(
-            F.size("_f").alias("_width"),
-            *[F.array_position("_f", F.lit(c)).cast("int").alias(f"_pos{i}") for i, c in enumerate(names)],
-        ).alias("_h"),
+        "_path", F.struct(*_positions(F.col("_f"), names)).alias("_h")
     )
     # One header per file even if a file repeats its header line (small: one row per file).
     headers = positions.groupBy("_path").agg(F.min("_h").alias("_h")).select("_path", "_h.*")
     if broadcast_headers:
         headers = F.broadcast(headers)
     data = fields.filter(~is_header)
-    joined = data.join(headers, "_path", "inner")
-
-    cols = []
-    for i, f in enumerate(schema.fields):
-        value = F.nullif(F.get(F.col("_f"), F.col(f"_pos{i}") - 1), F.lit(""))
-        if isinstance(f.dataType, StringType):
-            cols.append(value.alias(f.name))
-        else:
-            cols.append(F.trim(value).try_cast(f.dataType).alias(f.name))
-    if keep_path:
-        cols.append(F.col("_path").alias("source_file"))
-    if flag_ragged:
-        cols.append((F.size("_f") != F.col("_width")).alias("ragged"))
-    return joined.select(*cols)
+    return data.join(headers, "_path", "inner").select(*_pick(schema, keep_path, flag_ragged))
 
 
 def text_lines(text: DataFrame) -> DataFrame:
@@ -105,18 +170,65 @@ def text_lines(text: DataFrame) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_line"))
 
 
+def text_files(text: DataFrame) -> DataFrame:
+    """``(_path, _content)`` from a ``wholetext`` text-source frame (batch or streaming)."""
+    return text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_content"))
+
+
+def _text(spark: SparkSession, paths, file_pattern: str | None, recursive: bool, wholetext: bool) -> DataFrame:
+    reader = spark.read
+    if file_pattern:
+        reader = reader.option("pathGlobFilter", file_pattern)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    # ``text`` sets ``wholetext`` itself (its argument overrides an option).
+    return reader.text(paths, wholetext=wholetext)
+
+
 def read_readings(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
                   header_marker: str = HEADER_MARKER, keep_path: bool = False,
-                  flag_ragged: bool = False,
+                  flag_ragged: bool = False, whole_files: bool | None = None,
+                  file_pattern: str | None = None, recursive: bool = False,
                   max_broadcast_files: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Read CSV files (path, list or glob) aligned by name to ``schema``.
+    """Read CSV files aligned by name to ``schema``.
+
+    ``paths`` is a directory (with ``file_pattern`` such as ``"*.csv"`` and,
+    for nested folders, ``recursive=True``), a path, a list or a glob. For
+    many files prefer the directory with a pattern: the directory is listed
+    once, whereas a glob or a list of paths is expanded and checked path by
+    path on the driver (measured: 0.3 s against 40 s for 5,000 local files).
 
     Absent target columns are null; other columns are ignored; empty fields
     are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
     ``ragged`` (the line's field count differs from its header's).
+
+    ``whole_files=None`` (default) decides per file in one plan: files up to
+    ``whole_file_limit`` go through the whole-file mode, larger ones through
+    the line mode, and the two are unioned. The split is a filter on
+    ``_metadata.file_size``, which the file index applies while listing,
+    so each branch opens only its own files (no extra listing job).
+    ``True`` / ``False`` force one mode for all files.
     """
-    text = spark.read.text(paths)
-    # The file index has already listed the files on the driver: no scan.
-    n_files = len(text.inputFiles())
-    return align_lines(text_lines(text), schema, header_marker, keep_path, flag_ragged,
-                       broadcast_headers=n_files <= max_broadcast_files)
+    def whole(size_filter):
+        text = _text(spark, paths, file_pattern, recursive, wholetext=True)
+        if size_filter is not None:
+            text = text.filter(size_filter)
+        return align_files(text_files(text), schema, header_marker, keep_path, flag_ragged)
+
+    def lines(size_filter):
+        text = _text(spark, paths, file_pattern, recursive, wholetext=False)
+        # The file index has already listed the files on the driver: no scan.
+        # The count of all files bounds the count of the files in this branch.
+        n_files = len(text.inputFiles())
+        if size_filter is not None:
+            text = text.filter(size_filter)
+        return align_lines(text_lines(text), schema, header_marker, keep_path, flag_ragged,
+                           broadcast_headers=n_files <= max_broadcast_files)
+
+    if whole_files is True:
+        return whole(None)
+    if whole_files is False:
+        return lines(None)
+    size = F.col("_metadata.file_size")
+    limit = whole_file_limit(spark)
+    return whole(size <= limit).unionByName(lines(size > limit))

@@ -3,8 +3,8 @@
 The original job walks its file list in fixed batches of 500 files, reading,
 aligning and appending each batch on the driver. Here the file source does
 the batching (``maxFilesPerTrigger``), remembers which files were processed
-in the checkpoint, and each micro-batch is aligned by header, cleaned and
-written to the clean store. The same query picks up new station files when
+in the checkpoint, and each micro-batch (whole files, one row each) is
+aligned by header, cleaned and written to the clean store. The same query picks up new station files when
 it is run again, and a failed batch is rerun from the checkpoint.
 
 Each micro-batch is written to its own ``batch=<id>`` directory in
@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isotherm.operators.clean import clean_readings
 from isotherm.schemas import FILES_PER_BATCH
-from isotherm.sources.readings import align_lines, text_lines
+from isotherm.sources.readings import align_files, text_files
 from isotherm.sources.store import write_clean_store
 
 
@@ -32,8 +32,11 @@ def start_incremental_ingest(spark: SparkSession, source_dir: str, store_path: s
     ``available_now`` processes every file present now in batches and stops;
     otherwise the query keeps running with ``processing_time`` triggers.
     """
-    lines = text_lines(
+    # One row per file: each micro-batch holds whole files, aligned by their
+    # own header in one pass (no join).
+    files = text_files(
         spark.readStream.format("text")
+        .option("wholetext", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", "*.csv")
         .load(source_dir)
@@ -41,11 +44,10 @@ def start_incremental_ingest(spark: SparkSession, source_dir: str, store_path: s
     base = store_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # At most ``files_per_batch`` files per batch: the header table is bounded.
-        aligned = align_lines(batch, broadcast_headers=True)
+        aligned = align_files(batch)
         write_clean_store(clean_readings(aligned), f"{base}/batch={batch_id}", mode="overwrite")
 
-    writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    writer = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

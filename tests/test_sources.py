@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from isotherm.sources import listing, readings, stations
@@ -59,9 +60,10 @@ def make_csv_dir(tmp_path):
     return d
 
 
-def test_header_aware_ingest(spark, tmp_path):
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_header_aware_ingest(spark, tmp_path, whole_files):
     d = make_csv_dir(tmp_path)
-    df = readings.read_readings(spark, str(d / "*.csv"), flag_ragged=True)
+    df = readings.read_readings(spark, str(d / "*.csv"), flag_ragged=True, whole_files=whole_files)
     assert df.columns == ["STATION", "DATE", "LATITUDE", "LONGITUDE", "TAVG", "PRCP", "ragged"]
     rows = sorted((tuple(r) for r in df.collect()), key=lambda t: (t[0], t[1]))
     assert rows == [
@@ -74,11 +76,35 @@ def test_header_aware_ingest(spark, tmp_path):
     ]
 
 
-def test_ingest_plan_has_no_python(spark, tmp_path):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_plans(spark, tmp_path):
     d = make_csv_dir(tmp_path)
-    plan = readings.read_readings(spark, str(d / "*.csv"))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "ArrowEval" not in plan
-    assert "BroadcastHashJoin" in plan
+    whole = _plan(readings.read_readings(spark, str(d / "*.csv"), whole_files=True))
+    assert "Python" not in whole and "ArrowEval" not in whole
+    # one pass over the files: no join, no shuffle
+    assert "Join" not in whole and "Exchange" not in whole
+    lines = _plan(readings.read_readings(spark, str(d / "*.csv"), whole_files=False))
+    assert "Python" not in lines and "BroadcastHashJoin" in lines
+    # default: both branches in one plan, split by the file size the index knows
+    both = _plan(readings.read_readings(spark, str(d / "*.csv")))
+    assert "Union" in both and "file_size" in both
+
+
+def test_ingest_routes_files_by_size(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    _write(d, "small.csv", "STATION,DATE,TAVG\nS,2001-01,1.0\n")
+    _write(d, "large.csv", "DATE,TAVG,STATION\n" + "".join(f"2001-{m:02d},{m}.5,L\n" for m in range(1, 13)))
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")  # small.csv < 100 bytes < large.csv
+    try:
+        rows = sorted((r.STATION, r.DATE, r.TAVG) for r in readings.read_readings(spark, str(d / "*.csv")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert rows == [("L", f"2001-{m:02d}", m + 0.5) for m in range(1, 13)] + [("S", "2001-01", 1.0)]
 
 
 def test_missing_stations_from_listing(spark, tmp_path):
@@ -109,12 +135,23 @@ def test_csv_fields_edge_cases(spark):
     assert got == [["a", "", "b"], ["", "x"], ["a", "b", ""], ["q,1", 'he said "hi"', "z"], [""]]
 
 
-def test_ingest_whole_file_set_without_prcp(spark, tmp_path):
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_ingest_whole_file_set_without_prcp(spark, tmp_path, whole_files):
     d = tmp_path / "only"
     d.mkdir()
     _write(d, "x.csv", "DATE,STATION,TAVG\n2001-01,X,1.0\n")
-    df = readings.read_readings(spark, str(d / "*.csv"), keep_path=True)
+    df = readings.read_readings(spark, str(d / "*.csv"), keep_path=True, whole_files=whole_files)
     r = df.collect()[0]
     assert (r.STATION, r.DATE, r.TAVG, r.PRCP) == ("X", "2001-01", 1.0, None)
     assert r.source_file.endswith("x.csv")
     assert df.filter(F.col("PRCP").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_ingest_repeated_header_blank_lines_and_crlf(spark, tmp_path, whole_files):
+    d = tmp_path / "odd"
+    d.mkdir()
+    _write(d, "r.csv", "STATION,DATE,TAVG\r\nR,2001-01,1.5\r\n\r\nSTATION,DATE,TAVG\r\nR,2001-02,2.5\r\n")
+    _write(d, "n.csv", "no header here\n1,2,3\n")  # no header: its lines are not readings
+    df = readings.read_readings(spark, str(d / "*.csv"), whole_files=whole_files)
+    assert sorted((r.STATION, r.DATE, r.TAVG) for r in df.collect()) == [("R", "2001-01", 1.5), ("R", "2001-02", 2.5)]
