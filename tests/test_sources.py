@@ -155,3 +155,18 @@ def test_ingest_repeated_header_blank_lines_and_crlf(spark, tmp_path, whole_file
     _write(d, "n.csv", "no header here\n1,2,3\n")  # no header: its lines are not readings
     df = readings.read_readings(spark, str(d / "*.csv"), whole_files=whole_files)
     assert sorted((r.STATION, r.DATE, r.TAVG) for r in df.collect()) == [("R", "2001-01", 1.5), ("R", "2001-02", 2.5)]
+
+
+def test_ingest_line_mode_shuffle_join(spark, tmp_path):
+    # more files than the broadcast limit: the per-file header table is shuffle-joined
+    d = make_csv_dir(tmp_path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no size-based broadcast either
+    try:
+        df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=False, max_broadcast_files=0)
+        assert "SortMergeJoin" in _plan(df)
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    expected = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=True)
+    assert got == sorted(map(tuple, expected.collect()))
