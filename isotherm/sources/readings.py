@@ -58,6 +58,7 @@ def whole_file_limit(spark: SparkSession) -> int:
     better split across tasks line by line."""
     return _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4194304"))
 
+
 # A field that starts like a number (optionally quoted). Every data line has
 # one (its yyyy-MM date); a header line has none.
 _NUMERIC_FIELD = r'(^|,)\s*"?\s*[-+]?[0-9.]'
