@@ -19,35 +19,47 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isotherm.operators.clean import clean_readings
 from isotherm.schemas import FILES_PER_BATCH
-from isotherm.sources.readings import align_files, text_files
+from isotherm.sources.readings import align_files, align_lines, text_files, text_lines
 from isotherm.sources.store import write_clean_store
 
 
 def start_incremental_ingest(spark: SparkSession, source_dir: str, store_path: str,
                              checkpoint_location: str, files_per_batch: int = FILES_PER_BATCH,
-                             available_now: bool = True,
-                             processing_time: str | None = None) -> StreamingQuery:
+                             available_now: bool = True, processing_time: str | None = None,
+                             whole_files: bool = True, file_pattern: str = "*.csv") -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination`` to wait).
 
     ``available_now`` processes every file present now in batches and stops;
     otherwise the query keeps running with ``processing_time`` triggers.
+    ``whole_files=True`` (station files are small) reads each file as one
+    row and aligns it in one pass. ``False`` streams lines, for sources
+    with large files: the micro-batch is persisted so the per-file header
+    table (at most ``files_per_batch`` rows, broadcast) and the data lines
+    come from one read.
     """
-    # One row per file: each micro-batch holds whole files, aligned by their
-    # own header in one pass (no join).
-    files = text_files(
+    source = (
         spark.readStream.format("text")
-        .option("wholetext", True)
+        .option("wholetext", whole_files)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", file_pattern)
         .load(source_dir)
     )
+    rows = text_files(source) if whole_files else text_lines(source)
     base = store_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        aligned = align_files(batch)
-        write_clean_store(clean_readings(aligned), f"{base}/batch={batch_id}", mode="overwrite")
+        if whole_files:
+            aligned = align_files(batch)
+        else:
+            batch = batch.persist()
+            aligned = align_lines(batch, broadcast_headers=True)
+        try:
+            write_clean_store(clean_readings(aligned), f"{base}/batch={batch_id}", mode="overwrite")
+        finally:
+            if not whole_files:
+                batch.unpersist()
 
-    writer = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

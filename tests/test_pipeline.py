@@ -1,5 +1,7 @@
 """End-to-end batch job and incremental streaming ingest on fixture files."""
 
+import pytest
+
 from isotherm.operators import clean, metrics
 from isotherm.plans.monthly_summary import run_monthly_summary
 from isotherm.sources import readings, store
@@ -42,11 +44,12 @@ def test_run_monthly_summary(spark, tmp_path):
     assert spark.read.parquet(out.path("temp_change_matrix")).columns == ["YEAR", "t13", "t20"]
 
 
-def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path):
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path, whole_files):
     raw_dir = make_csv_dir(tmp_path)
     store_path = str(tmp_path / "store")
     ckpt = str(tmp_path / "ckpt")
-    q = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1)
+    q = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1, whole_files=whole_files)
     q.awaitTermination()
     got = spark.read.parquet(store_path)
     # one file per batch; files c and d hold no valid temperature, so their batches are empty
@@ -57,6 +60,6 @@ def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path):
     expected = clean.clean_readings(readings.read_readings(spark, str(raw_dir / "*.csv"))).select(*cols)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, expected.collect()))
     # Running again with the same checkpoint processes nothing new.
-    q2 = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1)
+    q2 = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1, whole_files=whole_files)
     q2.awaitTermination()
     assert spark.read.parquet(store_path).count() == expected.count()
