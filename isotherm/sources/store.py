@@ -73,16 +73,28 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_partitioned(labelled: DataFrame, path: str, mode: str) -> None:
+def _write_partitioned(labelled: DataFrame, path: str, mode: str, rebalance: bool = True) -> None:
+    """Write partitioned by ``year_range``.
+
+    ``rebalance`` (default) shuffles rows by range with Spark's REBALANCE
+    hint: AQE then coalesces small partitions and splits skewed ones (a
+    range may hold a third of all rows) to the advisory size, so each task
+    writes files of one range at about that size instead of every input
+    task writing a small file per range it holds. Within each task rows
+    are sorted by location, so Parquet row-group statistics let the region
+    filter skip data.
+    """
+    df = labelled.hint("rebalance", "year_range") if rebalance else labelled
     (
-        labelled.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
+        df.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
         .write.mode(mode)
         .partitionBy("year_range")
         .parquet(path)
     )
 
 
-def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite") -> None:
+def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
+                      rebalance: bool = True) -> None:
     """Write the whole clean table once, partitioned by ``year_range``.
 
     Rows outside every range are kept under ``year_range=outside``, so the
@@ -90,23 +102,20 @@ def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str
     year-range export. Reading it back cuts the lineage of every result.
     """
     label = F.coalesce(year_range_of("YEAR", ranges), F.lit(OUTSIDE_LABEL))
-    _write_partitioned(clean.withColumn("year_range", label), path, mode)
+    _write_partitioned(clean.withColumn("year_range", label), path, mode, rebalance)
 
 
 def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite") -> None:
-    """One write of the whole clean table, partitioned by ``year_range``.
-
-    Replaces ten filtered scans with one scan. No repartition by range (a
-    range can hold most rows and would become one huge task); instead every
-    task sorts its own rows by range and location, so it writes one file per
-    range it holds and Parquet row groups are clustered by latitude and
-    longitude, which lets the region filter skip row groups.
+def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
+                      rebalance: bool = True) -> None:
+    """The year-range export: one write of the clean rows inside the ten
+    ranges, partitioned by ``year_range`` (one scan instead of ten filtered
+    scans). File sizing and skew handling as in ``_write_partitioned``.
     """
-    _write_partitioned(with_year_range(clean, ranges), path, mode)
+    _write_partitioned(with_year_range(clean, ranges), path, mode, rebalance)
 
 
 def read_year_ranges(spark: SparkSession, path: str, start_year: int | None = None,
