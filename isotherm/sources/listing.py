@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def present_station_ids(spark: SparkSession, directory: str, suffix: str = ".csv") -> DataFrame:
+def present_station_ids(spark: SparkSession, directory: str, suffix: str = ".csv",
+                        recursive: bool = False) -> DataFrame:
     """Station ids of the files present in ``directory`` (file stem).
 
     Uses the binary-file source with only ``path`` selected, so no file
     content is read: this is a distributed listing, not a scan.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(directory)
-        .select("path")
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    listing = reader.load(directory).select("path")
     stem = F.regexp_extract(F.col("path"), r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1)
     return listing.select(stem.alias("station_id"))
 
