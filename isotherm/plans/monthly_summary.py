@@ -63,3 +63,27 @@ def run_monthly_summary(spark: SparkSession, station_list: str, readings_dir: st
     if country_regions is not None:
         emit("station_country", regions.station_country(station_df, country_regions))
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line for ``spark-submit``: the whole job with paths as arguments."""
+    import argparse
+
+    from isotherm.session import cluster_session
+
+    p = argparse.ArgumentParser(description="Monthly weather-station summary on Spark")
+    p.add_argument("--stations", required=True, help="station list (text, one station per line)")
+    p.add_argument("--readings", required=True, help="directory of per-station CSV files")
+    p.add_argument("--output", required=True, help="output directory for the clean store and results")
+    p.add_argument("--regions", help="optional Parquet table (country, lat_min, lat_max, lon_min, lon_max)")
+    args = p.parse_args(argv)
+
+    spark = cluster_session("isotherm-monthly-summary")
+    regions_df = spark.read.parquet(args.regions) if args.regions else None
+    out = run_monthly_summary(spark, args.stations, args.readings, args.output, country_regions=regions_df)
+    for name, path in out.written.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()

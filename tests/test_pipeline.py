@@ -63,3 +63,23 @@ def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path, who
     q2 = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1, whole_files=whole_files)
     q2.awaitTermination()
     assert spark.read.parquet(store_path).count() == expected.count()
+
+
+def test_command_line_entry(spark, tmp_path):
+    from isotherm.plans.monthly_summary import main
+    from isotherm.session import CLUSTER_CONF
+
+    raw_dir = make_csv_dir(tmp_path)
+    out = tmp_path / "cli"
+    # The entry point applies the cluster settings to the (shared) session: restore them after.
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        main(["--stations", station_list(tmp_path), "--readings", str(raw_dir), "--output", str(out)])
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert spark.read.parquet(str(out / "seasonal_avg")).count() > 0
+    assert [r.station_id for r in spark.read.parquet(str(out / "missing_stations")).collect()] == ["e"]
