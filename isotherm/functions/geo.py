@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Grid cell size in degrees. 10 degrees gives at most 19 x 37 cells.
-CELL_DEGREES = 10
-LAT_CELLS = (-9, 9)
-LON_CELLS = (-18, 18)
+# Default grid cell size in degrees: 10 degrees gives at most 19 x 37 cells.
+# Smaller cells suit many small boxes (fewer candidate pairs per cell),
+# larger cells suit few large boxes (fewer cells per box).
+CELL_DEGREES = 10.0
+# Cell id = latitude cell * _LON_SPAN + longitude cell; longitude cells stay
+# within +-_LON_SPAN / 2 for any cell size of at least 0.01 degrees.
+_LON_SPAN = 100_000
 
 
 def _col(c: str | Column) -> Column:
@@ -21,25 +26,31 @@ def in_rectangle(lat, lon, lat1, lon1, lat2, lon2) -> Column:
     return (la >= lat1) & (la <= lat2) & (lo >= lon1) & (lo <= lon2)
 
 
-def _cell(v: Column, bounds: tuple[int, int]) -> Column:
-    # Clamp so that out-of-range values share the edge cell with the requests
+def _bounds(limit: float, size: float) -> tuple[int, int]:
+    return math.floor(-limit / size), math.floor(limit / size)
+
+
+def _cell(v: Column, size: float, bounds: tuple[int, int]) -> Column:
+    # Clamp so that out-of-range values share the edge cell with the boxes
     # that reach beyond the valid range; the exact predicate decides afterwards.
-    return F.least(F.greatest(F.floor(v / CELL_DEGREES), F.lit(bounds[0])), F.lit(bounds[1])).cast("int")
+    return F.least(F.greatest(F.floor(v / F.lit(size)), F.lit(bounds[0])), F.lit(bounds[1])).cast("long")
 
 
-def grid_cell(lat, lon) -> Column:
+def grid_cell(lat, lon, cell_degrees: float = CELL_DEGREES) -> Column:
     """Cell id of a point; null when a coordinate is null."""
     la, lo = _col(lat), _col(lon)
-    return _cell(la, LAT_CELLS) * 100 + _cell(lo, LON_CELLS)
+    return (_cell(la, cell_degrees, _bounds(90, cell_degrees)) * _LON_SPAN
+            + _cell(lo, cell_degrees, _bounds(180, cell_degrees)))
 
 
-def grid_cells_of_box(lat1, lon1, lat2, lon2) -> Column:
+def grid_cells_of_box(lat1, lon1, lat2, lon2, cell_degrees: float = CELL_DEGREES) -> Column:
     """Array of every cell a box touches (empty for swapped corners)."""
+    if cell_degrees < 0.01:
+        raise ValueError("cell_degrees must be at least 0.01")
     a1, b1, a2, b2 = _col(lat1), _col(lon1), _col(lat2), _col(lon2)
-    lat_lo, lat_hi = _cell(a1, LAT_CELLS), _cell(a2, LAT_CELLS)
-    lon_lo, lon_hi = _cell(b1, LON_CELLS), _cell(b2, LON_CELLS)
+    lat_b, lon_b = _bounds(90, cell_degrees), _bounds(180, cell_degrees)
+    lat_seq = F.sequence(_cell(a1, cell_degrees, lat_b), _cell(a2, cell_degrees, lat_b))
+    lon_seq = F.sequence(_cell(b1, cell_degrees, lon_b), _cell(b2, cell_degrees, lon_b))
     valid = (a1 <= a2) & (b1 <= b2)
-    lat_seq = F.sequence(lat_lo, lat_hi)
-    lon_seq = F.sequence(lon_lo, lon_hi)
-    cells = F.flatten(F.transform(lat_seq, lambda a: F.transform(lon_seq, lambda b: a * 100 + b)))
-    return F.when(valid, cells).otherwise(F.array().cast("array<int>"))
+    cells = F.flatten(F.transform(lat_seq, lambda a: F.transform(lon_seq, lambda b: a * _LON_SPAN + b)))
+    return F.when(valid, cells).otherwise(F.array().cast("array<long>"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.functions.geo import grid_cell, grid_cells_of_box, in_rectangle
+from isotherm.functions.geo import CELL_DEGREES, grid_cell, grid_cells_of_box, in_rectangle
 from isotherm.functions.means import exact_mean, hundredths, mean_of_hundredths
 from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS, has_at_most, maybe_broadcast
 from isotherm.sources.store import year_range_labels
@@ -58,19 +58,20 @@ def location_year_totals(clean: DataFrame) -> DataFrame:
 
 
 def region_summary_many(clean: DataFrame, requests: DataFrame,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        cell_degrees: float = CELL_DEGREES) -> DataFrame:
     """One row per request ``(region_id, lat1, lon1, lat2, lon2, start_year, end_year)``.
 
     Plan: readings are pre-aggregated per location-year; request boxes are
-    expanded to 10-degree grid cells so the range join becomes an equi-join
-    on the cell (broadcast when the expanded requests are proven small,
+    expanded to grid cells (``cell_degrees``, 10 by default) so the range
+    join becomes an equi-join on the cell (broadcast when the expanded requests are proven small,
     shuffle otherwise), followed by the exact inclusive predicate. Requests
     with no matching rows are kept (mean null, count 0).
     """
-    totals = location_year_totals(clean).withColumn("cell", grid_cell("LATITUDE", "LONGITUDE"))
+    totals = location_year_totals(clean).withColumn("cell", grid_cell("LATITUDE", "LONGITUDE", cell_degrees))
     req_cells = requests.select(
         "region_id", "lat1", "lon1", "lat2", "lon2", "start_year", "end_year",
-        F.explode(grid_cells_of_box("lat1", "lon1", "lat2", "lon2")).alias("cell"),
+        F.explode(grid_cells_of_box("lat1", "lon1", "lat2", "lon2", cell_degrees)).alias("cell"),
     )
     req_side, small = maybe_broadcast(req_cells, max_broadcast_rows)
     cond = (
@@ -96,14 +97,15 @@ def region_summary_many(clean: DataFrame, requests: DataFrame,
 
 
 def station_country(stations: DataFrame, regions: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    cell_degrees: float = CELL_DEGREES) -> DataFrame:
     """Add ``country`` from a regions table ``(country, lat_min, lat_max, lon_min, lon_max)``.
 
     Boxes are half-open (``min <= x < max``). Several hits: the smallest box
     wins, then the smaller name. No hit: null, the station is kept;
     duplicate station rows are kept.
 
-    Plan when the boxes expanded to 10-degree grid cells are proven small:
+    Plan when the boxes expanded to grid cells (``cell_degrees``) are proven small:
     one row per cell holding the boxes that touch it, sorted by (area, name),
     is broadcast; each station does one hash join on its cell and takes the
     first box of its cell that contains it. Stations are never shuffled.
@@ -116,14 +118,14 @@ def station_country(stations: DataFrame, regions: DataFrame,
             ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
             F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max",
         ).alias("_box"),
-        F.explode(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max")).alias("_cell"),
+        F.explode(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max", cell_degrees)).alias("_cell"),
     )
     lat, lon = F.col("latitude"), F.col("longitude")
 
     def contains(b):
         return (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"])
 
-    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude"))
+    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude", cell_degrees))
     if has_at_most(boxes, max_broadcast_rows):
         # Every per-cell list together holds at most the checked number of (box, cell) rows.
         by_cell = boxes.groupBy("_cell").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))

@@ -84,8 +84,9 @@ def brute_summary(rows, req):
 
 @SETTINGS
 @given(st.lists(st.tuples(coord_lat, coord_lon, year, temp), min_size=1, max_size=40),
-       st.lists(st.tuples(coord_lat, coord_lon, coord_lat, coord_lon, year, year), min_size=1, max_size=8))
-def test_region_summary_many_matches_brute_force(spark, rows, reqs):
+       st.lists(st.tuples(coord_lat, coord_lon, coord_lat, coord_lon, year, year), min_size=1, max_size=8),
+       st.sampled_from([1.0, 10.0, 30.0]))
+def test_region_summary_many_matches_brute_force(spark, rows, reqs, cell):
     clean = spark.createDataFrame(
         [(f"S{i}", la, lo, y, t) for i, (la, lo, y, t) in enumerate(rows)],
         "STATION string, LATITUDE double, LONGITUDE double, YEAR int, TAVG double",
@@ -94,7 +95,7 @@ def test_region_summary_many_matches_brute_force(spark, rows, reqs):
     req_df = literal_table(spark, requests, "region_id int, lat1 double, lon1 double, lat2 double, "
                                             "lon2 double, start_year int, end_year int")
     got = {r.region_id: (r.average_temperature, r.data_points)
-           for r in regions.region_summary_many(clean, req_df).collect()}
+           for r in regions.region_summary_many(clean, req_df, cell_degrees=cell).collect()}
     for req in requests:
         exp = brute_summary(rows, req)
         assert got[req[0]] == exp, (req, got[req[0]], exp)
@@ -112,15 +113,16 @@ def brute_country(lat, lon, boxes):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(coord_lat, coord_lon), min_size=1, max_size=30), st.lists(box, min_size=1, max_size=8))
-def test_station_country_matches_brute_force(spark, points, boxes):
+@given(st.lists(st.tuples(coord_lat, coord_lon), min_size=1, max_size=30), st.lists(box, min_size=1, max_size=8),
+       st.sampled_from([1.0, 10.0, 30.0]))
+def test_station_country_matches_brute_force(spark, points, boxes, cell):
     st_df = spark.createDataFrame([(f"S{i}", la, lo) for i, (la, lo) in enumerate(points)],
                                   "station_id string, latitude double, longitude double")
     box_df = spark.createDataFrame(boxes, "country string, lat_min double, lat_max double, "
                                           "lon_min double, lon_max double")
-    got = {r.station_id: r.country for r in regions.station_country(st_df, box_df).collect()}
+    got = {r.station_id: r.country for r in regions.station_country(st_df, box_df, cell_degrees=cell).collect()}
     shuffled = {r.station_id: r.country
-                for r in regions.station_country(st_df, box_df, max_broadcast_rows=1).collect()}
+                for r in regions.station_country(st_df, box_df, max_broadcast_rows=1, cell_degrees=cell).collect()}
     for i, (la, lo) in enumerate(points):
         assert got[f"S{i}"] == brute_country(la, lo, boxes), (la, lo)
         assert shuffled[f"S{i}"] == got[f"S{i}"], (la, lo)
