@@ -33,9 +33,9 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
 def literal_table(spark, rows: list[tuple], schema: str) -> DataFrame:
     """A small parameter table built from literals inside the JVM (no Python
     worker at run time). ``schema`` is a DDL string such as ``"a int, b double"``."""
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import StructType
 
-    struct = _parse_datatype_string(schema)
+    struct = StructType.fromDDL(schema)
     fields = struct.fields
     if not rows:
         return spark.createDataFrame([], struct)
