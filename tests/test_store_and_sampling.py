@@ -83,3 +83,29 @@ def test_random_ranges_bounds(spark, n, lower, width, max_len):
     for r in rows:
         assert lower <= r.start <= upper - max_len
         assert r.start < r.end <= min(r.start + max_len, upper)
+
+
+def test_year_range_labels_include_outside_when_span_leaves_coverage():
+    assert store.year_range_labels(1996, 2005) == ["1996_2005"]
+    assert store.year_range_labels(2020, 2030) == ["2006_2023", store.OUTSIDE_LABEL]
+    assert store.year_range_labels(1700, 1770) == ["1763_1800", store.OUTSIDE_LABEL]
+    assert store.year_range_labels(1990, 2000, with_outside=False) == ["1986_1995", "1996_2005"]
+
+
+def test_clean_store_keeps_rows_outside_the_ranges(spark, tmp_path):
+    df = spark.createDataFrame([(1700, 1.0), (1999, 2.0), (2030, 3.0), (None, 4.0)], "YEAR int, TAVG double")
+    df = df.withColumns({"LATITUDE": df.TAVG, "LONGITUDE": df.TAVG})
+    path = str(tmp_path / "store")
+    store.write_clean_store(df, path)
+    back = store.read_clean_store(spark, path)
+    assert back.count() == 4  # the whole clean table
+    assert sorted(r.YEAR for r in store.read_year_ranges(spark, path).collect()) == [1999]  # the export
+
+
+def test_byte_strings():
+    from isotherm.sources.readings import _bytes
+
+    assert _bytes("4194304") == 4194304
+    assert _bytes("4m") == _bytes("4MB") == 4 * 1024 * 1024
+    assert _bytes("512k") == 512 * 1024
+    assert _bytes("1g") == 1 << 30
