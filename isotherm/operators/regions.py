@@ -60,13 +60,15 @@ def location_year_totals(clean: DataFrame) -> DataFrame:
 def region_summary_many(clean: DataFrame, requests: DataFrame,
                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                         cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """One row per request ``(region_id, lat1, lon1, lat2, lon2, start_year, end_year)``.
+    """One row per request ``(region_id, lat1, lon1, lat2, lon2, start_year, end_year)``;
+    ``region_id`` must be unique.
 
     Plan: readings are pre-aggregated per location-year; request boxes are
     expanded to grid cells (``cell_degrees``, 10 by default) so the range
-    join becomes an equi-join on the cell (broadcast when the expanded requests are proven small,
-    shuffle otherwise), followed by the exact inclusive predicate. Requests
-    with no matching rows are kept (mean null, count 0).
+    join becomes an equi-join on the cell (broadcast when the expanded
+    requests are proven small, shuffle otherwise), followed by the exact
+    inclusive predicate. Requests with no matching rows are kept (mean
+    null, count 0).
     """
     totals = location_year_totals(clean).withColumn("cell", grid_cell("LATITUDE", "LONGITUDE", cell_degrees))
     req_cells = requests.select(
