@@ -126,3 +126,41 @@ def test_station_country_matches_brute_force(spark, points, boxes, cell):
     for i, (la, lo) in enumerate(points):
         assert got[f"S{i}"] == brute_country(la, lo, boxes), (la, lo)
         assert shuffled[f"S{i}"] == got[f"S{i}"], (la, lo)
+
+
+# --- the cleaning chain ---------------------------------------------------------
+
+def clean_by_rules(date, tavg, prcp):
+    """Missing -> range -> F to C -> year/month/season -> half-up rounding, written plainly."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    if tavg is None or not (-20 <= tavg <= 122):
+        return None
+    t = (tavg - 32) * 5 / 9 if tavg > 50 else tavg
+    half_up = lambda v: None if v is None else float(Decimal(repr(v)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    year = int(date[:4]) if date and date[:4].isdigit() else None
+    month = int(date[5:7]) if date and date[5:7].isdigit() else None
+    season = ("Spring" if month in (3, 4, 5) else "Summer" if month in (6, 7, 8)
+              else "Autumn" if month in (9, 10, 11) else "Winter")
+    return (half_up(t), half_up(prcp), year, month, season)
+
+
+# Whole degrees above 50 (converted values never sit on a rounding tie) and
+# 2-decimal values elsewhere, so Python's decimal rounding is an exact reference.
+tavg_value = st.one_of(st.none(), st.integers(-3000, 5000).map(lambda h: h / 100), st.integers(-30, 130).map(float))
+date_value = st.one_of(st.none(), st.builds(lambda y, m: f"{y}-{m:02d}", st.integers(1760, 2030), st.integers(1, 12)))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(date_value, tavg_value, st.one_of(st.none(), st.integers(0, 99999).map(lambda h: h / 100))),
+                min_size=1, max_size=40))
+def test_clean_readings_matches_rules(spark, rows):
+    from isotherm.operators.clean import clean_readings
+
+    df = spark.createDataFrame(
+        [(f"S{i}", d, 0.0, 0.0, t, p) for i, (d, t, p) in enumerate(rows)],
+        "STATION string, DATE string, LATITUDE double, LONGITUDE double, TAVG double, PRCP double",
+    )
+    got = {r.STATION: (r.TAVG, r.PRCP, r.YEAR, r.MONTH, r.SEASON) for r in clean_readings(df).collect()}
+    expected = {f"S{i}": clean_by_rules(d, t, p) for i, (d, t, p) in enumerate(rows)}
+    assert got == {k: v for k, v in expected.items() if v is not None}
