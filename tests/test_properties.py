@@ -164,3 +164,24 @@ def test_clean_readings_matches_rules(spark, rows):
     got = {r.STATION: (r.TAVG, r.PRCP, r.YEAR, r.MONTH, r.SEASON) for r in clean_readings(df).collect()}
     expected = {f"S{i}": clean_by_rules(d, t, p) for i, (d, t, p) in enumerate(rows)}
     assert got == {k: v for k, v in expected.items() if v is not None}
+
+
+# --- exact means, independent of partitioning --------------------------------------
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1995, 1997), st.sampled_from(["Winter", "Spring"]),
+                          st.integers(-2000, 5000).map(lambda h: h / 100)), min_size=1, max_size=60),
+       st.integers(1, 16))
+def test_seasonal_means_exact_for_any_partitioning(spark, rows, parts):
+    from collections import defaultdict
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from isotherm.operators.metrics import seasonal_avg
+
+    df = spark.createDataFrame(rows, "YEAR int, SEASON string, TAVG double").repartition(parts)
+    got = {(r.YEAR, r.SEASON): r.AVG_SEASONAL_TEMP for r in seasonal_avg(df).collect()}
+    groups = defaultdict(list)
+    for y, s, t in rows:
+        groups[(y, s)].append(Decimal(repr(t)))
+    expected = {k: float((sum(v) / len(v)).quantize(Decimal("0.01"), ROUND_HALF_UP)) for k, v in groups.items()}
+    assert got == expected
