@@ -185,3 +185,31 @@ def test_seasonal_means_exact_for_any_partitioning(spark, rows, parts):
         groups[(y, s)].append(Decimal(repr(t)))
     expected = {k: float((sum(v) / len(v)).quantize(Decimal("0.01"), ROUND_HALF_UP)) for k, v in groups.items()}
     assert got == expected
+
+
+# --- row index and year change ------------------------------------------------------
+
+@SETTINGS
+@given(st.lists(st.integers(-1000, 1000), min_size=1, max_size=200, unique=True), st.integers(1, 12))
+def test_row_index_contiguous_in_order(spark, values, parts):
+    from isotherm.operators.sampling import with_row_index
+
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(parts)
+    got = sorted((r.row_index, r.v) for r in with_row_index(df, order_by=["v"]).collect())
+    assert got == list(enumerate(sorted(values)))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1900, 2020), st.integers(-50, 50)), min_size=1, max_size=30,
+                unique_by=lambda t: t[0]))
+def test_year_change_uses_previous_present_year(spark, years):
+    from isotherm.operators.change import year_change
+
+    df = spark.createDataFrame([(y, float(t), None) for y, t in years],
+                               "YEAR int, rounded_global_avg_temp double, global_avg_precip double")
+    got = {r.YEAR: (r.prev_rounded_global_avg_temp, r.temp_change) for r in year_change(df).collect()}
+    ordered = sorted(years)
+    expected = {ordered[0][0]: (None, None)}
+    for (py, pt), (y, t) in zip(ordered, ordered[1:]):
+        expected[y] = (float(pt), float(t - pt))
+    assert got == expected
