@@ -213,3 +213,40 @@ def test_year_change_uses_previous_present_year(spark, years):
     for (py, pt), (y, t) in zip(ordered, ordered[1:]):
         expected[y] = (float(pt), float(t - pt))
     assert got == expected
+
+
+# --- consistency filter and aligned unions -------------------------------------------
+
+small = st.one_of(st.none(), st.integers(-3, 3).map(float))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(small, small, small), min_size=1, max_size=40))
+def test_consistency_filter_matches_two_filters(spark, rows):
+    from isotherm.operators.clean import consistency_filter
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, TMAX double, TAVG double, TMIN double")
+    got = sorted(r.i for r in consistency_filter(df).collect())
+
+    def keep(hi, mid, lo):
+        if None in (hi, mid, lo):
+            return False
+        return (hi >= mid >= lo) and ((hi > mid > lo) or (hi == mid == lo))
+    assert got == [i for i, r in enumerate(rows) if keep(*r)]
+
+
+@SETTINGS
+@given(st.lists(st.permutations(["STATION", "DATE", "LATITUDE", "LONGITUDE", "TAVG", "PRCP", "EXTRA"])
+                .flatmap(lambda p: st.integers(1, 7).map(lambda k: p[:k])), min_size=1, max_size=5))
+def test_union_aligned_any_column_subsets(spark, layouts):
+    from isotherm.operators.union import union_aligned
+    from isotherm.schemas import READING_COLUMNS
+
+    values = {"STATION": "'S'", "DATE": "'2001-01'", "LATITUDE": "1.0D", "LONGITUDE": "2.0D",
+              "TAVG": "3.0D", "PRCP": "4.0D", "EXTRA": "'x'"}
+    parts = [spark.range(1).selectExpr(*[f"{values[c]} AS {c}" for c in cols]) for cols in layouts]
+    out = union_aligned(parts).collect()
+    plain = {"STATION": "S", "DATE": "2001-01", "LATITUDE": 1.0, "LONGITUDE": 2.0, "TAVG": 3.0, "PRCP": 4.0}
+    expected = sorted((tuple(plain[c] if c in cols else None for c in READING_COLUMNS) for cols in layouts), key=repr)
+    assert all(list(r.asDict()) == READING_COLUMNS for r in out)
+    assert sorted((tuple(r) for r in out), key=repr) == expected
