@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import mixing, sharding, token_files
-from isotherm.llm.common import table
+from isotherm.llm import mixing, quality, sharding, token_files, toxicity
+from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn_quality(docs, labels.filter(bucket_of_id("doc_id", 5) != 0))
+    return docs.select("doc_id", (bucket_of_id("doc_id", 5) == 0).alias("held_out"),
+                       quality.quality_score(model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -29,10 +37,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(token_files.read_tokens(spark, path))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn_toxicity(docs, labels.filter(bucket_of_id("doc_id", 3) != 1))
+    return docs.select("doc_id", (bucket_of_id("doc_id", 3) == 1).alias("held_out"),
+                       toxicity.toxicity_score(model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_quality": op3_quality,
     "op6_mixing": op6_mixing,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 # The sources are few, so the oracle orders every row by hash, where the query compares thresholds.
