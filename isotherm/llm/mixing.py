@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from isotherm.llm.common import WORD, scratch_table, small_side
 
-HASH_BITS, LEVEL_BITS = 60, 15
+HASH_BITS, LEVEL_BITS = 60, 10
 
 
 def word_count(text_col: str) -> F.Column:
