@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import mixing, quality, sharding, token_files, toxicity
+from isotherm.llm import fm_index, mixing, quality, sharding, token_files, toxicity, vector_join
 from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
@@ -31,6 +31,20 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("leaks.n_words").alias("n_words"), fm_index.leaked_words("leaks").alias("n_hit"),
+        F.size("leaks.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leaks.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("leaks.spans") > 0).alias("contaminated"))
+
+
+def op8_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_vectors(table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, VOCABULARY)
@@ -49,6 +63,8 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op6_mixing": op6_mixing,
+    "op7_fm_index": op7_fm_index,
+    "op8_vector_join": op8_vector_join,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
 }
@@ -94,4 +110,54 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.h = k.h
 """
 
-ORACLE_SQL = {"op6_mixing": _OP6_SQL}
+_OP7_SQL = r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+t AS (
+  SELECT kind, id, row_number() OVER () AS row_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM w),
+item AS (
+  SELECT DISTINCT id AS item_id, least(len(words), 10) AS size,
+         unnest([words[k : k + least(len(words), 10) - 1] for k in range(1, greatest(len(words) - 9, 1) + 1)]) AS win
+  FROM t WHERE kind = 'i' AND len(words) > 0),
+size AS (SELECT DISTINCT size FROM item),
+spot AS (
+  SELECT row_id, size.size, unnest(range(1, len(words) - size.size + 2)) AS k
+  FROM t, size WHERE kind = 'd' AND len(words) >= size.size),
+hit AS (
+  SELECT spot.row_id, spot.k, spot.size, item.item_id
+  FROM spot JOIN t USING (row_id) JOIN item ON item.win = t.words[spot.k : spot.k + spot.size - 1]),
+cover AS (
+  SELECT row_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT row_id, unnest(range(k, k + size)) AS word FROM hit) GROUP BY row_id),
+named AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY row_id)
+SELECT t.id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN cover USING (row_id) LEFT JOIN named USING (row_id) WHERE kind = 'd'
+"""
+
+_OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, label, e, len(e) AS dims, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.dims = b.dims AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach(vec_id, other) AS (
+  SELECT a, b FROM link UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON r.other = l.a)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(low, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(low, v.vec_id) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) ON v.vec_id = a
+LEFT JOIN (SELECT vec_id AS r, min(other) AS low FROM reach GROUP BY vec_id) ON v.vec_id = r
+"""
+
+ORACLE_SQL = {"op6_mixing": _OP6_SQL, "op7_fm_index": _OP7_SQL, "op8_vector_join": _OP8_SQL}
