@@ -61,18 +61,37 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def batches_of(rows: Iterable[dict], schema: pa.Schema, size: int = 2048) -> Iterable[pa.RecordBatch]:
-    """Record batches of ``size`` rows from row dictionaries."""
-    held: list[dict] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
+def text_slices(column: pa.Array, rows: int = 512) -> Iterable[tuple[int, list[bytes]]]:
+    """(first row, texts) of consecutive slices of a string column, so that few texts are copied at a time."""
+    for first in range(0, len(column), rows):
+        yield first, byte_texts(column.slice(first, rows))
 
 
 def bucket_of_id(id_col: str, modulus: int) -> F.Column:
     """``crc32(id as text) mod modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
+
+
+def chunk_pairs(rows: DataFrame, keys: list[str], home: str, id_col: str, size: int) -> DataFrame:
+    """Deals the rows of each key to comparisons of two chunks of about ``size`` rows.
+
+    Every pair of a home row with another home row or with a guest row meets in
+    exactly one comparison (``keys``, ``i``, ``j``): home chunks are numbered
+    first, guest chunks after them. ``side`` is 0 for chunk i and 1 for chunk j;
+    ``same`` marks a chunk's comparison with itself, where each row comes once.
+    Guests are not compared with guests; keys without home rows yield nothing.
+    """
+    is_home = F.col(home)
+    chunks = rows.groupBy(*keys).agg(
+        F.ceil(F.sum(is_home.cast("int")) / size).alias("_homes"),
+        F.ceil(F.sum((~is_home).cast("int")) / size).alias("_guests"),
+        F.count("*").alias("_all")).filter("_homes > 0 and _all > 1").drop("_all")
+    salted = rows.join(chunks, keys).withColumn(
+        "_own", F.when(is_home, F.pmod(F.xxhash64(id_col), F.col("_homes")))
+        .otherwise(F.col("_homes") + F.pmod(F.xxhash64(id_col), F.greatest("_guests", F.lit(1)))).cast("int"))
+    last = F.when(is_home, F.col("_homes") + F.col("_guests") - 1).otherwise(F.col("_homes") - 1)
+    dealt = salted.withColumn("_other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    first = is_home & (F.col("_own") <= F.col("_other"))
+    return dealt.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other")).withColumn(
+        "side", F.when(first, 0).otherwise(1)).withColumn("same", F.col("_own") == F.col("_other")).drop(
+        "_homes", "_guests", "_own", "_other")

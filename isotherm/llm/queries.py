@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import fm_index, mixing, quality, sharding, token_files, toxicity, vector_join
+from isotherm.llm import fm_index, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
 from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
@@ -26,6 +26,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -62,6 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
+    "op4_near_copies": op4_near_copies,
     "op6_mixing": op6_mixing,
     "op7_fm_index": op7_fm_index,
     "op8_vector_join": op8_vector_join,

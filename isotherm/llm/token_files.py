@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import byte_texts
+from isotherm.llm.common import LOWER, text_slices
 
 END_ID = 1
 # Encoded pieces a worker remembers; it starts afresh beyond that.
-PIECES = 400_000
+PIECES = 300_000
 # ids per output batch of a task
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
 
 FILE_OPTIONS = {
     "compression": "zstd",
@@ -48,11 +48,14 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("offset", pa.
 
 
 class PieceEncoder:
-    """Encodes whole texts with a ``tokenizers`` vocabulary file.
-
-    The vocabulary's splitting rule never joins characters across ASCII white
-    space, which it drops; the ids of a text are those of its white-space-
-    separated pieces in turn. Pieces repeat, so their ids are remembered.
+    """Encodes whole texts with a ``tokenizers`` vocabulary file, word by word.
+
+    The vocabulary's rules lower-case a text and never join a letter with a
+    character of another kind, nor anything across white space, which they drop.
+    So the ids of a text are those of its white-space-separated pieces in turn;
+    A-Z may be lower-cased first, and a stop or comma after a letter or digit is
+    encoded apart. Pieces repeat, so their ids are remembered. Runs of a-z go to
+    the library's model directly; all others through its whole pipeline.
     """
 
     def __init__(self, path: str):
@@ -61,20 +64,32 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            pieces = text.split()
-            known = self.known
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-            if len(known) + len(new) > PIECES:
-                known = self.known = {}
-                new = list(dict.fromkeys(pieces))
-            if new:
-                for p, e in zip(new, self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)):
-                    known[p] = np.array(e.ids, dtype="<i4").tobytes()
-            out.append(np.frombuffer(b"".join([known[p] for p in pieces]), dtype="<i4"))
-        return out
+    def _ids(self, piece: bytes) -> bytes:
+        if piece.isalpha() and piece.islower():  # a-z only
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.decode())]
+        else:
+            text = piece.decode()
+            if len(text) > 1 and text[-1] in ".," and text[:-1].lower()[-1].isalnum():
+                return self._one(piece[:-1]) + self._one(piece[-1:])
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<i4").tobytes()
+
+    def _one(self, piece: bytes) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.known[piece] = self._ids(piece)
+        return ids
+
+    def encode(self, text: bytes) -> np.ndarray:
+        # Special tokens are recognised before lower-casing.
+        pieces = (text if b"<|" in text else text.translate(LOWER)).split()
+        if len(self.known) > PIECES:
+            self.known = {}
+        known = self.known
+        for p in pieces:
+            if p not in known:
+                known[p] = self._ids(p)
+        return np.frombuffer(b"".join([known[p] for p in pieces]), dtype="<i4")
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}  # one per vocabulary and Python worker
@@ -89,24 +104,23 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         offset = 0
         end = np.array([end_id], dtype="<i4")
         for batch in batches:
-            texts = byte_texts(batch.column("text"))
             ids, parts = batch.column("doc_id"), batch.column("part")
-            done = 0
-            while done < len(texts):
-                arrays, held, first = [], 0, done
-                while done < len(texts) and (held < BATCH_IDS or done == first):
-                    a = encoder.encode(texts[done:done + 1])[0]
-                    arrays += [a, end]
-                    held += len(a) + 1
-                    done += 1
-                lengths = np.array([len(a) + 1 for a in arrays[::2]], dtype=np.int64)
-                bounds = np.concatenate([[0], np.cumsum(lengths)])
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, done - first), parts.slice(first, done - first),
-                    pa.array(offset + bounds[:-1]), pa.array(lengths.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(np.concatenate(arrays))),
-                ], schema=_ARROW)
-                offset += int(bounds[-1])
+            for first, texts in text_slices(batch.column("text")):
+                done = 0
+                while done < len(texts):
+                    arrays, held, start = [], 0, done
+                    while done < len(texts) and held < BATCH_IDS:
+                        arrays += [encoder.encode(texts[done]), end]
+                        held += len(arrays[-2]) + 1
+                        done += 1
+                    lengths = np.array([len(a) + 1 for a in arrays[::2]], dtype=np.int64)
+                    bounds = np.concatenate([[0], np.cumsum(lengths)])
+                    yield pa.RecordBatch.from_arrays([
+                        ids.slice(first + start, done - start), parts.slice(first + start, done - start),
+                        pa.array(offset + bounds[:-1]), pa.array(lengths.astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(np.concatenate(arrays))),
+                    ], schema=_ARROW)
+                    offset += int(bounds[-1])
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(
         "doc_id").sortWithinPartitions("doc_id", "text")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import scratch_table
+from isotherm.llm.common import chunk_pairs, scratch_table
 from isotherm.llm.components import connected_components
 
 BLOCK_DIMS = 8  # coordinates of a block
@@ -115,10 +115,10 @@ def _compare(threshold: float):
     def compare(group: pa.Table) -> pa.Table:
         left = group.filter(group.column("side").combine_chunks().to_numpy(zero_copy_only=False) == 0)
         right = group.filter(group.column("side").combine_chunks().to_numpy(zero_copy_only=False) == 1)
-        one, same = len(right) == 0, bool(group.column("same")[0].as_py())
+        same = bool(group.column("same")[0].as_py())
         empty = pa.table({"rep": pa.array([], pa.int64()), "root": pa.array([], pa.int64()),
                           "links": pa.array([], pa.int64())})
-        if len(left) == 0 or (one and not same):
+        if len(left) == 0 or (len(right) == 0 and not same):
             return empty
         block = group.column("block")[0].as_py()
         ids_a = left.column("rep").to_numpy()
@@ -193,24 +193,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     packed = folded.select("rep", "label", "v").mapInArrow(pack, "rep long, label long, vector binary")
     dealt = scratch_table(packed.mapInArrow(_cells(threshold), _CELL_SCHEMA).join(
         folded.select("rep", "n"), "rep"), "cells")
-    chunks = dealt.groupBy(*_CELL).agg(
-        F.ceil(F.sum(F.col("home").cast("int")) / CHUNK).alias("homes"),
-        F.ceil(F.sum((~F.col("home")).cast("int")) / CHUNK).alias("guests")).filter("homes > 0")
-    salted = dealt.join(chunks, _CELL).withColumn(
-        "salt", F.pmod(F.xxhash64("rep"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
-    # Comparisons of a cell: home chunk i with home chunk j >= i, and with every guest chunk.
-    homes = salted.filter("home").withColumn("j", F.explode(F.sequence(F.lit(0), (F.col("homes") + F.col("guests") - 1).cast("int"))))
-    is_guest = F.col("j") >= F.col("homes")
-    as_home = homes.select(
-        *_CELL, F.when(is_guest | (F.col("j") >= F.col("salt")), F.col("salt")).otherwise(F.col("j")).alias("i"),
-        F.when(is_guest | (F.col("j") >= F.col("salt")), F.col("j")).otherwise(F.col("salt")).cast("int").alias("j"),
-        F.when(is_guest | (F.col("j") >= F.col("salt")), 0).otherwise(1).alias("side"),
-        (F.col("j") == F.col("salt")).alias("same"), "rep", "n", "vector")
-    as_guest = salted.filter("not home").withColumn("i", F.explode(F.sequence(F.lit(0), (F.col("homes") - 1).cast("int")))).select(
-        *_CELL, "i", (F.col("homes") + F.col("salt")).cast("int").alias("j"), F.lit(1).alias("side"),
-        F.lit(False).alias("same"), "rep", "n", "vector")
     found = scratch_table(
-        as_home.unionByName(as_guest).groupBy(*_CELL, "i", "j").applyInArrow(
+        chunk_pairs(dealt, _CELL, "home", "rep", CHUNK).groupBy(*_CELL, "i", "j").applyInArrow(
             _compare(threshold), "rep long, root long, links long"), "links")
     return _report(rows, folded, found)
 
