@@ -44,6 +44,19 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[F.Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def small_side(df: DataFrame, row_bytes: F.Column) -> DataFrame:
     """``broadcast(df)`` when ``sum(row_bytes)`` is measured within BROADCAST_BYTES, else ``df``.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import ALNUM, BROADCAST_BYTES, byte_texts
+from isotherm.llm.common import ALNUM, BROADCAST_BYTES, byte_texts, columns_of, unused_name
 
 WINDOW = 10
 SHARD_WORDS = 400_000  # words of a shard; a longer document is a shard of its own
@@ -299,7 +299,10 @@ def _leak_column(spark, phrases: Phrases, text_col: str, earlier: F.Column | Non
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", name: str = "leaks") -> DataFrame:
-    """``docs`` with a column of (n_words, merged word spans [start, end), item ids in order of code point)."""
+    """``docs`` with a column ``name`` of (n_words, merged word spans [start, end), item ids in order of code point).
+
+    A column of that name in ``docs`` is replaced.
+    """
     result = docs
     for k, phrases in enumerate(phrase_blocks(benchmark, window, item_col, item_text_col)):
         result = result.withColumn(
@@ -315,6 +318,6 @@ def leaked_words(leaks: str) -> F.Column:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                       text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no phrase occurs, with their columns."""
-    name = "_leaks_found"
+    name = unused_name(docs, "leaks")
     return find_leaks(docs, benchmark, window, text_col, name=name).filter(
-        F.size(f"{name}.spans") == 0).select(*[F.col(c) for c in docs.columns])
+        F.size(f"{name}.spans") == 0).select(*columns_of(docs))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import WORD, scratch_table, small_side
+from isotherm.llm.common import WORD, columns_of, scratch_table, small_side, unused_name
 
 HASH_BITS, LEVEL_BITS = 60, 10
 
@@ -143,13 +143,14 @@ def mix_rows(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     """The mix itself: the columns of ``docs``, each row as often as it is taken (0 times: left out)."""
     measured = measure(docs, id_col, text_col, source_col)
     limits = budget_thresholds(measured, source_targets(measured, weights, share, max_passes))
-    named = [F.col("source").alias("_mix_source"), F.col("passes").alias("_mix_passes"),
-             F.col("threshold").alias("_mix_threshold")]
-    small = small_side(limits.select(*named), source_bytes("_mix_source"))
-    copies = F.col("_mix_passes") + (row_hash(id_col, text_col) <= F.col("_mix_threshold")).cast("long")
+    source, passes, threshold, copies, copy = (
+        unused_name(docs, f"_mix_{n}") for n in ("source", "passes", "threshold", "copies", "copy"))
+    small = small_side(limits.select(F.col("source").alias(source), F.col("passes").alias(passes),
+                                     F.col("threshold").alias(threshold)), source_bytes(source))
+    taken = F.col(passes) + (row_hash(id_col, text_col) <= F.col(threshold)).cast("long")
     return (
-        docs.join(small, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-        .withColumn("_mix_copies", copies).filter("_mix_copies > 0")
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-        .select(*[F.col(c) for c in docs.columns])
+        docs.join(small, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+        .withColumn(copies, taken).filter(F.col(copies) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+        .select(*columns_of(docs))
     )

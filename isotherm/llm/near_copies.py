@@ -17,8 +17,8 @@ for pairs whose samples agree well enough. Classes are the connected components.
 
 Defined results: null and empty texts are equal texts without shingles; texts of
 fewer than five words are one shingle; a null id has a null class and takes no
-part; rows that repeat an id are one node, that of their smallest text; an
-empty table gives no rows; other columns are ignored, or kept by ``one_of_each_class``.
+part; rows that repeat an id are one node, that of the text with the smallest
+digest; an empty table gives no rows; other columns are ignored, or kept by ``one_of_each_class``.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import ALNUM, byte_texts, chunk_pairs, scratch_table, small_side
+from isotherm.llm.common import ALNUM, byte_texts, chunk_pairs, scratch_table, small_side, unused_name
 from isotherm.llm.components import connected_components
 
 SHINGLE = 5
@@ -222,7 +222,7 @@ def _agreeing(group: pa.Table) -> pa.Table:
 
 def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """One row per document with an id: doc_id, class_id (the smallest id of its class), copy (digest of its text)."""
+    """One row per row with an id: doc_id, class_id (the smallest id of its class), copy (digest of the id's text)."""
     weights = learn_weights(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(weights))
     signed = scratch_table(sign(docs, shared, id_col, text_col), "signed")
@@ -232,7 +232,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
         signed.join(members, ["node", "copy"], "left_semi").groupBy("copy").agg(
             F.min(F.struct("node", "bands", "samples")).alias("_r")).select("copy", "_r.*"), "folded")
     bands = scratch_table(
-        folded.select("node", "samples", F.posexplode("bands").alias("band", "key")), "bands")
+        folded.select("node", F.posexplode("bands").alias("band", "key")), "bands")
     leaders = bands.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter(
         "n > 1").drop("n")
     shared_bands = scratch_table(bands.join(leaders, ["band", "key"]), "buckets")
@@ -248,6 +248,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
     of_leader = nodes.select(F.col("node").alias("leader"), F.col("component").alias("_main"))
     placed = scratch_table(
         known.join(of_leader, "leader", "left").withColumn("home", F.col("component") != F.coalesce("_main", "leader"))
+        .join(folded.select("node", "samples"), "node")
         .select("band", "key", "node", "component", "home", "samples"), "placed")
     agreeing = chunk_pairs(placed, ["band", "key"], "home", "node", CHUNK).groupBy("band", "key", "i", "j").applyInArrow(
         _agreeing, "a long, b long").distinct()
@@ -257,7 +258,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
 
     by_copy = folded.join(classes, "node", "left").select(
         "copy", F.coalesce("component", "node").alias("class_id"))
-    return signed.select("node", "copy").join(members, ["node", "copy"], "left_semi").join(by_copy, "copy").select(
+    return signed.select("node").join(members, "node").join(by_copy, "copy").select(
         F.col("node").alias("doc_id"), "class_id", "copy")
 
 
@@ -280,12 +281,16 @@ def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, id_col: str
                       text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their class, and those without an id; their columns as they are.
 
-    Rows that repeat an id count as one, the first of equal rows.
+    Of rows that repeat an id, one with the id's smallest text digest stays.
     """
     classes = scratch_table(near_copies(docs, threshold, id_col, text_col), "classes")
-    dropped = scratch_table(classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    kept = docs.join(small_side(dropped, F.lit(16)), F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
-    if classes.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        kept = kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
-            kept.filter(F.col(id_col).isNull()))
-    return kept
+    name = unused_name(docs, "dropped")
+    dropped = scratch_table(classes.filter("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    kept = docs.join(small_side(dropped, F.lit(16)), F.col(id_col).cast("long") == F.col(name), "left_anti")
+    if classes.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    copy = unused_name(docs, "copy")
+    chosen = classes.select(F.col("doc_id").alias(name), F.col("copy").alias(copy)).distinct()
+    digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    once = kept.join(chosen, (F.col(id_col).cast("long") == F.col(name)) & (digest == F.col(copy)), "left_semi")
+    return once.dropDuplicates([id_col]).unionByName(kept.filter(F.col(id_col).isNull()))

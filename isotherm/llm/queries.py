@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import fm_index, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
+from isotherm.llm import fm_index, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
 from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"), bucket_of_id("doc_id", 5) == 1)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -65,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_maxent_lm": op1_maxent_lm,
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_near_copies": op4_near_copies,
