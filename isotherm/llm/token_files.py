@@ -15,7 +15,10 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +30,7 @@ from isotherm.llm.common import LOWER, text_slices
 
 END_ID = 1
 # Encoded pieces a worker remembers; it starts afresh beyond that.
-PIECES = 300_000
+PIECES = 700_000
 # ids per output batch of a task
 BATCH_IDS = 1_000_000
 
@@ -47,6 +50,26 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("offset", pa.
                     ("ids", pa.list_(pa.int32()))])
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write bytes as letters: printable Latin-1 as itself, the others from U+0100 on in turn."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = itertools.count(256)
+    return {b: chr(b if b in printable else next(others)) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
+# Latin-1 letters, for which lower-casing and normal forms leave no choice.
+_LATIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
+
+
+class _Known(dict):
+    """Ids by piece; a missing piece is encoded and kept."""
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.encode(piece)
+        return ids
+
+
 class PieceEncoder:
     """Encodes whole texts with a ``tokenizers`` vocabulary file, word by word.
 
@@ -54,42 +77,41 @@ class PieceEncoder:
     character of another kind, nor anything across white space, which they drop.
     So the ids of a text are those of its white-space-separated pieces in turn;
     A-Z may be lower-cased first, and a stop or comma after a letter or digit is
-    encoded apart. Pieces repeat, so their ids are remembered. Runs of a-z go to
-    the library's model directly; all others through its whole pipeline.
+    encoded apart. Pieces repeat, so their ids are remembered. Lower-case Latin
+    words go to the library's model directly; all others through its whole pipeline.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = self._none_known()
+
+    def _none_known(self) -> _Known:
+        known = _Known()
+        known.encode = self._ids
+        return known
 
     def _ids(self, piece: bytes) -> bytes:
         if piece.isalpha() and piece.islower():  # a-z only
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece.decode())]
+            ids = [t.id for t in self.model.tokenize(piece.decode())]
         else:
             text = piece.decode()
+            if _LATIN.fullmatch(text):
+                letters = text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+                return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
             if len(text) > 1 and text[-1] in ".," and text[:-1].lower()[-1].isalnum():
-                return self._one(piece[:-1]) + self._one(piece[-1:])
+                return self.known[piece[:-1]] + self.known[piece[-1:]]
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<i4").tobytes()
-
-    def _one(self, piece: bytes) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = self.known[piece] = self._ids(piece)
-        return ids
+        return array("i", ids).tobytes()
 
     def encode(self, text: bytes) -> np.ndarray:
         # Special tokens are recognised before lower-casing.
         pieces = (text if b"<|" in text else text.translate(LOWER)).split()
         if len(self.known) > PIECES:
-            self.known = {}
-        known = self.known
-        for p in pieces:
-            if p not in known:
-                known[p] = self._ids(p)
-        return np.frombuffer(b"".join([known[p] for p in pieces]), dtype="<i4")
+            self.known = self._none_known()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.int32)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}  # one per vocabulary and Python worker
