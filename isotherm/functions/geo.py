@@ -7,12 +7,13 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Default grid cell size in degrees: 10 degrees gives at most 19 x 37 cells.
+# Default grid cell size in degrees: 10 degrees gives at most 21 x 39 cells.
 # Smaller cells suit many small boxes (fewer candidate pairs per cell),
 # larger cells suit few large boxes (fewer cells per box).
 CELL_DEGREES = 10.0
-# Cell id = latitude cell * _LON_SPAN + longitude cell; longitude cells stay
-# within +-_LON_SPAN / 2 for any cell size of at least 0.01 degrees.
+# The smallest size: a box then touches at most 183 x 363 cells.
+MIN_CELL_DEGREES = 1.0
+# Cell id = latitude cell * _LON_SPAN + longitude cell.
 _LON_SPAN = 100_000
 
 
@@ -27,12 +28,13 @@ def in_rectangle(lat, lon, lat1, lon1, lat2, lon2) -> Column:
 
 
 def _bounds(limit: float, size: float) -> tuple[int, int]:
-    return math.floor(-limit / size), math.floor(limit / size)
+    """Cells on either side of the valid range, which hold everything beyond it."""
+    return math.floor(-limit / size) - 1, math.floor(limit / size) + 1
 
 
 def _cell(v: Column, size: float, bounds: tuple[int, int]) -> Column:
-    # Clamp so that out-of-range values share the edge cell with the boxes
-    # that reach beyond the valid range; the exact predicate decides afterwards.
+    # Out-of-range values share a cell beyond the valid range with the boxes
+    # that reach there; the exact predicate decides afterwards.
     return F.least(F.greatest(F.floor(v / F.lit(size)), F.lit(bounds[0])), F.lit(bounds[1])).cast("long")
 
 
@@ -44,13 +46,52 @@ def grid_cell(lat, lon, cell_degrees: float = CELL_DEGREES) -> Column:
 
 
 def grid_cells_of_box(lat1, lon1, lat2, lon2, cell_degrees: float = CELL_DEGREES) -> Column:
-    """Array of every cell a box touches (empty for swapped corners)."""
-    if cell_degrees < 0.01:
-        raise ValueError("cell_degrees must be at least 0.01")
+    """Array of (cell, inside) for every cell a box touches (empty for swapped corners).
+
+    ``inside``: every point of the cell lies in the box. It never holds for
+    the cells beyond the valid range.
+    """
+    if cell_degrees < MIN_CELL_DEGREES:
+        raise ValueError(f"cell_degrees must be at least {MIN_CELL_DEGREES}")
     a1, b1, a2, b2 = _col(lat1), _col(lon1), _col(lat2), _col(lon2)
     lat_b, lon_b = _bounds(90, cell_degrees), _bounds(180, cell_degrees)
-    lat_seq = F.sequence(_cell(a1, cell_degrees, lat_b), _cell(a2, cell_degrees, lat_b))
-    lon_seq = F.sequence(_cell(b1, cell_degrees, lon_b), _cell(b2, cell_degrees, lon_b))
+
+    def span(low, high, bounds):
+        within = lambda k: (k * cell_degrees >= low) & ((k + 1) * cell_degrees <= high) & k.between(bounds[0] + 1, bounds[1] - 1)
+        cells = F.sequence(_cell(low, cell_degrees, bounds), _cell(high, cell_degrees, bounds))
+        return F.transform(cells, lambda k: F.struct(k.alias("k"), within(k).alias("inside")))
+
+    cells = F.flatten(F.transform(span(a1, a2, lat_b), lambda a: F.transform(span(b1, b2, lon_b), lambda b: F.struct(
+        (a["k"] * _LON_SPAN + b["k"]).alias("cell"), (a["inside"] & b["inside"]).alias("inside")))))
     valid = (a1 <= a2) & (b1 <= b2)
-    cells = F.flatten(F.transform(lat_seq, lambda a: F.transform(lon_seq, lambda b: a * _LON_SPAN + b)))
-    return F.when(valid, cells).otherwise(F.array().cast("array<long>"))
+    return F.when(valid, cells).otherwise(F.array().cast("array<struct<cell: bigint, inside: boolean>>"))
+
+
+def fine_cell(lat, lon, fine_degrees: float) -> Column:
+    """Cell id of a point on a finer grid; out-of-range points keep their own cells."""
+    return F.floor(_col(lat) / F.lit(fine_degrees)) * _LON_SPAN + F.floor(_col(lon) / F.lit(fine_degrees))
+
+
+def fine_cells(cell: str, box: str, cell_degrees: float, parts: int) -> Column:
+    """The finer cells (``parts`` a side) of one coarse cell within the valid range that a box touches."""
+    b, size = F.col(box), cell_degrees / parts
+    row, column = _row_and_column(cell)
+
+    def span(k, low, high):
+        first = F.greatest(F.floor(low / size), (k * parts).cast("long"))
+        last = F.least(F.floor(high / size), ((k + 1) * parts - 1).cast("long"))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
+
+    return F.flatten(F.transform(span(row, b["lat_min"], b["lat_max"]), lambda i: F.transform(
+        span(column, b["lon_min"], b["lon_max"]), lambda j: i * _LON_SPAN + j)))
+
+
+def _row_and_column(cell: str) -> tuple[Column, Column]:
+    row = F.floor((F.col(cell) + _LON_SPAN // 2) / _LON_SPAN)
+    return row, F.col(cell) - row * _LON_SPAN
+
+
+def beyond_range(cell: str, cell_degrees: float) -> Column:
+    """Whether a cell holds what lies beyond the valid range."""
+    (row, column), lat_b, lon_b = _row_and_column(cell), _bounds(90, cell_degrees), _bounds(180, cell_degrees)
+    return row.isin(*lat_b) | column.isin(*lon_b)

@@ -23,9 +23,10 @@ def hundredths(c: str | Column) -> Column:
 
     ``x * 100`` of such a double lies within a rounding error of an integer,
     so ``rint`` recovers it exactly. Summing longs keeps the per-row work in
-    fixed-width arithmetic inside generated code.
+    fixed-width arithmetic inside generated code. NaN, the infinities and
+    values beyond a long are null, in ANSI mode too.
     """
-    return F.rint(_col(c) * 100).cast("long")
+    return F.rint(_col(c) * 100).try_cast("long")
 
 
 def mean_of_hundredths(total: str | Column, count: str | Column, scale: int = 2) -> Column:
@@ -39,4 +40,17 @@ def mean_of_hundredths(total: str | Column, count: str | Column, scale: int = 2)
 
 def exact_mean(c: str | Column, scale: int = 2) -> Column:
     """Aggregate: mean of a 2-decimal column rounded to ``scale`` places, exactly."""
-    return mean_of_hundredths(F.sum(hundredths(c)), F.count(_col(c)), scale)
+    return mean_of_hundredths(F.sum(hundredths(c)), F.count(hundredths(c)), scale)
+
+
+def unrounded_mean(c: str | Column) -> Column:
+    """Aggregate: mean of a 2-decimal column as a double, the same for any order of the rows.
+
+    An exact long sum, an exact count and one division.
+    """
+    return F.try_divide(F.sum(hundredths(c)).cast("double"), (F.count(hundredths(c)) * 100).cast("double"))
+
+
+def mean_of_doubles(c: str | Column) -> Column:
+    """Aggregate: mean of doubles at 12 decimals, the same for any order of the rows (decimal sums are exact)."""
+    return F.avg(_col(c).try_cast("decimal(28,12)"))

@@ -8,7 +8,7 @@ PREVIEW_ROWS = 100
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    """The first ``n`` rows (the 100-row display of the original notebooks).
+    """The first ``n`` rows for a look.
 
     A limit is the feature here: it is only for looking at results.
     """

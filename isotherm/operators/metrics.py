@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.functions.means import exact_mean
+from isotherm.functions.means import exact_mean, mean_of_doubles, unrounded_mean
 from isotherm.schemas import GLOBAL_TEMP_SCALE, READING_SCALE
 
 
@@ -33,12 +33,12 @@ def station_datapoints(clean: DataFrame) -> DataFrame:
 def station_year_means(clean: DataFrame, scale: int | None = None) -> DataFrame:
     """Per (STATION, YEAR): mean temperature and precipitation.
 
-    ``scale=None`` gives the unrounded double means. With a scale, the means
-    of the 2-decimal readings are computed exactly and rounded to ``scale``
-    places (independent of summation order).
+    ``scale=None`` gives the means as doubles; with a scale they are rounded
+    to ``scale`` places. The sums are exact either way, so the order of the
+    rows does not matter. A NaN or infinite reading counts as missing.
     """
     if scale is None:
-        mean_t, mean_p = F.avg("TAVG"), F.avg("PRCP")
+        mean_t, mean_p = unrounded_mean("TAVG"), unrounded_mean("PRCP")
     else:
         mean_t, mean_p = exact_mean("TAVG", scale), exact_mean("PRCP", scale)
     return clean.groupBy("STATION", "YEAR").agg(mean_t.alias("avg_temp"), mean_p.alias("avg_precip"))
@@ -47,11 +47,12 @@ def station_year_means(clean: DataFrame, scale: int | None = None) -> DataFrame:
 def global_year_means(station_year: DataFrame, ordered: bool = True) -> DataFrame:
     """Per YEAR: mean of station means (each station weighs the same).
 
-    Temperature rounded to whole degrees; precipitation unrounded. Null
-    station means are skipped.
+    Temperature rounded to whole degrees (half away from zero); precipitation
+    to 12 decimals. Sums are exact, so a tie falls the same way in every run.
+    Null station means are skipped.
     """
     out = station_year.groupBy("YEAR").agg(
-        F.round(F.avg("avg_temp"), GLOBAL_TEMP_SCALE).alias("rounded_global_avg_temp"),
-        F.avg("avg_precip").alias("global_avg_precip"),
+        F.round(mean_of_doubles("avg_temp"), GLOBAL_TEMP_SCALE).cast("double").alias("rounded_global_avg_temp"),
+        mean_of_doubles("avg_precip").cast("double").alias("global_avg_precip"),
     )
     return out.orderBy("YEAR") if ordered else out

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.functions.geo import CELL_DEGREES, grid_cell, grid_cells_of_box, in_rectangle
+from isotherm.functions.geo import (CELL_DEGREES, beyond_range, fine_cell, fine_cells, grid_cell, grid_cells_of_box,
+                                    in_rectangle)
 from isotherm.functions.means import exact_mean, hundredths, mean_of_hundredths
-from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS, has_at_most, maybe_broadcast
 from isotherm.sources.store import year_range_labels
 
 
@@ -52,96 +52,118 @@ def location_year_totals(clean: DataFrame) -> DataFrame:
     )
     return keyed.groupBy("LATITUDE", "LONGITUDE", "YEAR").agg(
         F.sum(hundredths("TAVG")).alias("tavg_total"),
-        F.count("TAVG").alias("tavg_count"),
+        F.count(hundredths("TAVG")).alias("tavg_count"),
         F.count(F.lit(1)).alias("row_count"),
     )
 
 
-def region_summary_many(clean: DataFrame, requests: DataFrame,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        cell_degrees: float = CELL_DEGREES) -> DataFrame:
+def cell_year_sums(totals: DataFrame) -> DataFrame:
+    """One row per grid cell: ``(cell, first_year, sums)``, the running sums of its years without gaps.
+
+    ``sums[k]`` holds the sums up to year ``first_year + k``, so a span of years
+    is the difference of two elements. Bounded by cells x years, whatever the
+    number of locations; a cell's window and list hold one entry a year.
+    """
+    run = Window.partitionBy("cell").orderBy("YEAR")
+    names = ("tavg_total", "tavg_count", "row_count")
+    yearly = totals.groupBy("cell", "YEAR").agg(*[F.sum(n).alias(n) for n in names])
+    summed = yearly.select(
+        "cell", "YEAR", *[F.sum(n).over(run).alias(n) for n in names],
+        F.coalesce(F.lead("YEAR").over(run) - 1, F.col("YEAR")).alias("_until"))
+    filled = summed.select("cell", F.explode(F.sequence("YEAR", "_until")).alias("year"), *names)
+    return filled.groupBy("cell").agg(
+        F.min("year").alias("first_year"), F.array_sort(F.collect_list(F.struct("year", *names))).alias("sums"))
+
+
+def region_summary_many(clean: DataFrame, requests: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
     """One row per request ``(region_id, lat1, lon1, lat2, lon2, start_year, end_year)``;
     ``region_id`` must be unique.
 
-    Plan: readings are pre-aggregated per location-year; request boxes are
-    expanded to grid cells (``cell_degrees``, 10 by default) so the range
-    join becomes an equi-join on the cell (broadcast when the expanded
-    requests are proven small, shuffle otherwise), followed by the exact
-    inclusive predicate. Requests with no matching rows are kept (mean
-    null, count 0).
+    Plan: readings are pre-aggregated per location-year. A request's box is
+    expanded to the grid cells it touches (``cell_degrees``, 10 by default).
+    Cells that lie inside the box are answered from running sums per cell and
+    year, two lookups a cell; only the locations in the cells on its border are
+    joined one by one and tested exactly (inclusive). Requests with no
+    matching rows are kept (mean null, count 0).
     """
     totals = location_year_totals(clean).withColumn("cell", grid_cell("LATITUDE", "LONGITUDE", cell_degrees))
-    req_cells = requests.select(
+    touched = requests.select(
         "region_id", "lat1", "lon1", "lat2", "lon2", "start_year", "end_year",
-        F.explode(grid_cells_of_box("lat1", "lon1", "lat2", "lon2", cell_degrees)).alias("cell"),
-    )
-    req_side, small = maybe_broadcast(req_cells, max_broadcast_rows)
+        F.inline(grid_cells_of_box("lat1", "lon1", "lat2", "lon2", cell_degrees)))
+
+    inner = touched.filter("inside").select("region_id", "start_year", "end_year", "cell").join(
+        cell_year_sums(totals), "cell")
+
+    def upto(year, name):
+        last = F.least(year - F.col("first_year"), F.size("sums") - 1)
+        return F.when(last >= 0, F.get("sums", last)[name]).otherwise(F.lit(0))
+
+    names = ("tavg_total", "tavg_count", "row_count")
+    inner_sums = inner.filter("start_year <= end_year").select("region_id", *[
+        (upto(F.col("end_year"), n) - upto(F.col("start_year") - 1, n)).alias(n) for n in names])
+
+    edge = touched.filter("not inside")
     cond = (
-        (totals["cell"] == req_side["cell"])
-        & in_rectangle(totals["LATITUDE"], totals["LONGITUDE"], req_side["lat1"], req_side["lon1"],
-                       req_side["lat2"], req_side["lon2"])
-        & totals["YEAR"].between(req_side["start_year"], req_side["end_year"])
-    )
-    matched = totals.join(req_side, cond, "inner").groupBy("region_id").agg(
-        F.sum("tavg_total").alias("tavg_total"),
-        F.sum("tavg_count").alias("tavg_count"),
-        F.sum("row_count").alias("row_count"),
+        (totals["cell"] == edge["cell"])
+        & in_rectangle(totals["LATITUDE"], totals["LONGITUDE"], edge["lat1"], edge["lon1"], edge["lat2"], edge["lon2"])
+        & totals["YEAR"].between(edge["start_year"], edge["end_year"])
     )
-    # ``matched`` has at most one row per request: broadcast it when the
-    # requests were proven small.
-    req_ids = requests.select("region_id")
-    out = req_ids.join(F.broadcast(matched) if small else matched, "region_id", "left")
-    return out.select(
+    edge_sums = totals.join(edge, cond).select("region_id", *names)
+    matched = inner_sums.unionByName(edge_sums).groupBy("region_id").agg(*[F.sum(n).alias(n) for n in names])
+    return requests.select("region_id").join(matched, "region_id", "left").select(
         "region_id",
         mean_of_hundredths("tavg_total", "tavg_count").alias("average_temperature"),
         F.coalesce(F.col("row_count"), F.lit(0).cast("long")).alias("data_points"),
     )
 
 
-def station_country(stations: DataFrame, regions: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    cell_degrees: float = CELL_DEGREES) -> DataFrame:
+# A cell with more boxes than this is cut into FINE x FINE smaller ones.
+DENSE_BOXES = 64
+FINE = 10
+
+
+def station_country(stations: DataFrame, regions: DataFrame, cell_degrees: float = CELL_DEGREES,
+                    dense_boxes: int = DENSE_BOXES) -> DataFrame:
     """Add ``country`` from a regions table ``(country, lat_min, lat_max, lon_min, lon_max)``.
 
     Boxes are half-open (``min <= x < max``). Several hits: the smallest box
     wins, then the smaller name. No hit: null, the station is kept;
     duplicate station rows are kept.
 
-    Plan when the boxes expanded to grid cells (``cell_degrees``) are proven small:
-    one row per cell holding the boxes that touch it, sorted by (area, name),
-    is broadcast; each station does one hash join on its cell and takes the
-    first box of its cell that contains it. Stations are never shuffled.
-    Beyond the limit: a shuffle equi-join of stations with the expanded
-    boxes on the cell, the exact predicate, and the best box per station.
+    Plan: one row per grid cell holds the boxes that touch it, sorted by
+    (area, name); each station looks up its cell and takes the first box that
+    contains it. A cell with more than ``dense_boxes`` boxes is cut into
+    smaller cells first, so its stations scan shorter lists. Spark chooses the
+    joins from run-time sizes; stations are never grouped.
     """
     station_cols = stations.columns
-    boxes = regions.select(
-        F.struct(
-            ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
-            F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max",
-        ).alias("_box"),
-        F.explode(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max", cell_degrees)).alias("_cell"),
-    )
     lat, lon = F.col("latitude"), F.col("longitude")
+    fine_degrees = cell_degrees / FINE
+    box = F.struct(
+        ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
+        F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max")
+    boxes = regions.select(
+        box.alias("box"), F.inline(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max", cell_degrees)))
+    counted = boxes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+
+    def lists(rows: DataFrame, key: str, name: str) -> DataFrame:
+        return rows.groupBy(F.col(key).alias(f"{name}_cell")).agg(F.array_sort(F.collect_list("box")).alias(f"{name}_boxes"))
+
+    is_dense = (F.col("n") > dense_boxes) & ~beyond_range("cell", cell_degrees)
+    coarse = boxes.join(counted.filter(~is_dense), "cell")
+    # The fine cells of a box within one dense cell: at most FINE x FINE.
+    dense = boxes.join(counted.filter(is_dense), "cell").select(
+        "cell", "box", F.explode(fine_cells("cell", "box", cell_degrees, FINE)).alias("fine"))
 
     def contains(b):
         return (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"])
 
-    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude", cell_degrees))
-    if has_at_most(boxes, max_broadcast_rows):
-        # Every per-cell list together holds at most the checked number of (box, cell) rows.
-        by_cell = boxes.groupBy("_cell").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
-        joined = keyed.join(F.broadcast(by_cell), "_cell", "left")
-        hits = F.filter("_boxes", contains)
-        return joined.select(*station_cols, F.get(hits, 0)["country"].alias("country"))
-
-    rowed = keyed.withColumn("_row", F.monotonically_increasing_id())
-    joined = rowed.join(boxes, (rowed["_cell"] == boxes["_cell"]) & contains(boxes["_box"]), "left")
-    best = joined.groupBy("_row").agg(
-        *[F.any_value(rowed[c]).alias(c) for c in station_cols],
-        F.min("_box").alias("_best"),
-    )
-    return best.select(*station_cols, F.col("_best.country").alias("country"))
+    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude", cell_degrees)).withColumn(
+        "_fine", fine_cell("latitude", "longitude", fine_degrees))
+    found = keyed.join(lists(coarse, "cell", "_coarse"), F.col("_cell") == F.col("_coarse_cell"), "left").join(
+        lists(dense, "fine", "_dense"), F.col("_fine") == F.col("_dense_cell"), "left")
+    hit = F.get(F.filter(F.coalesce("_coarse_boxes", "_dense_boxes"), contains), 0)
+    return found.select(*[F.col(c) for c in station_cols], hit["country"].alias("country"))
 
 
 def country_filter(with_country: DataFrame, exclude: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 from isotherm.session import cut_lineage
 
 # monotonically_increasing_id() puts the partition id in the upper 31 bits
@@ -43,31 +42,32 @@ INDEX_BLOCK = 4096
 
 
 def block_sample(df: DataFrame, ranges: DataFrame, order_by: list[str] | None = None,
-                 index_name: str = "row_index",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 index_name: str = "row_index") -> DataFrame:
     """Rows whose 0-based index lies in any half-open ``[start, end)`` of ``ranges``.
 
-    Overlapping ranges repeat rows, like extending a list with slices. The
-    range join is an equi-join on index blocks of ``INDEX_BLOCK`` rows: each
-    range is expanded to the blocks it touches (about length / block + 1
-    rows), joined on the block (broadcast when the expansion is proven
-    small, shuffle otherwise) and then tested exactly.
+    Overlapping ranges repeat rows, like extending a list with slices; ranges
+    that reach beyond the rows are cut to them. The range join is an equi-join
+    on index blocks of ``INDEX_BLOCK`` rows: each range is expanded to the
+    blocks of existing rows it touches, joined on the block and then tested
+    exactly. Spark chooses the join from run-time sizes.
     """
     indexed = with_row_index(df, index_name, order_by).withColumn(
         "_block", F.floor(F.col(index_name) / INDEX_BLOCK).cast("long")
     )
-    r = ranges.select(F.col("start").cast("long").alias("_start"), F.col("end").cast("long").alias("_end"))
-    blocks = r.filter(F.col("_end") > F.col("_start")).select(
-        "_start", "_end",
-        F.explode(F.sequence(F.floor(F.col("_start") / INDEX_BLOCK).cast("long"),
-                             F.floor((F.col("_end") - 1) / INDEX_BLOCK).cast("long"))).alias("_block"),
-    )
-    side, _ = maybe_broadcast(blocks, max_broadcast_rows)
+    # A scalar subquery: the last block that exists.
+    last = indexed.agg(F.max("_block")).scalar()
+    r = ranges.select(F.greatest(F.col("start").cast("long"), F.lit(0).cast("long")).alias("_start"),
+                      F.col("end").cast("long").alias("_end"))
+    first_block = F.floor(F.col("_start") / INDEX_BLOCK).cast("long")
+    last_block = F.least(F.floor((F.col("_end") - 1) / INDEX_BLOCK).cast("long"), last)
+    spans = r.filter(F.col("_end") > F.col("_start")).withColumn("_first", first_block).withColumn("_last", last_block)
+    blocks = spans.filter("_first <= _last").select(
+        "_start", "_end", F.explode(F.sequence("_first", "_last")).alias("_block"))
     cond = (
-        (indexed["_block"] == side["_block"])
-        & (indexed[index_name] >= side["_start"]) & (indexed[index_name] < side["_end"])
+        (indexed["_block"] == blocks["_block"])
+        & (indexed[index_name] >= blocks["_start"]) & (indexed[index_name] < blocks["_end"])
     )
-    return indexed.join(side, cond, "inner").drop("_start", "_end", "_block")
+    return indexed.join(blocks, cond, "inner").drop("_start", "_end", "_block")
 
 
 def random_ranges(spark: SparkSession, num_ranges: int, lower: int, upper: int,

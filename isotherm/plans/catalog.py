@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.operators import change, clean, metrics, regions, sampling, union
-from isotherm.operators.sizing import literal_table
-from isotherm.schemas import READING_COLUMNS, READINGS_SCHEMA, YEAR_RANGES
+from isotherm.operators.literals import literal_table
+from isotherm.schemas import FAHRENHEIT_ABOVE, READING_COLUMNS, READINGS_SCHEMA, TAVG_MIN, YEAR_RANGES
 from isotherm.session import scratch_path
 from isotherm.sources import listing, readings, standin, stations, store
 
-# Fixed columns of the test matrices (the stand-in's yearly means lie in 21..24).
-MATRIX_TEMPERATURES = list(range(18, 28))
+# Every whole degree that a clean reading (and so a mean) can have: -20 to 50.
+MATRIX_TEMPERATURES = list(range(TAVG_MIN, FAHRENHEIT_ABOVE + 1))
 # Region of the single-request query: stations 6 and 8 sit on its corners.
 SINGLE_REGION = (-48.0, -102.0, 26.0, 44.0, 1996, 1999)
 # Index ranges of the block sample, half-open.
@@ -63,6 +63,11 @@ def q_station_year_means(spark, sf):
     return metrics.station_year_means(_clean(spark, sf), scale=6)
 
 
+def q_station_year_means_default(spark, sf):
+    """The path of the batch job: means as doubles, rounded here only."""
+    return _round6(metrics.station_year_means(_clean(spark, sf)), "avg_temp", "avg_precip")
+
+
 def q_global_year_means(spark, sf):
     yearly = metrics.global_year_means(metrics.station_year_means(_clean(spark, sf)))
     return _round6(yearly, "global_avg_precip")
@@ -156,20 +161,82 @@ def q_align_columns(spark, sf):
 
 
 def q_union_all(spark, sf):
+    """Four disjoint ranges of supplier keys, a cut that the scans can push down."""
     li = standin.table(spark, sf, "lineitem")
-    part = F.pmod(F.col("l_suppkey"), F.lit(4))
-    parts = [standin.readings_from_lineitem(li.filter(part == k)) for k in range(3)]
-    parts.append(standin.readings_from_lineitem(li.filter(~F.coalesce(part.isin(0, 1, 2), F.lit(False)))))
-    return union.union_all(parts)
+    key = F.col("l_suppkey")
+    cuts = [key < 25, (key >= 25) & (key < 50), (key >= 50) & (key < 75), (key >= 75) | key.isNull()]
+    return union.union_all([standin.readings_from_lineitem(li.filter(c)) for c in cuts])
+
+
+# Files of one station each are written as one folder a station; the folder's name holds the id.
+FOLDER_PATTERN = r"STATION=([^/]+)/[^/]+$"
+
+
+def _write_station_files(df: DataFrame, path: str, header: bool = True) -> str:
+    """One CSV file per station, in a folder named by it."""
+    df.repartition("STATION").write.partitionBy("STATION").option("header", header).csv(path)
+    return path
+
+
+def _read_station_files(spark, path: str, only: DataFrame) -> DataFrame:
+    rows = readings.read_readings(spark, path, file_pattern="*.csv", recursive=True, keep_path=True, only=only,
+                                  id_pattern=FOLDER_PATTERN)
+    return rows.withColumn("STATION", F.regexp_extract("source_file", FOLDER_PATTERN, 1)).drop("source_file")
 
 
 def q_missing_stations(spark, sf):
-    # Readings of suppliers with key % 9 == 4 stand for station files that are absent.
-    li = standin.table(spark, sf, "lineitem").filter(F.col("l_suppkey") % 9 != 4)
-    present = standin.readings_from_lineitem(li).select(F.col("STATION").alias("station_id"))
+    """Stations of the list without a file of precipitation readings."""
+    rows = _readings(spark, sf).filter(F.col("PRCP").isNotNull())
+    path = _write_station_files(rows, scratch_path(spark, "precipitation"))
+    present = listing.present_station_ids(spark, path, recursive=True, id_pattern=FOLDER_PATTERN)
     return listing.missing_stations(standin.stations(spark, sf), present)
 
 
+def _station_list(spark, sf, name: str) -> DataFrame:
+    """The list of stations at or above sea level, written as text and read back."""
+    path = scratch_path(spark, name)
+    station_lines(spark, sf, F.col("s_acctbal") >= 0).write.text(path)
+    return stations.read_stations(spark, path)
+
+
+def q_listed_ingest(spark, sf):
+    """Files of all stations; only those of listed stations are read."""
+    path = _write_station_files(_readings(spark, sf), scratch_path(spark, "files"))
+    return _read_station_files(spark, path, _station_list(spark, sf, "list"))
+
+
+def q_sampled_ingest(spark, sf):
+    """Ranges of the ordered station list -> their files -> clean rows."""
+    ranges = literal_table(spark, SAMPLE_RANGES, "start long, end long")
+    chosen = sampling.block_sample(_station_list(spark, sf, "sampled-list"), ranges, order_by=["station_id"])
+    path = _write_station_files(_readings(spark, sf), scratch_path(spark, "sampled-files"))
+    return clean.clean_readings(_read_station_files(spark, path, chosen))
+
+
+def q_headerless_files(spark, sf):
+    """Stations whose file of rows with line status F was written without a header."""
+    li = standin.table(spark, sf, "lineitem")
+    open_rows = standin.readings_from_lineitem(li.filter("l_linestatus = 'O'"))
+    other_rows = standin.readings_from_lineitem(li.filter("l_linestatus is distinct from 'O'"))
+    base = scratch_path(spark, "headers")
+    _write_station_files(open_rows, f"{base}/with")
+    _write_station_files(other_rows, f"{base}/without", header=False)
+    found = readings.headerless_files(spark, base, file_pattern="*.csv", recursive=True)
+    return found.select(F.regexp_extract("source_file", FOLDER_PATTERN, 1).alias("station_id"),
+                        F.regexp_extract("source_file", "/(with|without)/", 1).alias("written")).distinct()
+
+
+def q_station_file_paths(spark, sf):
+    return listing.station_file_paths(standin.stations(spark, sf), "s3a://raw/readings/")
+
+
+def q_year_range_export(spark, sf):
+    """The export written by year range and read back."""
+    path = scratch_path(spark, "export")
+    store.write_year_ranges(_clean(spark, sf), path)
+    return store.read_year_ranges(spark, path)
+
+
 def q_station_country(spark, sf):
     return regions.station_country(standin.stations(spark, sf), standin.country_regions(spark, sf))
 
@@ -178,10 +245,11 @@ def q_country_filter(spark, sf):
     return regions.country_filter(q_station_country(spark, sf), EXCLUDED_COUNTRY)
 
 
-def station_lines(spark: SparkSession, sf: str) -> DataFrame:
+def station_lines(spark: SparkSession, sf: str, keep: F.Column | None = None) -> DataFrame:
     """Station text lines built from ``supplier``: runs of spaces and tabs,
     two-word names, GSN and numeric flags chosen by ``s_suppkey % 4``."""
     s = standin.table(spark, sf, "supplier")
+    s = s if keep is None else s.filter(keep)
     k = F.col("s_suppkey")
     sep = F.when(k % 5 == 0, F.lit("\t")).otherwise(F.repeat(F.lit(" "), (k % 3 + 1).cast("int")))
     gsn = F.when((k % 4 == 1) | (k % 4 == 3), F.lit(" GSN")).otherwise(F.lit(""))
@@ -199,7 +267,10 @@ def station_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_station_parse(spark, sf):
-    return stations.parse_station_lines(station_lines(spark, sf))
+    """The list written as text and read back."""
+    path = scratch_path(spark, "station-list")
+    station_lines(spark, sf).write.text(path)
+    return stations.read_stations(spark, path)
 
 
 def q_readings_ingest(spark, sf):
@@ -234,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seasonal_avg": q_seasonal_avg,
     "station_datapoints": q_station_datapoints,
     "station_year_means": q_station_year_means,
+    "station_year_means_default": q_station_year_means_default,
     "global_year_means": q_global_year_means,
     "year_change": q_year_change,
     "temp_change_matrix": q_temp_change_matrix,
@@ -255,6 +327,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "align_columns": q_align_columns,
     "union_all": q_union_all,
     "missing_stations": q_missing_stations,
+    "listed_ingest": q_listed_ingest,
+    "sampled_ingest": q_sampled_ingest,
+    "headerless_files": q_headerless_files,
+    "station_file_paths": q_station_file_paths,
+    "year_range_export": q_year_range_export,
     "station_country": q_station_country,
     "country_filter": q_country_filter,
     "station_parse": q_station_parse,
@@ -280,8 +357,14 @@ def _sql_mean2(col: str) -> str:
     return _sql_mean(col, 2)
 
 
-_READINGS_SELECT = """
-  'ST' || lpad(cast(l_suppkey AS varchar), 6, '0') AS STATION,
+def _sql_station(key: str) -> str:
+    """The station id of a key; DuckDB's lpad cuts longer texts too."""
+    digits = f"cast({key} AS varchar)"
+    return f"'ST' || CASE WHEN length({digits}) >= 6 THEN {digits} ELSE lpad({digits}, 6, '0') END"
+
+
+_READINGS_SELECT = f"""
+  {_sql_station('l_suppkey')} AS STATION,
   strftime(l_shipdate, '%Y-%m') AS DATE,
   cast((l_suppkey * 37) % 180 - 90 AS double) AS LATITUDE,
   cast((l_suppkey * 73) % 360 - 180 AS double) AS LONGITUDE,
@@ -314,7 +397,7 @@ changes AS (
   SELECT *, lag(rounded_global_avg_temp) OVER (ORDER BY YEAR) AS prev_rounded_global_avg_temp,
          lag(global_avg_precip) OVER (ORDER BY YEAR) AS prev_global_avg_precip FROM yearly),
 stations AS (
-  SELECT 'ST' || lpad(cast(s_suppkey AS varchar), 6, '0') AS station_id,
+  SELECT {_sql_station('s_suppkey')} AS station_id,
          cast((s_suppkey * 37) % 180 - 90 AS double) AS latitude,
          cast((s_suppkey * 73) % 360 - 180 AS double) AS longitude,
          cast(s_acctbal AS double) AS elevation, s_name AS station_name,
@@ -322,10 +405,10 @@ stations AS (
   FROM supplier),
 regions AS (
   SELECT n_name AS country, cast((n_nationkey // 5) * 36 - 90 AS double) AS lat_min,
-         cast((n_nationkey // 5) * 36 - 90 + 36 AS double) AS lat_max,
+         least(cast((n_nationkey // 5) * 36 - 90 + 36 AS double), 66.0) AS lat_max,
          cast((n_nationkey % 5) * 72 - 180 AS double) AS lon_min,
          cast((n_nationkey % 5) * 72 - 180 + 72 AS double) AS lon_max
-  FROM nation WHERE n_nationkey <> 24),
+  FROM nation),
 station_country AS (
   SELECT s.*, (SELECT r.country FROM regions r
                WHERE s.latitude >= r.lat_min AND s.latitude < r.lat_max
@@ -344,7 +427,8 @@ def _with(body: str) -> str:
 
 def _matrix_sql(value: str) -> str:
     cells = ",\n  ".join(
-        f"max(CASE WHEN rounded_global_avg_temp = {t} THEN {value} END) AS t{t}" for t in MATRIX_TEMPERATURES
+        f"max(CASE WHEN rounded_global_avg_temp = {t} THEN {value} END) AS {change.temp_column_name(t)}"
+        for t in MATRIX_TEMPERATURES
     )
     return _with(f"SELECT YEAR,\n  {cells}\nFROM changes GROUP BY YEAR")
 
@@ -368,6 +452,9 @@ ORACLE_SQL: dict[str, str] = {
     "station_year_means": _with(
         f"SELECT STATION, YEAR, {_sql_mean('TAVG', 6)} AS avg_temp, {_sql_mean('PRCP', 6)} AS avg_precip "
         "FROM clean GROUP BY STATION, YEAR"),
+    "station_year_means_default": _with(
+        f"SELECT STATION, YEAR, {_sql_mean('TAVG', 6)} AS avg_temp, {_sql_mean('PRCP', 6)} AS avg_precip "
+        "FROM clean GROUP BY STATION, YEAR"),
     "global_year_means": _with(
         "SELECT YEAR, rounded_global_avg_temp, round(global_avg_precip, 6) AS global_avg_precip "
         "FROM yearly ORDER BY YEAR"),
@@ -431,12 +518,25 @@ ORACLE_SQL: dict[str, str] = {
         f"FROM (SELECT {_READINGS_SELECT}, l_linestatus FROM lineitem)"),
     "union_all": _with(f"SELECT {_READING_COLS} FROM readings"),
     "missing_stations": _with(
-        "SELECT * FROM stations WHERE station_id NOT IN (SELECT DISTINCT "
-        "'ST' || lpad(cast(l_suppkey AS varchar), 6, '0') FROM lineitem WHERE l_suppkey % 9 <> 4)"),
+        "SELECT * FROM stations WHERE station_id NOT IN (SELECT STATION FROM readings WHERE PRCP IS NOT NULL)"),
+    "listed_ingest": _with(
+        f"SELECT {_READING_COLS} FROM readings WHERE STATION IN (SELECT station_id FROM stations WHERE elevation >= 0)"),
+    "sampled_ingest": _with(
+        f"SELECT {_CLEAN_COLS} FROM clean WHERE STATION IN (SELECT station_id FROM (SELECT station_id, "
+        "row_number() OVER (ORDER BY station_id) - 1 AS i FROM stations WHERE elevation >= 0) WHERE "
+        + " OR ".join(f"(i >= {s} AND i < {e})" for s, e in SAMPLE_RANGES) + ")"),
+    "headerless_files": (
+        f"SELECT DISTINCT {_sql_station('l_suppkey')} AS station_id, 'without' AS written FROM lineitem "
+        "WHERE l_linestatus IS DISTINCT FROM 'O'"),
+    "station_file_paths": _with(
+        "SELECT station_id, 's3a://raw/readings/' || station_id || '.csv' AS path FROM stations"),
+    "year_range_export": _with(
+        f"SELECT * FROM (SELECT {_CLEAN_COLS}, {_year_range_case()} AS year_range FROM clean) "
+        "WHERE year_range IS NOT NULL"),
     "station_country": _with("SELECT * FROM station_country"),
     "country_filter": _with(f"SELECT * FROM station_country WHERE country <> '{EXCLUDED_COUNTRY}'"),
     "station_parse": (
-        "SELECT 'ST' || lpad(cast(s_suppkey AS varchar), 6, '0') AS station_id,\n"
+        f"SELECT {_sql_station('s_suppkey')} AS station_id,\n"
         "  cast((s_suppkey * 37) % 180 - 90 AS double) AS latitude,\n"
         "  cast((s_suppkey * 73) % 360 - 180 AS double) AS longitude,\n"
         "  cast(s_acctbal AS double) AS elevation,\n"

@@ -27,19 +27,8 @@ READINGS_SCHEMA = T.StructType(
         T.StructField("PRCP", T.DoubleType(), True),
     ]
 )
-EXTREME_FIELDS = [
-    T.StructField("TMAX", T.DoubleType(), True),
-    T.StructField("TMIN", T.DoubleType(), True),
-]
-CLEAN_EXTRA_FIELDS = [
-    T.StructField("YEAR", T.IntegerType(), True),
-    T.StructField("MONTH", T.IntegerType(), True),
-    T.StructField("SEASON", T.StringType(), True),
-]
-
 # ---------------------------------------------------------------------------
-# Fixed values. These must equal the values of the application we reproduce,
-# otherwise results differ. Kept together, as plain text, in natural order.
+# Fixed values, on which results depend. Kept together, as plain text, in natural order.
 # ---------------------------------------------------------------------------
 
 # Target columns of a monthly reading, in output order.
@@ -76,7 +65,7 @@ GSN_TOKEN = "GSN"
 # First header field of every monthly CSV file.
 HEADER_MARKER = "STATION"
 
-# Number of CSV files the original job read per batch.
+# Number of CSV files of one ingest batch.
 FILES_PER_BATCH = 500
 
 # Decimal places: readings and seasonal/station means use 2, the global

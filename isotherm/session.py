@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -37,29 +38,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only a local session without the setting gets a folder of its own.
+    On a cluster, a path without a scheme is refused when the default file
+    system is the machine's own disk. Only a local session without the setting
+    gets a folder of its own.
     """
     sc = spark.sparkContext
+    local = sc.master.startswith("local[") or sc.master == "local"
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if configured and not local and "://" not in configured and not configured.startswith("file:"):
+        default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            raise RuntimeError(f"{CHECKPOINT_CONF}={configured} is a local path; executors need a shared folder")
     current = sc.getCheckpointDir()
     if current:
         return current
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not local:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; a cluster run needs a shared folder for checkpoints"
         )
-    local = tempfile.mkdtemp(prefix="isotherm-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    own = tempfile.mkdtemp(prefix="isotherm-ckpt-")
+    sc.setCheckpointDir(own)
+    _delete_on_exit(spark, own)
+    return sc.getCheckpointDir() or own
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make the folder now, and have the driver's JVM remove it when it ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch-{name}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared checkpoint folder, removed when the session's JVM ends."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    _delete_on_exit(spark, folder)
+    return f"{folder}/{name}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -87,10 +105,15 @@ CLUSTER_CONF = {
 
 
 def cluster_session(app_name: str = "isotherm", extra: dict[str, str] | None = None) -> SparkSession:
-    """A session for a cluster: the submit-time master, the settings above
-    (submit-time values win), and the cluster's shared checkpoint folder."""
+    """A session for a cluster: the submit-time master, the settings above as
+    defaults (values given at submit time win; ``extra`` wins over both), and
+    the cluster's shared checkpoint folder."""
+    submitted = SparkConf()  # what spark-submit and spark-defaults.conf set
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**CLUSTER_CONF, **(extra or {})}.items():
+    for key, value in CLUSTER_CONF.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
+    for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)

@@ -6,19 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def present_station_ids(spark: SparkSession, directory: str, suffix: str = ".csv",
-                        recursive: bool = False) -> DataFrame:
-    """Station ids of the files present in ``directory`` (file stem).
-
-    Uses the binary-file source with only ``path`` selected, so no file
-    content is read: this is a distributed listing, not a scan.
-    """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+# The id of a file is its name without the suffix.
+STEM_PATTERN = r"([^/]+)\.csv$"
+
+
+def file_listing(spark: SparkSession, paths: str | list[str], file_pattern: str | None = None,
+                 recursive: bool = False) -> DataFrame:
+    """``path`` of every file. Uses the binary-file source with only the path
+    selected, so no content is read; the file index lists the directories (in
+    a Spark job when there are many), and the paths stay a DataFrame."""
+    reader = spark.read.format("binaryFile")
+    if file_pattern:
+        reader = reader.option("pathGlobFilter", file_pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    listing = reader.load(directory).select("path")
-    stem = F.regexp_extract(F.col("path"), r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1)
-    return listing.select(stem.alias("station_id"))
+    return reader.load(paths).select(F.col("_metadata.file_path").alias("path"))
+
+
+def present_station_ids(spark: SparkSession, directory: str, file_pattern: str = "*.csv",
+                        recursive: bool = False, id_pattern: str = STEM_PATTERN) -> DataFrame:
+    """Station ids of the files present in ``directory``: the pattern's group on the path."""
+    listing = file_listing(spark, directory, file_pattern, recursive)
+    return listing.select(F.regexp_extract(F.col("path"), id_pattern, 1).alias("station_id"))
 
 
 def missing_stations(stations: DataFrame, present_ids: DataFrame, id_column: str = "station_id") -> DataFrame:

@@ -3,60 +3,48 @@
 Spark's CSV reader with ``header=true`` takes column names from one file and
 applies them by position to every file, which misplaces columns when files
 differ. This reader aligns each file by its own header, without Python
-workers, in one of two modes:
-
-* **Whole files** (default; one station file is small). Each file is read
-  as one row (``wholetext``), split into lines, and the column positions
-  are taken from its first header line once per file. The data lines are
-  then exploded and each target column is picked by position. This is one
-  pass over the data with no join, no broadcast and no shuffle, and each
-  file is opened once. A task holds one file at a time, so a single file
-  must fit in a task's memory (a row is limited to 2 GB).
-* **Lines** (for files too large to be one row). ``read.text`` gives one
-  row per line with ``_metadata.file_path``. Header lines give a small
-  per-file table of column positions, joined back on the path: broadcast
-  when the number of listed files (known from the file index, no scan) is
-  under the limit, otherwise a shuffle join with AQE skew splitting. Large
-  files split across tasks are still aligned, at the cost of a second
-  pass over the candidate header lines.
+workers. One rule holds for every file, whatever its size: the header is the
+first line that names a known column and holds no numeric-looking field;
+lines before it, blank lines and later header lines are not data; a file
+without such a line has no data (``headerless_files`` reports it). Two modes
+give the same rows:
+
+* **Whole files** (small ones). Each file is read as one row (``wholetext``)
+  and split into lines; the column positions are taken from its header once
+  per file, and the lines after it are exploded and picked by position. One
+  pass with no join and no shuffle, and each file is opened once. A task
+  holds one file at a time.
+* **Lines** (files too large to be one row). ``read.text`` gives one row per
+  line with its file and block; a line's place in its file is its block's
+  start and its number within the task. Header lines give a small per-file
+  table of positions, joined back on the path and a salt of the block, so a
+  huge file is not one join key. Spark picks the join from run-time sizes.
 
 In both modes lines are split into unquoted CSV fields by a linear regex.
-Header lines are recognised as lines that name a known column and hold no
-numeric-looking field. Data lines carry a ``yyyy-MM`` date, so they are
-rejected by a cheap test on the raw text before any split. Picking uses
-``get``, which is null when a column is absent or a ragged line is short.
-Values are cast with ``try_cast``, so bad numbers become null. Quoted line
-breaks are not supported.
+Data lines carry a ``yyyy-MM`` date, so they are told from headers by a cheap
+test on the raw text before any split. Picking uses ``get``, which is null
+when a column is absent or a ragged line is short. Values are cast with
+``try_cast``, so bad numbers become null, and so do ``NaN`` and infinite ones.
+Quoted line breaks are not supported.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, StringType, StructType
 
 from isotherm.functions.text import csv_fields
-from isotherm.operators.sizing import DEFAULT_BROADCAST_ROWS
 from isotherm.schemas import HEADER_MARKER, READINGS_SCHEMA
+from isotherm.sources.listing import STEM_PATTERN, file_listing
 
 
-# The header is looked for among this many first non-blank lines of a file.
-HEADER_SEARCH_LINES = 5
-_SIZE_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower()
-    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
-    return int(digits) * _SIZE_UNITS.get(t[len(digits):], 1)
-
-
-def whole_file_limit(spark: SparkSession) -> int:
-    """Files up to Spark's estimated cost of opening a file
-    (``spark.sql.files.openCostInBytes``, 4 MB by default) are dominated by
-    opening, so reading each once as a whole row pays off; larger files are
-    better split across tasks line by line."""
-    return _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4194304"))
+# Files up to this size are read whole, larger ones line by line: the cost of
+# opening a file outweighs reading it about there. Both modes give the same rows.
+WHOLE_FILE_BYTES = 4 << 20
+# Large files: a block's lines join the header table under one of this many salts.
+HEADER_SALTS = 32
+_BLOCK_BYTES = 64 << 20
 
 
 # A field that starts like a number (optionally quoted). Every data line has
@@ -77,6 +65,13 @@ def header_predicate(fields: Column, names: list[str]) -> Column:
     return known & ~numeric
 
 
+def _number(value: Column, kind: DataType) -> Column:
+    """Null instead of NaN and the infinities, which no mean could carry."""
+    if not isinstance(kind, (FloatType, DoubleType)):
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
 def _pick(schema: StructType, keep_path: bool, flag_ragged: bool) -> list[Column]:
     """Target columns from fields ``_f`` and per-file positions ``_pos<i>`` / ``_width``."""
     cols = []
@@ -85,7 +80,7 @@ def _pick(schema: StructType, keep_path: bool, flag_ragged: bool) -> list[Column
         if isinstance(f.dataType, StringType):
             cols.append(value.alias(f.name))
         else:
-            cols.append(F.trim(value).try_cast(f.dataType).alias(f.name))
+            cols.append(_number(F.trim(value).try_cast(f.dataType), f.dataType).alias(f.name))
     if keep_path:
         cols.append(F.col("_path").alias("source_file"))
     if flag_ragged:
@@ -108,23 +103,13 @@ def align_files(files: DataFrame, schema: StructType = READINGS_SCHEMA,
     """
     names = [f.name for f in schema.fields]
     known = [header_marker, *names]
-    # Splitting on runs of line breaks drops empty lines without a per-element
-    # lambda (array lambdas are not code-generated); lines holding only
-    # blanks are dropped per row after the explode.
-    lines = F.split(F.regexp_replace(F.col("_content"), r"^[\r\n]+", ""), r"[\r\n]+", -1)
-    per_file = files.select("_path", lines.alias("_lines"))
-    # The first header-like line among the first lines of the file
-    # (raw-text test, then one split); data lines are not searched.
-    head = F.filter(F.slice("_lines", 1, HEADER_SEARCH_LINES), lambda x: F.trim(x) != "")
-    header = csv_fields(F.get(F.filter(head, header_candidate), 0))
-    with_header = per_file.select("_path", "_lines", header.alias("_hdr"))
+    with_header = _with_header(files, known)
     # The header test goes into the generator input rather than a filter: a
     # filter would be pushed below the projection with the file's split
     # inlined, repeating the split of the whole content per reference.
+    after = F.slice("_lines", F.col("_at") + 1, F.size("_lines"))
     exploded = with_header.select(
-        "_path", *_positions(F.col("_hdr"), names),
-        F.explode(F.when(header_predicate(F.col("_hdr"), known), F.col("_lines"))).alias("_line"),
-    )
+        "_path", *_positions(csv_fields("_hdr"), names), F.explode(F.when(F.col("_at") > 0, after)).alias("_line"))
     # Every line but blank lines and headers (a file may repeat its header line).
     fields = exploded.filter(F.trim(F.col("_line")) != "").select(
         "*", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f"))
@@ -132,43 +117,55 @@ def align_files(files: DataFrame, schema: StructType = READINGS_SCHEMA,
     return data.select(*_pick(schema, keep_path, flag_ragged))
 
 
+def _with_header(files: DataFrame, known: list[str]) -> DataFrame:
+    """``(_path, _lines, _hdr, _at)``: the lines of each whole file, its header line and that line's number (0: none)."""
+    # Splitting on runs of line breaks drops empty lines; lines holding only
+    # blanks are dropped per row after the explode.
+    lines = F.split(F.regexp_replace(F.col("_content"), r"^[\r\n]+", ""), r"[\r\n]+", -1)
+    is_header = lambda x: header_candidate(x) & header_predicate(csv_fields(x), known)
+    found = files.select("_path", lines.alias("_lines")).withColumn("_hdr", F.get(F.filter("_lines", is_header), 0))
+    return found.withColumn("_at", F.coalesce(F.array_position("_lines", F.col("_hdr")).cast("int"), F.lit(0)))
+
+
 def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
                 header_marker: str = HEADER_MARKER, keep_path: bool = False,
-                flag_ragged: bool = False, broadcast_headers: bool = True) -> DataFrame:
-    """Align CSV text lines ``(_path, _line)`` by each file's own header.
+                flag_ragged: bool = False) -> DataFrame:
+    """Align CSV text lines ``(_path, _block, _number, _line)`` by each file's own header.
 
-    Works on a batch frame and on a streaming micro-batch alike.
-    ``broadcast_headers`` must only be set when the number of files is
-    known to be bounded (the per-file header table is broadcast).
+    ``(_block, _number)`` orders the lines of a file. Works on a batch frame
+    and on a persisted streaming micro-batch alike.
     """
     names = [f.name for f in schema.fields]
     known = [header_marker, *names]
-    non_blank = lines.filter(F.trim(F.col("_line")) != "")
-    # Data lines are recognised on the raw text before splitting, so only
-    # candidate header lines are split on the header side, and the header
-    # test short-circuits for data lines on the data side.
-    fields = non_blank.select(
-        "_path", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f")
-    )
-    is_header = F.col("_cand") & header_predicate(F.col("_f"), known)
-
-    cand_fields = non_blank.filter(header_candidate(F.col("_line"))).select(
-        "_path", F.lit(True).alias("_cand"), csv_fields("_line").alias("_f")
-    )
-    positions = cand_fields.filter(is_header).select(
-        "_path", F.struct(*_positions(F.col("_f"), names)).alias("_h")
-    )
-    # One header per file even if a file repeats its header line (small: one row per file).
-    headers = positions.groupBy("_path").agg(F.min("_h").alias("_h")).select("_path", "_h.*")
-    if broadcast_headers:
-        headers = F.broadcast(headers)
-    data = fields.filter(~is_header)
-    return data.join(headers, "_path", "inner").select(*_pick(schema, keep_path, flag_ragged))
+    place = F.struct("_block", "_number")
+    headers = _header_lines(lines, known).groupBy("_path").agg(
+        F.min_by(F.struct(*_positions(F.col("_f"), names), place.alias("_at")), place).alias("_h"))
+    salted = headers.select("_path", "_h.*", F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt"))
+    # Data lines are recognised on the raw text before splitting, so the
+    # header test short-circuits for them.
+    fields = lines.filter(F.trim(F.col("_line")) != "").select(
+        "_path", place.alias("_place"), F.pmod(F.floor(F.col("_block") / _BLOCK_BYTES), F.lit(HEADER_SALTS)).cast("int").alias("_salt"),
+        header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f"))
+    data = fields.filter(~(F.col("_cand") & header_predicate(F.col("_f"), known)))
+    return data.join(salted, ["_path", "_salt"]).filter(F.col("_place") > F.col("_at")).select(
+        *_pick(schema, keep_path, flag_ragged))
+
+
+def _header_lines(lines: DataFrame, known: list[str]) -> DataFrame:
+    """The header lines, split; only lines that pass the raw-text test are split."""
+    candidates = lines.filter(header_candidate(F.col("_line"))).select("*", csv_fields("_line").alias("_f"))
+    return candidates.filter(header_predicate(F.col("_f"), known))
 
 
 def text_lines(text: DataFrame) -> DataFrame:
-    """``(_path, _line)`` from a text-source frame (batch or streaming)."""
-    return text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_line"))
+    """``(_path, _block, _number, _line)`` from a text-source frame (batch or streaming).
+
+    Lines of one block are numbered in order within their task; blocks are
+    ordered by their start.
+    """
+    return text.select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_number"), F.col("value").alias("_line"))
 
 
 def text_files(text: DataFrame) -> DataFrame:
@@ -190,7 +187,8 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
                   header_marker: str = HEADER_MARKER, keep_path: bool = False,
                   flag_ragged: bool = False, whole_files: bool | None = None,
                   file_pattern: str | None = None, recursive: bool = False,
-                  max_broadcast_files: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  whole_file_bytes: int = WHOLE_FILE_BYTES, only: DataFrame | None = None,
+                  id_pattern: str = STEM_PATTERN) -> DataFrame:
     """Read CSV files aligned by name to ``schema``.
 
     ``paths`` is a directory (with ``file_pattern`` such as ``"*.csv"`` and,
@@ -203,33 +201,45 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
     ``ragged`` (the line's field count differs from its header's).
 
+    ``only``: a table with ``station_id``; files whose id (``id_pattern`` on
+    the path) is not in it are left out, by a semi join before any split.
+
     ``whole_files=None`` (default) decides per file in one plan: files up to
-    ``whole_file_limit`` go through the whole-file mode, larger ones through
+    ``whole_file_bytes`` go through the whole-file mode, larger ones through
     the line mode, and the two are unioned. The split is a filter on
     ``_metadata.file_size``, which the file index applies while listing,
     so each branch opens only its own files (no extra listing job).
     ``True`` / ``False`` force one mode for all files.
     """
-    def whole(size_filter):
-        text = _text(spark, paths, file_pattern, recursive, wholetext=True)
-        if size_filter is not None:
-            text = text.filter(size_filter)
-        return align_files(text_files(text), schema, header_marker, keep_path, flag_ragged)
-
-    def lines(size_filter):
-        text = _text(spark, paths, file_pattern, recursive, wholetext=False)
-        # The file index has already listed the files on the driver: no scan.
-        # The count of all files bounds the count of the files in this branch.
-        n_files = len(text.inputFiles())
+    def branch(whole: bool, size_filter) -> DataFrame:
+        text = _text(spark, paths, file_pattern, recursive, wholetext=whole)
         if size_filter is not None:
             text = text.filter(size_filter)
-        return align_lines(text_lines(text), schema, header_marker, keep_path, flag_ragged,
-                           broadcast_headers=n_files <= max_broadcast_files)
+        rows = listed_only((text_files if whole else text_lines)(text), only, id_pattern)
+        return (align_files if whole else align_lines)(rows, schema, header_marker, keep_path, flag_ragged)
 
-    if whole_files is True:
-        return whole(None)
-    if whole_files is False:
-        return lines(None)
+    if whole_files is not None:
+        return branch(whole_files, None)
     size = F.col("_metadata.file_size")
-    limit = whole_file_limit(spark)
-    return whole(size <= limit).unionByName(lines(size > limit))
+    return branch(True, size <= whole_file_bytes).unionByName(branch(False, size > whole_file_bytes))
+
+
+def listed_only(rows: DataFrame, only: DataFrame | None, id_pattern: str = STEM_PATTERN) -> DataFrame:
+    """Rows whose file's id (the pattern's group on ``_path``) is a ``station_id`` of ``only``."""
+    if only is None:
+        return rows
+    ids = only.select(F.col("station_id").alias("_id")).distinct()
+    keyed = rows.withColumn("_file_id", F.regexp_extract("_path", id_pattern, 1))
+    return keyed.join(ids, F.col("_file_id") == F.col("_id"), "left_semi").drop("_file_id")
+
+
+def headerless_files(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
+                     header_marker: str = HEADER_MARKER, file_pattern: str | None = None,
+                     recursive: bool = False) -> DataFrame:
+    """``source_file`` of every file in which no header is recognised (its lines are not read as data)."""
+    known = [header_marker, *[f.name for f in schema.fields]]
+    lines = text_lines(_text(spark, paths, file_pattern, recursive, wholetext=False))
+    with_header = _header_lines(lines, known).select("_path").distinct()
+    # The listing reads no content, so files without any line are reported too.
+    listing = file_listing(spark, paths, file_pattern, recursive).select(F.col("path").alias("source_file"))
+    return listing.join(with_header, F.col("source_file") == F.col("_path"), "left_anti")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.operators.sizing import literal_table
+from isotherm.operators.literals import literal_table
 from isotherm.schemas import READING_COLUMNS, STATION_COLUMNS
 
 LINEITEM_COLUMNS = ["l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
@@ -25,8 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def station_id(key: str | Column) -> Column:
-    k = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit("ST"), F.lpad(k.cast("string"), 6, "0"))
+    """``ST`` and the key, padded to at least six digits (``lpad`` alone would cut longer keys)."""
+    digits = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit("ST"), F.when(F.length(digits) >= 6, digits).otherwise(F.lpad(digits, 6, "0")))
 
 
 def latitude_of(key: str | Column) -> Column:
@@ -91,14 +92,14 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One half-open box per nation (key 24 left out so some stations match none)."""
-    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") != 24)
+    """One half-open box per nation on a 5 x 5 grid; the northern row stops at 66 degrees, so some stations match none."""
+    n = table(spark, sf_dir, "nation")
     lat_min = (F.floor(F.col("n_nationkey") / 5) * 36 - 90).cast("double")
     lon_min = ((F.col("n_nationkey") % 5) * 72 - 180).cast("double")
     return n.select(
         F.col("n_name").alias("country"),
         lat_min.alias("lat_min"),
-        (lat_min + 36).alias("lat_max"),
+        F.least(lat_min + 36, F.lit(66.0)).alias("lat_max"),
         lon_min.alias("lon_min"),
         (lon_min + 72).alias("lon_max"),
     )

@@ -106,7 +106,8 @@ def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str
 
 
 def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The clean table; the folder column of an incrementally written store is left out."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",

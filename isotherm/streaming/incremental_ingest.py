@@ -1,15 +1,16 @@
-"""Incremental ingest of station CSV files with Structured Streaming.
-
-The original job walks its file list in fixed batches of 500 files, reading,
-aligning and appending each batch on the driver. Here the file source does
-the batching (``maxFilesPerTrigger``), remembers which files were processed
-in the checkpoint, and each micro-batch (whole files, one row each) is
-aligned by header, cleaned and written to the clean store. The same query picks up new station files when
-it is run again, and a failed batch is rerun from the checkpoint.
-
-Each micro-batch is written to its own ``batch=<id>`` directory in
-overwrite mode, so a batch that is replayed after a failure replaces its
-earlier partial output instead of duplicating it.
+"""Incremental ingest of CSV files with Structured Streaming.
+
+The file source does the batching (``maxFilesPerTrigger``) and remembers which
+files were processed in the checkpoint; each micro-batch (whole files, one row
+each) is aligned by header, cleaned and written to the clean store. The same
+query picks up new files when it is run again, and a failed batch is rerun
+from the checkpoint.
+
+Each micro-batch is written to its own ``batch=<id>`` directory in overwrite
+mode, so a batch that is replayed after a failure replaces its earlier partial
+output instead of duplicating it. Batch numbers belong to the checkpoint: a
+new checkpoint on a store that already holds batches is refused, as it would
+replace them.
 """
 
 from __future__ import annotations
@@ -19,47 +20,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isotherm.operators.clean import clean_readings
 from isotherm.schemas import FILES_PER_BATCH
-from isotherm.sources.readings import align_files, align_lines, text_files, text_lines
+from isotherm.sources.readings import align_files, text_files
 from isotherm.sources.store import write_clean_store
 
 
+def _holds(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether the folder has an entry that matches the glob pattern."""
+    full = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
+    found = full.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(full)
+    return found is not None and len(found) > 0
+
+
 def start_incremental_ingest(spark: SparkSession, source_dir: str, store_path: str,
                              checkpoint_location: str, files_per_batch: int = FILES_PER_BATCH,
                              available_now: bool = True, processing_time: str | None = None,
-                             whole_files: bool = True, file_pattern: str = "*.csv") -> StreamingQuery:
+                             file_pattern: str = "*.csv") -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination`` to wait).
 
     ``available_now`` processes every file present now in batches and stops;
     otherwise the query keeps running with ``processing_time`` triggers.
-    ``whole_files=True`` (station files are small) reads each file as one
-    row and aligns it in one pass. ``False`` streams lines, for sources
-    with large files: the micro-batch is persisted so the per-file header
-    table (at most ``files_per_batch`` rows, broadcast) and the data lines
-    come from one read.
     """
+    if not _holds(spark, checkpoint_location, "metadata") and _holds(spark, store_path, "batch=*"):
+        raise ValueError(f"{store_path} holds batches of another checkpoint than {checkpoint_location}")
     source = (
         spark.readStream.format("text")
-        .option("wholetext", whole_files)
+        .option("wholetext", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", file_pattern)
         .load(source_dir)
     )
-    rows = text_files(source) if whole_files else text_lines(source)
     base = store_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if whole_files:
-            aligned = align_files(batch)
-        else:
-            batch = batch.persist()
-            aligned = align_lines(batch, broadcast_headers=True)
-        try:
-            write_clean_store(clean_readings(aligned), f"{base}/batch={batch_id}", mode="overwrite")
-        finally:
-            if not whole_files:
-                batch.unpersist()
+        write_clean_store(clean_readings(align_files(batch)), f"{base}/batch={batch_id}", mode="overwrite")
 
-    writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    writer = text_files(source).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

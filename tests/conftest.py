@@ -32,6 +32,21 @@ def spark():
     yield session
 
 
+@pytest.fixture()
+def shuffle_joins(spark):
+    """Joins are shuffle joins within the test, whatever the sizes."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+
+    def on():
+        for k in keys:
+            spark.conf.set(k, "-1")
+
+    yield on
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL

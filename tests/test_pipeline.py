@@ -3,7 +3,7 @@
 import pytest
 
 from isotherm.operators import clean, metrics
-from isotherm.plans.monthly_summary import run_monthly_summary
+from isotherm.plans.batch import run_batch
 from isotherm.sources import readings, store
 from isotherm.streaming import start_incremental_ingest
 
@@ -22,17 +22,30 @@ def station_list(tmp_path):
     return str(p)
 
 
-def test_run_monthly_summary(spark, tmp_path):
+def test_run_batch(spark, tmp_path):
     raw_dir = make_csv_dir(tmp_path)
+    (raw_dir / "stray.csv").write_text("STATION,DATE,TAVG\nZZ,2001-01,30.0\n")  # not in the list
+    (raw_dir / "bare.csv").write_text("Q,2001-01,30.0\n")
     regions = spark.createDataFrame(
         [("NORTH", 0.0, 90.0, -180.0, 180.0)], "country string, lat_min double, lat_max double, "
                                                "lon_min double, lon_max double")
-    out = run_monthly_summary(spark, station_list(tmp_path), str(raw_dir), str(tmp_path / "out"),
-                              country_regions=regions, matrix_temperatures=[13, 20])
-    assert set(out.written) == {"clean", "seasonal_avg", "station_datapoints", "year_change",
-                                "temp_change_matrix", "precip_change_matrix", "missing_stations",
-                                "station_country"}
-    expected_clean = clean.clean_readings(readings.read_readings(spark, str(raw_dir / "*.csv")))
+    out = run_batch(spark, station_list(tmp_path), str(raw_dir), str(tmp_path / "out"),
+                    country_regions=regions)
+    assert set(out.written) == {"stations", "raw", "headerless_files", "outlier_report", "clean", "seasonal_avg",
+                                "station_datapoints", "yearly_means", "year_change", "temp_change_matrix",
+                                "precip_change_matrix", "missing_stations", "station_country"}
+    read = lambda name: spark.read.parquet(out.path(name))
+    expected_raw = readings.read_readings(spark, str(raw_dir / "[a-d].csv"))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(read("raw")) == rows(expected_raw)
+    assert rows(read("outlier_report")) == rows(clean.outlier_report(expected_raw))
+    assert [r.source_file.rsplit("/", 1)[1] for r in read("headerless_files").collect()] == ["bare.csv"]
+    assert read("stations").count() == 5
+    expected_clean = clean.clean_readings(expected_raw)
+    exported = store.read_year_ranges(spark, out.path("clean"))
+    assert rows(exported.select("STATION", "DATE", "year_range")) == rows(
+        store.with_year_range(expected_clean).select("STATION", "DATE", "year_range"))
+    assert rows(read("yearly_means")) == rows(metrics.global_year_means(metrics.station_year_means(expected_clean)))
     got_clean = store.read_clean_store(spark, out.path("clean")).drop("year_range")
     assert sorted(map(tuple, got_clean.collect())) == sorted(map(tuple, expected_clean.select(*got_clean.columns).collect()))
     seasonal = spark.read.parquet(out.path("seasonal_avg"))
@@ -41,15 +54,26 @@ def test_run_monthly_summary(spark, tmp_path):
     assert [r.station_id for r in missing.collect()] == ["e"]
     countries = {r.station_id: r.country for r in spark.read.parquet(out.path("station_country")).collect()}
     assert countries == {"a": "NORTH", "b": None, "c": "NORTH", "d": "NORTH", "e": "NORTH"}
-    assert spark.read.parquet(out.path("temp_change_matrix")).columns == ["YEAR", "t13", "t20"]
+    matrix = read("temp_change_matrix")
+    assert len(matrix.columns) == 72 and matrix.columns[1] == "t_minus20" and matrix.columns[-1] == "t50"
 
 
-@pytest.mark.parametrize("whole_files", [True, False])
-def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path, whole_files):
+def test_run_batch_on_a_sample(spark, tmp_path):
+    raw_dir = make_csv_dir(tmp_path)
+    ranges = spark.createDataFrame([(0, 1), (3, 100)], "start long, end long")  # a, d, e
+    out = run_batch(spark, station_list(tmp_path), str(raw_dir), str(tmp_path / "sampled"), sample_ranges=ranges)
+    assert sorted(r.station_id for r in spark.read.parquet(out.path("stations")).collect()) == ["a", "d", "e"]
+    expected = readings.read_readings(spark, str(raw_dir / "[ad].csv"))
+    got = spark.read.parquet(out.path("raw"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert [r.station_id for r in spark.read.parquet(out.path("missing_stations")).collect()] == ["e"]
+
+
+def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path):
     raw_dir = make_csv_dir(tmp_path)
     store_path = str(tmp_path / "store")
     ckpt = str(tmp_path / "ckpt")
-    q = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1, whole_files=whole_files)
+    q = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1)
     q.awaitTermination()
     got = spark.read.parquet(store_path)
     # one file per batch; files c and d hold no valid temperature, so their batches are empty
@@ -60,13 +84,17 @@ def test_incremental_ingest_matches_batch_and_is_idempotent(spark, tmp_path, who
     expected = clean.clean_readings(readings.read_readings(spark, str(raw_dir / "*.csv"))).select(*cols)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, expected.collect()))
     # Running again with the same checkpoint processes nothing new.
-    q2 = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1, whole_files=whole_files)
+    q2 = start_incremental_ingest(spark, str(raw_dir), store_path, ckpt, files_per_batch=1)
     q2.awaitTermination()
     assert spark.read.parquet(store_path).count() == expected.count()
+    assert "batch" not in store.read_clean_store(spark, store_path).columns
+    # A new checkpoint would start at batch 0 again and replace what is there.
+    with pytest.raises(ValueError):
+        start_incremental_ingest(spark, str(raw_dir), store_path, str(tmp_path / "other"))
 
 
 def test_command_line_entry(spark, tmp_path):
-    from isotherm.plans.monthly_summary import main
+    from isotherm.plans.batch import main
     from isotherm.session import CLUSTER_CONF
 
     raw_dir = make_csv_dir(tmp_path)

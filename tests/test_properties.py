@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from isotherm.functions.text import csv_fields
 from isotherm.operators import regions
-from isotherm.operators.sizing import literal_table
+from isotherm.operators.literals import literal_table
 from isotherm.sources import stations
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -121,11 +121,11 @@ def test_station_country_matches_brute_force(spark, points, boxes, cell):
     box_df = spark.createDataFrame(boxes, "country string, lat_min double, lat_max double, "
                                           "lon_min double, lon_max double")
     got = {r.station_id: r.country for r in regions.station_country(st_df, box_df, cell_degrees=cell).collect()}
-    shuffled = {r.station_id: r.country
-                for r in regions.station_country(st_df, box_df, max_broadcast_rows=1, cell_degrees=cell).collect()}
+    cut = {r.station_id: r.country
+           for r in regions.station_country(st_df, box_df, cell_degrees=cell, dense_boxes=1).collect()}
     for i, (la, lo) in enumerate(points):
         assert got[f"S{i}"] == brute_country(la, lo, boxes), (la, lo)
-        assert shuffled[f"S{i}"] == got[f"S{i}"], (la, lo)
+        assert cut[f"S{i}"] == got[f"S{i}"], (la, lo)
 
 
 # --- the cleaning chain ---------------------------------------------------------

@@ -1,7 +1,7 @@
 """Region summaries and country lookup."""
 
 from isotherm.operators import regions
-from isotherm.operators.sizing import literal_table
+from isotherm.operators.literals import literal_table
 
 CLEAN = ("STATION string, DATE string, LATITUDE double, LONGITUDE double, TAVG double, "
          "PRCP double, YEAR int, MONTH int, SEASON string")
@@ -54,16 +54,17 @@ def test_region_summary_many_equals_single(spark):
     assert many[6] == (-5.0, 1)
 
 
-def test_region_summary_many_shuffle_path(spark):
+def test_region_summary_many_shuffle_path(spark, shuffle_joins):
     df = clean_rows(spark)
     req = literal_table(spark, REQUESTS, "region_id int, lat1 double, lon1 double, lat2 double, "
                                          "lon2 double, start_year int, end_year int")
     small = sorted(tuple(r) for r in regions.region_summary_many(df, req).collect())
-    big = sorted(tuple(r) for r in regions.region_summary_many(df, req, max_broadcast_rows=1).collect())
+    shuffle_joins()
+    big = sorted(tuple(r) for r in regions.region_summary_many(df, req).collect())
     assert small == big
 
 
-def test_station_country_overlaps_and_no_hit(spark):
+def test_station_country_overlaps_and_no_hit(spark, shuffle_joins):
     st = spark.createDataFrame(
         [("A", 5.0, 5.0), ("B", 15.0, 15.0), ("C", -50.0, -50.0), ("D", 10.0, 10.0), ("A", 5.0, 5.0)],
         "station_id string, latitude double, longitude double",
@@ -79,8 +80,11 @@ def test_station_country_overlaps_and_no_hit(spark):
     assert out == [("A", "TIE_A"), ("A", "TIE_A"), ("B", "BIG"), ("C", None), ("D", "BIG")]
     kept = regions.country_filter(regions.station_country(st, boxes), "BIG").collect()
     assert sorted(r.station_id for r in kept) == ["A", "A"]
-    # the shuffle path (regions too large to broadcast) gives the same answer
-    big = sorted((r.station_id, r.country) for r in regions.station_country(st, boxes, max_broadcast_rows=1).collect())
+    # cells cut finer give the same answer, and so do shuffle joins
+    fine = sorted((r.station_id, r.country) for r in regions.station_country(st, boxes, dense_boxes=1).collect())
+    assert fine == out
+    shuffle_joins()
+    big = sorted((r.station_id, r.country) for r in regions.station_country(st, boxes).collect())
     assert big == out
 
 

@@ -87,24 +87,73 @@ def test_ingest_plans(spark, tmp_path):
     # one pass over the files: no join, no shuffle
     assert "Join" not in whole and "Exchange" not in whole
     lines = _plan(readings.read_readings(spark, str(d / "*.csv"), whole_files=False))
-    assert "Python" not in lines and "BroadcastHashJoin" in lines
+    assert "Python" not in lines and "NestedLoop" not in lines
     # default: both branches in one plan, split by the file size the index knows
     both = _plan(readings.read_readings(spark, str(d / "*.csv")))
     assert "Union" in both and "file_size" in both
 
 
-def test_ingest_routes_files_by_size(spark, tmp_path):
-    d = tmp_path / "mixed"
+HEADER_LINES = [1, 7, 100]
+
+
+@pytest.mark.parametrize("header_line", HEADER_LINES)
+@pytest.mark.parametrize("rows", [12, 200_000])
+def test_header_on_any_line_in_small_and_large_files(spark, tmp_path, header_line, rows):
+    # About 200 bytes, and about 5 MB (beyond the whole-file limit).
+    d = tmp_path / "any"
+    d.mkdir()
+    before = "".join(f"9,9999-01,note {i}\n" for i in range(header_line - 1))
+    data = "".join(f"{i}.5,20{i % 100:02d}-01,S{i % 1000},some filler\n" for i in range(rows))
+    _write(d, "f.csv", before + "TAVG,DATE,STATION,NOTE\n" + data)
+    want = (rows, sum(i + 0.5 for i in range(rows)))
+    for mode in (None, True, False):
+        df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=mode)
+        got = df.agg({"*": "count", "TAVG": "sum"}).first()
+        assert (got["count(1)"], got["sum(TAVG)"]) == want, mode
+
+
+def test_files_without_a_header_are_reported(spark, tmp_path):
+    d = tmp_path / "some"
     d.mkdir()
-    _write(d, "small.csv", "STATION,DATE,TAVG\nS,2001-01,1.0\n")
-    _write(d, "large.csv", "DATE,TAVG,STATION\n" + "".join(f"2001-{m:02d},{m}.5,L\n" for m in range(1, 13)))
-    old = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", "100")  # small.csv < 100 bytes < large.csv
+    _write(d, "good.csv", "STATION,DATE,TAVG\nS,2001-01,1.0\n")
+    _write(d, "bare.csv", "S,2001-01,1.0\n")
+    _write(d, "empty.csv", "")
+    found = readings.headerless_files(spark, str(d), file_pattern="*.csv").collect()
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in found) == ["bare.csv", "empty.csv"]
+
+
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_only_listed_files_are_read(spark, tmp_path, whole_files):
+    d = make_csv_dir(tmp_path)
+    only = spark.createDataFrame([("a",), ("a",), ("zz",), (None,)], "station_id string")
+    df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=whole_files, only=only, keep_path=True)
+    assert {r.source_file.rsplit("/", 1)[1] for r in df.collect()} == {"a.csv"}
+
+
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_not_a_number_is_missing(spark, tmp_path, whole_files):
+    from isotherm.operators import clean, metrics
+
+    d = tmp_path / "nan"
+    d.mkdir()
+    _write(d, "n.csv", "STATION,DATE,TAVG,PRCP\nS,2001-01,1.0,NaN\nS,2001-02,3.0,Infinity\nS,2001-03,2.0,4.0\n")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     try:
-        rows = sorted((r.STATION, r.DATE, r.TAVG) for r in readings.read_readings(spark, str(d / "*.csv")).collect())
+        rows = clean.clean_readings(readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=whole_files))
+        for scale in (None, 6):
+            r = metrics.station_year_means(rows, scale).first()
+            assert (r.avg_temp, r.avg_precip) == (2.0, 4.0)
     finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", old)
-    assert rows == [("L", f"2001-{m:02d}", m + 0.5) for m in range(1, 13)] + [("S", "2001-01", 1.0)]
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_ids_are_never_cut(spark):
+    from isotherm.sources.standin import station_id
+
+    keys = [1, 99_999, 100_000, 1_000_000, 1_000_001, 123_456_789]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long").select(station_id("k").alias("s")).collect()
+    assert [r.s for r in rows] == ["ST000001", "ST099999", "ST100000", "ST1000000", "ST1000001", "ST123456789"]
 
 
 def test_missing_stations_from_listing(spark, tmp_path):
@@ -157,16 +206,11 @@ def test_ingest_repeated_header_blank_lines_and_crlf(spark, tmp_path, whole_file
     assert sorted((r.STATION, r.DATE, r.TAVG) for r in df.collect()) == [("R", "2001-01", 1.5), ("R", "2001-02", 2.5)]
 
 
-def test_ingest_line_mode_shuffle_join(spark, tmp_path):
-    # more files than the broadcast limit: the per-file header table is shuffle-joined
+def test_ingest_line_mode_shuffle_join(spark, tmp_path, shuffle_joins):
     d = make_csv_dir(tmp_path)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no size-based broadcast either
-    try:
-        df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=False, max_broadcast_files=0)
-        assert "SortMergeJoin" in _plan(df)
-        got = sorted(map(tuple, df.collect()))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     expected = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=True)
-    assert got == sorted(map(tuple, expected.collect()))
+    want = sorted(map(tuple, expected.collect()))
+    shuffle_joins()
+    df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=False)
+    assert "SortMergeJoin" in _plan(df)
+    assert sorted(map(tuple, df.collect())) == want

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from isotherm.operators import sampling, union
-from isotherm.operators.sizing import literal_table
+from isotherm.operators.literals import literal_table
 from isotherm.schemas import YEAR_RANGES
 from isotherm.sources import store
 
@@ -65,15 +65,23 @@ def test_row_index_contiguous_over_partitions(spark):
     assert all(r.v == 3 * r.row_index for r in out)
 
 
-def test_block_sample_half_open_and_overlaps(spark):
+def test_block_sample_half_open_and_overlaps(spark, shuffle_joins):
     df = spark.range(0, 50, 1, 4).withColumnRenamed("id", "k")
     ranges = literal_table(spark, [(0, 2), (5, 9), (7, 8), (49, 60)], "start long, end long")
     got = sorted(r.k for r in sampling.block_sample(df, ranges, order_by=["k"]).collect())
     assert got == [0, 1, 5, 6, 7, 7, 8, 49]
-    big = sorted(r.k for r in sampling.block_sample(df, ranges, order_by=["k"], max_broadcast_rows=1).collect())
+    shuffle_joins()
+    big = sorted(r.k for r in sampling.block_sample(df, ranges, order_by=["k"]).collect())
     assert big == got
 
 
+def test_block_sample_cuts_ranges_to_the_rows(spark):
+    df = spark.range(10).withColumnRenamed("id", "k")
+    ranges = literal_table(spark, [(-5, 10**13), (20, 10**15)], "start long, end long")
+    assert sorted(r.k for r in sampling.block_sample(df, ranges, order_by=["k"]).collect()) == list(range(10))
+    assert sampling.block_sample(df.limit(0), ranges, order_by=["k"]).count() == 0
+
+
 @settings(max_examples=15, deadline=None)
 @given(n=st.integers(1, 40), lower=st.integers(1, 500), width=st.integers(60, 5000), max_len=st.integers(5, 50))
 def test_random_ranges_bounds(spark, n, lower, width, max_len):
@@ -100,12 +108,3 @@ def test_clean_store_keeps_rows_outside_the_ranges(spark, tmp_path):
     back = store.read_clean_store(spark, path)
     assert back.count() == 4  # the whole clean table
     assert sorted(r.YEAR for r in store.read_year_ranges(spark, path).collect()) == [1999]  # the export
-
-
-def test_byte_strings():
-    from isotherm.sources.readings import _bytes
-
-    assert _bytes("4194304") == 4194304
-    assert _bytes("4m") == _bytes("4MB") == 4 * 1024 * 1024
-    assert _bytes("512k") == 512 * 1024
-    assert _bytes("1g") == 1 << 30

@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "benchmark", "labels"]
 
 
 def duckdb_connection(sf_dir: str):
