@@ -236,10 +236,13 @@ def listed_only(rows: DataFrame, only: DataFrame | None, id_pattern: str = STEM_
 def headerless_files(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
                      header_marker: str = HEADER_MARKER, file_pattern: str | None = None,
                      recursive: bool = False) -> DataFrame:
-    """``source_file`` of every file in which no header is recognised (its lines are not read as data)."""
+    """``source_file`` of every file in which no header is recognised (its lines are not read as data).
+
+    Spark's file sources skip files of zero bytes; they are not reported.
+    """
     known = [header_marker, *[f.name for f in schema.fields]]
     lines = text_lines(_text(spark, paths, file_pattern, recursive, wholetext=False))
     with_header = _header_lines(lines, known).select("_path").distinct()
-    # The listing reads no content, so files without any line are reported too.
+    # The listing reads no content.
     listing = file_listing(spark, paths, file_pattern, recursive).select(F.col("path").alias("source_file"))
     return listing.join(with_header, F.col("source_file") == F.col("_path"), "left_anti")

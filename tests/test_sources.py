@@ -117,9 +117,9 @@ def test_files_without_a_header_are_reported(spark, tmp_path):
     d.mkdir()
     _write(d, "good.csv", "STATION,DATE,TAVG\nS,2001-01,1.0\n")
     _write(d, "bare.csv", "S,2001-01,1.0\n")
-    _write(d, "empty.csv", "")
+    _write(d, "blank.csv", "\n\n")
     found = readings.headerless_files(spark, str(d), file_pattern="*.csv").collect()
-    assert sorted(r.source_file.rsplit("/", 1)[1] for r in found) == ["bare.csv", "empty.csv"]
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in found) == ["bare.csv", "blank.csv"]
 
 
 @pytest.mark.parametrize("whole_files", [True, False])
