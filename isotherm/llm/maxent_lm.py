@@ -35,21 +35,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.llm.common import LOWER, scratch_table, text_slices
 
-CHUNK_TOKENS = 300_000  # tokens of a chunk; a longer document is a chunk of its own
+CHUNK_TOKENS = 600_000  # tokens of a chunk; a longer document is a chunk of its own
 HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 24, 32, 8
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HEAD_SHARE = 1 / 20_000  # words with this share of the tokens may become head words: 20,000 at most
-BUCKETS_1, BUCKETS_2 = 1 << 14, 1 << 15  # hashed features of the class and of the word factor
+BUCKETS_1, BUCKETS_2 = 1 << 14, 1 << 14  # hashed features of the class and of the word factor; at most 2^16
 FEATURES = 4
-ROUNDS = 4
+ROUNDS = 3
 RATE = 0.12
 BATCH = 4096  # tokens of a gradient step
+CACHE_WORDS = 400_000  # words whose hash a worker remembers; it starts afresh beyond that
+SPAN = 16 * BATCH  # tokens whose features are held at a time
 SLICE = 1 << 15  # weights that travel in one row
 END = np.uint64(8)  # the end token's hash; its low bits are tail class 0
 
@@ -79,6 +82,27 @@ def word_id(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) | 16) & ~7 | tail_class(word)
 
 
+class _WordIds(dict):
+    """Hashes by word, kept while there are not too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        found = self[word] = word_id(word)
+        return found
+
+
+_WORD_IDS = _WordIds()
+
+
+def packed(a: np.ndarray, kind: str) -> bytes:
+    return zstandard.compress(a.astype(kind).tobytes(), 3)
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
+
+
 def encode_chunks(docs: DataFrame, held_out: F.Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Chunks of documents: ids, flags, lengths, distinct words' hashes, their training counts, tokens."""
 
@@ -86,7 +110,7 @@ def encode_chunks(docs: DataFrame, held_out: F.Column, id_col: str = "doc_id", t
         task, number = TaskContext.get().partitionId(), itertools.count()
 
         def chunk() -> pa.RecordBatch:
-            hashes = np.fromiter(map(word_id, words), dtype=np.uint64, count=len(words))
+            hashes = np.fromiter(map(_WORD_IDS.__getitem__, words), dtype=np.uint64, count=len(words))
             hashes = np.concatenate([[END], hashes])
             flat = np.concatenate(tokens)
             train = np.repeat([not h for h in held], [len(t) for t in tokens])
@@ -94,7 +118,7 @@ def encode_chunks(docs: DataFrame, held_out: F.Column, id_col: str = "doc_id", t
             return pa.RecordBatch.from_pylist([{
                 "chunk": (task << 32) | next(number), "ids": ids, "held": held, "lengths": [len(t) for t in tokens],
                 "trained": int(counts.sum()), "hashes": hashes.astype("<u8").tobytes(),
-                "counts": counts.astype("<i8").tobytes(), "tokens": flat.astype("<u4").tobytes()}], _CHUNK_ARROW)
+                "counts": packed(counts, "<u4"), "tokens": packed(flat, "<u4")}], _CHUNK_ARROW)
 
         ids, held, tokens, size = [], [], [], 0
         words: dict[bytes, int] = defaultdict(itertools.count(1).__next__)
@@ -166,7 +190,7 @@ def count_words(chunks: DataFrame) -> tuple[Vocabulary, DataFrame]:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, h, c in zip(*(batch.column(n).to_pylist() for n in ("chunk", "hashes", "counts"))):
-                hashes, counts = np.frombuffer(h, "<u8"), np.frombuffer(c, "<i8")
+                hashes, counts = np.frombuffer(h, "<u8"), unpacked(c, "<u4")
                 order, bounds = _by_shard(hashes, shards)
                 used = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
                 hashes, counts = hashes[order], counts[order]
@@ -178,7 +202,7 @@ def count_words(chunks: DataFrame) -> tuple[Vocabulary, DataFrame]:
     def gather(group: pa.Table) -> pa.Table:
         blobs = group.column("hashes").to_pylist()
         hashes = np.frombuffer(b"".join(blobs), "<u8")
-        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<i8")
+        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<u4")
         distinct, at = np.unique(hashes, return_inverse=True)
         # Sums of int64 stay exact: floats of bincount would round beyond 2^53.
         summed = np.zeros(len(distinct), dtype=np.int64)
@@ -234,10 +258,14 @@ _ANSWER_ARROW = pa.schema([
     ("tokens", pa.list_(pa.int64())), ("head", pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())])))])
 
 
-def context_hashes(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The hashed features of every token of concatenated texts: (tokens, FEATURES)."""
+def context_hashes(hashes: np.ndarray, lengths: np.ndarray, before: int = 0) -> np.ndarray:
+    """The hashed features of every token of concatenated texts: (tokens, FEATURES).
+
+    ``before``: tokens of the first text that came before the given ones.
+    """
     n = len(hashes)
     place = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    place[:lengths[0]] += before
     back = []
     for d in (1, 2, 3):
         h = np.empty(n, dtype=np.uint64)
@@ -274,21 +302,32 @@ class Model:
         return cls(np.log(per_class / per_class.sum()).astype(np.float32), in_class.astype(np.float32),
                    np.zeros((BUCKETS_1, CLASSES), np.float32), np.zeros((BUCKETS_2, CLASS_WORDS), np.float32))
 
-    def class_logs(self, features: np.ndarray) -> np.ndarray:
-        """Log chances of all classes, one row a token; ``features``: buckets."""
-        z = self.bias_1 + self.weights_1[features[:, 0]]
-        for k in range(1, FEATURES):
-            z += self.weights_1[features[:, k]]
-        z -= z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
+    def class_weights(self, features: np.ndarray) -> np.ndarray:
+        """Exponentials of the scores of all classes, one row a token; ``features``: buckets."""
+        return _exponentials(self.bias_1 + self.weights_1[features[:, 0]], self.weights_1, features)
+
+    def word_weights(self, kinds: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Exponentials of the scores of all words of each token's head class."""
+        return _exponentials(self.bias_2[kinds] + self.weights_2[features[:, 0]], self.weights_2, features)
+
+
+def _exponentials(z: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    for k in range(1, FEATURES):
+        z += weights[features[:, k]]
+    # Far beyond any trained score; keeps sums within single precision without a pass for the largest.
+    np.clip(z, -60.0, 60.0, out=z)
+    return np.exp(z, out=z)
+
+
+def _shares(e: np.ndarray) -> np.ndarray:
+    """Rows divided by their sums."""
+    e /= (e @ np.ones(e.shape[1], np.float32))[:, None]
+    return e
+
 
-    def word_logs(self, kinds: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """Log chances of all words of each token's head class."""
-        z = self.bias_2[kinds] + self.weights_2[features[:, 0]]
-        for k in range(1, FEATURES):
-            z += self.weights_2[features[:, k]]
-        z -= z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _log_share(e: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log share of one column of each row."""
+    return np.log(e[np.arange(len(e)), column]) - np.log(e @ np.ones(e.shape[1], np.float32))
 
 
 def _buckets_1(raw: np.ndarray) -> np.ndarray:
@@ -302,7 +341,7 @@ def _buckets_2(raw: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 
 def _step(weights: np.ndarray, squares: np.ndarray, features: np.ndarray, error: np.ndarray) -> None:
     """One AdaGrad step on the rows of ``weights`` that a batch's features name."""
-    flat = features.ravel()
+    flat = features.ravel().astype(np.uint16)  # sorted by radix
     order = np.argsort(flat, kind="stable")
     rows = flat[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
@@ -316,37 +355,38 @@ def train_on(model: Model, v: Vocabulary, hashes: np.ndarray, tokens: np.ndarray
              squares: tuple[np.ndarray, np.ndarray]) -> None:
     """Gradient updates over the texts of one chunk, in batches of tokens."""
     kinds, places = v.classes(hashes)
-    for s in range(0, len(tokens), BATCH * 16):
-        # Texts are cut into spans for the features; a span's first words lack their context.
-        part = tokens[s:s + BATCH * 16]
-        raw_all = context_hashes(hashes[part], _lengths_within(lengths, s, len(part)))
-        for b in range(0, len(part), BATCH):
+    for s in range(0, len(tokens), SPAN):
+        first = max(0, s - 3)
+        part = tokens[first:s + SPAN]
+        raw_all = context_hashes(hashes[part], *_texts_within(lengths, first, first + len(part)))
+        for b in range(s - first, len(part), BATCH):
             at, raw = part[b:b + BATCH], raw_all[b:b + BATCH]
             kind, place = kinds[at], places[at]
             f1 = _buckets_1(raw)
-            error = -np.exp(model.class_logs(f1))
+            error = -_shares(model.class_weights(f1))
             error[np.arange(len(at)), kind] += 1.0
             _step(model.weights_1, squares[0], f1, error)
             head = np.flatnonzero(place >= 0)
             if len(head):
                 f2 = _buckets_2(raw[head], kind[head])
-                error = -np.exp(model.word_logs(kind[head], f2))
+                error = -_shares(model.word_weights(kind[head], f2))
                 error[np.arange(len(head)), place[head]] += 1.0
                 _step(model.weights_2, squares[1], f2, error)
 
 
-def _lengths_within(lengths: np.ndarray, start: int, size: int) -> np.ndarray:
-    """The lengths of the texts' parts that lie in tokens [start, start + size)."""
+def _texts_within(lengths: np.ndarray, start: int, end: int) -> tuple[np.ndarray, int]:
+    """The lengths of the texts' parts that lie in tokens [start, end), and how much of the first lies before."""
     ends = np.cumsum(lengths)
-    edges = np.unique(np.clip(np.concatenate([[start], ends, [start + size]]), start, start + size))
-    return np.diff(edges)
+    at = int(np.searchsorted(ends, start, side="right"))
+    edges = np.unique(np.clip(np.concatenate([[start], ends, [end]]), start, end))
+    return np.diff(edges), start - int(ends[at] - lengths[at])
 
 
 def train(chunks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
     """Distributed gradient updates: every training chunk is used once, in one of ``rounds`` rounds.
 
-    The weights are averaged in two levels of rows of SLICE weights, so that no
-    task holds the weights of many others.
+    The changes of the weights are averaged in two levels of rows of SLICE
+    weights, read one by one, so that no task holds those of many others.
     """
     spark = chunks.sparkSession
     model = Model.start(v)
@@ -359,7 +399,7 @@ def train(chunks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
             local, seen = None, 0
             for batch in batches:
                 for row in zip(*(batch.column(n) for n in ("hashes", "tokens", "lengths", "held"))):
-                    hashes, tokens = np.frombuffer(row[0].as_py(), "<u8"), np.frombuffer(row[1].as_py(), "<u4")
+                    hashes, tokens = np.frombuffer(row[0].as_py(), "<u8"), unpacked(row[1].as_py(), "<u4")
                     lengths, use = np.array(row[2].as_py()), ~np.array(row[3].as_py())
                     tokens = tokens[np.repeat(use, lengths)]
                     if not len(tokens):
@@ -371,20 +411,22 @@ def train(chunks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
                     seen += len(tokens)
             if local is None:
                 return
-            flat = np.concatenate([local.weights_1.ravel(), local.weights_2.ravel()]) * np.float32(seen)
-            part = TaskContext.get().partitionId() % 64
+            start, _ = pickle.loads(shared.value)
+            change = np.concatenate([(local.weights_1 - start.weights_1).ravel(), (local.weights_2 - start.weights_2).ravel()])
+            part = TaskContext.get().partitionId() % 8
             for k in range(0, size, SLICE):
                 yield pa.RecordBatch.from_pylist([
-                    {"slice": k // SLICE, "part": part, "tokens": seen, "sum": flat[k:k + SLICE].astype("<f4").tobytes()}],
+                    {"slice": k // SLICE, "part": part, "tokens": seen, "mean": change[k:k + SLICE].astype("<f2").tobytes()}],
                     _UPDATE_ARROW)
 
         def add(group: pa.Table) -> pa.Table:
-            total = np.zeros(len(group.column("sum")[0].as_py()) // 4, dtype=np.float64)
-            for blob in group.column("sum"):
-                total += np.frombuffer(blob.as_py(), "<f4")
+            tokens = group.column("tokens").to_pylist()
+            total = np.zeros(len(group.column("mean")[0].as_py()) // 2, dtype=np.float64)
+            for n, blob in zip(tokens, group.column("mean")):
+                total += n * np.frombuffer(blob.as_py(), "<f2").astype(np.float64)
             return pa.Table.from_pylist([
-                {"slice": group.column("slice")[0].as_py(), "part": 0, "tokens": sum(group.column("tokens").to_pylist()),
-                 "sum": total.astype("<f4").tobytes()}], _UPDATE_ARROW)
+                {"slice": group.column("slice")[0].as_py(), "part": 0, "tokens": sum(tokens),
+                 "mean": (total / sum(tokens)).astype("<f2").tobytes()}], _UPDATE_ARROW)
 
         updates = chunks.filter((F.col("trained") > 0) & (F.pmod(F.xxhash64("chunk"), F.lit(rounds)) == r)).select(
             "hashes", "tokens", "lengths", "held").mapInArrow(update, _UPDATE_SCHEMA)
@@ -392,16 +434,16 @@ def train(chunks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
         slices = updates.groupBy("slice", "part").applyInArrow(add, _UPDATE_SCHEMA).groupBy("slice").applyInArrow(
             add, _UPDATE_SCHEMA).orderBy("slice").collect()
         if slices:
-            mean = np.concatenate([np.frombuffer(s["sum"], "<f4") / np.float32(s["tokens"]) for s in slices])
+            change = np.concatenate([np.frombuffer(s["mean"], "<f2") for s in slices]).astype(np.float32)
             cut = shapes[0][0] * shapes[0][1]
-            model = Model(model.bias_1, model.bias_2, mean[:cut].reshape(shapes[0]).astype(np.float32),
-                          mean[cut:].reshape(shapes[1]).astype(np.float32))
+            model = Model(model.bias_1, model.bias_2, model.weights_1 + change[:cut].reshape(shapes[0]),
+                          model.weights_2 + change[cut:].reshape(shapes[1]))
         shared.unpersist()
     return model
 
 
-_UPDATE_SCHEMA = "slice int, part int, tokens long, sum binary"
-_UPDATE_ARROW = pa.schema([("slice", pa.int32()), ("part", pa.int32()), ("tokens", pa.int64()), ("sum", pa.binary())])
+_UPDATE_SCHEMA = "slice int, part int, tokens long, mean binary"
+_UPDATE_ARROW = pa.schema([("slice", pa.int32()), ("part", pa.int32()), ("tokens", pa.int64()), ("mean", pa.binary())])
 
 
 def log_chances(model: Model, v: Vocabulary, hashes: np.ndarray, counts: np.ndarray, tokens: np.ndarray,
@@ -410,17 +452,21 @@ def log_chances(model: Model, v: Vocabulary, hashes: np.ndarray, counts: np.ndar
     kinds, places = v.classes(hashes)
     shape = (hashes & np.uint64(7)).astype(np.int64)
     in_tail = np.log((counts + 0.5) / (v.tail_tokens[shape] + 0.5 * (v.tail_words[shape] + 1)))
-    raw_all = context_hashes(hashes[tokens], lengths)
     out = np.empty(len(tokens))
+    raw_part = None
     for s in range(0, len(tokens), BATCH):
-        at, raw = tokens[s:s + BATCH], raw_all[s:s + BATCH]
+        if s % SPAN == 0:
+            # The span's context starts three tokens before it.
+            first = max(0, s - 3)
+            raw_part = context_hashes(hashes[tokens[first:s + SPAN]], *_texts_within(lengths, first, min(s + SPAN, len(tokens))))
+            raw_part = raw_part[s - first:]
+        at, raw = tokens[s:s + BATCH], raw_part[s % SPAN:s % SPAN + BATCH]
         kind, place = kinds[at], places[at]
-        logs = model.class_logs(_buckets_1(raw))[np.arange(len(at)), kind].astype(np.float64)
+        logs = _log_share(model.class_weights(_buckets_1(raw)), kind).astype(np.float64)
         head = place >= 0
         logs[~head] += in_tail[at[~head]]
         if head.any():
-            words = model.word_logs(kind[head], _buckets_2(raw[head], kind[head]))
-            logs[head] += words[np.arange(len(words)), place[head]]
+            logs[head] += _log_share(model.word_weights(kind[head], _buckets_2(raw[head], kind[head])), place[head])
         out[s:s + BATCH] = logs
     return out
 
@@ -437,7 +483,7 @@ def score_chunks(chunks: DataFrame, answers: DataFrame, model: Model, v: Vocabul
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {n: batch.column(n)[k].as_py() for n in ("ids", "held", "lengths", "hashes", "tokens", "parts")}
-                hashes, tokens = np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["tokens"], "<u4")
+                hashes, tokens = np.frombuffer(row["hashes"], "<u8"), unpacked(row["tokens"], "<u4")
                 order, _ = _by_shard(hashes, shards)
                 counts = np.empty(len(hashes), dtype=np.int64)
                 counts[order] = np.frombuffer(

@@ -289,7 +289,7 @@ def test_chances_sum_to_one(spark):
     model = maxent_lm.train(chunks, vocabulary)
     row = chunks.first()
     hashes = np.frombuffer(row["hashes"], "<u8")
-    counts = np.frombuffer(row["counts"], "<i8")
+    counts = maxent_lm.unpacked(row["counts"], "<u4")
     context = np.repeat(hashes[5], 3)
     seen = hashes[counts > 0]
     unknown = np.arange(8, dtype=np.uint64) + np.uint64(1 << 40)  # an unknown word of each shape
@@ -302,6 +302,22 @@ def test_chances_sum_to_one(spark):
     assert chunks.count() == 1 and math.isclose(total, 1.0, abs_tol=1e-3)
 
 
+def test_spans_do_not_change_features(monkeypatch):
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**63, 50).astype(np.uint64)
+    lengths = np.array([1, 7, 2, 30, 11, 1, 1, 40])
+    tokens = rng.integers(0, 50, lengths.sum())
+    whole = maxent_lm.context_hashes(hashes[tokens], lengths)
+    for start in range(len(tokens) - 1):
+        for end in (start + 1, start + 9, len(tokens)):
+            part, before = maxent_lm._texts_within(lengths, start, min(end, len(tokens)))
+            got = maxent_lm.context_hashes(hashes[tokens[start:end]], part, before)
+            # From the fourth token of a span on, the context is whole.
+            assert (got[3:] == whole[start:end][3:]).all()
+            if start == 0 or start in np.cumsum(lengths):
+                assert (got == whole[start:end]).all()
+
+
 # Classifiers
 
 
