@@ -10,10 +10,10 @@ share a band are candidates, and the weighted Jaccard similarity of the whole
 texts decides.
 
 Exact copies are folded first. Candidates are then verified in two rounds, which
-emit neither all pairs of a bucket nor gather one in a task: each member with the
-bucket's smallest member; then, in buckets that still hold several components,
-the members outside the smallest member's component with all others, in chunks,
-for pairs whose samples agree well enough. Classes are the connected components.
+emit neither all pairs of a bucket nor gather one in a task: each member with a
+few leading members; then, in buckets that still hold several components, the
+members outside the largest one with all others, in chunks, for pairs of
+different components whose samples agree well enough. Classes are the connected components.
 
 Defined results: null and empty texts are equal texts without shingles; texts of
 fewer than five words are one shingle; a null id has a null class and takes no
@@ -41,8 +41,9 @@ BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 THRESHOLD = 0.8
 # At similarity 0.8, 38.4 of the 48 samples agree on average, with a deviation of 2.8; fewer than
-# AGREE agree with a chance below 1e-4.
-AGREE = 27
+# AGREE agree with a chance below 1e-3.
+AGREE = 30
+LEADERS = 5  # members of a bucket beyond CHUNK that all others are verified with first; of smaller ones one
 WORD_BUCKETS = 1 << 17  # document frequencies are kept in that many hash buckets of words
 CHUNK = 512  # documents of one side of a comparison, about
 
@@ -101,13 +102,17 @@ class ShingleWeights:
 
     def similarity(self, a: bytes, b: bytes) -> float:
         """Weighted Jaccard similarity of two texts; of two without shingles 0."""
-        (ha, wa), (hb, wb) = self.shingles(a), self.shingles(b)
-        if not len(ha) or not len(hb):
-            return 0.0
-        at = np.searchsorted(ha, hb)
-        both = ha[np.minimum(at, len(ha) - 1)] == hb
-        common = float(np.minimum(wa[at[both]], wb[both]).sum(dtype=float))
-        return common / (float(wa.sum(dtype=float)) + float(wb.sum(dtype=float)) - common)
+        return similarity(*self.shingles(a), *self.shingles(b))
+
+
+def similarity(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two weighted sets with ascending hashes; with an empty one 0."""
+    if not len(ha) or not len(hb):
+        return 0.0
+    at = np.searchsorted(ha, hb)
+    both = ha[np.minimum(at, len(ha) - 1)] == hb
+    common = float(np.minimum(wa[at[both]], wb[both]).sum(dtype=float))
+    return common / (float(wa.sum(dtype=float)) + float(wb.sum(dtype=float)) - common)
 
 
 def weighted_samples(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -198,26 +203,53 @@ def verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> Da
         check, "a long, b long")
 
 
-def _agreeing(group: pa.Table) -> pa.Table:
-    """applyInArrow on one comparison of chunks: pairs of different components whose samples agree."""
-    side = group.column("side").combine_chunks().to_numpy(zero_copy_only=False)
-    node = group.column("node").to_numpy()
-    component = group.column("component").to_numpy()
-    samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), dtype="<u2").reshape(-1, SAMPLES)
-    same = bool(group.column("same")[0].as_py())
-    left = np.flatnonzero(side == 0)
-    right = left if same else np.flatnonzero(side == 1)
-    out_a, out_b = [], []
-    for i in left:
-        near = (samples[right] == samples[i]).sum(1) >= AGREE
-        near &= component[right] != component[i]
-        if same:
-            near &= node[right] > node[i]
-        hit = node[right[near]]
-        out_b.append(np.minimum(hit, node[i]))
-        out_a.append(np.maximum(hit, node[i]))
-    empty = np.zeros(0, dtype=np.int64)
-    return pa.table({"a": pa.array(np.concatenate([empty, *out_a])), "b": pa.array(np.concatenate([empty, *out_b]))})
+def _linked(shared, threshold: float):
+    """applyInArrow on one comparison of chunks: a spanning set of the links (a, b) found there.
+
+    Pairs of different components whose samples agree are verified on their
+    whole texts, in the first band that the two share; a pair that is already
+    joined within the comparison is not needed.
+    """
+
+    def link(group: pa.Table) -> pa.Table:
+        weights: ShingleWeights = pickle.loads(shared.value)
+        side = group.column("side").combine_chunks().to_numpy(zero_copy_only=False)
+        node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
+        samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), dtype="<u2").reshape(-1, SAMPLES)
+        bands = np.array(group.column("bands").to_pylist(), dtype=np.int64)
+        band, same = group.column("band")[0].as_py(), bool(group.column("same")[0].as_py())
+        texts = group.column("text")
+        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def shingles(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in sets:
+                sets[i] = weights.shingles(texts[i].as_py().encode())
+            return sets[i]
+
+        root = {c: c for c in np.unique(component).tolist()}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        out: list[tuple[int, int]] = []
+        left = np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        for i in left:
+            near = (samples[right] == samples[i]).sum(1) >= AGREE
+            near &= component[right] != component[i]
+            if same:
+                near &= node[right] > node[i]
+            near[near] = ~(bands[right[near], :band] == bands[i, :band]).any(1)
+            for j in right[near]:
+                x, y = top(int(component[i])), top(int(component[j]))
+                if x != y and similarity(*shingles(int(i)), *shingles(int(j))) >= threshold:
+                    root[x] = y
+                    out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return link
 
 
 def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -233,27 +265,32 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
             F.min(F.struct("node", "bands", "samples")).alias("_r")).select("copy", "_r.*"), "folded")
     bands = scratch_table(
         folded.select("node", F.posexplode("bands").alias("band", "key")), "bands")
-    leaders = bands.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter(
-        "n > 1").drop("n")
+    more = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)])
+    leaders = bands.groupBy("band", "key").agg(F.min("node").alias("first"), more.alias("more"), F.count("*").alias("n")).filter(
+        "n > 1").select("band", "key", F.when(F.col("n") > CHUNK, F.concat(F.array("first"), "more")).otherwise(
+            F.array("first")).alias("leaders"))
     shared_bands = scratch_table(bands.join(leaders, ["band", "key"]), "buckets")
 
-    pairs = scratch_table(shared_bands.filter("node <> leader").select(
-        F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
+    led = shared_bands.select("node", F.explode(F.array_distinct("leaders")).alias("leader")).filter("node <> leader")
+    pairs = scratch_table(led.select(
+        F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "pairs")
     texts = scratch_table(_texts_of(shared_bands.select("node").distinct(), docs, folded, id_col, text_col), "texts")
     first = scratch_table(verified(pairs, texts, shared, threshold), "first")
     component = connected_components(first)
 
-    nodes = component.select("node", "component")
-    known = shared_bands.join(nodes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_leader = nodes.select(F.col("node").alias("leader"), F.col("component").alias("_main"))
+    known = shared_bands.select("band", "key", "node").join(component, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    # The component with most members of each bucket; the others are compared with all.
+    main = known.groupBy("band", "key", "component").count().groupBy("band", "key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).filter("n > 1")
     placed = scratch_table(
-        known.join(of_leader, "leader", "left").withColumn("home", F.col("component") != F.coalesce("_main", "leader"))
-        .join(folded.select("node", "samples"), "node")
-        .select("band", "key", "node", "component", "home", "samples"), "placed")
-    agreeing = chunk_pairs(placed, ["band", "key"], "home", "node", CHUNK).groupBy("band", "key", "i", "j").applyInArrow(
-        _agreeing, "a long, b long").distinct()
-    second_pairs = scratch_table(agreeing.join(pairs, ["a", "b"], "left_anti"), "second_pairs")
-    links = first.union(verified(second_pairs, texts, shared, threshold))
+        known.join(main.drop("n"), ["band", "key"]).withColumn("home", F.col("component") != F.col("main"))
+        .select("band", "key", "node", "component", "home"), "placed")
+    # Texts, samples and bands travel only with members of buckets that are not one component yet.
+    described = placed.join(folded.select("node", "samples", "bands"), "node").join(texts, "node")
+    second = chunk_pairs(described, ["band", "key"], "home", "node", CHUNK).groupBy("band", "key", "i", "j").applyInArrow(
+        _linked(shared, threshold), "a long, b long")
+    links = first.union(scratch_table(second, "second"))
     classes = connected_components(links)
 
     by_copy = folded.join(classes, "node", "left").select(
