@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import fm_index, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
+from isotherm.llm import fm_index, licence_scan, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
 from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
@@ -35,6 +35,16 @@ def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the licences found, comma-joined in order, the number of matches and the best coefficient (0: none)."""
+    found = licence_scan.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct("licences.licence")), ",").alias("licences"),
+        F.size("licences").cast("long").alias("n_matches"),
+        F.round(F.coalesce(F.array_max("licences.dice"), F.lit(0.0)), 6).alias("best_dice"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -73,6 +83,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_near_copies": op4_near_copies,
+    "op5_licence_scan": op5_licence_scan,
     "op6_mixing": op6_mixing,
     "op7_fm_index": op7_fm_index,
     "op8_vector_join": op8_vector_join,
@@ -171,4 +182,42 @@ FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) ON v.vec_id = a
 LEFT JOIN (SELECT vec_id AS r, min(other) AS low FROM reach GROUP BY vec_id) ON v.vec_id = r
 """
 
-ORACLE_SQL = {"op6_mixing": _OP6_SQL, "op7_fm_index": _OP7_SQL, "op8_vector_join": _OP8_SQL}
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"({k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(licence_scan.TEMPLATES))
+
+_OP5_SQL = f"""
+WITH t AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS t(k, licence, text)),
+clean AS (
+  SELECT 'd' AS kind, row_number() OVER () AS id, doc_id, NULL AS licence, text FROM documents
+  UNION ALL SELECT 't', k, NULL, licence, text FROM t),
+norm AS (
+  SELECT kind, id, doc_id, licence, regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\\n]+', ' ', 'g') AS x FROM clean),
+unit AS (
+  SELECT DISTINCT kind, id, trim(regexp_replace(u, '[ \\n]+', ' ', 'g')) AS u FROM (
+    SELECT kind, id, unnest(CASE WHEN kind = 't' THEN [replace(x, chr(10), ' ')] ELSE list_concat(
+           string_split(x, chr(10)), list_transform(regexp_split_to_array(x, '\\n ?\\n'), lambda p: replace(p, chr(10), ' ')),
+           [replace(x, chr(10), ' ')]) END) AS u FROM norm)),
+words AS (SELECT kind, id, row_number() OVER () AS unit, string_split(u, ' ') AS w FROM unit),
+gram AS (
+  SELECT kind, id, unit, len(w) - 1 AS n, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g
+  FROM words WHERE len(w) > 1),
+counted AS (SELECT kind, id, unit, n, g, count(*) AS c FROM gram GROUP BY ALL),
+pair AS (
+  SELECT d.id, d.unit, t.id AS k, 2.0 * sum(least(d.c, t.c)) / (d.n + t.n) AS dice
+  FROM counted d JOIN counted t ON d.kind = 'd' AND t.kind = 't' AND d.g = t.g GROUP BY d.id, d.unit, d.n, t.id, t.n),
+hit AS (
+  SELECT id, licence, dice FROM (SELECT *, max(dice) OVER (PARTITION BY unit) AS best FROM pair) JOIN t USING (k)
+  WHERE dice >= 0.8 AND dice = best),
+named AS (SELECT id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM hit GROUP BY id),
+total AS (SELECT id, count(*) AS n_matches, max(dice) AS best FROM hit GROUP BY id)
+SELECT norm.doc_id, coalesce(licences, '') AS licences, coalesce(n_matches, 0)::BIGINT AS n_matches,
+       round(coalesce(best, 0)::DOUBLE, 6) AS best_dice
+FROM norm LEFT JOIN named USING (id) LEFT JOIN total USING (id) WHERE kind = 'd'
+"""
+
+ORACLE_SQL = {"op5_licence_scan": _OP5_SQL, "op6_mixing": _OP6_SQL, "op7_fm_index": _OP7_SQL, "op8_vector_join": _OP8_SQL}

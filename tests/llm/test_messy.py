@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from isotherm.llm import fm_index, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
+from isotherm.llm import fm_index, licence_scan, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
 from isotherm.llm.common import bucket_of_id, columns_of
 from isotherm.session import scratch_path
 from tests.llm import messy
@@ -32,6 +32,28 @@ def test_sharding(spark, docs):
     assert sharding.shard_documents(messy.empty_documents(spark)).count() == 0
 
 
+def test_licences(spark, docs):
+    rows = licence_scan.scan_licences(docs).collect()
+    assert len(rows) == len(messy.ROWS) and all(r.licences == [] for r in rows)
+    assert licence_scan.scan_licences(messy.empty_documents(spark)).count() == 0
+    mit = next(t for n, t in licence_scan.TEMPLATES if n == "MIT" and t.startswith("Permission"))
+    texts = [
+        "Some words.\n  RELEASED under the (MIT) license!!\nReleased under the MIT License.\nmore",  # equal units
+        "before\n\n" + mit.replace("Software", "program") + "\n\nafter",  # a paragraph of several lines, changed
+        "This work is licensed under the GNU General Public License, version 2.",  # nearer to 2 than to 3
+        mit.replace(" ", "\n"),  # the whole text
+    ]
+    rows = licence_scan.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    found = {r.doc_id: [(m.licence, round(m.dice, 2)) for m in r.licences] for r in rows}
+    assert found[0] == [("MIT", 1.0)] and found[2] == [("GPL-2.0", 1.0)] and found[3] == [("MIT", 1.0)]
+    assert [n for n, _ in found[1]] == ["MIT"] and 0.8 <= found[1][0][1] < 1
+    repeated = licence_scan.scan_licences(
+        spark.createDataFrame([("a a a a b",), ("a a b",)], "text string"), [("X", "a a a a b")], 0.6).collect()
+    assert [[m.dice for m in r.licences] for r in repeated] == [[1.0], [2 * 2 / 6]]
+    with pytest.raises(ValueError):
+        licence_scan.licence_matches("text", [("X", "y" * (licence_scan.TEMPLATE_BYTES + 1))])
+
+
 def test_mixing(spark, docs):
     rows = mixing.mix_report(docs).collect()
     assert len(rows) == len(messy.ROWS)
