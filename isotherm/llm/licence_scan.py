@@ -67,7 +67,7 @@ def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
     clean = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
     joined = lambda p: F.trim(F.regexp_replace(p, "[ \n]+", " "))
     units = F.array_distinct(F.concat(
-        F.transform(F.split(clean, "\n"), F.trim), F.transform(F.split(clean, "\n ?\n"), joined), F.array(joined(clean))))
+        F.transform(F.split(clean, "\n"), lambda u: F.trim(u)), F.transform(F.split(clean, "\n ?\n"), joined), F.array(joined(clean))))
     words = F.filter(F.transform(units, lambda u: F.split(u, " ")),
                      lambda w: F.map_contains_key(candidates, F.size(w) - 1))
     cut = F.transform(words, lambda w: F.transform(
