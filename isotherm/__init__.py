@@ -1,4 +1,4 @@
-"""isotherm: monthly weather-station analytics as Spark DataFrame operators.
+"""isotherm: analytics of monthly weather readings as Spark DataFrame operators.
 
 Every operator is a function from DataFrame(s) to DataFrame built from Spark
 expressions, joins, aggregates and windows, so the work runs on executors.
@@ -6,10 +6,10 @@ expressions, joins, aggregates and windows, so the work runs on executors.
 Where to start:
 
 * ``isotherm.sources.stations.read_stations`` / ``isotherm.sources.readings.read_readings``
-  read the station list and the per-station CSV files;
+  read the site list and the CSV files, one per site;
 * ``isotherm.operators.clean.clean_readings`` cleans them;
 * ``isotherm.operators.metrics`` / ``change`` / ``regions`` compute the results;
-* ``isotherm.plans.monthly_summary.run_monthly_summary`` runs the whole job;
+* ``isotherm.plans.batch.run_batch`` runs the whole job;
 * ``isotherm.streaming.start_incremental_ingest`` ingests new files as they arrive.
 """
 
