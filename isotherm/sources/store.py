@@ -73,28 +73,24 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_partitioned(labelled: DataFrame, path: str, mode: str, rebalance: bool = True) -> None:
+def _write_partitioned(labelled: DataFrame, path: str, mode: str, arrange: bool = True) -> None:
     """Write partitioned by ``year_range``.
 
-    ``rebalance`` (default) shuffles rows by range with Spark's REBALANCE
-    hint: AQE then coalesces small partitions and splits skewed ones (a
-    range may hold a third of all rows) to the advisory size, so each task
-    writes files of one range at about that size instead of every input
-    task writing a small file per range it holds. Within each task rows
-    are sorted by location, so Parquet row-group statistics let the region
-    filter skip data.
+    ``arrange`` (default) range-partitions rows by year range, location and
+    time: a range that holds a third of all rows becomes many partitions, and
+    so does a location within it, while AQE joins small ones up to the advisory
+    size. So each file holds one stretch of locations of one year range, and a
+    regional request skips whole files by their statistics, not only row
+    groups. Within each task rows are sorted alike.
     """
-    df = labelled.hint("rebalance", "year_range") if rebalance else labelled
-    (
-        df.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
-        .write.mode(mode)
-        .partitionBy("year_range")
-        .parquet(path)
-    )
+    keys = ["year_range", "LATITUDE", "LONGITUDE"]
+    time = [c for c in ("YEAR", "MONTH") if c in labelled.columns]
+    df = labelled.repartitionByRange(*keys, *time) if arrange else labelled
+    df.sortWithinPartitions(*keys).write.mode(mode).partitionBy("year_range").parquet(path)
 
 
 def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
-                      rebalance: bool = True) -> None:
+                      arrange: bool = True) -> None:
     """Write the whole clean table once, partitioned by ``year_range``.
 
     Rows outside every range are kept under ``year_range=outside``, so the
@@ -102,7 +98,7 @@ def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str
     year-range export. Reading it back cuts the lineage of every result.
     """
     label = F.coalesce(year_range_of("YEAR", ranges), F.lit(OUTSIDE_LABEL))
-    _write_partitioned(clean.withColumn("year_range", label), path, mode, rebalance)
+    _write_partitioned(clean.withColumn("year_range", label), path, mode, arrange)
 
 
 def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
@@ -111,12 +107,12 @@ def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
-                      rebalance: bool = True) -> None:
+                      arrange: bool = True) -> None:
     """The year-range export: one write of the clean rows inside the ten
     ranges, partitioned by ``year_range`` (one scan instead of ten filtered
     scans). File sizing and skew handling as in ``_write_partitioned``.
     """
-    _write_partitioned(with_year_range(clean, ranges), path, mode, rebalance)
+    _write_partitioned(with_year_range(clean, ranges), path, mode, arrange)
 
 
 def read_year_ranges(spark: SparkSession, path: str, start_year: int | None = None,
