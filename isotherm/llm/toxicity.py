@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import ALNUM, BROADCAST_BYTES, byte_texts, scratch_table
 
 SAMPLE_ROWS = 20_000  # labelled rows that a model is learned from, at most
-MAX_TERMS = 4_000  # terms of a lexicon, at most
+MAX_TERMS = 4_000  # terms of a lexicon, at most; beside them, the whole words under its beginnings
 WINDOW = 12  # words to each side of a hit
 PREFIXES = (5, 6, 7)  # lengths of word beginnings that may be terms
 CACHE_WORDS = 300_000  # words whose result a worker remembers; it starts afresh beyond that
@@ -293,7 +293,8 @@ def learn_lexicon(sample: DataFrame, evidence: float = 6.0, purity: float = 0.8)
     """Words and word beginnings whose documents are toxic beyond chance.
 
     Nearly equal texts count once. A term needs ``evidence`` (-log10 of the
-    chance of its counts) and a share ``purity`` of toxic documents.
+    chance of its counts) and a share ``purity`` of toxic documents. A longer
+    beginning under a shorter one is left out.
     """
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +323,9 @@ def learn_lexicon(sample: DataFrame, evidence: float = 6.0, purity: float = 0.8)
     good = [r["term"] for r in rows if _tail(r["p"], r["n"], rate) >= evidence]
     short = {t.removesuffix("*") for t in good if t.endswith("*")}
     covered = lambda body: any(body[:k] in short for k in PREFIXES if k < len(body))
-    return [t for t in good if not covered(t.removesuffix("*"))][:MAX_TERMS]
+    # Covered words stay, as only whole words match with edits; they take no other term's place.
+    return [t for t in good if not covered(t.removesuffix("*"))][:MAX_TERMS] + [
+        t for t in good if not t.endswith("*") and covered(t)]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 1.0,
