@@ -160,15 +160,16 @@ def plain_words(text: bytes) -> list[bytes]:
 
 @dataclass
 class Lexicon:
-    """Terms and, per term, whether misspellings count."""
+    """Terms and, per term, whether misspellings count; ``clean``: near words that are no misspellings."""
 
     terms: list[str]
     fuzzy: list[bool]
+    clean: frozenset[bytes] = frozenset()
     known: dict[bytes, tuple[int, int] | None] = field(default_factory=dict, repr=False)
     automaton: LexiconAutomaton | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {"terms": self.terms, "fuzzy": self.fuzzy, "known": {}, "automaton": None}
+        return {"terms": self.terms, "fuzzy": self.fuzzy, "clean": self.clean, "known": {}, "automaton": None}
 
     def look_up(self, words: set[bytes]) -> dict[bytes, tuple[int, int]]:
         """The words that are hits."""
@@ -181,7 +182,10 @@ class Lexicon:
             try:
                 hit = known[w]
             except KeyError:
-                hit = known[w] = self.automaton.match(w.decode()) if self.terms else None
+                hit = self.automaton.match(w.decode()) if self.terms else None
+                if hit is not None and hit[1] and w in self.clean:
+                    hit = None
+                known[w] = hit
             if hit is not None:
                 out[w] = hit
         return out
@@ -353,7 +357,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     terms = learn_lexicon(sample)
     lexicon = Lexicon(terms, [True] * len(terms))
     if terms:
-        lexicon.fuzzy = _trusted_misspellings(sample, lexicon)
+        lexicon.clean = _clean_spellings(sample, lexicon)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,22 +378,37 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     return ToxicityModel(lexicon, np.maximum(weights, 0.0), bias)
 
 
-def _trusted_misspellings(sample: DataFrame, lexicon: Lexicon) -> list[bool]:
-    """Per term: no clean text of the sample holds a misspelling of it without an exact term of the lexicon."""
+def _clean_spellings(sample: DataFrame, lexicon: Lexicon, purity: float = 0.8, evidence: float = 1.0) -> frozenset[bytes]:
+    """Near words of the lexicon's terms that are words of clean texts, not misspellings.
+
+    A near word is judged by the texts that hold it and no exact term, of nearly
+    equal ones one: it is clean if their labels are 10^``evidence`` times likelier
+    at the toxic share of all texts without an exact term than at ``purity``. One
+    text is never enough.
+    """
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
+            seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for label, text in zip(batch.column("label").to_pylist(), byte_texts(batch.column("text"))):
-                hits = lexicon.look_up(set(plain_words(text))).values()
-                if label == 0 and all(e for _, e in hits):
-                    seen.update({t for t, _ in hits})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
-
-    clean = sample.mapInArrow(near, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    bad = {r["term"] for r in clean}
-    return [t not in bad for t in range(len(lexicon.terms))]
+                hits = lexicon.look_up(set(plain_words(text)))
+                if all(e for _, e in hits.values()):
+                    seen[label].update(list(hits) + [b""])  # the empty word counts the texts
+            for label, c in seen.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), pa.binary()), pa.array([label] * len(c), pa.int32()),
+                     pa.array(list(c.values()), pa.int64())], names=["word", "label", "n"])
+
+    counted = scratch_table(one_of_each(sample).mapInArrow(near, "word binary, label int, n long").groupBy("word").agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("p"), F.sum("n").alias("n")), "near_words")
+    texts = counted.filter(F.length("word") == 0).first()
+    if texts is None:
+        return frozenset()
+    rate = min(0.5, (texts["p"] + 0.5) / (texts["n"] + 1.0))
+    odds = F.col("p") * math.log10(rate / purity) + (F.col("n") - F.col("p")) * math.log10((1 - rate) / (1 - purity))
+    # At most the near words of SAMPLE_ROWS texts.
+    found = counted.filter((F.length("word") > 0) & (F.col("n") > 1) & (odds >= evidence)).select("word").collect()
+    return frozenset(bytes(r["word"]) for r in found)
 
 
 def toxicity_score(model: ToxicityModel, text_col: str = "text") -> F.Column:

@@ -36,3 +36,15 @@ def test_learned_terms_match_misspelled(spark):
             assert hit is not None and hit[1] == 1 and model.lexicon.terms[hit[0]] == term, (term, word)
     assert model.lexicon.look_up({b"d1sgust1ng"})[b"d1sgust1ng"][1] == 2
     assert model.score(b"riverbed w0rthless stonepath") > model.score(b"riverbed stonepath") + 0.1
+
+
+def test_one_clean_near_word_does_not_switch_misspellings_off(spark):
+    rows = labelled_texts(random.Random(2))
+    # A clean word near a term, often; misspellings in toxic texts, one of them mislabelled.
+    near = [(10_000 + k, f"{' '.join(random.Random(k).choices(PLAIN, k=25))} boron", 0) for k in range(20)]
+    spelt = [(20_000 + k, f"{' '.join(random.Random(-k - 1).choices(PLAIN, k=25))} gerbage", int(k > 0)) for k in range(6)]
+    once = [(30_000, f"{' '.join(random.Random('x').choices(PLAIN, k=25))} st0pid", 0)]
+    model = learned(spark, rows + near + spelt + once)
+    assert model.lexicon.clean == {b"boron"}
+    assert set(model.lexicon.look_up({b"boron", b"mor0n", b"morron", b"gerbage", b"st0pid"})) == {
+        b"mor0n", b"morron", b"gerbage", b"st0pid"}
