@@ -7,6 +7,13 @@ threshold t only with templates of t / (2 - t) * n to (2 - t) / t * n bigrams; a
 map from size to templates, made once, gives each unit its candidates, and a unit
 without any is not cut into bigrams at all. Dice counts repeated bigrams as often
 as both sides hold them. A unit matches its nearest templates, several if they tie.
+
+A notice need not be a unit: it may lie within a line, or run over lines or paragraphs
+beside other text. So a template that no unit matched is also sought in the run of the
+text's words that fits it best (the greatest sum of 2 - t for each of its bigrams and -t
+for each other one, which is t times its size or more in every run that reaches t). Of
+runs that mostly overlap, the one with the most bigrams in common matches. Only texts
+that hold one of a few words which no match can do without are searched in this way.
 Everything is one projection of DataFrame functions: no
 join, no shuffle.
 
@@ -19,6 +26,7 @@ gives no rows; other columns are kept.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -53,9 +61,34 @@ def candidates_by_size(bigrams: list[list[str]], threshold: float) -> dict[int,
     return found
 
 
+def needed_words(bigrams: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every text with a run that reaches the threshold holds one or more.
+
+    Such a run holds threshold / (2 - threshold) of a template's bigrams at least, so
+    words that leave fewer without them will do: of each template, long ones first.
+    """
+    found: list[str] = []
+    for grams in bigrams:
+        left = list(grams)
+        least = threshold / (2 - threshold) * len(grams) - 1e-9
+        without = lambda w: [g for g in left if w not in g.split(" ")]  # noqa: E731,B023
+        for w in found:
+            left = without(w)
+        while left and len(left) >= least:
+            w = max({w for g in left for w in g.split(" ")}, key=lambda w: (min(len(w), 7), -len(without(w)), w))
+            found.append(w)
+            left = without(w)
+    return found
+
+
+def _let(value: F.Column, use) -> F.Column:
+    """``use(value)``, where ``value`` is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
                     threshold: float = THRESHOLD) -> F.Column:
-    """array<struct<licence, template, dice>>: of every unit the nearest templates, if they reach the threshold."""
+    """array<struct<licence, template, dice>>: of every unit the nearest templates, if they reach the threshold; then of runs."""
     if sum(len(t) for _, t in templates) > TEMPLATE_BYTES:
         raise ValueError(f"templates are beyond {TEMPLATE_BYTES} bytes")
     bigrams = [template_bigrams(t) for _, t in templates]
@@ -66,26 +99,91 @@ def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
 
     clean = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
     joined = lambda p: F.trim(F.regexp_replace(p, "[ \n]+", " "))
-    units = F.array_distinct(F.concat(
-        F.transform(F.split(clean, "\n"), lambda u: F.trim(u)), F.transform(F.split(clean, "\n ?\n"), joined), F.array(joined(clean))))
-    words = F.filter(F.transform(units, lambda u: F.split(u, " ")),
-                     lambda w: F.map_contains_key(candidates, F.size(w) - 1))
-    cut = F.transform(words, lambda w: F.transform(
-        F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i))))
+    pairs_of = lambda w: F.transform(
+        F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))
+    times = lambda side, g: F.size(F.filter(side, lambda x: x == g))
 
     def dice(unit, k):
         template = F.get(grams, k)
-        times = lambda side, g: F.size(F.filter(side, lambda x: x == g))
         common = F.aggregate(F.array_intersect(unit, template), F.lit(0),
                              lambda n, g: n + F.least(times(unit, g), times(template, g)))
         return (2 * common) / (F.size(unit) + F.size(template))
 
-    scored = F.transform(cut, lambda unit: F.transform(
-        F.element_at(candidates, F.size(unit)),
-        lambda k: F.struct(F.get(names, k).alias("licence"), k.alias("template"), dice(unit, k).alias("dice"))))
-    best = F.transform(scored, lambda found: F.filter(found, lambda m: (m["dice"] >= threshold) & (
-        m["dice"] == F.array_max(F.transform(found, lambda x: x["dice"])))))
-    return F.flatten(best)
+    def of_units(clean):
+        units = F.array_distinct(F.concat(
+            F.transform(F.split(clean, "\n"), lambda u: F.trim(u)), F.transform(F.split(clean, "\n ?\n"), joined), F.array(joined(clean))))
+        words = F.filter(F.transform(units, lambda u: F.split(u, " ")),
+                         lambda w: F.map_contains_key(candidates, F.size(w) - 1))
+        scored = F.transform(F.transform(words, pairs_of), lambda unit: F.transform(
+            F.element_at(candidates, F.size(unit)),
+            lambda k: F.struct(F.get(names, k).alias("licence"), k.alias("template"), dice(unit, k).alias("dice"))))
+        return F.flatten(F.transform(scored, lambda found: F.filter(found, lambda m: (m["dice"] >= threshold) & (
+            m["dice"] == F.array_max(F.transform(found, lambda x: x["dice"]))))))
+
+    # Distinct bigrams of a template that any run which reaches the threshold holds, at least.
+    least = F.array(*[F.lit(max(1, math.ceil(threshold / (2 - threshold) * len(b) - 1e-9) - (len(b) - len(set(b)))))
+                      for b in bigrams])
+    numbers = F.array(*[F.lit(k) for k, b in enumerate(bigrams) if b]).cast("array<int>")
+
+    def best_run(hits, template):
+        """The run (low, high) with the greatest sum; ``hits``: (g, i) of the text's bigrams in the template."""
+        state = lambda *v: F.struct(*[x.alias(n) for x, n in zip(v, ("sum", "start", "last", "best", "low", "high"))])
+
+        def step(a, h):
+            rest = a["sum"] - threshold * (h["i"] - a["last"] - 1)
+            start = F.when(rest > 0, a["start"]).otherwise(h["i"])
+            used = F.size(F.filter(hits, lambda x: (x["g"] == h["g"]) & (x["i"] >= start) & (x["i"] < h["i"])))
+            total = F.greatest(rest, F.lit(0.0)) + (2.0 - threshold)
+            better = total > a["best"]
+            more = state(total, start, h["i"], F.greatest(total, a["best"]), F.when(better, start).otherwise(a["low"]),
+                         F.when(better, h["i"]).otherwise(a["high"]))
+            # A bigram beyond those of the template is like any other one.
+            return F.when(used < times(template, h["g"]), more).otherwise(a)
+
+        none = state(F.lit(0.0), F.lit(0), F.lit(-1), F.lit(0.0), F.lit(0), F.lit(-1))
+        return F.aggregate(hits, none, step)
+
+    def run_of(text, k):
+        template = F.get(grams, k)
+        hits = F.filter(F.transform(text, lambda g, i: F.struct(g.alias("g"), i.alias("i"))),
+                        lambda h: F.array_contains(template, h["g"]))
+        return _let(_let(hits, lambda h: best_run(h, template)), lambda r: F.struct(
+            F.get(names, k).alias("licence"), k.alias("template"),
+            dice(F.slice(text, r["low"] + 1, r["high"] - r["low"] + 1), k).alias("dice"),
+            r["low"].alias("low"), r["high"].alias("high")))
+
+    def of_runs(clean):
+        def common(r):
+            return F.round(r["dice"] * (r["high"] - r["low"] + 1 + F.size(F.get(grams, r["template"]))))
+
+        def hidden(r, runs):
+            overlap = lambda x: F.least(x["high"], r["high"]) - F.greatest(x["low"], r["low"]) + 1
+            return F.exists(runs, lambda x: (2 * overlap(x) > r["high"] - r["low"] + 1) & (
+                (common(x) > common(r)) | ((common(x) == common(r)) & (x["dice"] > r["dice"]))))
+
+        def search(text):
+            held = F.array_intersect(text, F.array(*[F.lit(g) for g in sorted({g for b in bigrams for g in b})]))
+            ks = _let(held, lambda some: F.filter(
+                numbers, lambda k: F.size(F.array_intersect(some, F.get(grams, k))) >= F.get(least, k)))
+            runs = F.filter(F.transform(ks, lambda k: run_of(text, k)), lambda r: r["dice"] >= threshold)
+            return _let(runs, lambda all_runs: F.filter(all_runs, lambda r: ~hidden(r, all_runs)))
+
+        return _let(pairs_of(F.split(joined(clean), " ")), search)
+
+    def matches(clean):
+        def may(line):
+            held = F.lit(False)
+            for w in needed_words(bigrams, threshold):
+                held |= F.contains(line, F.lit(f" {w} "))
+            return held
+
+        plain = lambda r: F.struct(r["licence"].alias("licence"), r["template"].alias("template"), r["dice"].alias("dice"))
+        return _let(of_units(clean), lambda found: F.when(_let(
+            F.concat(F.lit(" "), F.translate(clean, "\n", " "), F.lit(" ")), may) & F.contains(joined(clean), F.lit(" ")), F.concat(
+            found, F.transform(F.filter(of_runs(clean), lambda r: ~F.exists(
+                found, lambda m: m["template"] == r["template"])), plain))).otherwise(found))
+
+    return _let(clean, matches)
 
 
 def scan_licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,

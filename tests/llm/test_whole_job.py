@@ -2,7 +2,7 @@
 
 import random
 
-from isotherm.llm import toxicity
+from isotherm.llm import licence_scan, toxicity
 
 TERMS = ["stupid", "garbage", "pathetic", "worthless", "disgusting", "contemptible", "moron"]
 PLAIN = [a + b for a in ("river", "stone", "cloud", "lantern", "meadow", "copper") for b in ("bed", "path", "light", "field")]
@@ -48,3 +48,48 @@ def test_one_clean_near_word_does_not_switch_misspellings_off(spark):
     assert model.lexicon.clean == {b"boron"}
     assert set(model.lexicon.look_up({b"boron", b"mor0n", b"morron", b"gerbage", b"st0pid"})) == {
         b"mor0n", b"morron", b"gerbage", b"st0pid"}
+
+
+GPL_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD_3 = """Copyright (c) 2020, The Authors
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED."""
+APACHE = next(t for n, t in licence_scan.TEMPLATES if n == "Apache-2.0" and len(t) > 200)
+
+
+def test_licences_within_other_text(spark):
+    code = "\n".join(f"x{k} = call_{k}(x{k - 1}, {k})" for k in range(60))
+    texts = [
+        (0, f"# main.py\n\n{GPL_3}\n\n{code}", {"GPL-3.0"}), (1, f"{BSD_3}\n\n{code}", {"BSD-3-Clause"}),
+        (2, f"# Copyright 2020\n# {APACHE}\n{code}".replace("License. You", "License.\n# You"), {"Apache-2.0"}),
+        (3, "A small tool for maps. Released under the MIT License. See the manual for more about it, and the site.", {"MIT"}),
+        (4, f"{GPL_3}\n\n{GPL_3}\n\n{code}", {"GPL-3.0"}), (5, f"{code}\nthe software license of the text", set()),
+        (6, "software", set()), (7, "", set())]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    got = {r.doc_id: {m.licence for m in r.licences} for r in licence_scan.scan_licences(docs).collect()}
+    assert got == {k: want for k, _, want in texts}
