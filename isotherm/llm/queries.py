@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import fm_index, licence_scan, maxent_lm, mixing, near_copies, quality, sharding, token_files, toxicity, vector_join
+from isotherm.llm import (centroid_clusters, fm_index, licence_scan, maxent_lm, mixing, near_copies, quality, sharding,
+                          sketch_search, token_counts, token_files, toxicity, vector_join)
 from isotherm.llm.common import bucket_of_id, table
 from isotherm.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+COUNT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
 
 
 def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +80,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                        toxicity.toxicity_score(model).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.7).cast("int"))
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), COUNT_VOCABULARY).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = sketch_search.index_documents(table(spark, sf_dir, "documents"))
+    return sketch_search.search(index, table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
 
 QUERIES = {
     "op1_maxent_lm": op1_maxent_lm,
@@ -89,6 +105,9 @@ QUERIES = {
     "op8_vector_join": op8_vector_join,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_token_counts": op11_token_counts,
+    "op12_sketch_search": op12_sketch_search,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 # The sources are few, so the oracle orders every row by hash, where the query compares thresholds.
@@ -220,4 +239,62 @@ SELECT norm.doc_id, coalesce(licences, '') AS licences, coalesce(n_matches, 0)::
 FROM norm LEFT JOIN named USING (id) LEFT JOIN total USING (id) WHERE kind = 'd'
 """
 
-ORACLE_SQL = {"op5_licence_scan": _OP5_SQL, "op6_mixing": _OP6_SQL, "op7_fm_index": _OP7_SQL, "op8_vector_join": _OP8_SQL}
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (
+  SELECT row_number() OVER () AS q, item_id, unnest(list_distinct(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+s AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS words FROM d WHERE len(t) > 0),
+m AS (SELECT r, 100 - 90 + (90 * len(t)::BIGINT * docs) // words AS m FROM d, s WHERE len(t) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM p, s WHERE term IN (SELECT term FROM i) GROUP BY term, docs),
+score AS (
+  SELECT q, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY q, item_id, r),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM score JOIN d USING (r) WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def _op13_sql(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, start: str = "3:") -> str:
+    """The rounds one after the other, over one row per vector and dimension."""
+    steps = [f"""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(range(0, {dims})) AS d, unnest(x) AS x FROM v),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('{start}' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c FROM v),
+c0 AS MATERIALIZED (SELECT c, d, x FROM first JOIN x USING (r) WHERE c < {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, c, distance FROM (
+    SELECT r, c, distance, row_number() OVER (PARTITION BY r ORDER BY distance, c) AS place
+    FROM (SELECT r, c{i}.c, sum((x.x - c{i}.x) * (x.x - c{i}.x))::BIGINT AS distance
+          FROM x JOIN c{i} USING (d) GROUP BY r, c{i}.c)) WHERE place = 1)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS MATERIALIZED (SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n FROM x JOIN a{i} USING (r) GROUP BY c, d),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, d, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{i} LEFT JOIN s{i} USING (c, d))""")
+    return "WITH " + ",".join(steps) + f""",
+h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN h USING (c)
+"""
+
+
+ORACLE_SQL = {"op5_licence_scan": _OP5_SQL, "op6_mixing": _OP6_SQL, "op7_fm_index": _OP7_SQL, "op8_vector_join": _OP8_SQL,
+              "op12_sketch_search": _OP12_SQL, "op13_centroid_clusters": _op13_sql()}
