@@ -178,13 +178,13 @@ def _kept(vectors: DataFrame, dims: int, scale: int, id_col: str, vector_col: st
             F.monotonically_increasing_id().alias("row"), "vec_id", whole.alias("x")), "vectors")
 
 
-def _cells_of(kept: DataFrame, dims: int) -> Cells:
+def _cells_of(kept: DataFrame) -> Cells:
     """Borders at the quantiles of every dimension, over all rows."""
     shares = [j / CELLS for j in range(1, CELLS)]
-    part = [F.struct(F.min(F.get("x", F.lit(d))).alias("a"), F.max(F.get("x", F.lit(d))).alias("z"),
-                     F.percentile_approx(F.get("x", F.lit(d)), shares, 4 * CELLS).alias("q")).alias(f"d{d}") for d in range(dims)]
-    row = kept.agg(*part).first()
-    return Cells([r.a for r in row], [r.z for r in row], [r.q for r in row])
+    by_dim = kept.select(F.posexplode("x").alias("d", "c")).groupBy("d").agg(
+        F.min("c").alias("least"), F.max("c").alias("greatest"), F.percentile_approx("c", shares, 4 * CELLS).alias("borders"))
+    rows = sorted(by_dim.collect())  # one row per dimension
+    return Cells([r.least for r in rows], [r.greatest for r in rows], [r.borders for r in rows])
 
 
 def _totals(found: DataFrame, k: int, dims: int) -> np.ndarray:
@@ -210,7 +210,7 @@ def cluster_vectors(vectors: DataFrame, k: int = 8, rounds: int = 10, dims: int
     if k == 0:
         return kept.sparkSession.createDataFrame(
             [], schema + ", cluster_inertia long, inertia long, centroid_sha256 string")
-    cells = _cells_of(kept, dims)
+    cells = _cells_of(kept)
     approximate = scratch_table(
         kept.select("row", "x").mapInArrow(_approximate(cells, dims), "row long, norm long, cells binary"), "cells")
 
