@@ -25,12 +25,21 @@ Data lines carry a ``yyyy-MM`` date, so they are told from headers by a cheap
 test on the raw text before any split. Picking uses ``get``, which is null
 when a column is absent or a ragged line is short. Values are cast with
 ``try_cast``, so bad numbers become null, and so do ``NaN`` and infinite ones.
-Quoted line breaks are not supported.
+
+**Line breaks within quotes** (``quoted_breaks=True``): a line break after an odd
+number of quotes of its file belongs to its field. Whole files are cut into
+records by a linear regex. Lines of large files are joined again from a parity
+scan, whatever the splits: each block's quotes are counted, a running sum over
+the blocks of a file (a small table) gives the parity its first line starts
+with, and a running sum within each block that of every line. Only lines of
+records that span several lines are grouped, also across block edges. A file
+whose quotes do not pair up has no such records: its lines are taken as they
+are, so a stray quote cannot swallow the rest of it. The breaks become ``\\n``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, StringType, StructType
 
@@ -96,14 +105,14 @@ def _positions(fields: Column, names: list[str]) -> list[Column]:
 
 def align_files(files: DataFrame, schema: StructType = READINGS_SCHEMA,
                 header_marker: str = HEADER_MARKER, keep_path: bool = False,
-                flag_ragged: bool = False) -> DataFrame:
+                flag_ragged: bool = False, quoted_breaks: bool = False) -> DataFrame:
     """Align whole CSV files ``(_path, _content)``, one row per file, by their own header.
 
     Works on a batch frame and on a streaming micro-batch alike.
     """
     names = [f.name for f in schema.fields]
     known = [header_marker, *names]
-    with_header = _with_header(files, known)
+    with_header = _with_header(files, known, quoted_breaks)
     # The header test goes into the generator input rather than a filter: a
     # filter would be pushed below the projection with the file's split
     # inlined, repeating the split of the whole content per reference.
@@ -117,11 +126,27 @@ def align_files(files: DataFrame, schema: StructType = READINGS_SCHEMA,
     return data.select(*_pick(schema, keep_path, flag_ragged))
 
 
-def _with_header(files: DataFrame, known: list[str]) -> DataFrame:
+# A record with line breaks between quotes. Possessive, so linear in its length; never empty.
+_RECORD = r'([^"\n]++(?:"[^"]*+"[^"\n]*+)*+|(?:"[^"]*+"[^"\n]*+)++)'
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, '"', ""))
+
+
+def _records(content: Column) -> Column:
+    """The records of a whole file, without empty lines."""
+    one_kind = F.regexp_replace(content, "\r\n?", "\n")
+    return F.when(_quotes(content) % 2 == 0, F.regexp_extract_all(one_kind, F.lit(_RECORD), F.lit(1)))
+
+
+def _with_header(files: DataFrame, known: list[str], quoted_breaks: bool = False) -> DataFrame:
     """``(_path, _lines, _hdr, _at)``: the lines of each whole file, its header line and that line's number (0: none)."""
     # Splitting on runs of line breaks drops empty lines; lines holding only
     # blanks are dropped per row after the explode.
     lines = F.split(F.regexp_replace(F.col("_content"), r"^[\r\n]+", ""), r"[\r\n]+", -1)
+    if quoted_breaks:
+        lines = F.coalesce(_records(F.col("_content")), lines)
     is_header = lambda x: header_candidate(x) & header_predicate(csv_fields(x), known)
     found = files.select("_path", lines.alias("_lines")).withColumn("_hdr", F.get(F.filter("_lines", is_header), 0))
     return found.withColumn("_at", F.coalesce(F.array_position("_lines", F.col("_hdr")).cast("int"), F.lit(0)))
@@ -129,7 +154,7 @@ def _with_header(files: DataFrame, known: list[str]) -> DataFrame:
 
 def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
                 header_marker: str = HEADER_MARKER, keep_path: bool = False,
-                flag_ragged: bool = False) -> DataFrame:
+                flag_ragged: bool = False, quoted_breaks: bool = False) -> DataFrame:
     """Align CSV text lines ``(_path, _block, _number, _line)`` by each file's own header.
 
     ``(_block, _number)`` orders the lines of a file. Works on a batch frame
@@ -137,6 +162,8 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
     """
     names = [f.name for f in schema.fields]
     known = [header_marker, *names]
+    if quoted_breaks:
+        lines = joined_records(lines)
     place = F.struct("_block", "_number")
     headers = _header_lines(lines, known).groupBy("_path").agg(
         F.min_by(F.struct(*_positions(F.col("_f"), names), place.alias("_at")), place).alias("_h"))
@@ -151,6 +178,50 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
         *_pick(schema, keep_path, flag_ragged))
 
 
+def _block_parities(lines: DataFrame) -> DataFrame:
+    """Per block of a file: whether it starts and ends within quotes, and the block of the last record begun before it.
+
+    One row per block, so the windows over a file hold few rows.
+    """
+    odd = F.col("_odd")
+    blocks = lines.groupBy("_path", "_block").agg(
+        F.sum(odd).alias("_n_odd"), F.max("_number").alias("_last"), F.min(F.when(odd == 1, F.col("_number"))).alias("_first_odd"))
+    in_file = Window.partitionBy("_path")
+    before = in_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    paired = F.sum("_n_odd").over(in_file) % 2 == 0
+    start = F.when(paired, F.coalesce(F.sum("_n_odd").over(before), F.lit(0)) % 2).otherwise(0)
+    placed = blocks.withColumn("_paired", paired).withColumn("_start", start)
+    # A block that starts within quotes begins a record of its own if a line follows the one that closes them.
+    begins = (F.col("_start") == 0) | F.coalesce(F.col("_first_odd") < F.col("_last"), F.lit(False))
+    return placed.select(
+        "_path", "_block", "_paired", "_start", ((F.col("_start") + F.col("_n_odd")) % 2).alias("_end"),
+        F.last(F.when(begins, F.col("_block")), ignorenulls=True).over(before).alias("_owner"))
+
+
+def joined_records(lines: DataFrame) -> DataFrame:
+    """Lines ``(_path, _block, _number, _line)`` with those of one quoted record joined, at the place of its first line."""
+    counted = lines.select("_path", "_block", "_number", "_line", (_quotes(F.col("_line")) % 2).cast("int").alias("_odd"))
+    in_block = Window.partitionBy("_path", "_block").orderBy("_number")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    # Joined before the windows, so that lines are dealt by (path, block) once.
+    known = counted.join(_block_parities(counted), ["_path", "_block"])
+    inside = F.col("_paired") & ((F.col("_start") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 1)
+    placed = known.withColumn("_inside", inside)
+    following = F.coalesce(F.lead("_inside").over(in_block), F.col("_paired") & (F.col("_end") == 1))
+    record = F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    marked = placed.withColumn("_part", F.col("_inside") | following).withColumn("_record", record)
+    # The last record of a block goes by -1, under which lines of later blocks find it.
+    last = F.max("_record").over(Window.partitionBy("_path", "_block"))
+    keyed = marked.withColumn("_begun", F.when(F.col("_record") == 0, F.col("_owner")).otherwise(F.col("_block"))).withColumn(
+        "_key", F.when((F.col("_record") == 0) | (F.col("_record") == last), -1).otherwise(F.col("_record")))
+    single = keyed.filter(~F.col("_part")).select("_path", "_block", "_number", "_line")
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_number", "_line")))
+    several = keyed.filter("_part").groupBy("_path", "_begun", "_key").agg(parts.alias("_parts")).select(
+        "_path", F.get("_parts", F.lit(0))["_block"].alias("_block"), F.get("_parts", F.lit(0))["_number"].alias("_number"),
+        F.array_join("_parts._line", "\n").alias("_line"))
+    return single.unionByName(several)
+
+
 def _header_lines(lines: DataFrame, known: list[str]) -> DataFrame:
     """The header lines, split; only lines that pass the raw-text test are split."""
     candidates = lines.filter(header_candidate(F.col("_line"))).select("*", csv_fields("_line").alias("_f"))
@@ -173,11 +244,63 @@ def text_files(text: DataFrame) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_content"))
 
 
-def _text(spark: SparkSession, paths, file_pattern: str | None, recursive: bool, wholetext: bool) -> DataFrame:
+# Ids of chosen files that become a filter of the listing, at most; more are told apart by a join.
+CHOSEN_IDS = 50_000
+
+
+def chosen_ids(only: DataFrame, column: str = "station_id") -> list[str] | None:
+    """The distinct values of a column of ``only``, or None if they are more than CHOSEN_IDS."""
+    rows = only.select(column).filter(F.col(column).isNotNull()).distinct().limit(CHOSEN_IDS + 1).collect()
+    return None if len(rows) > CHOSEN_IDS else [r[0] for r in rows]
+
+
+def _one_of(column: str, values: list[str]) -> Column:
+    """``column IN (values)`` as one expression, as thousands of literals one by one are slow to make."""
+    if not values:
+        return F.lit(False)
+    quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"{column} IN ({', '.join(quoted)})")
+
+
+def chosen_files(text: DataFrame, only: DataFrame, ids: list[str] | None, folder: str | None = None,
+                 id_pattern: str = STEM_PATTERN) -> DataFrame:
+    """``text`` (a text-source frame) of the files of the stations of ``only``; ``ids`` is ``chosen_ids(only)``.
+
+    With ids and either folders named by them (``folder=<id>``) or files named
+    ``<id>.csv`` the choice is a filter on the partition column or the file's name:
+    files left out are dropped from the listing and never opened. Otherwise the
+    choice is a semi join: on the partition column, where Spark may prune
+    folders at run time, or on the id in the path, after a file was opened.
+    """
+    if folder is not None and ids is not None:
+        return text.filter(_one_of(f"`{folder}`", ids))
+    if ids is not None and id_pattern == STEM_PATTERN:
+        return text.filter(_one_of("_metadata.file_name", [f"{i}.csv" for i in ids]))
+    key = F.col(f"`{folder}`") if folder is not None else F.regexp_extract("_metadata.file_path", id_pattern, 1)
+    return _joined_to(text, key, only.select(F.col("station_id").alias("_id")))
+
+
+def _joined_to(text: DataFrame, key: Column, chosen: DataFrame) -> DataFrame:
+    # The key is made before the join: both sides may be file scans with a ``_metadata`` of their own.
+    files = text.select("*", "_metadata", key.alias("_file"))
+    return files.join(chosen.distinct(), F.col("_file") == F.col("_id"), "left_semi").drop("_file")
+
+
+def chosen_paths(text: DataFrame, only_paths: DataFrame, paths: list[str] | None) -> DataFrame:
+    """``text`` of the files whose ``path`` is in ``only_paths``; ``paths`` is ``chosen_ids`` of that column."""
+    if paths is not None:
+        return text.filter(_one_of("_metadata.file_path", paths))
+    return _joined_to(text, F.col("_metadata.file_path"), only_paths.select(F.col("path").alias("_id")))
+
+
+def _text(spark: SparkSession, paths, file_pattern: str | None, recursive: bool, wholetext: bool,
+          folder: str | None = None) -> DataFrame:
     reader = spark.read
+    if folder is not None:
+        reader = reader.schema(f"value string, `{folder}` string")  # ids stay text
     if file_pattern:
         reader = reader.option("pathGlobFilter", file_pattern)
-    if recursive:
+    if recursive and folder is None:  # with it Spark finds no partition columns
         reader = reader.option("recursiveFileLookup", True)
     # ``text`` sets ``wholetext`` itself (its argument overrides an option).
     return reader.text(paths, wholetext=wholetext)
@@ -188,7 +311,8 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
                   flag_ragged: bool = False, whole_files: bool | None = None,
                   file_pattern: str | None = None, recursive: bool = False,
                   whole_file_bytes: int = WHOLE_FILE_BYTES, only: DataFrame | None = None,
-                  id_pattern: str = STEM_PATTERN) -> DataFrame:
+                  id_pattern: str = STEM_PATTERN, folder: str | None = None,
+                  quoted_breaks: bool = False, only_paths: DataFrame | None = None) -> DataFrame:
     """Read CSV files aligned by name to ``schema``.
 
     ``paths`` is a directory (with ``file_pattern`` such as ``"*.csv"`` and,
@@ -201,8 +325,13 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     are null. ``keep_path`` adds ``source_file``; ``flag_ragged`` adds
     ``ragged`` (the line's field count differs from its header's).
 
-    ``only``: a table with ``station_id``; files whose id (``id_pattern`` on
-    the path) is not in it are left out, by a semi join before any split.
+    ``only``: a table with ``station_id``; other stations' files are left out. A
+    file's id is its partition folder's value (``folder``, for ``<folder>=<id>/``)
+    or what ``id_pattern`` takes from its path. The ids are looked up first (one
+    job), so that only the chosen files are opened (``chosen_files``).
+    ``only_paths``: the same by ``path``, as a listing gives it.
+
+    ``quoted_breaks``: quoted fields may hold line breaks (see the module's text).
 
     ``whole_files=None`` (default) decides per file in one plan: files up to
     ``whole_file_bytes`` go through the whole-file mode, larger ones through
@@ -211,12 +340,19 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     so each branch opens only its own files (no extra listing job).
     ``True`` / ``False`` force one mode for all files.
     """
+    ids = None if only is None else chosen_ids(only)
+    wanted = None if only_paths is None else chosen_ids(only_paths, "path")
+
     def branch(whole: bool, size_filter) -> DataFrame:
-        text = _text(spark, paths, file_pattern, recursive, wholetext=whole)
+        text = _text(spark, paths, file_pattern, recursive, whole, folder)
         if size_filter is not None:
             text = text.filter(size_filter)
-        rows = listed_only((text_files if whole else text_lines)(text), only, id_pattern)
-        return (align_files if whole else align_lines)(rows, schema, header_marker, keep_path, flag_ragged)
+        if only is not None:
+            text = chosen_files(text, only, ids, folder, id_pattern)
+        if only_paths is not None:
+            text = chosen_paths(text, only_paths, wanted)
+        rows = (text_files if whole else text_lines)(text)
+        return (align_files if whole else align_lines)(rows, schema, header_marker, keep_path, flag_ragged, quoted_breaks)
 
     if whole_files is not None:
         return branch(whole_files, None)
@@ -224,15 +360,6 @@ def read_readings(spark: SparkSession, paths: str | list[str], schema: StructTyp
     return branch(True, size <= whole_file_bytes).unionByName(branch(False, size > whole_file_bytes))
 
 
-def listed_only(rows: DataFrame, only: DataFrame | None, id_pattern: str = STEM_PATTERN) -> DataFrame:
-    """Rows whose file's id (the pattern's group on ``_path``) is a ``station_id`` of ``only``."""
-    if only is None:
-        return rows
-    ids = only.select(F.col("station_id").alias("_id")).distinct()
-    keyed = rows.withColumn("_file_id", F.regexp_extract("_path", id_pattern, 1))
-    return keyed.join(ids, F.col("_file_id") == F.col("_id"), "left_semi").drop("_file_id")
-
-
 def headerless_files(spark: SparkSession, paths: str | list[str], schema: StructType = READINGS_SCHEMA,
                      header_marker: str = HEADER_MARKER, file_pattern: str | None = None,
                      recursive: bool = False) -> DataFrame:
