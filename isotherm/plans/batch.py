@@ -11,7 +11,9 @@ Stage layout (each arrow is one Spark job, nothing is collected):
 
 The raw and the clean store are written once and every result reads them back,
 so no result rescans the CSV text, and the written tables cut the lineage: a
-lost executor only reruns tasks of the current job.
+lost executor only reruns tasks of the current job. All tables of a run are
+staged in new folders and become visible together, in one commit at its end
+(``sources.snapshots``): a run that fails leaves the results of the last one.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isotherm.operators import change, clean, metrics, regions, sampling
 from isotherm.schemas import FAHRENHEIT_ABOVE, TAVG_MIN
-from isotherm.sources import listing, readings, stations, store
+from isotherm.sources import listing, readings, snapshots, stations, store
 
 # Every whole degree that a mean of clean readings can have.
 TEMPERATURES = list(range(TAVG_MIN, FAHRENHEIT_ABOVE + 1))
@@ -30,27 +32,33 @@ TEMPERATURES = list(range(TAVG_MIN, FAHRENHEIT_ABOVE + 1))
 
 @dataclass
 class BatchOutputs:
+    """The folder of each table that a run wrote; ``snapshots.read_table(spark, base, name)`` reads the newest run's."""
+
     base: str
     written: dict[str, str] = field(default_factory=dict)
+    version: int | None = None
 
     def path(self, name: str) -> str:
-        return f"{self.base.rstrip('/')}/{name}"
+        return self.written[name]
 
 
 def run_batch(spark: SparkSession, station_list: str, readings_dir: str, output: str,
               country_regions: DataFrame | None = None, matrix_temperatures: list[float] | None = None,
               sample_ranges: DataFrame | None = None) -> BatchOutputs:
-    """Run the job and write every result as Parquet under ``output``.
+    """Run the job and write every result as a Parquet table of the snapshot folder ``output``.
 
     Only files of listed sites are read. ``sample_ranges`` (``start, end`` over
     the list ordered by id) restricts the run to the sites in these ranges.
     """
     out = BatchOutputs(output)
+    work = snapshots.begin(spark, output)
+    work.tables.clear()  # a run replaces all tables
 
-    def emit(name: str, df: DataFrame) -> DataFrame:
-        store.write_parquet(df, out.path(name))
-        out.written[name] = out.path(name)
-        return store.read_parquet(spark, out.path(name))
+    def emit(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        staged = work.replace(name, df, partition)
+        if work.tables[name]["folders"]:
+            out.written[name] = work.path(name)
+        return staged
 
     listed = stations.read_stations(spark, station_list)
     if sample_ranges is not None:
@@ -60,9 +68,7 @@ def run_batch(spark: SparkSession, station_list: str, readings_dir: str, output:
     raw = emit("raw", readings.read_readings(spark, readings_dir, file_pattern="*.csv", only=listed))
     emit("headerless_files", readings.headerless_files(spark, readings_dir, file_pattern="*.csv"))
     emit("outlier_report", clean.outlier_report(raw))
-    store.write_clean_store(clean.clean_readings(raw), out.path("clean"))
-    out.written["clean"] = out.path("clean")
-    cleaned = store.read_clean_store(spark, out.path("clean")).drop("year_range")
+    cleaned = emit("clean", store.arranged(store.with_any_year_range(clean.clean_readings(raw))), "year_range").drop("year_range")
 
     emit("seasonal_avg", metrics.seasonal_avg(cleaned))
     emit("station_datapoints", metrics.station_datapoints(cleaned))
@@ -77,6 +83,7 @@ def run_batch(spark: SparkSession, station_list: str, readings_dir: str, output:
     emit("missing_stations", listing.missing_stations(listed, present))
     if country_regions is not None:
         emit("station_country", regions.station_country(listed, country_regions))
+    out.version = work.commit()
     return out
 
 

@@ -13,9 +13,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from isotherm.operators import change, clean, metrics, regions, sampling, union
+from isotherm.operators import change, clean, metrics, partials, regions, sampling, union
 from isotherm.operators.literals import literal_table
+from isotherm.plans import refresh
 from isotherm.schemas import FAHRENHEIT_ABOVE, READING_COLUMNS, READINGS_SCHEMA, TAVG_MIN, YEAR_RANGES
 from isotherm.session import scratch_path
 from isotherm.sources import listing, readings, standin, stations, store
@@ -179,8 +181,7 @@ def _write_station_files(df: DataFrame, path: str, header: bool = True) -> str:
 
 
 def _read_station_files(spark, path: str, only: DataFrame) -> DataFrame:
-    rows = readings.read_readings(spark, path, file_pattern="*.csv", recursive=True, keep_path=True, only=only,
-                                  id_pattern=FOLDER_PATTERN)
+    rows = readings.read_readings(spark, path, file_pattern="*.csv", keep_path=True, only=only, folder="STATION")
     return rows.withColumn("STATION", F.regexp_extract("source_file", FOLDER_PATTERN, 1)).drop("source_file")
 
 
@@ -213,6 +214,59 @@ def q_sampled_ingest(spark, sf):
     return clean.clean_readings(_read_station_files(spark, path, chosen))
 
 
+def q_quoted_ingest(spark, sf):
+    """A column whose values hold line breaks, quotes and commas, read back in both modes."""
+    li = standin.table(spark, sf, "lineitem")
+    rows = standin.readings_from_lineitem(li, keep=("l_returnflag", "l_linenumber")).withColumn("NAME", F.concat(
+        F.lit("PLACE "), F.col("STATION"), F.lit('\n"'), F.col("l_returnflag"), F.lit('",\n\n2000-01,'), F.col("l_linenumber")))
+    path = scratch_path(spark, "quoted")
+    rows.select("NAME", *READING_COLUMNS).write.option("header", True).option("escape", '"').csv(path)
+    schema = StructType([*READINGS_SCHEMA.fields, StructField("NAME", StringType())])
+    both = [readings.read_readings(spark, path, schema, file_pattern="*.csv", whole_files=whole, quoted_breaks=True)
+            .withColumn("mode", F.lit("files" if whole else "lines")) for whole in (True, False)]
+    return both[0].unionByName(both[1])
+
+
+def _refreshed(spark, sf) -> DataFrame:
+    """Sums after two refreshes: files of three folders, then one folder removed, one written anew, one added."""
+    base = scratch_path(spark, "refresh")
+    rows = standin.readings_from_lineitem(
+        standin.table(spark, sf, "lineitem"), keep=("l_linenumber",)).withColumn("part", F.least("l_linenumber", F.lit(4)))
+
+    def write(part: int, to: str, mode: str = "error") -> None:
+        rows.filter(F.col("part") == part).select(*READING_COLUMNS).write.mode(mode).option("header", True).csv(f"{base}/raw/{to}")
+
+    for part, to in ((1, "a"), (2, "b"), (3, "c")):
+        write(part, to)
+    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True)
+    write(4, "b", "overwrite")
+    write(2, "d")
+    listing.remove_folder(spark, f"{base}/raw/c")
+    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True)
+    return refresh.totals(spark, f"{base}/store")
+
+
+def q_refreshed_datapoints(spark, sf):
+    return partials.station_datapoints_of(_refreshed(spark, sf))
+
+
+def q_refreshed_year_means(spark, sf):
+    yearly = metrics.global_year_means(partials.station_year_means_of(_refreshed(spark, sf)))
+    return _round6(yearly, "global_avg_precip")
+
+
+REPLACED_RANGE = "1986_1995"
+
+
+def q_replaced_range(spark, sf):
+    """A committed store in which one year range is then replaced by its warm rows alone."""
+    path = scratch_path(spark, "committed")
+    cleaned = _clean(spark, sf)
+    store.commit_clean_store(cleaned, path)
+    store.commit_year_ranges(cleaned.filter("TAVG > 10"), path, [REPLACED_RANGE])
+    return store.read_committed_store(spark, path)
+
+
 def q_headerless_files(spark, sf):
     """Stations whose file of rows with line status F was written without a header."""
     li = standin.table(spark, sf, "lineitem")
@@ -329,6 +383,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_stations": q_missing_stations,
     "listed_ingest": q_listed_ingest,
     "sampled_ingest": q_sampled_ingest,
+    "quoted_ingest": q_quoted_ingest,
+    "refreshed_datapoints": q_refreshed_datapoints,
+    "refreshed_year_means": q_refreshed_year_means,
+    "replaced_range": q_replaced_range,
     "headerless_files": q_headerless_files,
     "station_file_paths": q_station_file_paths,
     "year_range_export": q_year_range_export,
@@ -425,6 +483,14 @@ def _with(body: str) -> str:
     return f"WITH {_CTE}\n{body}"
 
 
+def _with_line_numbers(body: str) -> str:
+    """As ``_with``, where ``clean`` also has ``l_linenumber``."""
+    cte = _CTE.replace("FROM lineitem)", ", l_linenumber FROM lineitem)", 1)
+    for columns in ("AS TAVG, PRCP\n  FROM readings", "round(PRCP, 2) AS PRCP"):
+        cte = cte.replace(columns, columns.replace("PRCP", "PRCP, l_linenumber") if "FROM" in columns else columns + ", l_linenumber", 1)
+    return f"WITH {cte}\n{body}"
+
+
 def _matrix_sql(value: str) -> str:
     cells = ",\n  ".join(
         f"max(CASE WHEN rounded_global_avg_temp = {t} THEN {value} END) AS {change.temp_column_name(t)}"
@@ -525,6 +591,20 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_CLEAN_COLS} FROM clean WHERE STATION IN (SELECT station_id FROM (SELECT station_id, "
         "row_number() OVER (ORDER BY station_id) - 1 AS i FROM stations WHERE elevation >= 0) WHERE "
         + " OR ".join(f"(i >= {s} AND i < {e})" for s, e in SAMPLE_RANGES) + ")"),
+    "quoted_ingest": (
+        f"SELECT {_READING_COLS}, 'PLACE ' || STATION || chr(10) || '\"' || l_returnflag || '\",' || chr(10) || chr(10) || "
+        f"'2000-01,' || l_linenumber AS NAME, mode FROM (SELECT {_READINGS_SELECT}, l_returnflag, l_linenumber FROM lineitem), "
+        "(VALUES ('files'), ('lines')) AS m(mode)"),
+    "refreshed_datapoints": _with_line_numbers(
+        f"SELECT YEAR, SEASON, STATION, {_sql_mean2('TAVG')} AS average_temperature, "
+        "count(TAVG) AS datapoints FROM clean WHERE l_linenumber <> 3 GROUP BY YEAR, SEASON, STATION"),
+    "refreshed_year_means": _with_line_numbers(
+        "SELECT YEAR, round(avg(avg_temp)) AS rounded_global_avg_temp, round(avg(avg_precip), 6) AS global_avg_precip FROM ("
+        "SELECT STATION, YEAR, avg(TAVG) AS avg_temp, avg(PRCP) AS avg_precip FROM clean WHERE l_linenumber <> 3 "
+        "GROUP BY STATION, YEAR) GROUP BY YEAR"),
+    "replaced_range": _with(
+        f"SELECT * FROM (SELECT {_CLEAN_COLS}, coalesce({_year_range_case()}, 'outside') AS year_range FROM clean) "
+        f"WHERE year_range <> '{REPLACED_RANGE}' OR TAVG > 10"),
     "headerless_files": (
         f"SELECT DISTINCT {_sql_station('l_suppkey')} AS station_id, 'without' AS written FROM lineitem "
         "WHERE l_linestatus IS DISTINCT FROM 'O'"),

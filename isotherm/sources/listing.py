@@ -15,12 +15,24 @@ def file_listing(spark: SparkSession, paths: str | list[str], file_pattern: str
     """``path`` of every file. Uses the binary-file source with only the path
     selected, so no content is read; the file index lists the directories (in
     a Spark job when there are many), and the paths stay a DataFrame."""
+    return _listed(spark, paths, file_pattern, recursive).select(F.col("_metadata.file_path").alias("path"))
+
+
+def _listed(spark: SparkSession, paths: str | list[str], file_pattern: str | None, recursive: bool) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if file_pattern:
         reader = reader.option("pathGlobFilter", file_pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.load(paths).select(F.col("_metadata.file_path").alias("path"))
+    return reader.load(paths)
+
+
+def file_details(spark: SparkSession, paths: str | list[str], file_pattern: str | None = None,
+                 recursive: bool = False) -> DataFrame:
+    """``path``, ``size`` and ``modified`` of every file, from the listing alone."""
+    return _listed(spark, paths, file_pattern, recursive).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"))
 
 
 def present_station_ids(spark: SparkSession, directory: str, file_pattern: str = "*.csv",
@@ -46,3 +58,9 @@ def station_file_paths(stations: DataFrame, base: str, suffix: str = ".csv") ->
     return stations.select(
         "station_id", F.concat(F.lit(base.rstrip("/") + "/"), F.col("station_id"), F.lit(suffix)).alias("path")
     )
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds, on whatever file system it lies."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.schemas import YEAR_RANGES
+from isotherm.sources import snapshots
 
 
 # Partition label of clean rows whose year is in no export range (or null).
@@ -73,20 +74,30 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_partitioned(labelled: DataFrame, path: str, mode: str, arrange: bool = True) -> None:
-    """Write partitioned by ``year_range``.
-
-    ``arrange`` (default) range-partitions rows by year range, location and
-    time: a range that holds a third of all rows becomes many partitions, and
-    so does a location within it, while AQE joins small ones up to the advisory
-    size. So each file holds one stretch of locations of one year range, and a
-    regional request skips whole files by their statistics, not only row
-    groups. Within each task rows are sorted alike.
+def arranged(labelled: DataFrame) -> DataFrame:
+    """Rows with ``year_range`` in the layout of the store.
+
+    Rows are range-partitioned by year range, location and time: a range that
+    holds a third of all rows becomes many partitions, and so does a location
+    within it, while AQE joins small ones up to the advisory size. So each file
+    holds one stretch of locations of one year range, and a regional request
+    skips whole files by their statistics, not only row groups. Within each
+    task rows are sorted alike.
     """
     keys = ["year_range", "LATITUDE", "LONGITUDE"]
     time = [c for c in ("YEAR", "MONTH") if c in labelled.columns]
-    df = labelled.repartitionByRange(*keys, *time) if arrange else labelled
-    df.sortWithinPartitions(*keys).write.mode(mode).partitionBy("year_range").parquet(path)
+    return labelled.repartitionByRange(*keys, *time).sortWithinPartitions(*keys)
+
+
+def _write_partitioned(labelled: DataFrame, path: str, mode: str, arrange: bool = True) -> None:
+    """Write partitioned by ``year_range``; ``arrange`` (default): in the layout of ``arranged``."""
+    df = arranged(labelled) if arrange else labelled.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
+    df.write.mode(mode).partitionBy("year_range").parquet(path)
+
+
+def with_any_year_range(clean: DataFrame, ranges=YEAR_RANGES) -> DataFrame:
+    """Add ``year_range``, OUTSIDE_LABEL for rows whose year is in no range."""
+    return clean.withColumn("year_range", F.coalesce(year_range_of("YEAR", ranges), F.lit(OUTSIDE_LABEL)))
 
 
 def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
@@ -97,8 +108,7 @@ def write_clean_store(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str
     store is the complete clean table and, without that partition, the
     year-range export. Reading it back cuts the lineage of every result.
     """
-    label = F.coalesce(year_range_of("YEAR", ranges), F.lit(OUTSIDE_LABEL))
-    _write_partitioned(clean.withColumn("year_range", label), path, mode, arrange)
+    _write_partitioned(with_any_year_range(clean, ranges), path, mode, arrange)
 
 
 def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +116,32 @@ def read_clean_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
+CLEAN = "clean"
+
+
+def commit_clean_store(clean: DataFrame, base: str, ranges=YEAR_RANGES) -> int:
+    """As ``write_clean_store``, into a snapshot folder: readers see the old store until the new one is complete."""
+    work = snapshots.begin(clean.sparkSession, base)
+    work.replace(CLEAN, arranged(with_any_year_range(clean, ranges)), "year_range")
+    return work.commit()
+
+
+def commit_year_ranges(clean: DataFrame, base: str, labels: list[str], ranges=YEAR_RANGES) -> int:
+    """Replace the rows of the year ranges ``labels`` in a snapshot folder; files of other ranges are not touched.
+
+    ``clean`` may hold other years, which are left out.
+    """
+    work = snapshots.begin(clean.sparkSession, base)
+    rows = with_any_year_range(clean, ranges).filter(F.col("year_range").isin(labels))
+    work.replace_partitions(CLEAN, arranged(rows), "year_range", labels)
+    return work.commit()
+
+
+def read_committed_store(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """The clean table of a snapshot folder, with ``year_range``."""
+    return snapshots.read_table(spark, base, CLEAN, version)
+
+
 def write_year_ranges(clean: DataFrame, path: str, ranges=YEAR_RANGES, mode: str = "overwrite",
                       arrange: bool = True) -> None:
     """The year-range export: one write of the clean rows inside the ten

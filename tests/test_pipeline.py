@@ -4,7 +4,7 @@ import pytest
 
 from isotherm.operators import clean, metrics
 from isotherm.plans.batch import run_batch
-from isotherm.sources import readings, store
+from isotherm.sources import readings, snapshots, store
 from isotherm.streaming import start_incremental_ingest
 
 from .test_sources import make_csv_dir
@@ -109,5 +109,5 @@ def test_command_line_entry(spark, tmp_path):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert spark.read.parquet(str(out / "seasonal_avg")).count() > 0
-    assert [r.station_id for r in spark.read.parquet(str(out / "missing_stations")).collect()] == ["e"]
+    assert snapshots.read_table(spark, str(out), "seasonal_avg").count() > 0
+    assert [r.station_id for r in snapshots.read_table(spark, str(out), "missing_stations").collect()] == ["e"]
