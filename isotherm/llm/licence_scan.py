@@ -9,11 +9,14 @@ without any is not cut into bigrams at all. Dice counts repeated bigrams as ofte
 as both sides hold them. A unit matches its nearest templates, several if they tie.
 
 A notice need not be a unit: it may lie within a line, or run over lines or paragraphs
-beside other text. So a template that no unit matched is also sought in the run of the
-text's words that fits it best (the greatest sum of 2 - t for each of its bigrams and -t
-for each other one, which is t times its size or more in every run that reaches t). Of
-runs that mostly overlap, the one with the most bigrams in common matches. Only texts
-that hold one of a few words which no match can do without are searched in this way.
+beside other text. So a template that no unit matched is also sought in all runs of the
+text's words, and the run with the greatest coefficient is taken (the first, if they
+tie): each text counts a template once among runs. A run that reaches the threshold
+holds t / (2 - t) of the template's n bigrams and is (2 - t) / t * n long at most, so only
+places from which that many of the template's bigrams follow within that length are
+starts, and from each start the coefficient is followed bigram by bigram. Of runs of
+several templates that mostly overlap, the one with the most bigrams in common matches.
+Only texts that hold one of a few words which no match can do without are searched.
 Everything is one projection of DataFrame functions: no
 join, no shuffle.
 
@@ -26,6 +29,7 @@ gives no rows; other columns are kept.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -61,7 +65,8 @@ def candidates_by_size(bigrams: list[list[str]], threshold: float) -> dict[int,
     return found
 
 
-def needed_words(bigrams: list[list[str]], threshold: float) -> list[str]:
+@functools.lru_cache(maxsize=64)
+def needed_words(bigrams: tuple[tuple[str, ...], ...], threshold: float) -> list[str]:
     """Words of which every text with a run that reaches the threshold holds one or more.
 
     Such a run holds threshold / (2 - threshold) of a template's bigrams at least, so
@@ -81,6 +86,11 @@ def needed_words(bigrams: list[list[str]], threshold: float) -> list[str]:
     return found
 
 
+def _words(words: list[str]) -> str:
+    """SQL of an array of words and bigrams of a-z and 0-9."""
+    return "cast(array(" + ", ".join(f"'{w}'" for w in words) + ") as array<string>)"
+
+
 def _let(value: F.Column, use) -> F.Column:
     """``use(value)``, where ``value`` is computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -93,9 +103,10 @@ def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
         raise ValueError(f"templates are beyond {TEMPLATE_BYTES} bytes")
     bigrams = [template_bigrams(t) for _, t in templates]
     by_size = candidates_by_size(bigrams, threshold)
-    grams = F.array(*[F.array(*[F.lit(g) for g in b]).cast("array<string>") for b in bigrams])
+    grams = F.expr("array(" + ", ".join(map(_words, bigrams)) + ")")
     names = F.array(*[F.lit(n) for n, _ in templates])
-    candidates = F.create_map(*[x for n, ks in by_size.items() for x in (F.lit(n), F.array(*[F.lit(k) for k in ks]))])
+    candidates = F.expr("cast(map(" + ", ".join(f"{n}, array({', '.join(map(str, ks))})" for n, ks in by_size.items())
+                        + ") as map<int, array<int>>)")
 
     clean = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
     joined = lambda p: F.trim(F.regexp_replace(p, "[ \n]+", " "))
@@ -125,32 +136,46 @@ def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
                       for b in bigrams])
     numbers = F.array(*[F.lit(k) for k, b in enumerate(bigrams) if b]).cast("array<int>")
 
-    def best_run(hits, template):
-        """The run (low, high) with the greatest sum; ``hits``: (g, i) of the text's bigrams in the template."""
-        state = lambda *v: F.struct(*[x.alias(n) for x, n in zip(v, ("sum", "start", "last", "best", "low", "high"))])
+    # The common bigrams of a run that reaches the threshold, at least, and its length, at most.
+    need = F.array(*[F.lit(max(1, math.ceil(threshold / (2 - threshold) * len(b) - 1e-9))) for b in bigrams])
+    reach = F.array(*[F.lit(max(1, math.floor((2 - threshold) / threshold * len(b) + 1e-9))) for b in bigrams])
+
+    def marked(places, template):
+        """``places`` (i, g) as (i, prior), in order: the bigram at i counts in runs that start after ``prior``,
+        where the last of as many equal ones as the template holds stands."""
+        def of_gram(g):
+            at = F.transform(F.filter(places, lambda x: x["g"] == g), lambda x: x["i"])
+            return _let(F.struct(at.alias("at"), times(template, g).alias("c")), lambda one: F.transform(
+                one["at"], lambda i, o: F.struct(i.alias("i"), F.coalesce(F.get(one["at"], o - one["c"]), F.lit(-1)).alias("prior"))))
+        return F.array_sort(F.flatten(F.transform(F.array_distinct(F.transform(places, lambda x: x["g"])), of_gram)))
 
-        def step(a, h):
-            rest = a["sum"] - threshold * (h["i"] - a["last"] - 1)
-            start = F.when(rest > 0, a["start"]).otherwise(h["i"])
-            used = F.size(F.filter(hits, lambda x: (x["g"] == h["g"]) & (x["i"] >= start) & (x["i"] < h["i"])))
-            total = F.greatest(rest, F.lit(0.0)) + (2.0 - threshold)
-            better = total > a["best"]
-            more = state(total, start, h["i"], F.greatest(total, a["best"]), F.when(better, start).otherwise(a["low"]),
-                         F.when(better, h["i"]).otherwise(a["high"]))
-            # A bigram beyond those of the template is like any other one.
-            return F.when(used < times(template, h["g"]), more).otherwise(a)
+    def best_from(start, marks, k):
+        """The best run from one start: (dice, low, high), low negative so that the first is the greatest of equal ones."""
+        state = lambda *v: F.struct(*[x.alias(n) for x, n in zip(v, ("common", "dice", "high"))])
 
-        none = state(F.lit(0.0), F.lit(0), F.lit(-1), F.lit(0.0), F.lit(0), F.lit(-1))
-        return F.aggregate(hits, none, step)
+        def step(a, m):
+            common = a["common"] + F.when(m["prior"] < start["i"], 1).otherwise(0)
+            value = (2 * common) / (m["i"] - start["i"] + 1 + F.size(F.get(grams, k)))
+            better = (m["i"] - start["i"] < F.get(reach, k)) & (value > a["dice"])
+            return state(common, F.when(better, value).otherwise(a["dice"]), F.when(better, m["i"]).otherwise(a["high"]))
+
+        run = F.aggregate(F.slice(marks, start["a"] + 1, F.get(reach, k)), state(F.lit(0), F.lit(0.0), F.lit(-1)), step)
+        return _let(run, lambda r: F.struct(r["dice"].alias("dice"), (-start["i"]).alias("low"), r["high"].alias("high")))
 
     def run_of(text, k):
         template = F.get(grams, k)
-        hits = F.filter(F.transform(text, lambda g, i: F.struct(g.alias("g"), i.alias("i"))),
-                        lambda h: F.array_contains(template, h["g"]))
-        return _let(_let(hits, lambda h: best_run(h, template)), lambda r: F.struct(
-            F.get(names, k).alias("licence"), k.alias("template"),
-            dice(F.slice(text, r["low"] + 1, r["high"] - r["low"] + 1), k).alias("dice"),
-            r["low"].alias("low"), r["high"].alias("high")))
+        places = F.filter(F.transform(text, lambda g, i: F.struct(i.alias("i"), g.alias("g"))),
+                          lambda h: F.array_contains(template, h["g"]))
+
+        def from_places(at):
+            starts = F.filter(F.transform(at, lambda h, a: F.struct(a.alias("a"), h["i"].alias("i"))), lambda h: F.coalesce(
+                F.get(at, h["a"] + F.get(need, k) - 1)["i"] - h["i"] < F.get(reach, k), F.lit(False)))
+            return _let(starts, lambda some: F.when(F.size(some) > 0, _let(marked(at, template), lambda marks: F.array_max(
+                F.transform(some, lambda h: best_from(h, marks, k))))))
+
+        return _let(_let(places, from_places), lambda r: F.struct(
+            F.get(names, k).alias("licence"), k.alias("template"), r["dice"].alias("dice"),
+            (-r["low"]).alias("low"), r["high"].alias("high")))
 
     def of_runs(clean):
         def common(r):
@@ -162,18 +187,19 @@ def licence_matches(text_col: str, templates: list[tuple[str, str]] = TEMPLATES,
                 (common(x) > common(r)) | ((common(x) == common(r)) & (x["dice"] > r["dice"]))))
 
         def search(text):
-            held = F.array_intersect(text, F.array(*[F.lit(g) for g in sorted({g for b in bigrams for g in b})]))
+            held = F.array_intersect(text, F.expr(_words(sorted({g for b in bigrams for g in b}))))
             ks = _let(held, lambda some: F.filter(
                 numbers, lambda k: F.size(F.array_intersect(some, F.get(grams, k))) >= F.get(least, k)))
             runs = F.filter(F.transform(ks, lambda k: run_of(text, k)), lambda r: r["dice"] >= threshold)
             return _let(runs, lambda all_runs: F.filter(all_runs, lambda r: ~hidden(r, all_runs)))
 
-        return _let(pairs_of(F.split(joined(clean), " ")), search)
+        # Each step is bound once: a lambda would work out an expression anew for every word.
+        return _let(F.split(joined(clean), " "), lambda words: _let(pairs_of(words), search))
 
     def matches(clean):
         def may(line):
             held = F.lit(False)
-            for w in needed_words(bigrams, threshold):
+            for w in needed_words(tuple(map(tuple, bigrams)), threshold):
                 held |= F.contains(line, F.lit(f" {w} "))
             return held
 
