@@ -53,6 +53,8 @@ SLOPE = 90  # of 100: how far the length of a document counts
 BLOCK_BYTES = 4 << 20
 # Table lookups (documents x terms of queries) held at a time.
 LOOKUPS = 2_000_000
+# Documents whose sketches a task holds at a time.
+SLICE_ROWS = 2048
 # One in so many documents is searched first, for a threshold to start from.
 FIRST_SHARE = 32
 
@@ -208,7 +210,7 @@ def _search(queries: Queries, thresholds: np.ndarray, k: int, documents: int, wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(thresholds, k)
-        for batch in batches:
+        for batch in (b.slice(first, SLICE_ROWS) for b in batches for first in range(0, b.num_rows, SLICE_ROWS)):
             sketches = batch.column("sketch").to_pylist()
             sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
             m_all = 100 - SLOPE + SLOPE * batch.column("n").to_numpy() * documents // words
