@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default grid cell size in degrees: 10 degrees gives at most 21 x 39 cells.
@@ -67,6 +67,101 @@ def grid_cells_of_box(lat1, lon1, lat2, lon2, cell_degrees: float = CELL_DEGREES
     return F.when(valid, cells).otherwise(F.array().cast("array<struct<cell: bigint, inside: boolean>>"))
 
 
+def grid_row_and_column(lat, lon, cell_degrees: float = CELL_DEGREES) -> tuple[Column, Column]:
+    """Row and column of the cell of a point, as in ``grid_cell``."""
+    return (_cell(_col(lat), cell_degrees, _bounds(90, cell_degrees)), _cell(_col(lon), cell_degrees, _bounds(180, cell_degrees)))
+
+
+def pyramid_levels(cell_degrees: float) -> int:
+    """The number of levels above the cells: level k has cells of 2^k times the size, up to about a third of the globe's width."""
+    return max(0, math.floor(math.log2(128 / cell_degrees)))
+
+
+def within_range(row: Column, column: Column, cell_degrees: float) -> Column:
+    """Whether a cell lies within the valid range of coordinates."""
+    lat_b, lon_b = _bounds(90, cell_degrees), _bounds(180, cell_degrees)
+    return row.between(lat_b[0] + 1, lat_b[1] - 1) & column.between(lon_b[0] + 1, lon_b[1] - 1)
+
+
+def with_pyramid_cells(boxes: DataFrame, cell_degrees: float) -> DataFrame:
+    """``boxes`` (lat1, lon1, lat2, lon2 and others) with a row for each of the cells that make up a box.
+
+    Adds ``level``, ``row``, ``column``, ``inside``. The cells inside a box are
+    taken as coarse as they fit, so their number, and that of the cells on its
+    border (level 0, not inside), grows with the box's edge and not with its area:
+    at each level what is left around the cells of the next one is a ring of
+    one cell's width. Nothing is listed that is not part of the answer.
+    """
+    if cell_degrees < MIN_CELL_DEGREES:
+        raise ValueError(f"cell_degrees must be at least {MIN_CELL_DEGREES}")
+    size, levels = F.lit(cell_degrees), pyramid_levels(cell_degrees)
+    bounds: dict[str, Column] = {}
+    # Level 0: cells touched (_t), cells inside (_0); then of each level those inside (_<level>).
+    for name, low, high, limits in (("r", _col("lat1"), _col("lat2"), _bounds(90, cell_degrees)),
+                                    ("c", _col("lon1"), _col("lon2"), _bounds(180, cell_degrees))):
+        bounds[f"_{name}1_t"], bounds[f"_{name}2_t"] = _cell(low, cell_degrees, limits), _cell(high, cell_degrees, limits)
+        first, last = bounds[f"_{name}1_t"], bounds[f"_{name}2_t"]
+        bounds[f"_{name}1_0"] = F.greatest(F.when(first * size >= low, first).otherwise(first + 1), F.lit(limits[0] + 1))
+        # The cell of ``high`` itself ends beyond it; out of range everything is cut to the last valid cell.
+        bounds[f"_{name}2_0"] = F.when(last >= limits[1], F.lit(limits[1] - 1).cast("long")).otherwise(
+            F.when(last * size <= high, last - 1).otherwise(last - 2))
+    numbered = boxes.withColumns(bounds)
+    for k in range(1, levels + 1):
+        numbered = numbered.withColumns({c: e for name in "rc" for c, e in (
+            (f"_{name}1_{k}", F.shiftright(F.col(f"_{name}1_0") + (2 ** k - 1), k)),
+            (f"_{name}2_{k}", F.shiftright(F.col(f"_{name}2_0") + 1, k) - 1))})
+
+    def span(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    def ring(level: int, outer: str, inner: str | None, grown: bool, inside: bool) -> Column:
+        """The cells of one rectangle without those of another (``grown``: given in cells of twice the size)."""
+        edge = lambda name, end: F.col(f"_{name}{end}_{outer}")
+        hole = lambda name, end: F.col(f"_{name}{end}_{inner}") * (2 if grown else 1) + (1 if grown and end == 2 else 0)
+        cell = lambda row: lambda column: F.struct(
+            F.lit(level).alias("level"), row.alias("row"), column.alias("column"), F.lit(inside).alias("inside"))
+
+        def of_row(row: Column) -> Column:
+            whole = span(edge("c", 1), edge("c", 2))
+            if inner is None:
+                return F.transform(whole, cell(row))
+            cut = row.between(hole("r", 1), hole("r", 2)) & (hole("c", 1) <= hole("c", 2))
+            sides = F.concat(span(edge("c", 1), hole("c", 1) - 1), span(hole("c", 2) + 1, edge("c", 2)))
+            return F.transform(F.when(cut, sides).otherwise(whole), cell(row))
+
+        return F.flatten(F.transform(span(edge("r", 1), edge("r", 2)), of_row))
+
+    rings = [ring(0, "t", "0", False, False)]
+    rings += [ring(k, str(k), str(k + 1) if k < levels else None, True, True) for k in range(levels + 1)]
+    valid = (_col("lat1") <= _col("lat2")) & (_col("lon1") <= _col("lon2"))
+    listed = numbered.filter(valid).select(*[F.col(c) for c in boxes.columns], F.concat(*rings).alias("_cells"))
+    return listed.select(*[F.col(c) for c in boxes.columns], F.inline("_cells"))
+
+
+def _spread(v: Column, bits: int) -> Column:
+    """The bits of an integer moved apart: bit k to bit 2k. For up to 32 bits."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        if shift < bits:
+            v = F.shiftleft(v, shift).bitwiseOR(v).bitwiseAND(F.lit(mask))
+    return v
+
+
+def morton_key(lat, lon, bits: int = 20) -> Column:
+    """Place of a point on a Z-order curve over the globe: near points mostly have near keys.
+
+    Each coordinate is cut to ``bits`` bits of its valid range (20: about 40 m), the
+    bits of both alternate. Values beyond the range count as its end; a null
+    coordinate gives null.
+    """
+    def part(v: Column, limit: float) -> Column:
+        steps = F.floor((v + limit) / (2 * limit) * (1 << bits))
+        within = F.least(F.greatest(steps, F.lit(0)), F.lit((1 << bits) - 1)).cast("long")
+        return F.when(v.isNotNull(), within)  # greatest() and least() pass over nulls
+
+    return F.shiftleft(_spread(part(_col(lat), 90.0), bits), 1).bitwiseOR(_spread(part(_col(lon), 180.0), bits))
+
+
 def fine_cell(lat, lon, fine_degrees: float) -> Column:
     """Cell id of a point on a finer grid; out-of-range points keep their own cells."""
     return F.floor(_col(lat) / F.lit(fine_degrees)) * _LON_SPAN + F.floor(_col(lon) / F.lit(fine_degrees))

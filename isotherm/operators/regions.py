@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions.geo import (CELL_DEGREES, beyond_range, fine_cell, fine_cells, grid_cell, grid_cells_of_box,
-                                    in_rectangle)
+                                    grid_row_and_column, in_rectangle, pyramid_levels, with_pyramid_cells, within_range)
 from isotherm.functions.means import exact_mean, hundredths, mean_of_hundredths
 from isotherm.sources.store import year_range_labels
 
+# The smallest cells of requests for many boxes, in degrees; coarser ones are made from them.
+REQUEST_CELL_DEGREES = 1.0
+
 
 def region_filter(clean: DataFrame, lat1: float, lon1: float, lat2: float, lon2: float,
                   start_year: int, end_year: int) -> DataFrame:
@@ -57,59 +60,75 @@ def location_year_totals(clean: DataFrame) -> DataFrame:
     )
 
 
-def cell_year_sums(totals: DataFrame) -> DataFrame:
-    """One row per grid cell: ``(cell, first_year, sums)``, the running sums of its years without gaps.
+_SUMS = ("tavg_total", "tavg_count", "row_count")
+_CELL = ["level", "row", "column"]
+
+
+def cell_year_sums(yearly: DataFrame) -> DataFrame:
+    """One row per cell of the pyramid: ``(level, row, column, first_year, sums)``, running sums of its years without gaps.
 
     ``sums[k]`` holds the sums up to year ``first_year + k``, so a span of years
     is the difference of two elements. Bounded by cells x years, whatever the
     number of locations; a cell's window and list hold one entry a year.
     """
-    run = Window.partitionBy("cell").orderBy("YEAR")
-    names = ("tavg_total", "tavg_count", "row_count")
-    yearly = totals.groupBy("cell", "YEAR").agg(*[F.sum(n).alias(n) for n in names])
+    run = Window.partitionBy(*_CELL).orderBy("YEAR")
     summed = yearly.select(
-        "cell", "YEAR", *[F.sum(n).over(run).alias(n) for n in names],
+        *_CELL, "YEAR", *[F.sum(n).over(run).alias(n) for n in _SUMS],
         F.coalesce(F.lead("YEAR").over(run) - 1, F.col("YEAR")).alias("_until"))
-    filled = summed.select("cell", F.explode(F.sequence("YEAR", "_until")).alias("year"), *names)
-    return filled.groupBy("cell").agg(
-        F.min("year").alias("first_year"), F.array_sort(F.collect_list(F.struct("year", *names))).alias("sums"))
+    filled = summed.select(*_CELL, F.explode(F.sequence("YEAR", "_until")).alias("year"), *_SUMS)
+    return filled.groupBy(*_CELL).agg(
+        F.min("year").alias("first_year"), F.array_sort(F.collect_list(F.struct("year", *_SUMS))).alias("sums"))
+
+
+def pyramid_year_totals(totals: DataFrame, cells: DataFrame, cell_degrees: float) -> DataFrame:
+    """Sums per year of the cells ``(level, row, column)`` that ``cells`` names, from totals with level-0 ``row`` and ``column``.
+
+    Locations are reduced to cells first, so what is copied to the levels above is
+    bounded by cells x years; copies that no request asks for go before they are summed.
+    """
+    inner = totals.filter(within_range(F.col("row"), F.col("column"), cell_degrees))
+    small = inner.groupBy("row", "column", "YEAR").agg(*[F.sum(n).alias(n) for n in _SUMS])
+    copied = small.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(pyramid_levels(cell_degrees)))))
+    raised = copied.withColumns({c: F.expr(f"shiftright({c}, level)") for c in ("row", "column")})
+    asked = raised.join(cells.select(*_CELL).distinct(), _CELL, "left_semi")
+    return asked.groupBy(*_CELL, "YEAR").agg(*[F.sum(n).alias(n) for n in _SUMS])
 
 
-def region_summary_many(clean: DataFrame, requests: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
+def region_summary_many(clean: DataFrame, requests: DataFrame, cell_degrees: float = REQUEST_CELL_DEGREES) -> DataFrame:
     """One row per request ``(region_id, lat1, lon1, lat2, lon2, start_year, end_year)``;
     ``region_id`` must be unique.
 
-    Plan: readings are pre-aggregated per location-year. A request's box is
-    expanded to the grid cells it touches (``cell_degrees``, 10 by default).
-    Cells that lie inside the box are answered from running sums per cell and
-    year, two lookups a cell; only the locations in the cells on its border are
-    joined one by one and tested exactly (inclusive). Requests with no
-    matching rows are kept (mean null, count 0).
+    Plan: readings are pre-aggregated per location-year. A request's box becomes
+    the cells that make it up, inner ones as coarse as they fit (``cell_degrees``
+    times 1, 2, 4, ...), so their number grows with the box's edge. Inner cells
+    are answered from running sums per cell and year, two lookups a cell;
+    only the locations in the cells on its border are joined one by one and
+    tested exactly (inclusive). Requests with no matching rows are kept (mean
+    null, count 0).
     """
-    totals = location_year_totals(clean).withColumn("cell", grid_cell("LATITUDE", "LONGITUDE", cell_degrees))
-    touched = requests.select(
-        "region_id", "lat1", "lon1", "lat2", "lon2", "start_year", "end_year",
-        F.inline(grid_cells_of_box("lat1", "lon1", "lat2", "lon2", cell_degrees)))
+    row, column = grid_row_and_column("LATITUDE", "LONGITUDE", cell_degrees)
+    totals = location_year_totals(clean).withColumns({"row": row, "column": column})
+    asked = requests.select("region_id", "lat1", "lon1", "lat2", "lon2", "start_year", "end_year")
+    cells = with_pyramid_cells(asked.filter("start_year <= end_year"), cell_degrees)
 
-    inner = touched.filter("inside").select("region_id", "start_year", "end_year", "cell").join(
-        cell_year_sums(totals), "cell")
+    inner = cells.filter("inside").select("region_id", "start_year", "end_year", *_CELL)
+    found = inner.join(cell_year_sums(pyramid_year_totals(totals, inner, cell_degrees)), _CELL)
 
     def upto(year, name):
         last = F.least(year - F.col("first_year"), F.size("sums") - 1)
         return F.when(last >= 0, F.get("sums", last)[name]).otherwise(F.lit(0))
 
-    names = ("tavg_total", "tavg_count", "row_count")
-    inner_sums = inner.filter("start_year <= end_year").select("region_id", *[
-        (upto(F.col("end_year"), n) - upto(F.col("start_year") - 1, n)).alias(n) for n in names])
+    inner_sums = found.select("region_id", *[
+        (upto(F.col("end_year"), n) - upto(F.col("start_year") - 1, n)).alias(n) for n in _SUMS])
 
-    edge = touched.filter("not inside")
+    edge = cells.filter("not inside")
     cond = (
-        (totals["cell"] == edge["cell"])
+        (totals["row"] == edge["row"]) & (totals["column"] == edge["column"])
         & in_rectangle(totals["LATITUDE"], totals["LONGITUDE"], edge["lat1"], edge["lon1"], edge["lat2"], edge["lon2"])
         & totals["YEAR"].between(edge["start_year"], edge["end_year"])
     )
-    edge_sums = totals.join(edge, cond).select("region_id", *names)
-    matched = inner_sums.unionByName(edge_sums).groupBy("region_id").agg(*[F.sum(n).alias(n) for n in names])
+    edge_sums = totals.join(edge, cond).select("region_id", *_SUMS)
+    matched = inner_sums.unionByName(edge_sums).groupBy("region_id").agg(*[F.sum(n).alias(n) for n in _SUMS])
     return requests.select("region_id").join(matched, "region_id", "left").select(
         "region_id",
         mean_of_hundredths("tavg_total", "tavg_count").alias("average_temperature"),

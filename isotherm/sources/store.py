@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isotherm.functions.geo import morton_key
 from isotherm.schemas import YEAR_RANGES
 from isotherm.sources import snapshots
 
 
+_PLACE = "_place"
 # Partition label of clean rows whose year is in no export range (or null).
 OUTSIDE_LABEL = "outside"
 
@@ -77,21 +79,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def arranged(labelled: DataFrame) -> DataFrame:
     """Rows with ``year_range`` in the layout of the store.
 
-    Rows are range-partitioned by year range, location and time: a range that
-    holds a third of all rows becomes many partitions, and so does a location
-    within it, while AQE joins small ones up to the advisory size. So each file
-    holds one stretch of locations of one year range, and a regional request
-    skips whole files by their statistics, not only row groups. Within each
-    task rows are sorted alike.
+    Rows are range-partitioned by year range, place and time: a range that
+    holds a third of all rows becomes many partitions, and so does a place
+    within it, while AQE joins small ones up to the advisory size. Places are
+    ordered along a Z-order curve (``morton_key``), so each file and each row group holds a
+    compact area, short in latitude and in longitude, and a request for a box
+    skips the others by their statistics. Within each task rows are sorted alike.
     """
-    keys = ["year_range", "LATITUDE", "LONGITUDE"]
     time = [c for c in ("YEAR", "MONTH") if c in labelled.columns]
-    return labelled.repartitionByRange(*keys, *time).sortWithinPartitions(*keys)
+    placed = labelled.withColumn(_PLACE, morton_key("LATITUDE", "LONGITUDE"))
+    ordered = placed.repartitionByRange("year_range", _PLACE, *time).sortWithinPartitions("year_range", _PLACE, *time)
+    return ordered.drop(_PLACE)
 
 
 def _write_partitioned(labelled: DataFrame, path: str, mode: str, arrange: bool = True) -> None:
     """Write partitioned by ``year_range``; ``arrange`` (default): in the layout of ``arranged``."""
-    df = arranged(labelled) if arrange else labelled.sortWithinPartitions("year_range", "LATITUDE", "LONGITUDE")
+    df = arranged(labelled) if arrange else labelled.sortWithinPartitions("year_range", morton_key("LATITUDE", "LONGITUDE"))
     df.write.mode(mode).partitionBy("year_range").parquet(path)
 
 
