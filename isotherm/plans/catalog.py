@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from isotherm.operators import change, clean, metrics, partials, regions, sampling, union
+from isotherm.operators import borders, change, clean, metrics, partials, regions, sampling, union
 from isotherm.operators.literals import literal_table
 from isotherm.plans import refresh
 from isotherm.schemas import FAHRENHEIT_ABOVE, READING_COLUMNS, READINGS_SCHEMA, TAVG_MIN, YEAR_RANGES
@@ -295,6 +295,11 @@ def q_station_country(spark, sf):
     return regions.station_country(standin.stations(spark, sf), standin.country_regions(spark, sf))
 
 
+def q_polygon_country(spark, sf):
+    """Sites by the borders of diamonds with holes, some across the date line; bands of over six edges are cut."""
+    return borders.polygon_country(standin.stations(spark, sf), standin.country_polygons(spark, sf), max_edges=6)
+
+
 def q_country_filter(spark, sf):
     return regions.country_filter(q_station_country(spark, sf), EXCLUDED_COUNTRY)
 
@@ -391,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_file_paths": q_station_file_paths,
     "year_range_export": q_year_range_export,
     "station_country": q_station_country,
+    "polygon_country": q_polygon_country,
     "country_filter": q_country_filter,
     "station_parse": q_station_parse,
     "readings_ingest": q_readings_ingest,
@@ -614,6 +620,16 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT * FROM (SELECT {_CLEAN_COLS}, {_year_range_case()} AS year_range FROM clean) "
         "WHERE year_range IS NOT NULL"),
     "station_country": _with("SELECT * FROM station_country"),
+    # Ray casting against every edge, on longitudes that run on beyond the date line.
+    "polygon_country": _with(
+        "SELECT s.*, (SELECT min(country) FROM ("
+        "SELECT n_name AS country, count(*) AS met FROM (SELECT n_name, (n_nationkey // 5) * 36 - 72 + 0.313 AS lat, "
+        "(n_nationkey % 5) * 72 - 144 + 30.171 AS lon FROM nation) n, "
+        "(VALUES (17.5, 35.5), (5.25, 9.5)) AS d(h, w), "
+        "(VALUES (0, -1, 1, 0), (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1)) AS e(a1, b1, a2, b2), (VALUES (0), (360)) AS t(turn) "
+        "WHERE least(n.lat + a1 * h, n.lat + a2 * h) <= s.latitude AND s.latitude < greatest(n.lat + a1 * h, n.lat + a2 * h) "
+        "AND s.longitude + turn < n.lon + b1 * w + (s.latitude - n.lat - a1 * h) * (b2 - b1) * w / ((a2 - a1) * h) "
+        "GROUP BY n_name, turn) WHERE met % 2 = 1) AS country FROM stations s"),
     "country_filter": _with(f"SELECT * FROM station_country WHERE country <> '{EXCLUDED_COUNTRY}'"),
     "station_parse": (
         f"SELECT {_sql_station('s_suppkey')} AS station_id,\n"

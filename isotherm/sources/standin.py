@@ -105,6 +105,25 @@ def country_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def country_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per nation a diamond with a diamond hole, moved east so that those of the last column cross the date line.
+
+    Corners lie off the whole degrees of the stand-in sites, so no site lies on a border.
+    """
+    n = table(spark, sf_dir, "nation")
+    lat = F.floor(F.col("n_nationkey") / 5) * 36 - 72 + 0.313
+    lon = (F.col("n_nationkey") % 5) * 72 - 144 + 30.171
+
+    def diamond(height: float, width: float) -> Column:
+        corners = [(0.0, -width), (height, 0.0), (0.0, width), (-height, 0.0)]
+        wrapped = lambda x: F.when(x >= 180, x - 360).otherwise(x)
+        return F.array(*[F.struct((lat + a).alias("lat"), wrapped(lon + b).alias("lon")) for a, b in corners])
+
+    return n.select(F.col("n_name").alias("country"), F.inline(F.array(
+        F.struct(F.lit(0).alias("ring"), diamond(17.5, 35.5).alias("points")),
+        F.struct(F.lit(1).alias("ring"), diamond(5.25, 9.5).alias("points")))))
+
+
 # Regional requests of the tests: (region_id, lat1, lon1, lat2, lon2, start, end).
 REGION_REQUESTS = [
     (1, -48.0, -102.0, 26.0, 44.0, 1996, 1999),
@@ -126,6 +145,7 @@ def region_requests(spark: SparkSession) -> DataFrame:
 __all__ = [
     "READING_COLUMNS",
     "STATION_COLUMNS",
+    "country_polygons",
     "country_regions",
     "readings",
     "readings_from_lineitem",

@@ -1,0 +1,102 @@
+"""Countries by polygons, against plain ray casting."""
+
+import math
+import random
+
+import pytest
+
+from isotherm.operators import borders
+
+SITES = "station_id int, latitude double, longitude double"
+POLYGONS = "country string, ring int, points array<struct<lat: double, lon: double>>"
+
+
+def plain_country(lat, lon, polygons):
+    """Odd crossings of rays to the east, on longitudes that run on over the date line."""
+    if lat is None or lon is None:
+        return None
+    found = []
+    for country in sorted({p[0] for p in polygons}):
+        inside = False
+        for name, _, ring in polygons:
+            if name != country:
+                continue
+            path = [ring[0]]
+            for a, b in ring[1:] + ring[:1]:
+                path.append((a, path[-1][1] + (b - path[-1][1] + 180) % 360 - 180))
+            if abs(path[-1][1] - path[0][1]) > 1:  # the ring goes round the south pole
+                path += [(-90.0, path[-1][1]), (-90.0, path[0][1]), path[0]]
+            for turn in range(-720, 721, 360):
+                x, met = lon + turn, 0
+                for (a1, b1), (a2, b2) in zip(path, path[1:]):
+                    met += min(a1, a2) <= lat < max(a1, a2) and x < b1 + (lat - a1) * (b2 - b1) / (a2 - a1)
+                inside ^= met % 2 == 1
+        if inside:
+            found.append(country)
+    return found[0] if found else None
+
+
+def wrapped(lon):
+    return (lon + 180) % 360 - 180
+
+
+def star(rng, lat, lon, size, corners):
+    """A ring without self-crossings around a centre."""
+    turns = sorted(rng.uniform(0, 2 * math.pi) for _ in range(corners))
+    far = [rng.uniform(0.3, 1.0) * size for _ in turns]
+    return [(lat + f * math.sin(t), wrapped(lon + 1.7 * f * math.cos(t))) for f, t in zip(far, turns)]
+
+
+def box(lat1, lon1, lat2, lon2):
+    return [(lat1, lon1), (lat1, lon2), (lat2, lon2), (lat2, lon1)]
+
+
+def some_polygons(rng):
+    out = []
+    for k in range(6):
+        lat, lon = rng.uniform(-50, 50), rng.choice([rng.uniform(-180, 180), 179.3, -178.9])
+        out.append((f"P{k}", 0, star(rng, lat, lon, 25, rng.choice([3, 9, 200]))))
+        out.append((f"P{k}", 1, star(rng, lat, lon, 6, 5)))  # a hole, where it lies inside
+    out.append(("BOX", 0, box(10.25, -40.5, 30.75, -10.125)))
+    out.append(("BOX", 1, box(15.5, -30.25, 15.875, -20.5)))  # a hole lower than a cell
+    out.append(("LINE", 0, [(-5.3, 170.0), (-5.3, 180.0), (-5.3, -170.0), (5.6, -170.0), (5.6, -180.0), (5.6, 170.0)]))
+    out.append(("SOUTH", 0, [(-70 + 5 * math.sin(t), wrapped(t * 15.0 + 0.3)) for t in range(24)]))
+    return out
+
+
+@pytest.mark.parametrize("cell, max_edges, depth", [(1.0, 256, 3), (1.0, 4, 3), (7.0, 2, 2), (30.0, 1, 0)])
+def test_against_plain_ray_casting(spark, cell, max_edges, depth):
+    rng = random.Random(f"{cell} {max_edges}")
+    polygons = some_polygons(rng)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(600)]
+    points += [(rng.uniform(9, 17), rng.uniform(-42, -8)) for _ in range(150)] + [(rng.uniform(-7, 7), rng.choice([-1, 1]) * rng.uniform(168, 180)) for _ in range(150)]
+    points += [(0.0, 180.0), (0.0, -180.0), (-89.5, 12.0), (89.0, 0.0), (None, 3.0), (4.0, None), (20.0, -20.0), (20.0, -20.0)]
+    sites = spark.createDataFrame([(k, *p) for k, p in enumerate(points)], SITES)
+    got = {r.station_id: r.country for r in borders.polygon_country(
+        sites, spark.createDataFrame(polygons, POLYGONS), cell, max_edges, depth).collect()}
+    want = {k: plain_country(a, None if b is None else wrapped(b), polygons) for k, (a, b) in enumerate(points)}
+    assert len(set(want.values())) > 6
+    assert got == want
+
+
+def test_lists_stay_short(spark):
+    """A detailed coast: bands are cut until their lists are within the bound, sites inside cast no ray."""
+    rng = random.Random(2)
+    polygons = spark.createDataFrame([("C", 0, star(rng, 10.0, 20.0, 8, 3000))], POLYGONS)
+    levels = borders.border_cells(polygons, 1.0, 100, 4)
+    longest = []
+    for size, cells in levels:
+        rows = [c for r in cells.collect() for c in r.countries]
+        longest.append(max((len(c.edges) for c in rows if c.edges), default=0))
+        assert all((c.edges is None) == c.inside for c in rows)
+    assert max(longest[:-1]) <= 100 and max(longest) > 0
+    assert any(c.inside for _, cells in levels for r in cells.collect() for c in r.countries)
+
+
+def test_empty_tables_and_other_columns(spark):
+    none = spark.createDataFrame([], POLYGONS)
+    sites = spark.createDataFrame([(1, 2.0, 3.0, "x", 4)], SITES + ", band string, `edges.x` int")
+    assert [tuple(r) for r in borders.polygon_country(sites, none).collect()] == [(1, 2.0, 3.0, "x", 4, None)]
+    one = spark.createDataFrame([("A", 0, box(0.0, 0.0, 9.0, 9.0)), ("A", 1, []), ("A", 2, None), ("B", 0, box(1.0, 1.0, 5.0, 5.0))], POLYGONS)
+    assert [tuple(r) for r in borders.polygon_country(sites, one).collect()] == [(1, 2.0, 3.0, "x", 4, "A")]
+    assert borders.polygon_country(sites.limit(0), one).count() == 0
