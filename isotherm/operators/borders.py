@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.functions.arrays import bound
+
 CELL_DEGREES = 1.0
 MAX_EDGES = 256
 DEPTH = 3
@@ -103,11 +105,11 @@ def _cells(bands: DataFrame, size: float, cell_degrees: float) -> DataFrame:
 
     at = F.array_sort(F.transform(F.filter("edges", lambda e: _meets(e, middle)), lambda e: _lon_at(e, middle)))
     # An odd number: the ray from the date line itself starts inside.
-    even = F.when(F.size(at) % 2 == 1, F.concat(F.array(F.lit(-180.0)), at)).otherwise(at)
-    listed = bands.withColumn("_at", even).withColumn("_border", F.array_distinct(F.flatten(F.transform("edges", crossed))))
+    even = bound(at, lambda x: F.when(F.size(x) % 2 == 1, F.concat(F.array(F.lit(-180.0)), x)).otherwise(x))
     # Inside from the first crossing of the middle to the second, from the third to the fourth, and so on.
-    spans = F.transform(F.when(F.size("_at") > 1, F.sequence(F.lit(0), F.floor(F.size("_at") / 2) - 1)), lambda k: F.sequence(
-        column(F.get("_at", (2 * k).cast("int"))), column(F.get("_at", (2 * k + 1).cast("int")))))
+    spans = bound(even, lambda x: F.transform(F.when(F.size(x) > 1, F.sequence(F.lit(0), F.floor(F.size(x) / 2) - 1)), lambda k: F.sequence(
+        column(F.get(x, (2 * k).cast("int"))), column(F.get(x, (2 * k + 1).cast("int"))))))
+    listed = bands.withColumn("_border", F.array_distinct(F.flatten(F.transform("edges", crossed))))
     within = F.array_except(F.coalesce(F.flatten(spans), F.array().cast("array<bigint>")), F.col("_border"))
     cells = F.concat(F.transform("_border", lambda c: F.struct(c.alias("column"), F.lit(False).alias("inside"))),
                      F.transform(within, lambda c: F.struct(c.alias("column"), F.lit(True).alias("inside"))))

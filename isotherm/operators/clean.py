@@ -73,6 +73,17 @@ def clean_readings(df: DataFrame) -> DataFrame:
     )
 
 
+def cleaning_counts(column: str = "TAVG", low: float = TAVG_MIN, high: float = TAVG_MAX) -> list[F.Column]:
+    """Aggregates over raw readings: how many rows there are, and how many each rule of ``clean_readings`` drops or keeps.
+
+    For ``DataFrame.observe``: they are counted while the rows pass by, without a job of their own.
+    """
+    reason = outlier_reason(column, low, high)
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(column).isNull()).alias("missing"),
+            F.count_if(reason == "low").alias("low"), F.count_if(reason == "high").alias("high"),
+            F.count_if(in_valid_range(column, low, high)).alias("kept")]
+
+
 def clean_count(df: DataFrame) -> DataFrame:
     """One row: the number of rows (a single aggregate job)."""
     return df.agg(F.count(F.lit(1)).alias("n"))

@@ -20,7 +20,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from isotherm.operators import change, clean, metrics, regions, sampling
 from isotherm.schemas import FAHRENHEIT_ABOVE, TAVG_MIN
@@ -36,6 +37,8 @@ class BatchOutputs:
 
     base: str
     written: dict[str, str] = field(default_factory=dict)
+    #: Of the raw readings: rows, ragged ones, and rows that each cleaning rule drops (missing, low, high) or keeps.
+    counts: dict[str, int] = field(default_factory=dict)
     version: int | None = None
 
     def path(self, name: str) -> str:
@@ -65,7 +68,12 @@ def run_batch(spark: SparkSession, station_list: str, readings_dir: str, output:
         listed = sampling.block_sample(listed, sample_ranges, order_by=["station_id"]).drop("row_index")
     listed = emit("stations", listed)
 
-    raw = emit("raw", readings.read_readings(spark, readings_dir, file_pattern="*.csv", only=listed))
+    # Counted as the raw store is written: no further job.
+    passed = Observation("readings")
+    read = readings.read_readings(spark, readings_dir, file_pattern="*.csv", only=listed, flag_ragged=True)
+    raw = emit("raw", read.observe(
+        passed, F.count_if("ragged").alias("ragged"), *clean.cleaning_counts()).drop("ragged"))
+    out.counts = dict(passed.get)
     emit("headerless_files", readings.headerless_files(spark, readings_dir, file_pattern="*.csv"))
     emit("outlier_report", clean.outlier_report(raw))
     cleaned = emit("clean", store.arranged(store.with_any_year_range(clean.clean_readings(raw))), "year_range").drop("year_range")
@@ -105,6 +113,8 @@ def main(argv: list[str] | None = None) -> None:
     out = run_batch(spark, args.stations, args.readings, args.output,
                     country_regions=spark.read.parquet(args.regions) if args.regions else None,
                     sample_ranges=spark.read.parquet(args.sample) if args.sample else None)
+    for name, count in out.counts.items():
+        print(f"{name}\t{count}")
     for name, path in out.written.items():
         print(f"{name}\t{path}")
 

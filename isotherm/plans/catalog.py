@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from isotherm.operators import borders, change, clean, metrics, partials, regions, sampling, union
+from isotherm.operators import borders, change, clean, metrics, partials, regions, robust, sampling, trends, union
 from isotherm.operators.literals import literal_table
 from isotherm.plans import refresh
 from isotherm.schemas import FAHRENHEIT_ABOVE, READING_COLUMNS, READINGS_SCHEMA, TAVG_MIN, YEAR_RANGES
@@ -267,6 +267,18 @@ def q_replaced_range(spark, sf):
     return store.read_committed_store(spark, path)
 
 
+OUTLIER_SCORE = 1.3
+
+
+def q_significant_outliers(spark, sf):
+    found = robust.significant_outliers(_readings(spark, sf), OUTLIER_SCORE)
+    return _round6(found, "median", "mad", "score")
+
+
+def q_station_trends(spark, sf):
+    return _round6(trends.station_trends(metrics.station_year_means(_clean(spark, sf), scale=6)), "slope", "mk_z")
+
+
 def q_headerless_files(spark, sf):
     """Stations whose file of rows with line status F was written without a header."""
     li = standin.table(spark, sf, "lineitem")
@@ -389,6 +401,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listed_ingest": q_listed_ingest,
     "sampled_ingest": q_sampled_ingest,
     "quoted_ingest": q_quoted_ingest,
+    "significant_outliers": q_significant_outliers,
+    "station_trends": q_station_trends,
     "refreshed_datapoints": q_refreshed_datapoints,
     "refreshed_year_means": q_refreshed_year_means,
     "replaced_range": q_replaced_range,
@@ -597,6 +611,23 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_CLEAN_COLS} FROM clean WHERE STATION IN (SELECT station_id FROM (SELECT station_id, "
         "row_number() OVER (ORDER BY station_id) - 1 AS i FROM stations WHERE elevation >= 0) WHERE "
         + " OR ".join(f"(i >= {s} AND i < {e})" for s, e in SAMPLE_RANGES) + ")"),
+    "significant_outliers": _with(
+        f"SELECT {_READING_COLS}, MONTH, n_values, round(m, 6) AS median, round(d, 6) AS mad, "
+        "round(0.6745 * (TAVG - m) / d, 6) AS score FROM ("
+        "SELECT *, try_cast(substr(DATE, 6, 2) AS integer) AS MONTH FROM readings WHERE TAVG IS NOT NULL) JOIN ("
+        "SELECT STATION, try_cast(substr(DATE, 6, 2) AS integer) AS MONTH, count(TAVG) AS n_values, median(TAVG) AS m, mad(TAVG) AS d "
+        "FROM readings GROUP BY ALL) USING (STATION, MONTH) "
+        f"WHERE n_values >= 8 AND d > 0 AND abs(0.6745 * (TAVG - m) / d) > {OUTLIER_SCORE}"),
+    "station_trends": _with(
+        f"SELECT STATION, n_years, first_year, last_year, round(slope, 6) AS slope, mk_s, round(CASE WHEN mk_s = 0 THEN 0 ELSE "
+        "(mk_s - sign(mk_s)) / sqrt((n_years * (n_years - 1) * (2 * n_years + 5) - tied) / 18.0) END, 6) AS mk_z FROM ("
+        "SELECT a.STATION, median((b.v - a.v) / (b.YEAR - a.YEAR)) AS slope, sum(sign(b.v - a.v))::BIGINT AS mk_s "
+        "FROM sy a JOIN sy b ON a.STATION = b.STATION AND a.YEAR < b.YEAR GROUP BY a.STATION) JOIN ("
+        "SELECT STATION, count(*) AS n_years, min(YEAR) AS first_year, max(YEAR) AS last_year FROM sy GROUP BY STATION) USING (STATION) JOIN ("
+        "SELECT STATION, sum(t * (t - 1) * (2 * t + 5))::BIGINT AS tied FROM (SELECT STATION, v, count(*) AS t FROM sy GROUP BY ALL) "
+        "GROUP BY STATION) USING (STATION) WHERE n_years >= 3").replace(
+        "\nSELECT STATION, n_years", f",\nsy AS (SELECT STATION, YEAR, {_sql_mean('TAVG', 6)} AS v FROM clean GROUP BY STATION, YEAR)\n"
+        "SELECT STATION, n_years", 1),
     "quoted_ingest": (
         f"SELECT {_READING_COLS}, 'PLACE ' || STATION || chr(10) || '\"' || l_returnflag || '\",' || chr(10) || chr(10) || "
         f"'2000-01,' || l_linenumber AS NAME, mode FROM (SELECT {_READINGS_SELECT}, l_returnflag, l_linenumber FROM lineitem), "
