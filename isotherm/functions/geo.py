@@ -95,47 +95,48 @@ def with_pyramid_cells(boxes: DataFrame, cell_degrees: float) -> DataFrame:
     if cell_degrees < MIN_CELL_DEGREES:
         raise ValueError(f"cell_degrees must be at least {MIN_CELL_DEGREES}")
     size, levels = F.lit(cell_degrees), pyramid_levels(cell_degrees)
+    named = lambda columns: F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()])))
+    # Rows and columns: touched cells (_t), and cells inside (_0). Each step is a generator, so that the next one
+    # refers to its columns and not to their expressions.
     bounds: dict[str, Column] = {}
-    # Level 0: cells touched (_t), cells inside (_0); then of each level those inside (_<level>).
-    for name, low, high, limits in (("r", _col("lat1"), _col("lat2"), _bounds(90, cell_degrees)),
-                                    ("c", _col("lon1"), _col("lon2"), _bounds(180, cell_degrees))):
-        bounds[f"_{name}1_t"], bounds[f"_{name}2_t"] = _cell(low, cell_degrees, limits), _cell(high, cell_degrees, limits)
-        first, last = bounds[f"_{name}1_t"], bounds[f"_{name}2_t"]
-        bounds[f"_{name}1_0"] = F.greatest(F.when(first * size >= low, first).otherwise(first + 1), F.lit(limits[0] + 1))
+    for k, low, high, limits in (("r", _col("lat1"), _col("lat2"), _bounds(90, cell_degrees)),
+                                 ("c", _col("lon1"), _col("lon2"), _bounds(180, cell_degrees))):
+        first, last = _cell(low, cell_degrees, limits), _cell(high, cell_degrees, limits)
+        bounds[f"_{k}1_t"], bounds[f"_{k}2_t"] = first, last
+        bounds[f"_{k}1_0"] = F.greatest(F.when(first * size >= low, first).otherwise(first + 1), F.lit(limits[0] + 1))
         # The cell of ``high`` itself ends beyond it; out of range everything is cut to the last valid cell.
-        bounds[f"_{name}2_0"] = F.when(last >= limits[1], F.lit(limits[1] - 1).cast("long")).otherwise(
+        bounds[f"_{k}2_0"] = F.when(last >= limits[1], F.lit(limits[1] - 1).cast("long")).otherwise(
             F.when(last * size <= high, last - 1).otherwise(last - 2))
-    numbered = boxes.withColumns(bounds)
-    for k in range(1, levels + 1):
-        numbered = numbered.withColumns({c: e for name in "rc" for c, e in (
-            (f"_{name}1_{k}", F.shiftright(F.col(f"_{name}1_0") + (2 ** k - 1), k)),
-            (f"_{name}2_{k}", F.shiftright(F.col(f"_{name}2_0") + 1, k) - 1))})
+    valid = (_col("lat1") <= _col("lat2")) & (_col("lon1") <= _col("lon2"))
+    numbered = boxes.filter(valid).select("*", named(bounds))
+    # Level -1 stands for the border: touched cells without those inside.
+    raised = numbered.select("*", F.explode(F.sequence(F.lit(-1), F.lit(levels))).alias("_level"))
+    level = F.col("_level")
+    rectangles: dict[str, Column] = {}
+    for k in "rc":
+        first, last = f"_{k}1_0", f"_{k}2_0"
+        at = lambda up: (F.expr(f"shiftright({first} + shiftleft(1L, _level + {up}) - 1, _level + {up})"),  # noqa: E731,B023
+                         F.expr(f"shiftright({last} + 1, _level + {up}) - 1"))  # noqa: B023
+        rectangles[f"_{k}1"] = F.when(level < 0, F.col(f"_{k}1_t")).otherwise(at(0)[0])
+        rectangles[f"_{k}2"] = F.when(level < 0, F.col(f"_{k}2_t")).otherwise(at(0)[1])
+        # What the next level covers of it.
+        rectangles[f"_{k}1_x"] = F.when(level < 0, F.col(first)).when(level == levels, F.lit(1).cast("long")).otherwise(at(1)[0] * 2)
+        rectangles[f"_{k}2_x"] = F.when(level < 0, F.col(last)).when(level == levels, F.lit(0).cast("long")).otherwise(at(1)[1] * 2 + 1)
+    placed = raised.select("*", named(rectangles))
 
     def span(first: Column, last: Column) -> Column:
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
-    def ring(level: int, outer: str, inner: str | None, grown: bool, inside: bool) -> Column:
-        """The cells of one rectangle without those of another (``grown``: given in cells of twice the size)."""
-        edge = lambda name, end: F.col(f"_{name}{end}_{outer}")
-        hole = lambda name, end: F.col(f"_{name}{end}_{inner}") * (2 if grown else 1) + (1 if grown and end == 2 else 0)
-        cell = lambda row: lambda column: F.struct(
-            F.lit(level).alias("level"), row.alias("row"), column.alias("column"), F.lit(inside).alias("inside"))
-
-        def of_row(row: Column) -> Column:
-            whole = span(edge("c", 1), edge("c", 2))
-            if inner is None:
-                return F.transform(whole, cell(row))
-            cut = row.between(hole("r", 1), hole("r", 2)) & (hole("c", 1) <= hole("c", 2))
-            sides = F.concat(span(edge("c", 1), hole("c", 1) - 1), span(hole("c", 2) + 1, edge("c", 2)))
-            return F.transform(F.when(cut, sides).otherwise(whole), cell(row))
-
-        return F.flatten(F.transform(span(edge("r", 1), edge("r", 2)), of_row))
-
-    rings = [ring(0, "t", "0", False, False)]
-    rings += [ring(k, str(k), str(k + 1) if k < levels else None, True, True) for k in range(levels + 1)]
-    valid = (_col("lat1") <= _col("lat2")) & (_col("lon1") <= _col("lon2"))
-    listed = numbered.filter(valid).select(*[F.col(c) for c in boxes.columns], F.concat(*rings).alias("_cells"))
-    return listed.select(*[F.col(c) for c in boxes.columns], F.inline("_cells"))
+    def of_row(row: Column) -> Column:
+        cut = row.between(F.col("_r1_x"), F.col("_r2_x")) & (F.col("_c1_x") <= F.col("_c2_x"))
+        sides = F.concat(span(F.col("_c1"), F.col("_c1_x") - 1), span(F.col("_c2_x") + 1, F.col("_c2")))
+        return F.transform(F.when(cut, sides).otherwise(span(F.col("_c1"), F.col("_c2"))), lambda column: F.struct(
+            row.alias("row"), column.alias("column")))
+
+    cells = F.flatten(F.transform(span(F.col("_r1"), F.col("_r2")), of_row))
+    kept = [F.col(f"`{c}`") for c in boxes.columns]
+    return placed.select(*kept, F.greatest(level, F.lit(0)).alias("level"), (level >= 0).alias("inside"), F.inline(cells)).select(
+        *kept, "level", "row", "column", "inside")
 
 
 def _spread(v: Column, bits: int) -> Column:

@@ -238,11 +238,11 @@ def _refreshed(spark, sf) -> DataFrame:
 
     for part, to in ((1, "a"), (2, "b"), (3, "c")):
         write(part, to)
-    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True)
+    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True, buckets=8)
     write(4, "b", "overwrite")
     write(2, "d")
     listing.remove_folder(spark, f"{base}/raw/c")
-    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True)
+    refresh.refresh(spark, f"{base}/raw", f"{base}/store", recursive=True, buckets=8)
     return refresh.totals(spark, f"{base}/store")
 
 

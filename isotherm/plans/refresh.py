@@ -96,7 +96,7 @@ def refresh(spark: SparkSession, readings_dir: str, base: str, file_pattern: str
     touched = _touched(delta)
     new_totals = partials.merged_sums(
         totals.filter(F.col("bucket").isin(touched)).unionByName(delta), "bucket", *partials.GROUP)
-    work.replace_partitions(TOTALS, new_totals.select(*totals.columns), "bucket", touched)
+    work.replace_partitions(TOTALS, new_totals.select(*totals.columns).repartition("bucket"), "bucket", touched)
 
     touched = _touched(changes.select(_bucket("path", buckets)))
     kept = parts.filter(F.col("bucket").isin(touched)).join(gone, "path", "left_anti")
