@@ -111,3 +111,33 @@ def test_command_line_entry(spark, tmp_path):
                 spark.conf.set(k, v)
     assert snapshots.read_table(spark, str(out), "seasonal_avg").count() > 0
     assert [r.station_id for r in snapshots.read_table(spark, str(out), "missing_stations").collect()] == ["e"]
+
+
+def test_streamed_files_of_any_size(spark, tmp_path):
+    """Files beyond the whole-file size are read line by line, and give the same rows."""
+    raw_dir = make_csv_dir(tmp_path)
+    lines = [f"big,{1990 + k // 12}-{k % 12 + 1:02d},{k % 40}.5" for k in range(400)]
+    (raw_dir / "big.csv").write_text("STATION,DATE,TAVG\n" + "\n".join(lines) + "\n")
+    for name, size in (("whole", 1 << 20), ("lines", 0), ("both", 1000)):
+        start_incremental_ingest(spark, str(raw_dir), str(tmp_path / name), str(tmp_path / f"{name}-ckpt"), files_per_batch=2,
+                                 whole_file_bytes=size).awaitTermination()
+    expected = clean.clean_readings(readings.read_readings(spark, str(raw_dir / "*.csv")))
+    for name in ("whole", "lines", "both"):
+        got = store.read_clean_store(spark, str(tmp_path / name)).select(*expected.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_queries_without_the_libraries_of_the_subpackage(tmp_path):
+    """A library that the optional subpackage needs may be missing: the other queries stay."""
+    import os
+    import subprocess
+    import sys
+
+    (tmp_path / "tokenizers.py").write_text("raise ImportError('not here', name='tokenizers')")
+    (tmp_path / "public_tokenizers.py").write_text("raise ImportError('not here', name='public_tokenizers')")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as e; "
+            "assert 'seasonal_avg' in e.queries() and not [k for k in e.queries() if k.startswith('op')]; print('fine')")
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True,
+                          env={**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"})
+    assert done.stdout.strip() == "fine", done.stderr
