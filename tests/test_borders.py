@@ -82,14 +82,14 @@ def test_against_plain_ray_casting(spark, cell, max_edges, depth):
 def test_lists_stay_short(spark):
     """A detailed coast: bands are cut until their lists are within the bound, sites inside cast no ray."""
     rng = random.Random(2)
-    polygons = spark.createDataFrame([("C", 0, star(rng, 10.0, 20.0, 8, 3000))], POLYGONS)
-    levels = borders.border_cells(polygons, 1.0, 100, 4)
+    polygons = spark.createDataFrame([("C", 0, star(rng, 10.0, 20.0, 8, 700))], POLYGONS)
+    levels = borders.border_cells(polygons, 1.0, 30, 3)
     longest = []
     for size, cells in levels:
         rows = [c for r in cells.collect() for c in r.countries]
         longest.append(max((len(c.edges) for c in rows if c.edges), default=0))
         assert all((c.edges is None) == c.inside for c in rows)
-    assert max(longest[:-1]) <= 100 and max(longest) > 0
+    assert max(longest[:-1]) <= 30 and max(longest) > 0
     assert any(c.inside for _, cells in levels for r in cells.collect() for c in r.countries)
 
 
