@@ -1,6 +1,6 @@
 """Token ids in Parquet files: list columns, controlled row groups, page indexes.
 
-Texts are range-partitioned by id, encoded batch by batch and written as one
+Texts are range-partitioned by id and a hash of the text, encoded batch by batch and written as one
 row per document: ``doc_id``, ``part`` (the range), ``offset`` (ids before it in
 its range), ``n_tokens`` and ``ids`` (array<int>). ``ids`` and ``part`` are
 dictionary-encoded, the ascending ``doc_id`` and ``offset`` are delta-encoded,
@@ -9,8 +9,8 @@ reader of a few documents, or of the metadata columns alone, skips the rest.
 A document's global start is its part's start plus ``offset``.
 
 Defined results: null and empty texts hold the end id alone; null ids come
-first; repeated ids and rows are kept, in the order of their text; an empty
-table gives no rows; other columns are ignored.
+first; repeated ids and rows are kept, in the order of a hash of their text; an
+empty table gives no rows; other columns are ignored. ``doc_id`` is cast to long.
 """
 
 from __future__ import annotations
@@ -144,9 +144,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                     ], schema=_ARROW)
                     offset += int(bounds[-1])
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(
-        "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(encode, TOKEN_SCHEMA)
+    # Rows of one id are dealt by a hash of their text, so a null or repeated id is not one task.
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("_hash"))
+    ordered = rows.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash", "text")
+    return ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(encode, TOKEN_SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> None:
