@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import ALNUM, BROADCAST_BYTES, byte_texts, scratch_table
 
 SAMPLE_ROWS = 20_000  # labelled rows that a model is learned from, at most
-MAX_TERMS = 4_000  # terms of a lexicon, at most; beside them, the whole words under its beginnings
 WINDOW = 12  # words to each side of a hit
 PREFIXES = (5, 6, 7)  # lengths of word beginnings that may be terms
 CACHE_WORDS = 300_000  # words whose result a worker remembers; it starts afresh beyond that
@@ -321,14 +320,20 @@ def learn_lexicon(sample: DataFrame, evidence: float = 6.0, purity: float = 0.8)
     rate = pos / (pos + neg)
     counted = distinct.mapInArrow(terms_of, "term string, label int, n long").groupBy("term").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("p"), F.sum("n").alias("n"))
-    # The candidates are few; the bound holds in any case.
-    rows = counted.filter((F.col("p") >= 3) & (F.col("p") >= purity * F.col("n"))).orderBy(
-        F.desc("p"), "n", "term").limit(4 * MAX_TERMS).collect()
-    good = [r["term"] for r in rows if _tail(r["p"], r["n"], rate) >= evidence]
+
+    def distinctive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [_tail(p, n, rate) >= evidence for p, n in zip(*(batch.column(c).to_pylist() for c in ("p", "n")))]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    # Bounded by the sample alone: words, and their beginnings, of at least three of its toxic texts.
+    rows = counted.filter((F.col("p") >= 3) & (F.col("p") >= purity * F.col("n"))).mapInArrow(
+        distinctive, "term string, p long, n long").orderBy(F.desc("p"), "n", "term").collect()
+    good = [r["term"] for r in rows]
     short = {t.removesuffix("*") for t in good if t.endswith("*")}
     covered = lambda body: any(body[:k] in short for k in PREFIXES if k < len(body))
-    # Covered words stay, as only whole words match with edits; they take no other term's place.
-    return [t for t in good if not covered(t.removesuffix("*"))][:MAX_TERMS] + [
+    # Covered words stay, as only whole words match with edits.
+    return [t for t in good if not covered(t.removesuffix("*"))] + [
         t for t in good if not t.endswith("*") and covered(t)]
 
 
