@@ -19,8 +19,9 @@ folded into one vector with a count first.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and those with a null label, link with nothing; vectors of different
 length do not link; repeated ids are folded into the row with their smallest
-vector; a null id is left out; an empty table gives no rows; other columns are
-ignored.
+label and vector; a null id is left out; an empty table gives no rows; other
+columns are ignored. Labels may be of any type and are compared as text; ids are
+cast to long; vectors of other numbers than floats are compared as doubles.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from isotherm.llm.common import chunk_pairs, scratch_table
 from isotherm.llm.components import connected_components
@@ -62,13 +64,16 @@ def rotated(x: np.ndarray) -> np.ndarray:
     return np.einsum("ij,jk->ik", unit, rotation(x.shape[1]), optimize=False).astype(np.float32).astype(np.float64)
 
 
-def _matrix(blobs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), dtype="<f4").reshape(len(blobs), -1).astype(np.float64)
+def _matrix(blobs: list[bytes], kind: str) -> np.ndarray:
+    """Packed vectors, row by row; doubles are scaled by a power of two, which leaves cosines as they are, so that no square overflows."""
+    x = np.frombuffer(b"".join(blobs), dtype=kind).reshape(len(blobs), -1).astype(np.float64)
+    return x if kind == "<f4" else np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
 
 
-def _cells(threshold: float):
+def _cells(threshold: float, kind: str):
     """mapInArrow: (rep, label, vector) to rows (label, block, cell, home, rep, vector) for each cell a vector is in."""
     budget = 2.0 - 2.0 * threshold
+    width = np.dtype(kind).itemsize
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,8 +83,8 @@ def _cells(threshold: float):
             sizes = np.array([len(b) for b in blobs])
             for size in np.unique(sizes):
                 of = np.flatnonzero(sizes == size)
-                y = rotated(_matrix(blobs[of].tolist()))
-                for b, (first, last, share) in enumerate(blocks_of(size // 4, budget)):
+                y = rotated(_matrix(blobs[of].tolist(), kind))
+                for b, (first, last, share) in enumerate(blocks_of(size // width, budget)):
                     reach = np.sqrt(share + SLACK)
                     grid = y[:, first:min(last, first + GRID_DIMS)] / (2 * reach)
                     home = np.floor(grid).astype(np.int64)
@@ -94,7 +99,7 @@ def _cells(threshold: float):
                         if not len(at):
                             continue
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(labels[of[at]], pa.int64()), pa.array(np.full(len(at), size // 4), pa.int32()),
+                            pa.array(labels[of[at]], pa.string()), pa.array(np.full(len(at), size // width), pa.int32()),
                             pa.array(np.full(len(at), b), pa.int32()),
                             pa.array([c.tobytes() for c in cell[at].astype("<i4")], pa.binary()),
                             pa.array(np.full(len(at), not step.any())), pa.array(reps[of[at]], pa.int64()),
@@ -105,10 +110,10 @@ def _cells(threshold: float):
 
 
 _CELL = ["label", "dims", "block", "cell"]
-_CELL_SCHEMA = "label long, dims int, block int, cell binary, home boolean, rep long, vector binary"
+_CELL_SCHEMA = "label string, dims int, block int, cell binary, home boolean, rep long, vector binary"
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, kind: str):
     """applyInArrow on one pair of chunks: (rep, root, links) of the vectors that link there."""
     budget = 2.0 - 2.0 * threshold
 
@@ -122,8 +127,9 @@ def _compare(threshold: float):
             return empty
         block = group.column("block")[0].as_py()
         ids_a = left.column("rep").to_numpy()
-        x_a = _matrix(left.column("vector").to_pylist())
-        ids_b, x_b = (ids_a, x_a) if same else (right.column("rep").to_numpy(), _matrix(right.column("vector").to_pylist()))
+        x_a = _matrix(left.column("vector").to_pylist(), kind)
+        ids_b, x_b = (ids_a, x_a) if same else (
+            right.column("rep").to_numpy(), _matrix(right.column("vector").to_pylist(), kind))
         y_a, y_b = rotated(x_a), rotated(x_b) if not same else None
         y_b = y_a if same else y_b
         weight_a = left.column("n").to_numpy()
@@ -173,9 +179,11 @@ def _compare(threshold: float):
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
     """One row per vector: vec_id, n_links (vectors with cosine >= threshold and the same label), component_id."""
+    element = vectors.schema[vector_col].dataType.elementType
+    kind = "<f4" if isinstance(element, FloatType) else "<f8"
     raw = vectors.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"),
-        F.col(vector_col).cast("array<float>").alias("v"))
+        F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
+        F.col(vector_col).cast("array<float>" if kind == "<f4" else "array<double>").alias("v"))
     sound = F.exists("v", lambda c: c != 0) & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     rows = scratch_table(
         raw.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("_r")).select("vec_id", "_r.label", "_r.v")
@@ -186,16 +194,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = [np.array(v, dtype="<f4").tobytes() for v in batch.column("v").to_pylist()]
+            blobs = [np.array(v, dtype=kind).tobytes() for v in batch.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), batch.column("label"), pa.array(blobs, pa.binary())], names=["rep", "label", "vector"])
 
-    packed = folded.select("rep", "label", "v").mapInArrow(pack, "rep long, label long, vector binary")
-    dealt = scratch_table(packed.mapInArrow(_cells(threshold), _CELL_SCHEMA).join(
+    packed = folded.select("rep", "label", "v").mapInArrow(pack, "rep long, label string, vector binary")
+    dealt = scratch_table(packed.mapInArrow(_cells(threshold, kind), _CELL_SCHEMA).join(
         folded.select("rep", "n"), "rep"), "cells")
     found = scratch_table(
         chunk_pairs(dealt, _CELL, "home", "rep", CHUNK).groupBy(*_CELL, "i", "j").applyInArrow(
-            _compare(threshold), "rep long, root long, links long"), "links")
+            _compare(threshold, kind), "rep long, root long, links long"), "links")
     return _report(rows, folded, found)
 
 
