@@ -2,7 +2,11 @@
 
 import random
 
-from isotherm.llm import licence_scan, toxicity
+import numpy as np
+from pyspark.sql import functions as F
+
+from isotherm.llm import licence_scan, token_files, toxicity, vector_join
+from isotherm.llm.queries import VOCABULARY
 
 TERMS = ["stupid", "garbage", "pathetic", "worthless", "disgusting", "contemptible", "moron"]
 PLAIN = [a + b for a in ("river", "stone", "cloud", "lantern", "meadow", "copper") for b in ("bed", "path", "light", "field")]
@@ -93,3 +97,39 @@ def test_licences_within_other_text(spark):
     docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
     got = {r.doc_id: {m.licence for m in r.licences} for r in licence_scan.scan_licences(docs).collect()}
     assert got == {k: want for k, _, want in texts}
+
+
+def test_rows_of_one_id_are_not_one_task(spark):
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"),
+                                    F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = token_files.encode_documents(rows, VOCABULARY).groupBy("part").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in parts) == 4000
+    assert max(r["count"] for r in parts) < 2000
+
+
+def test_a_lexicon_of_any_size_is_kept_whole(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + "x" for a in letters[:18] for b in letters[:18] for c in letters[:18]]
+    rows = [(1, " ".join(random.Random(k).sample(words, len(words)))) for k in range(40)]
+    rows += [(0, " ".join(f"{random.Random(1000 * k + i).random():.9f}" for i in range(30))) for k in range(40)]
+    found = toxicity.learn_lexicon(spark.createDataFrame(rows, "label int, text string"))
+    assert len(words) == 5832 and set(words) <= set(found)
+
+
+def test_vectors_of_doubles_are_compared_as_doubles(spark):
+    # Cosines within 4e-8 of the threshold, on both sides, and of huge and tiny vectors; labels of text.
+    rng, rows, links = np.random.default_rng(5), [], {}
+    for k in range(20):
+        a, b = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+        side = 1 if k % 2 else -1
+        t = 0.93 + side * 4e-8
+        other = t * a + np.sqrt(1 - t * t) * b
+        scale = (1.0, 1e200, 1e-200)[k % 3]
+        rows += [(2 * k, (a * scale).tolist(), f"pair {k}"), (2 * k + 1, (other * 3).tolist(), f"pair {k}")]
+        links[2 * k] = links[2 * k + 1] = int(side > 0)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    assert {r.vec_id: r.n_links for r in vector_join.near_vectors(df).collect()} == links
