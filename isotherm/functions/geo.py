@@ -163,31 +163,11 @@ def morton_key(lat, lon, bits: int = 20) -> Column:
     return F.shiftleft(_spread(part(_col(lat), 90.0), bits), 1).bitwiseOR(_spread(part(_col(lon), 180.0), bits))
 
 
-def fine_cell(lat, lon, fine_degrees: float) -> Column:
-    """Cell id of a point on a finer grid; out-of-range points keep their own cells."""
-    return F.floor(_col(lat) / F.lit(fine_degrees)) * _LON_SPAN + F.floor(_col(lon) / F.lit(fine_degrees))
+def fine_index(v, limit: float, cell_degrees: float, parts: int) -> Column:
+    """Number of a coordinate's strip on a grid ``parts`` times as fine; ascending with the coordinate.
 
-
-def fine_cells(cell: str, box: str, cell_degrees: float, parts: int) -> Column:
-    """The finer cells (``parts`` a side) of one coarse cell within the valid range that a box touches."""
-    b, size = F.col(box), cell_degrees / parts
-    row, column = _row_and_column(cell)
-
-    def span(k, low, high):
-        first = F.greatest(F.floor(low / size), (k * parts).cast("long"))
-        last = F.least(F.floor(high / size), ((k + 1) * parts - 1).cast("long"))
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
-
-    return F.flatten(F.transform(span(row, b["lat_min"], b["lat_max"]), lambda i: F.transform(
-        span(column, b["lon_min"], b["lon_max"]), lambda j: i * _LON_SPAN + j)))
-
-
-def _row_and_column(cell: str) -> tuple[Column, Column]:
-    row = F.floor((F.col(cell) + _LON_SPAN // 2) / _LON_SPAN)
-    return row, F.col(cell) - row * _LON_SPAN
-
-
-def beyond_range(cell: str, cell_degrees: float) -> Column:
-    """Whether a cell holds what lies beyond the valid range."""
-    (row, column), lat_b, lon_b = _row_and_column(cell), _bounds(90, cell_degrees), _bounds(180, cell_degrees)
-    return row.isin(*lat_b) | column.isin(*lon_b)
+    The strip of a coarser cell is this number divided by strips a cell, so
+    grids of all sizes nest exactly. Values beyond the valid range count as in ``grid_cell``.
+    """
+    low, high = _bounds(limit, cell_degrees)
+    return _cell(_col(v), cell_degrees / parts, (low * parts, high * parts + parts - 1))

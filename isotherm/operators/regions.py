@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.functions.geo import (CELL_DEGREES, beyond_range, fine_cell, fine_cells, grid_cell, grid_cells_of_box,
-                                    grid_row_and_column, in_rectangle, pyramid_levels, with_pyramid_cells, within_range)
+from isotherm.functions.geo import (CELL_DEGREES, fine_index, grid_row_and_column, in_rectangle, pyramid_levels,
+                                    with_pyramid_cells, within_range)
 from isotherm.functions.means import exact_mean, hundredths, mean_of_hundredths
 from isotherm.sources.store import year_range_labels
 
@@ -136,53 +136,82 @@ def region_summary_many(clean: DataFrame, requests: DataFrame, cell_degrees: flo
     )
 
 
-# A cell with more boxes than this is cut into FINE x FINE smaller ones.
+# A cell with more boxes than this is cut into FINE x FINE smaller ones, LEVELS times at most.
 DENSE_BOXES = 64
 FINE = 10
+LEVELS = 2
+
+
+def country_cells(regions: DataFrame, cell_degrees: float = CELL_DEGREES, dense_boxes: int = DENSE_BOXES,
+                  levels: int = LEVELS) -> list[DataFrame]:
+    """Per grid, coarse to fine: ``(row, column, boxes)``, the boxes that can win in a cell, sorted by (area, name).
+
+    Boxes behind one that covers the whole cell never win and are left out (a
+    lower edge on the cell's own border does not count as covering it). A cell that keeps more than ``dense_boxes`` is listed on the next grid instead.
+    """
+    parts = FINE ** levels
+    box = F.struct(
+        ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
+        F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max")
+    edges = [("_r1", "lat_min", 90), ("_r2", "lat_max", 90), ("_c1", "lon_min", 180), ("_c2", "lon_max", 180)]
+
+    def cells(rows: DataFrame, size: int, within: int | None = None) -> DataFrame:
+        """A row per cell of ``size`` strips that a box touches, in its present cell of ``within`` such cells."""
+        def span(name: str, k: str):
+            first, last = F.floor(F.col(f"_{k}1") / size), F.floor(F.col(f"_{k}2") / size)
+            if within:
+                first = F.greatest(first, F.col(name) * within)
+                last = F.least(last, F.col(name) * within + (within - 1))
+            return F.sequence(first, last)
+
+        spans = rows.select("box", *[e[0] for e in edges], span("row", "r").alias("_rows"), span("column", "c").alias("_columns"))
+        return spans.withColumn("row", F.explode("_rows")).withColumn("column", F.explode("_columns")).drop("_rows", "_columns")
+
+    # Other boxes hold no point.
+    sound = regions.filter("lat_min < lat_max AND lon_min < lon_max")
+    rows = cells(sound.select(box.alias("box"), *[
+        fine_index(v, limit, cell_degrees, parts).alias(n) for n, v, limit in edges]), parts)
+    lists, in_cell = [], Window.partitionBy("row", "column")
+    for level in range(levels + 1):
+        size = FINE ** (levels - level)
+        # Strips ascend with the coordinate, so an edge in a strip beyond the cell's lies beyond all its points.
+        covers = ((F.col("_r1") < F.col("row") * size) & (F.col("_r2") >= (F.col("row") + 1) * size)
+                  & (F.col("_c1") < F.col("column") * size) & (F.col("_c2") >= (F.col("column") + 1) * size))
+        # One shuffle a grid; a window spills what it does not hold.
+        able = rows.withColumn("_cover", F.min(F.when(covers, F.col("box"))).over(in_cell)).filter(
+            F.col("_cover").isNull() | (F.col("box") <= F.col("_cover")))
+        if level < levels:
+            counted = able.withColumn("_n", F.count(F.lit(1)).over(in_cell))
+            able, rows = counted.filter(F.col("_n") <= dense_boxes), cells(counted.filter(F.col("_n") > dense_boxes), size // FINE, FINE)
+        lists.append(able.groupBy("row", "column").agg(F.array_sort(F.collect_list("box")).alias("boxes")))
+    return lists
 
 
 def station_country(stations: DataFrame, regions: DataFrame, cell_degrees: float = CELL_DEGREES,
-                    dense_boxes: int = DENSE_BOXES) -> DataFrame:
+                    dense_boxes: int = DENSE_BOXES, levels: int = LEVELS) -> DataFrame:
     """Add ``country`` from a regions table ``(country, lat_min, lat_max, lon_min, lon_max)``.
 
     Boxes are half-open (``min <= x < max``). Several hits: the smallest box
     wins, then the smaller name. No hit: null, the station is kept;
     duplicate station rows are kept.
 
-    Plan: one row per grid cell holds the boxes that touch it, sorted by
-    (area, name); each station looks up its cell and takes the first box that
-    contains it. A cell with more than ``dense_boxes`` boxes is cut into
-    smaller cells first, so its stations scan shorter lists. Spark chooses the
-    joins from run-time sizes; stations are never grouped.
+    Plan: each station looks up its cell (``country_cells``) on each grid and
+    takes the first box of the one list found that contains it. Spark chooses
+    the joins from run-time sizes; stations are never grouped.
     """
-    station_cols = stations.columns
     lat, lon = F.col("latitude"), F.col("longitude")
-    fine_degrees = cell_degrees / FINE
-    box = F.struct(
-        ((F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))).alias("area"),
-        F.col("country"), "lat_min", "lat_max", "lon_min", "lon_max")
-    boxes = regions.select(
-        box.alias("box"), F.inline(grid_cells_of_box("lat_min", "lon_min", "lat_max", "lon_max", cell_degrees)))
-    counted = boxes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-
-    def lists(rows: DataFrame, key: str, name: str) -> DataFrame:
-        return rows.groupBy(F.col(key).alias(f"{name}_cell")).agg(F.array_sort(F.collect_list("box")).alias(f"{name}_boxes"))
-
-    is_dense = (F.col("n") > dense_boxes) & ~beyond_range("cell", cell_degrees)
-    coarse = boxes.join(counted.filter(~is_dense), "cell")
-    # The fine cells of a box within one dense cell: at most FINE x FINE.
-    dense = boxes.join(counted.filter(is_dense), "cell").select(
-        "cell", "box", F.explode(fine_cells("cell", "box", cell_degrees, FINE)).alias("fine"))
+    parts = FINE ** levels
 
     def contains(b):
         return (lat >= b["lat_min"]) & (lat < b["lat_max"]) & (lon >= b["lon_min"]) & (lon < b["lon_max"])
 
-    keyed = stations.withColumn("_cell", grid_cell("latitude", "longitude", cell_degrees)).withColumn(
-        "_fine", fine_cell("latitude", "longitude", fine_degrees))
-    found = keyed.join(lists(coarse, "cell", "_coarse"), F.col("_cell") == F.col("_coarse_cell"), "left").join(
-        lists(dense, "fine", "_dense"), F.col("_fine") == F.col("_dense_cell"), "left")
-    hit = F.get(F.filter(F.coalesce("_coarse_boxes", "_dense_boxes"), contains), 0)
-    return found.select(*[F.col(c) for c in station_cols], hit["country"].alias("country"))
+    found = stations.withColumns({"_r": fine_index(lat, 90, cell_degrees, parts), "_c": fine_index(lon, 180, cell_degrees, parts)})
+    for level, cells in enumerate(country_cells(regions, cell_degrees, dense_boxes, levels)):
+        size = FINE ** (levels - level)
+        found = found.join(cells.toDF(f"_row{level}", f"_column{level}", f"_boxes{level}"), (
+            F.floor(F.col("_r") / size) == F.col(f"_row{level}")) & (F.floor(F.col("_c") / size) == F.col(f"_column{level}")), "left")
+    hit = F.get(F.filter(F.coalesce(*[f"_boxes{level}" for level in range(levels + 1)]), contains), 0)
+    return found.select(*[F.col(c) for c in stations.columns], hit["country"].alias("country"))
 
 
 def country_filter(with_country: DataFrame, exclude: str) -> DataFrame:

@@ -1,5 +1,9 @@
 """Region summaries and country lookup."""
 
+import random
+
+from pyspark.sql import functions as F
+
 from isotherm.operators import regions
 from isotherm.operators.literals import literal_table
 
@@ -88,6 +92,31 @@ def test_station_country_overlaps_and_no_hit(spark, shuffle_joins):
     assert big == out
 
 
+def test_crowded_cells_are_cut_and_hidden_boxes_left_out(spark):
+    rng = random.Random(3)
+    # Many boxes around one town, some of them nested, under wide ones that cover it whole.
+    boxes = [(f"W{i}", rng.uniform(-60, -40), rng.uniform(60, 70), rng.uniform(-170, -100), rng.uniform(100, 170)) for i in range(60)]
+    for i in range(300):
+        lat, lon, side = rng.uniform(48, 50), rng.uniform(10, 12), rng.choice([0.01, 0.1, 0.7])
+        boxes.append((f"T{i}", lat, lat + side, lon, lon + side))
+    boxes += [("NULL", None, 90.0, -180.0, 180.0), ("EMPTY", 5.0, 5.0, -180.0, 180.0), ("POLE", 60.0, 1000.0, -180.0, 400.0)]
+    points = [(rng.uniform(47.5, 51), rng.uniform(9.5, 13)) for _ in range(400)]
+    points += [(b[1], b[3]) for b in boxes[60:160]] + [(b[2], b[4]) for b in boxes[60:160]]
+    points += [(95.0, 200.0), (90.0, 180.0), (-90.0, -180.0), (None, 10.0)]
+    st = spark.createDataFrame([(f"S{i}", *p) for i, p in enumerate(points)], "station_id string, latitude double, longitude double")
+    table = spark.createDataFrame(boxes, "country string, lat_min double, lat_max double, lon_min double, lon_max double")
+    got = {r.station_id: r.country for r in regions.station_country(st, table, dense_boxes=16).collect()}
+
+    def country(lat, lon):
+        hits = [((a2 - a1) * (b2 - b1), c) for c, a1, a2, b1, b2 in boxes
+                if None not in (lat, a1) and a1 <= lat < a2 and b1 <= lon < b2]
+        return min(hits)[1] if hits else None
+
+    assert got == {f"S{i}": country(*p) for i, p in enumerate(points)}
+    longest = [cells.agg(F.max(F.size("boxes"))).first()[0] for cells in regions.country_cells(table, dense_boxes=16)]
+    assert max(longest[:2]) <= 16 and longest[2] < 60
+
+
 def test_region_filter_uses_partition_pruning(spark, tmp_path):
     from isotherm.sources import store
 
