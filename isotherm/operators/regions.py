@@ -136,10 +136,11 @@ def region_summary_many(clean: DataFrame, requests: DataFrame, cell_degrees: flo
     )
 
 
-# A cell with more boxes than this is cut into FINE x FINE smaller ones, LEVELS times at most.
+# A cell with more boxes than this is cut into FINE x FINE smaller ones, LEVELS times at most
+# (each grid costs a shuffle of the boxes and a join; crowded tables gain from more).
 DENSE_BOXES = 64
 FINE = 10
-LEVELS = 2
+LEVELS = 1
 
 
 def country_cells(regions: DataFrame, cell_degrees: float = CELL_DEGREES, dense_boxes: int = DENSE_BOXES,

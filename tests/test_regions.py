@@ -105,7 +105,7 @@ def test_crowded_cells_are_cut_and_hidden_boxes_left_out(spark):
     points += [(95.0, 200.0), (90.0, 180.0), (-90.0, -180.0), (None, 10.0)]
     st = spark.createDataFrame([(f"S{i}", *p) for i, p in enumerate(points)], "station_id string, latitude double, longitude double")
     table = spark.createDataFrame(boxes, "country string, lat_min double, lat_max double, lon_min double, lon_max double")
-    got = {r.station_id: r.country for r in regions.station_country(st, table, dense_boxes=16).collect()}
+    got = {r.station_id: r.country for r in regions.station_country(st, table, dense_boxes=16, levels=2).collect()}
 
     def country(lat, lon):
         hits = [((a2 - a1) * (b2 - b1), c) for c, a1, a2, b1, b2 in boxes
@@ -113,7 +113,7 @@ def test_crowded_cells_are_cut_and_hidden_boxes_left_out(spark):
         return min(hits)[1] if hits else None
 
     assert got == {f"S{i}": country(*p) for i, p in enumerate(points)}
-    longest = [cells.agg(F.max(F.size("boxes"))).first()[0] for cells in regions.country_cells(table, dense_boxes=16)]
+    longest = [cells.agg(F.max(F.size("boxes"))).first()[0] for cells in regions.country_cells(table, dense_boxes=16, levels=2)]
     assert max(longest[:2]) <= 16 and longest[2] < 60
 
 
