@@ -11,6 +11,8 @@ from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Applications and folders without a scheme that were found to be shared.
+_SHARED: set[tuple[str, str]] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -38,17 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    On a cluster, a path without a scheme is refused when the default file
-    system is the machine's own disk. Only a local session without the setting
-    gets a folder of its own.
+    On a cluster, a path without a scheme may be a shared mount or each
+    machine's own disk when the default file system is ``file:``; it is tried
+    once and refused if rows written by tasks do not reach the driver. Only a
+    local session without the setting gets a folder of its own.
     """
     sc = spark.sparkContext
     local = sc.master.startswith("local[") or sc.master == "local"
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if configured and not local and "://" not in configured and not configured.startswith("file:"):
-        default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-        if default.startswith("file:"):
-            raise RuntimeError(f"{CHECKPOINT_CONF}={configured} is a local path; executors need a shared folder")
+        if sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
+            _try_shared(spark, configured)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -65,6 +67,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or own
 
 
+def _try_shared(spark: SparkSession, folder: str) -> None:
+    """Write two small files per core to the folder, once per application, and raise unless every row is read back."""
+    tried = (spark.sparkContext.applicationId, folder)
+    if tried in _SHARED:
+        return
+    path = f"{folder.rstrip('/')}/shared-{uuid.uuid4().hex}"
+    _delete_on_exit(spark, path)
+    rows = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, rows, 1, rows).write.mode("append").parquet(path)
+    found = spark.read.schema("id long").parquet(path).count()
+    if found != rows:
+        raise RuntimeError(f"{CHECKPOINT_CONF}={folder} is not shared: {found} of {rows} rows written by tasks were read back")
+    _SHARED.add(tried)
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     """Make the folder now, and have the driver's JVM remove it when it ends."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
