@@ -9,7 +9,7 @@ import pytest
 
 from .conftest import ROOT, SF_SMALL
 
-QUERIES = ["block_sample", "missing_stations"]
+QUERIES = ["block_sample", "missing_stations", "readings_ingest"]
 
 
 def _on_cluster(tmp, checkpoints: str, names: list[str]) -> dict:
