@@ -9,7 +9,8 @@ import pytest
 
 from .conftest import ROOT, SF_SMALL
 
-QUERIES = ["block_sample", "missing_stations", "readings_ingest", "refreshed_year_means", "region_summary_store"]
+QUERIES = ["block_sample", "missing_stations", "readings_ingest", "refreshed_year_means", "region_summary_store",
+           "replaced_range"]
 
 
 def _on_cluster(tmp, checkpoints: str, names: list[str]) -> dict:
