@@ -10,7 +10,7 @@ import pytest
 from .conftest import ROOT, SF_SMALL
 
 QUERIES = ["block_sample", "missing_stations", "readings_ingest", "refreshed_year_means", "region_summary_store",
-           "replaced_range"]
+           "replaced_range", "year_range_export"]
 
 
 def _on_cluster(tmp, checkpoints: str, names: list[str]) -> dict:
