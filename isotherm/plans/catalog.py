@@ -214,17 +214,27 @@ def q_sampled_ingest(spark, sf):
     return clean.clean_readings(_read_station_files(spark, path, chosen))
 
 
+# Rows of a file that is read whole: some 2 MB, whatever the size of the table.
+WHOLE_FILE_ROWS = 20_000
+
+
 def q_quoted_ingest(spark, sf):
-    """A column whose values hold line breaks, quotes and commas, read back in both modes."""
+    """A column whose values hold line breaks, quotes and commas, read back in both modes from files fit for each."""
     li = standin.table(spark, sf, "lineitem")
     rows = standin.readings_from_lineitem(li, keep=("l_returnflag", "l_linenumber")).withColumn("NAME", F.concat(
         F.lit("PLACE "), F.col("STATION"), F.lit('\n"'), F.col("l_returnflag"), F.lit('",\n\n2000-01,'), F.col("l_linenumber")))
-    path = scratch_path(spark, "quoted")
-    rows.select("NAME", *READING_COLUMNS).write.option("header", True).option("escape", '"').csv(path)
+    base = scratch_path(spark, "quoted")
     schema = StructType([*READINGS_SCHEMA.fields, StructField("NAME", StringType())])
-    both = [readings.read_readings(spark, path, schema, file_pattern="*.csv", whole_files=whole, quoted_breaks=True)
-            .withColumn("mode", F.lit("files" if whole else "lines")) for whole in (True, False)]
-    return both[0].unionByName(both[1])
+
+    def read_back(mode: str, most_rows: int) -> DataFrame:
+        """0 rows: files of any size."""
+        rows.select("NAME", *READING_COLUMNS).write.option("header", True).option("escape", '"').option(
+            "maxRecordsPerFile", most_rows).csv(f"{base}/{mode}")
+        found = readings.read_readings(spark, f"{base}/{mode}", schema, file_pattern="*.csv",
+                                       whole_files=mode == "files", quoted_breaks=True)
+        return found.withColumn("mode", F.lit(mode))
+
+    return read_back("files", WHOLE_FILE_ROWS).unionByName(read_back("lines", 0))
 
 
 def _refreshed(spark, sf) -> DataFrame:

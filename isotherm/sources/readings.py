@@ -29,10 +29,11 @@ when a column is absent or a ragged line is short. Values are cast with
 **Line breaks within quotes** (``quoted_breaks=True``): a line break after an odd
 number of quotes of its file belongs to its field. Whole files are cut into
 records by a linear regex. Lines of large files are joined again from a parity
-scan, whatever the splits: each block's quotes are counted, a running sum over
-the blocks of a file (a small table) gives the parity its first line starts
-with, and a running sum within each block that of every line. Only lines of
-records that span several lines are grouped, also across block edges. A file
+scan, whatever the splits: blocks are cut into chunks of lines, each chunk's quotes
+are counted, a running sum over the chunks of a file (a small table) gives the
+parity its first line starts with, and a running sum within each chunk that of
+every line, so no window holds a whole block. Only lines of records that span
+several lines are grouped, also across chunk and block edges. A file
 whose quotes do not pair up has no such records: its lines are taken as they
 are, so a stray quote cannot swallow the rest of it. The breaks become ``\\n``.
 """
@@ -54,6 +55,8 @@ WHOLE_FILE_BYTES = 4 << 20
 # Large files: a block's lines join the header table under one of this many salts.
 HEADER_SALTS = 32
 _BLOCK_BYTES = 64 << 20
+# Line breaks within quotes: a chunk of a block has at most 2 to the power of this many lines.
+CHUNK_BITS = 15
 
 
 # A field that starts like a number (optionally quoted). Every data line has
@@ -178,41 +181,46 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
         *_pick(schema, keep_path, flag_ragged))
 
 
-def _block_parities(lines: DataFrame) -> DataFrame:
-    """Per block of a file: whether it starts and ends within quotes, and the block of the last record begun before it.
+_CHUNK = ["_path", "_block", "_chunk"]
 
-    One row per block, so the windows over a file hold few rows.
+
+def _chunk_parities(lines: DataFrame) -> DataFrame:
+    """Per chunk of a file: whether it starts and ends within quotes, and the chunk of the last record begun before it.
+
+    One row per chunk, so the windows over a file hold few rows.
     """
     odd = F.col("_odd")
-    blocks = lines.groupBy("_path", "_block").agg(
+    chunks = lines.groupBy(*_CHUNK).agg(
         F.sum(odd).alias("_n_odd"), F.max("_number").alias("_last"), F.min(F.when(odd == 1, F.col("_number"))).alias("_first_odd"))
     in_file = Window.partitionBy("_path")
-    before = in_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = in_file.orderBy("_block", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
     paired = F.sum("_n_odd").over(in_file) % 2 == 0
     start = F.when(paired, F.coalesce(F.sum("_n_odd").over(before), F.lit(0)) % 2).otherwise(0)
-    placed = blocks.withColumn("_paired", paired).withColumn("_start", start)
-    # A block that starts within quotes begins a record of its own if a line follows the one that closes them.
+    placed = chunks.withColumn("_paired", paired).withColumn("_start", start)
+    # A chunk that starts within quotes begins a record of its own if a line follows the one that closes them.
     begins = (F.col("_start") == 0) | F.coalesce(F.col("_first_odd") < F.col("_last"), F.lit(False))
     return placed.select(
-        "_path", "_block", "_paired", "_start", ((F.col("_start") + F.col("_n_odd")) % 2).alias("_end"),
-        F.last(F.when(begins, F.col("_block")), ignorenulls=True).over(before).alias("_owner"))
+        *_CHUNK, "_paired", "_start", ((F.col("_start") + F.col("_n_odd")) % 2).alias("_end"),
+        F.last(F.when(begins, F.struct("_block", "_chunk")), ignorenulls=True).over(before).alias("_owner"))
 
 
 def joined_records(lines: DataFrame) -> DataFrame:
     """Lines ``(_path, _block, _number, _line)`` with those of one quoted record joined, at the place of its first line."""
-    counted = lines.select("_path", "_block", "_number", "_line", (_quotes(F.col("_line")) % 2).cast("int").alias("_odd"))
-    in_block = Window.partitionBy("_path", "_block").orderBy("_number")
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    # Joined before the windows, so that lines are dealt by (path, block) once.
-    known = counted.join(_block_parities(counted), ["_path", "_block"])
+    # Numbers rise within a block, so those of one chunk follow each other.
+    chunk = F.shiftright("_number", CHUNK_BITS).alias("_chunk")
+    counted = lines.select("_path", "_block", chunk, "_number", "_line", (_quotes(F.col("_line")) % 2).cast("int").alias("_odd"))
+    in_chunk = Window.partitionBy(*_CHUNK).orderBy("_number")
+    before = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    # Joined before the windows, so that lines are dealt by chunk once.
+    known = counted.join(_chunk_parities(counted), _CHUNK)
     inside = F.col("_paired") & ((F.col("_start") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 1)
     placed = known.withColumn("_inside", inside)
-    following = F.coalesce(F.lead("_inside").over(in_block), F.col("_paired") & (F.col("_end") == 1))
-    record = F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.coalesce(F.lead("_inside").over(in_chunk), F.col("_paired") & (F.col("_end") == 1))
+    record = F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
     marked = placed.withColumn("_part", F.col("_inside") | following).withColumn("_record", record)
-    # The last record of a block goes by -1, under which lines of later blocks find it.
-    last = F.max("_record").over(Window.partitionBy("_path", "_block"))
-    keyed = marked.withColumn("_begun", F.when(F.col("_record") == 0, F.col("_owner")).otherwise(F.col("_block"))).withColumn(
+    # The last record of a chunk goes by -1, under which lines of later chunks find it.
+    last = F.max("_record").over(Window.partitionBy(*_CHUNK))
+    keyed = marked.withColumn("_begun", F.when(F.col("_record") == 0, F.col("_owner")).otherwise(F.struct("_block", "_chunk"))).withColumn(
         "_key", F.when((F.col("_record") == 0) | (F.col("_record") == last), -1).otherwise(F.col("_record")))
     single = keyed.filter(~F.col("_part")).select("_path", "_block", "_number", "_line")
     parts = F.array_sort(F.collect_list(F.struct("_block", "_number", "_line")))

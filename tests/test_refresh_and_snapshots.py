@@ -67,6 +67,25 @@ def test_quoted_breaks_in_any_splits(spark, tmp_path, split_bytes, end):
         assert read(False) == sorted(expected, key=str), size
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3, 15])
+def test_records_across_chunks_of_a_block(spark, monkeypatch, bits):
+    """All lines in one block: windows hold a chunk of it, and records go across chunks."""
+    monkeypatch.setattr(readings, "CHUNK_BITS", bits, raising=False)
+    fields = ["a", '"b\nc"', '"' + "\n" * 9 + '"', "d", '"e', "f", '"\n""g', "", '"\n"\n"\n"', "h"]
+    content = "\n".join(fields)
+    data = spark.createDataFrame([("p", 0, k, line) for k, line in enumerate(content.split("\n"))],
+                                 "_path string, _block long, _number long, _line string")
+    joined = readings.joined_records(data)
+    expected, inside = [], False
+    for line in content.split("\n"):
+        expected = [*expected[:-1], f"{expected[-1]}\n{line}"] if inside else [*expected, line]
+        inside ^= line.count('"') % 2 == 1
+    assert not inside and [r._line for r in joined.orderBy("_number").collect()] == expected
+    plan = spark._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "simple")
+    over_lines = [x for x in plan.splitlines() if "Window [" in x and ("_number#" in x or "_record#" in x)]
+    assert over_lines and all("_chunk#" in x for x in over_lines)
+
+
 @given(st.lists(st.text('a",\n', max_size=8), min_size=1, max_size=6))
 @settings(max_examples=25, deadline=None)
 def test_joined_records_follow_the_quotes(spark, texts):
