@@ -11,7 +11,7 @@ from .conftest import ROOT, SF_SMALL
 
 QUERIES = ["block_sample", "missing_stations", "readings_ingest", "refreshed_year_means", "region_summary_store",
            "replaced_range", "year_range_export", "station_parse", "quoted_ingest", "headerless_files",
-           "listed_ingest", "refreshed_datapoints"]
+           "listed_ingest", "refreshed_datapoints", "sampled_ingest"]
 
 
 def _on_cluster(tmp, checkpoints: str, names: list[str]) -> dict:
