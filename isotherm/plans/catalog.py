@@ -8,10 +8,11 @@ over the same tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -172,6 +173,8 @@ def q_union_all(spark, sf):
 
 # Files of one station each are written as one folder a station; the folder's name holds the id.
 FOLDER_PATTERN = r"STATION=([^/]+)/[^/]+$"
+# About as many stations go into one folder of folders, which is listed at once (some 4 KB of the driver's memory a station).
+STATIONS_LISTED = 20_000
 
 
 def _write_station_files(df: DataFrame, path: str, header: bool = True) -> str:
@@ -185,6 +188,29 @@ def _read_station_files(spark, path: str, only: DataFrame) -> DataFrame:
     return rows.withColumn("STATION", F.regexp_extract("source_file", FOLDER_PATTERN, 1)).drop("source_file")
 
 
+def _dealt(station: str, n: int) -> Column:
+    """The number of the folder, of ``n``, that holds a station's folder."""
+    return F.pmod(F.xxhash64(station), F.lit(n)).cast("int")
+
+
+def _write_dealt_files(df: DataFrame, path: str, header: bool = True) -> int:
+    """As ``_write_station_files``, with the stations' folders dealt to folders ``dealt=<number>``; how many these may be."""
+    n = max(1, math.ceil(df.agg(F.approx_count_distinct("STATION")).first()[0] / STATIONS_LISTED))
+    df.withColumn("dealt", _dealt("STATION", n)).repartition("STATION").write.partitionBy("dealt", "STATION").option(
+        "header", header).csv(path)
+    return n
+
+
+def _read_dealt_files(spark, path: str, n: int, only: DataFrame) -> DataFrame:
+    """The files of the stations of ``only``, of what ``_write_dealt_files`` wrote."""
+    def read(folder: str) -> DataFrame:
+        number = folder.rpartition("dealt=")[2]
+        here = only.filter(_dealt("station_id", n) == int(number)) if number.isdigit() else only
+        return _read_station_files(spark, folder, here)
+
+    return listing.folder_by_folder(spark, listing.folders(spark, path), read, "read-files")
+
+
 def q_missing_stations(spark, sf):
     """Stations of the list without a file of precipitation readings."""
     rows = _readings(spark, sf).filter(F.col("PRCP").isNotNull())
@@ -202,8 +228,9 @@ def _station_list(spark, sf, name: str) -> DataFrame:
 
 def q_listed_ingest(spark, sf):
     """Files of all stations; only those of listed stations are read."""
-    path = _write_station_files(_readings(spark, sf), scratch_path(spark, "files"))
-    return _read_station_files(spark, path, _station_list(spark, sf, "list"))
+    path = scratch_path(spark, "files")
+    n = _write_dealt_files(_readings(spark, sf), path)
+    return _read_dealt_files(spark, path, n, _station_list(spark, sf, "list"))
 
 
 def q_sampled_ingest(spark, sf):

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isotherm.session import scratch_path
+
 
 # The id of a file is its name without the suffix.
 STEM_PATTERN = r"([^/]+)\.csv$"
@@ -60,6 +66,56 @@ def station_file_paths(stations: DataFrame, base: str, suffix: str = ".csv") ->
     )
 
 
+@contextmanager
+def many_small_files(spark: SparkSession) -> Iterator[None]:
+    """Within it, folders are listed by a few tasks a core instead of up to 10,000, a task reads many small
+    files, and the driver keeps no listing (Spark keeps up to 250 MB of them).
+
+    The session's own settings come back at the end.
+    """
+    now = spark._jsparkSession.sessionState().conf()
+    tasks = min(now.parallelPartitionDiscoveryParallelism(), max(32, 4 * spark.sparkContext.defaultParallelism))
+    settings = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": tasks,
+                "spark.sql.files.openCostInBytes": min(now.filesOpenCostInBytes(), 128 << 10),
+                "spark.sql.hive.manageFilesourcePartitions": "false"}
+    own = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in own.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in ``path`` that Spark's readers would enter; ``path`` itself if there are none or it holds files too."""
+    here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    entries = [e for e in here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(here)
+               if not e.getPath().getName().startswith(".") and (not e.getPath().getName().startswith("_") or "=" in e.getPath().getName())]
+    if not entries or not all(e.isDirectory() for e in entries):
+        return [path]
+    return sorted(e.getPath().toString() for e in entries)
+
+
+def folder_by_folder(spark: SparkSession, paths: list[str], read: Callable[[str], DataFrame], name: str) -> DataFrame:
+    """The rows that ``read`` gives for each of ``paths``.
+
+    One path is read as it is. Of several, the rows of each are written to a
+    scratch table before the next is listed, so the driver holds the files of
+    one at a time, however many there are in all.
+    """
+    with many_small_files(spark):
+        if len(paths) == 1:
+            return read(paths[0])
+        table = scratch_path(spark, name)
+        for path in paths:
+            rows = read(path)
+            rows.write.mode("append").parquet(table)
+            gc.collect()  # frames are in reference cycles, by which the JVM would keep their file listings
+        return spark.read.schema(rows.schema).parquet(table)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder and what it holds, on whatever file system it lies."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

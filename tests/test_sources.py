@@ -214,3 +214,44 @@ def test_ingest_line_mode_shuffle_join(spark, tmp_path, shuffle_joins):
     df = readings.read_readings(spark, str(d), file_pattern="*.csv", whole_files=False)
     assert "SortMergeJoin" in _plan(df)
     assert sorted(map(tuple, df.collect())) == want
+
+
+@pytest.fixture()
+def listed_at_once(spark, monkeypatch):
+    """Few stations go into a folder; ``[files of each listing]`` of the reads that follow."""
+    from isotherm.plans import catalog
+
+    monkeypatch.setattr(catalog, "STATIONS_LISTED", 3)
+    counts, real = [], readings._text
+
+    def text(*args, **more):
+        made = real(*args, **more)
+        counts.append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(readings, "_text", text)
+    return counts
+
+
+def _equals_its_sql(spark, name):
+    from isotherm.plans import catalog
+    from tools.verify import compare, duckdb_connection
+
+    from .conftest import SF_SMALL
+
+    found = catalog.QUERIES[name](spark, SF_SMALL)
+    ok, message = compare(found, duckdb_connection(SF_SMALL), catalog.ORACLE_SQL[name])
+    assert ok, message
+
+
+def _bounded(counts):
+    # Small and large files are told apart in two listings of a folder.
+    assert len(counts) > 2 and max(counts) < sum(counts[::2]), counts
+
+
+def test_listed_ingest_lists_one_folder_of_stations_at_a_time(spark, listed_at_once):
+    conf = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(conf, None)
+    _equals_its_sql(spark, "listed_ingest")
+    _bounded(listed_at_once)
+    assert spark.conf.get(conf, None) == before
