@@ -183,11 +183,6 @@ def _write_station_files(df: DataFrame, path: str, header: bool = True) -> str:
     return path
 
 
-def _read_station_files(spark, path: str, only: DataFrame) -> DataFrame:
-    rows = readings.read_readings(spark, path, file_pattern="*.csv", keep_path=True, only=only, folder="STATION")
-    return rows.withColumn("STATION", F.regexp_extract("source_file", FOLDER_PATTERN, 1)).drop("source_file")
-
-
 def _dealt(station: str, n: int) -> Column:
     """The number of the folder, of ``n``, that holds a station's folder."""
     return F.pmod(F.xxhash64(station), F.lit(n)).cast("int")
@@ -206,7 +201,8 @@ def _read_dealt_files(spark, path: str, n: int, only: DataFrame) -> DataFrame:
     def read(folder: str) -> DataFrame:
         number = folder.rpartition("dealt=")[2]
         here = only.filter(_dealt("station_id", n) == int(number)) if number.isdigit() else only
-        return _read_station_files(spark, folder, here)
+        rows = readings.read_readings(spark, folder, file_pattern="*.csv", keep_path=True, only=here, folder="STATION")
+        return rows.withColumn("STATION", F.regexp_extract("source_file", FOLDER_PATTERN, 1)).drop("source_file")
 
     return listing.folder_by_folder(spark, listing.folders(spark, path), read, "read-files")
 
@@ -237,8 +233,9 @@ def q_sampled_ingest(spark, sf):
     """Ranges of the ordered station list -> their files -> clean rows."""
     ranges = literal_table(spark, SAMPLE_RANGES, "start long, end long")
     chosen = sampling.block_sample(_station_list(spark, sf, "sampled-list"), ranges, order_by=["station_id"])
-    path = _write_station_files(_readings(spark, sf), scratch_path(spark, "sampled-files"))
-    return clean.clean_readings(_read_station_files(spark, path, chosen))
+    path = scratch_path(spark, "sampled-files")
+    n = _write_dealt_files(_readings(spark, sf), path)
+    return clean.clean_readings(_read_dealt_files(spark, path, n, chosen))
 
 
 # Rows of a file that is read whole: some 2 MB, whatever the size of the table.

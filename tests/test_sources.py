@@ -255,3 +255,8 @@ def test_listed_ingest_lists_one_folder_of_stations_at_a_time(spark, listed_at_o
     _equals_its_sql(spark, "listed_ingest")
     _bounded(listed_at_once)
     assert spark.conf.get(conf, None) == before
+
+
+def test_sampled_ingest_lists_one_folder_of_stations_at_a_time(spark, listed_at_once):
+    _equals_its_sql(spark, "sampled_ingest")
+    _bounded(listed_at_once)
