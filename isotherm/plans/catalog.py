@@ -319,9 +319,11 @@ def q_headerless_files(spark, sf):
     open_rows = standin.readings_from_lineitem(li.filter("l_linestatus = 'O'"))
     other_rows = standin.readings_from_lineitem(li.filter("l_linestatus is distinct from 'O'"))
     base = scratch_path(spark, "headers")
-    _write_station_files(open_rows, f"{base}/with")
-    _write_station_files(other_rows, f"{base}/without", header=False)
-    found = readings.headerless_files(spark, base, file_pattern="*.csv", recursive=True)
+    _write_dealt_files(open_rows, f"{base}/with")
+    _write_dealt_files(other_rows, f"{base}/without", header=False)
+    found = listing.folder_by_folder(
+        spark, [f for written in ("with", "without") for f in listing.folders(spark, f"{base}/{written}")],
+        lambda f: readings.headerless_files(spark, f, file_pattern="*.csv", recursive=True), "headerless")
     return found.select(F.regexp_extract("source_file", FOLDER_PATTERN, 1).alias("station_id"),
                         F.regexp_extract("source_file", "/(with|without)/", 1).alias("written")).distinct()
 

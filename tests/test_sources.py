@@ -260,3 +260,8 @@ def test_listed_ingest_lists_one_folder_of_stations_at_a_time(spark, listed_at_o
 def test_sampled_ingest_lists_one_folder_of_stations_at_a_time(spark, listed_at_once):
     _equals_its_sql(spark, "sampled_ingest")
     _bounded(listed_at_once)
+
+
+def test_headerless_files_lists_one_folder_of_stations_at_a_time(spark, listed_at_once):
+    _equals_its_sql(spark, "headerless_files")
+    assert len(listed_at_once) > 2 and max(listed_at_once) < 10, listed_at_once  # of 20 files
