@@ -250,15 +250,16 @@ def q_quoted_ingest(spark, sf):
     base = scratch_path(spark, "quoted")
     schema = StructType([*READINGS_SCHEMA.fields, StructField("NAME", StringType())])
 
-    def read_back(mode: str, most_rows: int) -> DataFrame:
+    def read_back(mode: str, most_rows: int, compression: str) -> DataFrame:
         """0 rows: files of any size."""
         rows.select("NAME", *READING_COLUMNS).write.option("header", True).option("escape", '"').option(
-            "maxRecordsPerFile", most_rows).csv(f"{base}/{mode}")
-        found = readings.read_readings(spark, f"{base}/{mode}", schema, file_pattern="*.csv",
+            "maxRecordsPerFile", most_rows).option("compression", compression).csv(f"{base}/{mode}")
+        found = readings.read_readings(spark, f"{base}/{mode}", schema, file_pattern="*.csv*",
                                        whole_files=mode == "files", quoted_breaks=True)
         return found.withColumn("mode", F.lit(mode))
 
-    return read_back("files", WHOLE_FILE_ROWS).unionByName(read_back("lines", 0))
+    # Whole files can be compressed; large ones are read in splits, so they are not.
+    return read_back("files", WHOLE_FILE_ROWS, "gzip").unionByName(read_back("lines", 0, "none"))
 
 
 def _refreshed(spark, sf) -> DataFrame:

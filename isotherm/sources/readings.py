@@ -30,10 +30,11 @@ when a column is absent or a ragged line is short. Values are cast with
 number of quotes of its file belongs to its field. Whole files are cut into
 records by a linear regex. Lines of large files are joined again from a parity
 scan, whatever the splits: blocks are cut into chunks of lines, each chunk's quotes
-are counted, a running sum over the chunks of a file (a small table) gives the
-parity its first line starts with, and a running sum within each chunk that of
-every line, so no window holds a whole block. Only lines of records that span
-several lines are grouped, also across chunk and block edges. A file
+are counted, and a running sum over the chunks of a file (a small table) gives the
+parity its first line starts with. Each chunk's lines are packed into one row,
+shuffled so, and cut into records by a linear regex. Only records that go across
+chunk and block edges are grouped. The header's positions are joined to the table
+of chunks, so lines are shuffled once. A file
 whose quotes do not pair up has no such records: its lines are taken as they
 are, so a stray quote cannot swallow the rest of it. The breaks become ``\\n``.
 """
@@ -55,8 +56,8 @@ WHOLE_FILE_BYTES = 4 << 20
 # Large files: a block's lines join the header table under one of this many salts.
 HEADER_SALTS = 32
 _BLOCK_BYTES = 64 << 20
-# Line breaks within quotes: a chunk of a block has at most 2 to the power of this many lines.
-CHUNK_BITS = 15
+# Line breaks within quotes: a chunk of a block has at most 2 to the power of this many lines, which are one row of a shuffle.
+CHUNK_BITS = 12
 
 
 # A field that starts like a number (optionally quoted). Every data line has
@@ -165,11 +166,11 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
     """
     names = [f.name for f in schema.fields]
     known = [header_marker, *names]
-    if quoted_breaks:
-        lines = joined_records(lines)
     place = F.struct("_block", "_number")
-    headers = _header_lines(lines, known).groupBy("_path").agg(
+    headers = _header_lines(joined_records(lines) if quoted_breaks else lines, known).groupBy("_path").agg(
         F.min_by(F.struct(*_positions(F.col("_f"), names), place.alias("_at")), place).alias("_h"))
+    if quoted_breaks:
+        return _data_lines(joined_records(lines, headers.select("_path", "_h.*")), known, place).select(*_pick(schema, keep_path, flag_ragged))
     salted = headers.select("_path", "_h.*", F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt"))
     # Data lines are recognised on the raw text before splitting, so the
     # header test short-circuits for them.
@@ -181,9 +182,23 @@ def align_lines(lines: DataFrame, schema: StructType = READINGS_SCHEMA,
         *_pick(schema, keep_path, flag_ragged))
 
 
+def _data_lines(lines: DataFrame, known: list[str], place: Column) -> DataFrame:
+    """The lines, split, that hold data: after the header's place ``_at``, neither blank nor a header."""
+    fields = lines.filter((F.trim(F.col("_line")) != "") & (place > F.col("_at"))).select(
+        "*", header_candidate(F.col("_line")).alias("_cand"), csv_fields("_line").alias("_f"))
+    return fields.filter(~(F.col("_cand") & header_predicate(F.col("_f"), known)))
+
+
 _CHUNK = ["_path", "_block", "_chunk"]
 
 
+def _chunked(lines: DataFrame) -> DataFrame:
+    """The lines with their chunk and whether their quotes are odd."""
+    # Numbers rise within a block, so those of one chunk follow each other.
+    chunk = F.shiftright("_number", CHUNK_BITS).alias("_chunk")
+    return lines.select("_path", "_block", chunk, "_number", "_line", (_quotes(F.col("_line")) % 2).cast("int").alias("_odd"))
+
+
 def _chunk_parities(lines: DataFrame) -> DataFrame:
     """Per chunk of a file: whether it starts and ends within quotes, and the chunk of the last record begun before it.
 
@@ -191,42 +206,64 @@ def _chunk_parities(lines: DataFrame) -> DataFrame:
     """
     odd = F.col("_odd")
     chunks = lines.groupBy(*_CHUNK).agg(
-        F.sum(odd).alias("_n_odd"), F.max("_number").alias("_last"), F.min(F.when(odd == 1, F.col("_number"))).alias("_first_odd"))
+        F.sum(odd).alias("_n_odd"), F.min("_number").alias("_number"), F.max("_number").alias("_last"),
+        F.min(F.when(odd == 1, F.col("_number"))).alias("_first_odd"))
     in_file = Window.partitionBy("_path")
-    before = in_file.orderBy("_block", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = in_file.orderBy("_block", "_chunk", "_number").rowsBetween(Window.unboundedPreceding, -1)
     paired = F.sum("_n_odd").over(in_file) % 2 == 0
     start = F.when(paired, F.coalesce(F.sum("_n_odd").over(before), F.lit(0)) % 2).otherwise(0)
     placed = chunks.withColumn("_paired", paired).withColumn("_start", start)
     # A chunk that starts within quotes begins a record of its own if a line follows the one that closes them.
     begins = (F.col("_start") == 0) | F.coalesce(F.col("_first_odd") < F.col("_last"), F.lit(False))
     return placed.select(
-        *_CHUNK, "_paired", "_start", ((F.col("_start") + F.col("_n_odd")) % 2).alias("_end"),
+        *_CHUNK, "_number", "_paired", "_start", F.when(F.col("_paired"), (F.col("_start") + F.col("_n_odd")) % 2).otherwise(0).alias("_end"),
         F.last(F.when(begins, F.struct("_block", "_chunk")), ignorenulls=True).over(before).alias("_owner"))
 
 
-def joined_records(lines: DataFrame) -> DataFrame:
-    """Lines ``(_path, _block, _number, _line)`` with those of one quoted record joined, at the place of its first line."""
-    # Numbers rise within a block, so those of one chunk follow each other.
-    chunk = F.shiftright("_number", CHUNK_BITS).alias("_chunk")
-    counted = lines.select("_path", "_block", chunk, "_number", "_line", (_quotes(F.col("_line")) % 2).cast("int").alias("_odd"))
-    in_chunk = Window.partitionBy(*_CHUNK).orderBy("_number")
-    before = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    # Joined before the windows, so that lines are dealt by chunk once.
-    known = counted.join(_chunk_parities(counted), _CHUNK)
-    inside = F.col("_paired") & ((F.col("_start") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 1)
-    placed = known.withColumn("_inside", inside)
-    following = F.coalesce(F.lead("_inside").over(in_chunk), F.col("_paired") & (F.col("_end") == 1))
-    record = F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
-    marked = placed.withColumn("_part", F.col("_inside") | following).withColumn("_record", record)
-    # The last record of a chunk goes by -1, under which lines of later chunks find it.
-    last = F.max("_record").over(Window.partitionBy(*_CHUNK))
-    keyed = marked.withColumn("_begun", F.when(F.col("_record") == 0, F.col("_owner")).otherwise(F.struct("_block", "_chunk"))).withColumn(
-        "_key", F.when((F.col("_record") == 0) | (F.col("_record") == last), -1).otherwise(F.col("_record")))
-    single = keyed.filter(~F.col("_part")).select("_path", "_block", "_number", "_line")
-    parts = F.array_sort(F.collect_list(F.struct("_block", "_number", "_line")))
-    several = keyed.filter("_part").groupBy("_path", "_begun", "_key").agg(parts.alias("_parts")).select(
-        "_path", F.get("_parts", F.lit(0))["_block"].alias("_block"), F.get("_parts", F.lit(0))["_number"].alias("_number"),
-        F.array_join("_parts._line", "\n").alias("_line"))
+# A record after its line break, possibly empty. Possessive, so linear in its length.
+_NEXT_RECORD = r'\n([^"\n]*+(?:"[^"]*+"[^"\n]*+)*+)'
+
+
+def joined_records(lines: DataFrame, of_files: DataFrame | None = None) -> DataFrame:
+    """Lines ``(_path, _block, _number, _line)`` with those of one quoted record joined, in the order of their places.
+
+    A chunk's lines are packed into one row before the shuffle, which carries
+    the path once a chunk, and are cut into records as one text: with a quote
+    put before a chunk that starts within quotes and one after a chunk that ends
+    so. Only the pieces of records at the edges of chunks are grouped.
+    ``of_files``: a table by ``_path`` whose other columns come along; lines
+    of files that it lacks go. It is joined to the table of chunks, not to lines.
+    """
+    counted = _chunked(lines)
+    chunks = _chunk_parities(counted)
+    more = []
+    if of_files is not None:
+        chunks, more = chunks.join(of_files, "_path"), [c for c in of_files.columns if c != "_path"]
+    # Each line begins with its number within the chunk, by which they are sorted: fewer bytes than a struct of both.
+    width = (CHUNK_BITS + 3) // 4 + 1
+    placed_line = F.concat(F.lpad(F.hex(F.col("_number").bitwiseAND((1 << CHUNK_BITS) - 1)), width, "0"), "_line")
+    packed = counted.groupBy(*_CHUNK).agg(F.collect_list(placed_line).alias("_lines"))
+    text = F.array_join(F.transform(F.sort_array("_lines"), lambda x: F.substring(x, width + 1, 1 << 30)), "\n").alias("_text")
+    # Joined by the key of the packed lines, so that these are dealt once.
+    known = packed.select(*_CHUNK, text).join(chunks, _CHUNK)
+    starts, ends = F.col("_start") == 1, F.col("_end") == 1
+    whole = F.concat(F.lit("\n"), F.when(starts, '"').otherwise(""), F.col("_text"), F.when(ends, '"').otherwise(""))
+    records = F.when(F.col("_paired"), F.regexp_extract_all(whole, F.lit(_NEXT_RECORD), F.lit(1))).otherwise(F.split("_text", "\n", -1))
+    # Counted before they are exploded, or each would be cut anew.
+    kept = [*_CHUNK, "_number", "_start", "_end", "_owner", *more]
+    counted_records = known.select(*kept, records.alias("_records")).select(*kept, "_records", F.size("_records").alias("_n"))
+    cut = counted_records.select(*kept, "_n", F.posexplode("_records").alias("_at_record", "_line"))
+    # Records that go on from or into another chunk, without the quote put there.
+    goes_on = starts & (F.col("_at_record") == 0)
+    is_open = ends & (F.col("_at_record") == F.col("_n") - 1)
+    line = F.substring(F.col("_line"), F.when(goes_on, 2).otherwise(1), F.length("_line") - goes_on.cast("int") - is_open.cast("int"))
+    placed = cut.select("_path", "_block", (F.col("_number") + F.col("_at_record")).alias("_number"), F.when(goes_on | is_open, line).otherwise(F.col("_line")).alias("_line"),
+                        *more, (goes_on | is_open).alias("_part"), F.when(goes_on, F.col("_owner")).otherwise(F.struct("_block", "_chunk")).alias("_begun"))
+    single = placed.filter(~F.col("_part")).select("_path", "_block", "_number", "_line", *more)
+    first = F.get("_parts", F.lit(0))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_number", "_line"))).alias("_parts")
+    several = placed.filter("_part").groupBy("_path", "_begun").agg(parts, *[F.first(c).alias(c) for c in more]).select(
+        "_path", first["_block"].alias("_block"), first["_number"].alias("_number"), F.array_join("_parts._line", "\n").alias("_line"), *more)
     return single.unionByName(several)
 
 

@@ -86,6 +86,27 @@ def test_records_across_chunks_of_a_block(spark, monkeypatch, bits):
     assert over_lines and all("_chunk#" in x for x in over_lines)
 
 
+def test_quoted_lines_are_packed_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    """The shuffles hold rows by chunk and by record across chunks, not by line."""
+    records = 5_000
+    (tmp_path / "q.csv").write_text("STATION,DATE,NAME,TAVG\n" + "".join(f'S,2001-01,"a\n\nb ""{k}""",{k}\n' for k in range(records)))
+    monkeypatch.setattr(readings, "CHUNK_BITS", 8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = readings.read_readings(spark, str(tmp_path), NAMED, file_pattern="*.csv", whole_files=False, quoted_breaks=True)
+        got = found.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted((r.NAME, r.TAVG) for r in got) == sorted((f'a\n\nb "{k}"', float(k)) for k in range(records))
+
+    def shuffled(plan):
+        written = plan.metrics().get("shuffleRecordsWritten")
+        children = plan.children()
+        return (written.get().value() if written.isDefined() else 0) + sum(shuffled(children.apply(i)) for i in range(children.size()))
+
+    assert 0 < shuffled(found._jdf.queryExecution().executedPlan()) < records / 4
+
+
 @given(st.lists(st.text('a",\n', max_size=8), min_size=1, max_size=6))
 @settings(max_examples=25, deadline=None)
 def test_joined_records_follow_the_quotes(spark, texts):
